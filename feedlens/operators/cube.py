@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import ETL_AGE_LABELS, age_band_etl, as_date, to_day
@@ -74,10 +74,18 @@ def sender_profile(msgs: DataFrame, profile: str = "all", users: DataFrame | Non
     raise ValueError(f"profile must be 'all' or 'latest', not {profile!r}")
 
 
-def with_profile(mud: DataFrame, msgs: DataFrame, profile: str = "all") -> DataFrame:
+def with_profile(mud: DataFrame, msgs: DataFrame, profile: str = "all", start=None, end=None) -> DataFrame:
     """C4: attach the sender profile to message user-days (left join; receivers
-    who never sent keep NULL profile columns)."""
-    prof = sender_profile(msgs, profile, users=mud)
+    who never sent keep NULL profile columns).
+
+    With a day range the history is first semi-joined to the people who sent or
+    received in that range (read from a pruned scan of the range, not from
+    ``mud``), so the distinct runs over their history only."""
+    users = None
+    if start is not None or end is not None:
+        day = _in_days(msgs.withColumn("event_date", to_day("time")), start, end, day="event_date")
+        users = day.select("user_id").unionByName(day.select(F.col("receiver_id").alias("user_id")))
+    prof = sender_profile(msgs, profile, users=users)
     return mud.join(prof, "user_id", "left")
 
 
@@ -107,36 +115,57 @@ def metrics_cube(cube: DataFrame, start=None, end=None) -> DataFrame:
     One pass: every user-day row is expanded to its three (dimension, value)
     pairs and a single aggregation sums the measures (partial aggregation
     before the shuffle).  Rows with a NULL dimension value are left out of that
-    dimension.  Every age label appears for every day, empty ones as 0.
-    Days: the closed range ``start..end`` when given, else the days present.
+    dimension.  Every age label appears for every day, empty ones as 0: with a
+    known day range the zero rows come from a generated calendar; otherwise
+    they are added per day from the small aggregated result itself.  Either
+    way the user-day cube has a single consumer and is computed once.
     """
     pairs = F.array(
         F.struct(F.lit("gender").alias("dimension"), F.col("gender").cast("string").alias("dimension_value")),
         F.struct(F.lit("os").alias("dimension"), F.col("os").alias("dimension_value")),
         F.struct(F.lit("age").alias("dimension"), age_band_etl("age").alias("dimension_value")),
     )
-    long = (
-        cube.select("event_date", *MEASURES, F.inline(pairs))
-        .filter(F.col("dimension_value").isNotNull())
-        .groupBy("event_date", "dimension", "dimension_value")
-        .agg(*[F.sum(m).cast("bigint").alias(m) for m in MEASURES])
-    )
+    rows = cube.select("event_date", *MEASURES, F.inline(pairs)).filter(F.col("dimension_value").isNotNull())
     if start is not None and end is not None:
-        days = cube.sparkSession.range(1).select(
-            F.explode(F.sequence(as_date(start), as_date(end))).alias("event_date")
+        calendar = cube.sparkSession.range(1).select(
+            F.explode(F.sequence(as_date(start), as_date(end))).alias("event_date"),
+            F.lit("age").alias("dimension"),
+        )
+        zeros = calendar.select(
+            "event_date",
+            "dimension",
+            F.explode(F.array(*[F.lit(x) for x in ETL_AGE_LABELS])).alias("dimension_value"),
+            *[F.lit(0).cast("bigint").alias(m) for m in MEASURES],
         )
-    else:
-        days = cube.select("event_date").distinct()
-    labels = days.select(
-        "event_date",
-        F.lit("age").alias("dimension"),
-        F.explode(F.array(*[F.lit(x) for x in ETL_AGE_LABELS])).alias("dimension_value"),
+        rows = rows.unionByName(zeros)
+    long = rows.groupBy("event_date", "dimension", "dimension_value").agg(
+        *[F.sum(m).cast("bigint").alias(m) for m in MEASURES]
+    )
+    if start is not None and end is not None:
+        return long.select("event_date", "dimension", "dimension_value", *MEASURES)
+    return _dense_ages(long)
+
+
+def _dense_ages(long: DataFrame) -> DataFrame:
+    """Add zero rows for the age labels a day lacks.  ``long`` has a few rows
+    per day; the first row of each day carries the missing labels, so ``long``
+    is read by one consumer only."""
+    day = Window.partitionBy("event_date")
+    long = long.select(
+        "*",
+        F.collect_set(F.when(F.col("dimension") == "age", F.col("dimension_value"))).over(day).alias("_present"),
+        (F.row_number().over(day.orderBy("dimension", "dimension_value")) == 1).alias("_first"),
     )
-    # The label frame has 6 rows per day; AQE broadcasts or shuffles it by size.
-    ages = labels.join(long.filter(F.col("dimension") == "age"), ["event_date", "dimension", "dimension_value"], "left")
-    ages = ages.select("event_date", "dimension", "dimension_value", *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES])
-    rest = long.filter(F.col("dimension") != "age")
-    return rest.unionByName(ages).select("event_date", "dimension", "dimension_value", *MEASURES)
+    present, first = F.col("_present"), F.col("_first")
+    labels = F.array(*[F.lit(x) for x in ETL_AGE_LABELS])
+    me = F.struct(F.col("dimension"), F.col("dimension_value"), *[F.col(m) for m in MEASURES])
+
+    def zero(label):
+        return F.struct(F.lit("age").alias("dimension"), label.alias("dimension_value"), *[F.lit(0).cast("bigint").alias(m) for m in MEASURES])
+
+    extra = F.transform(F.array_except(labels, present), zero)
+    out = F.when(first, F.concat(F.array(me), extra)).otherwise(F.array(me))
+    return long.select("event_date", F.inline(out)).select("event_date", "dimension", "dimension_value", *MEASURES)
 
 
 def cube_null_keys(cube: DataFrame) -> DataFrame:
@@ -157,7 +186,7 @@ def build_cube(
     from feedlens.operators.engagement import feed_user_day
 
     feed_ud = feed_user_day(feed, start, end)
-    msg_ud = with_profile(message_user_day(msgs, start, end), msgs, profile)
+    msg_ud = with_profile(message_user_day(msgs, start, end), msgs, profile, start, end)
     cube = user_day_cube(feed_ud, msg_ud)
     return cube, metrics_cube(cube, start, end)
 

@@ -65,10 +65,9 @@ def group_size(feed: DataFrame, start, end) -> DataFrame:
 
 def _collect_distribution(dist: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
     """Ship a small distribution (bounded by its value domain) to the tasks."""
-    n = dist.count()
-    if n > MAX_DISTRIBUTION_VALUES:
-        raise ValueError(f"distribution of {value} has {n} values; more than {MAX_DISTRIBUTION_VALUES}")
-    rows = dist.select(value, "users").orderBy(value).collect()
+    rows = dist.select(value, "users").orderBy(value).limit(MAX_DISTRIBUTION_VALUES + 1).collect()
+    if len(rows) > MAX_DISTRIBUTION_VALUES:
+        raise ValueError(f"distribution of {value} has more than {MAX_DISTRIBUTION_VALUES} values")
     vals = np.array([float(r[0]) for r in rows])
     w = np.array([float(r[1]) for r in rows])
     return vals, w / w.sum()
