@@ -299,6 +299,31 @@ def backtest(prepared: DataFrame, models=MODELS, train_len: int = 7, step: int =
     return fit_models(folds(prepared, train_len, step, horizon), models)
 
 
+def linear_backtest(fold_rows: DataFrame) -> DataFrame:
+    """F9 for the linear trend entirely in Spark SQL: one least-squares fit per
+    (series, fold) by ``regr_slope`` / ``regr_intercept``, predictions of the
+    fold's test rows (no Python; same output frame as ``backtest``)."""
+    train = fold_rows.filter(F.col("role") == "train")
+    t0 = train.groupBy("series_id", "fold").agg(F.min("day").alias("t0"))
+    pts = train.join(t0, ["series_id", "fold"]).select(
+        "series_id", "fold", F.datediff("day", "t0").cast("double").alias("t"), F.col("y").cast("double").alias("y")
+    )
+    coef = pts.groupBy("series_id", "fold").agg(
+        F.regr_slope("y", "t").alias("slope"), F.regr_intercept("y", "t").alias("intercept")
+    ).join(t0, ["series_id", "fold"])
+    test = fold_rows.filter(F.col("role") == "test").join(coef, ["series_id", "fold"])
+    return test.select(
+        "series_id",
+        "fold",
+        F.lit("linear").alias("model"),
+        "day",
+        F.col("y").alias("actual"),
+        (F.col("intercept") + F.col("slope") * F.datediff("day", "t0")).alias("prediction"),
+        F.lit(None).cast("double").alias("lo"),
+        F.lit(None).cast("double").alias("hi"),
+    )
+
+
 def score(bt: DataFrame, fold_rows: DataFrame) -> DataFrame:
     """sMAPE, wMAPE, MAPE, MSE, MAE and RMSSE per (series, model), pooled
     over folds.  RMSSE scales each squared error by the mean squared one-step

@@ -44,9 +44,10 @@ def weekly_gone(feed: DataFrame) -> DataFrame:
     ).select("week", F.lit("gone").alias("status"), "users")
 
 
-def weekly_user_flow(feed: DataFrame, limit: int | None = 1000) -> DataFrame:
+def weekly_user_flow(feed: DataFrame, limit: int | None = None) -> DataFrame:
     """New, retained and gone per week in one frame, ascending by users
-    (ties by week, status), capped at ``limit`` rows as the dashboard does."""
+    (ties by week, status).  ``limit`` reproduces the dashboard's row cap
+    (1000) when asked; by default every row is kept."""
     flow = weekly_new_retained(feed).unionByName(weekly_gone(feed))
     out = flow.groupBy("week", "status").agg(F.sum("users").cast("bigint").alias("users"))
     out = out.orderBy("users", "week", "status")

@@ -118,22 +118,19 @@ def q_forecast_compare(spark, sf_dir):
     return FC.compare(p, FC.forecast(p, HORIZON_DAYS))
 
 
-@register(
-    "backtest_folds",
-    with_fixtures(
-        _PREPARED_SQL
-        + """, idx AS (SELECT series_id, day, views_std AS y, dau_std, anomaly,
+_FOLDS_SQL = """, idx AS (SELECT series_id, day, views_std AS y, dau_std, anomaly,
                     row_number() OVER (PARTITION BY series_id ORDER BY day) - 1 AS r,
                     count(*) OVER (PARTITION BY series_id) AS n
              FROM z WHERE part = 'train'),
 nf AS (SELECT DISTINCT series_id, CAST(floor((n - 14) / 7) + 1 AS INTEGER) AS n_folds FROM idx),
-f AS (SELECT nf.series_id, CAST(range AS INTEGER) AS fold FROM nf, range(0, 100) WHERE range < nf.n_folds)
+f AS (SELECT series_id, CAST(unnest(range(0, greatest(n_folds, 0))) AS INTEGER) AS fold FROM nf)
 SELECT idx.series_id, f.fold, CASE WHEN idx.r - f.fold * 7 < 7 THEN 'train' ELSE 'test' END AS role,
        idx.day, round(idx.y, 10) AS y, round(idx.dau_std, 10) AS dau_std, idx.anomaly
 FROM idx JOIN f ON f.series_id = idx.series_id
 WHERE idx.r - f.fold * 7 >= 0 AND idx.r - f.fold * 7 < 14"""
-    ),
-)
+
+
+@register("backtest_folds", with_fixtures(_PREPARED_SQL + _FOLDS_SQL))
 def q_backtest_folds(spark, sf_dir):
     f = FC.folds(_prepared(spark, sf_dir))
     return f.withColumn("y", F.round("y", ROUND)).withColumn("dau_std", F.round("dau_std", ROUND))
@@ -157,3 +154,40 @@ def q_backtest_scores(spark, sf_dir):
 @register("best_model")
 def q_best_model(spark, sf_dir):
     return FC.best_model(_scores(spark, sf_dir))
+
+
+_LINEAR_SCORES_SQL = (
+    _PREPARED_SQL
+    + _FOLDS_SQL.replace("SELECT idx.series_id, f.fold", "SELECT idx.series_id AS series_id, f.fold AS fold", 1)
+    .replace("round(idx.y, 10) AS y", "idx.y AS y")
+    .replace(", idx AS", ", idx AS", 1)
+    .replace("\nSELECT idx.series_id", "\n, fr AS (SELECT idx.series_id", 1)
+    + """)
+, t0 AS (SELECT series_id, fold, min(day) AS t0 FROM fr WHERE role = 'train' GROUP BY 1, 2)
+, coef AS (SELECT fr.series_id, fr.fold, regr_slope(y, CAST(fr.day - t0.t0 AS DOUBLE)) AS slope,
+                  regr_intercept(y, CAST(fr.day - t0.t0 AS DOUBLE)) AS intercept
+           FROM fr JOIN t0 USING (series_id, fold) WHERE role = 'train' GROUP BY 1, 2)
+, bt AS (SELECT fr.series_id, fr.fold, fr.day, fr.y AS actual,
+                c.intercept + c.slope * CAST(fr.day - t0.t0 AS DOUBLE) AS prediction
+         FROM fr JOIN coef c USING (series_id, fold) JOIN t0 USING (series_id, fold) WHERE role = 'test')
+, naive AS (SELECT series_id, fold, avg(d * d) AS naive_mse FROM (
+              SELECT series_id, fold, y - lag(y) OVER (PARTITION BY series_id, fold ORDER BY day) AS d
+              FROM fr WHERE role = 'train') x GROUP BY 1, 2)
+, agg AS (SELECT series_id, 'linear' AS model, count(*) AS n_points,
+                 avg(2.0 * abs(prediction - actual) / NULLIF(abs(actual) + abs(prediction), 0)) AS smape,
+                 sum(abs(prediction - actual)) / NULLIF(sum(abs(actual)), 0) AS wmape,
+                 avg(abs(prediction - actual) / NULLIF(abs(actual), 0)) AS mape,
+                 avg((prediction - actual) * (prediction - actual)) AS mse,
+                 avg(abs(prediction - actual)) AS mae,
+                 sqrt(avg((prediction - actual) * (prediction - actual) / NULLIF(naive_mse, 0))) AS rmsse
+          FROM bt LEFT JOIN naive USING (series_id, fold) GROUP BY 1)
+SELECT series_id, model, n_points, metric, round(value, 8) AS value FROM agg
+UNPIVOT INCLUDE NULLS (value FOR metric IN (smape, wmape, mape, mse, mae, rmsse))"""
+)
+
+
+@register("backtest_linear_scores", with_fixtures(_LINEAR_SCORES_SQL))
+def q_backtest_linear_scores(spark, sf_dir):
+    p = _prepared(spark, sf_dir)
+    fr = FC.folds(p)
+    return FC.score(FC.linear_backtest(fr), fr).withColumn("value", F.round("value", 8))

@@ -186,7 +186,7 @@ def q_weekly_gone(spark, sf_dir):
     with_fixtures(
         f"""SELECT week, status, CAST(sum(users) AS BIGINT) AS users
   FROM ({NEW_RET_SQL} UNION ALL {GONE_SQL}) f
-  GROUP BY week, status ORDER BY users, week, status LIMIT 1000"""
+  GROUP BY week, status ORDER BY users, week, status"""
     ),
 )
 def q_weekly_user_flow(spark, sf_dir):
