@@ -108,9 +108,11 @@ def power_replicates(
     views_threshold: int = 50,
     alpha: float = 0.05,
     chunk: int = 200_000,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Q4 per replicate: n, mean and variance of likes per group, Welch t, dof,
-    p-value and whether the replicate rejects at ``alpha``."""
+    p-value and whether the replicate rejects at ``alpha``.  The result does
+    not depend on ``partitions`` (default: from the cluster's parallelism)."""
     vv, vp = _collect_distribution(views_dist, "views")
     sampling = ctr_dist.filter(F.col("ctr") <= 1.0)  # a like probability above 1 cannot be drawn
     cv, cp = _collect_distribution(sampling, "ctr")
@@ -126,7 +128,7 @@ def power_replicates(
     group_size = int(group_size)
     n_chunks = max(1, math.ceil(group_size / chunk))
     n_units = n_sims * n_chunks
-    parts = max(spark.sparkContext.defaultParallelism, min(4096, n_units // 256 + 1))
+    parts = partitions or max(spark.sparkContext.defaultParallelism, min(4096, n_units // 256 + 1))
     units = spark.range(0, n_units, 1, parts).select(
         (F.col("id") / n_chunks).cast("bigint").alias("sim_id"),
         (F.col("id") % n_chunks).cast("bigint").alias("chunk_id"),

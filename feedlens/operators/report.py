@@ -24,9 +24,12 @@ def _rows(df: DataFrame, section: str, metric_cols: list[str], key: F.Column | N
     return keyed.unpivot("key", metric_cols, "metric", "value").select(F.lit(section).alias("section"), "metric", "key", "value")
 
 
-def feed_report(feed: DataFrame, as_of) -> DataFrame:
-    """B1: DAU, views, likes and CTR of the day before ``as_of``."""
+def feed_report(feed: DataFrame, as_of, ctr_digits: int | None = None) -> DataFrame:
+    """B1: DAU, views, likes and CTR of the day before ``as_of``.  With
+    ``ctr_digits`` the CTR is rounded half-to-even, as the reference's text shows it."""
     s = feed_summary(feed, as_of)
+    if ctr_digits is not None:
+        s = s.withColumn("ctr", F.bround("ctr", ctr_digits))
     return _rows(s, "feed", ["dau", "views", "likes", "ctr"], F.col("day").cast("string"))
 
 

@@ -206,3 +206,27 @@ def test_cube_marginals_sum_to_totals(spark):
         m = marg.filter(F.col("dimension") == dim).agg(*[F.sum(c).alias(c) for c in cols]).first()
         t = cube.filter(F.col(key).isNotNull()).agg(*[F.sum(c).alias(c) for c in cols]).first()
         assert tuple(m) == tuple(t), dim
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_daily_job_publishes_yesterday(spark):
+    import uuid
+
+    from feedlens.plans.daily_cube import run_daily_cube
+
+    feed, msgs = feed_actions(spark, SF001), message_actions(spark, SF001)
+    target = shared_path(spark, f"test-daily-{uuid.uuid4().hex}")
+    run_daily_cube(feed, msgs, "2024-01-31", target)
+    run_daily_cube(feed, msgs, "2024-01-31", target)  # a retry
+    got = sorted(tuple(r) for r in C.read_cube(spark, target).collect())
+    _, want = C.build_cube(feed, msgs, "2024-01-30", "2024-01-30")
+    assert got == sorted(tuple(r) for r in want.collect())
+    assert {r[0] for r in got} == {D(2024, 1, 30)}
+
+
+def test_report_half_even_rounding(spark):
+    from feedlens.operators.report import feed_report
+
+    rows = [(1, ts("2024-01-30"), "view", 1)] * 8 + [(1, ts("2024-01-30"), "like", 1)]
+    r = {x.metric: x.value for x in feed_report(feed_df(spark, rows), "2024-01-31", ctr_digits=2).collect()}
+    assert r["ctr"] == 0.12  # 1/8 = 0.125 -> half-to-even

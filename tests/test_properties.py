@@ -80,3 +80,12 @@ def test_histogram_counts(spark):
     assert by[1] == {0: 3, 1: 3, 2: 4}
     assert by[2] == {0: 0, 1: 0, 2: 1}
     assert F is not None
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_power_partition_independent(spark):
+    v, c, size = _dists(spark)
+    kw = dict(n_sims=120, seed=4, views_threshold=0, chunk=7)
+    a = sorted(Q.power_replicates(spark, v, c, size, partitions=1, **kw).select("sim_id", "p_value").collect())
+    b = sorted(Q.power_replicates(spark, v, c, size, partitions=11, **kw).select("sim_id", "p_value").collect())
+    assert a == b
