@@ -41,14 +41,29 @@ def received_user_day(msgs: DataFrame, start=None, end=None) -> DataFrame:
 def message_user_day(msgs: DataFrame, start=None, end=None) -> DataFrame:
     """Both directions in one row per (event_date, user_id), missing side = 0.
 
-    Both inputs come out of aggregations hash-partitioned on the join keys, so
-    the full outer join adds no exchange of its own.
+    One scan: every message becomes an outgoing row for its sender and an
+    incoming row for its receiver (peer = the other side).  A first aggregation
+    per (day, user, direction, peer) collapses repeats map-side and spreads a
+    very active user over tasks by peer; the second, per (day, user), counts
+    messages and distinct peers of each direction.
     """
-    sent = sent_user_day(msgs, start, end)
-    recv = received_user_day(msgs, start, end)
-    joined = sent.join(recv, ["event_date", "user_id"], "full_outer")
-    return joined.select(
-        "event_date", "user_id", *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MESSAGE_MEASURES]
+    df = _in_days(msgs.withColumn("event_date", to_day("time")), start, end, day="event_date")
+    sides = F.array(
+        F.struct(F.col("user_id").alias("user"), F.col("receiver_id").alias("peer"), F.lit(True).alias("outgoing")),
+        F.struct(F.col("receiver_id").alias("user"), F.col("user_id").alias("peer"), F.lit(False).alias("outgoing")),
+    )
+    pairs = (
+        df.select("event_date", F.inline(sides))
+        .groupBy("event_date", "user", "outgoing", "peer")
+        .agg(F.count("*").alias("n"))
+    )
+    out, inc = F.col("outgoing"), ~F.col("outgoing")
+    has_peer = F.col("peer").isNotNull()
+    return pairs.groupBy("event_date", F.col("user").alias("user_id")).agg(
+        F.coalesce(F.sum(F.when(out & has_peer, F.col("n"))), F.lit(0)).cast("bigint").alias("messages_sent"),
+        F.count(F.when(out & has_peer, 1)).alias("users_sent"),
+        F.coalesce(F.sum(F.when(inc & has_peer, F.col("n"))), F.lit(0)).cast("bigint").alias("messages_received"),
+        F.count(F.when(inc & has_peer, 1)).alias("users_received"),
     )
 
 

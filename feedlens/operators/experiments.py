@@ -24,20 +24,24 @@ def group_sizes(users: DataFrame, group: str = "exp_group") -> DataFrame:
 def histogram(df: DataFrame, value: str, by: str = "exp_group", bins: int = 10) -> DataFrame:
     """Bar counts of ``value`` per ``by`` over ``bins`` equal-width bins spanning
     the overall min..max (last bin closed); every bin of every group is listed.
-    NULL values are not counted."""
-    lo = df.agg(F.min(value)).scalar()
-    hi = df.agg(F.max(value)).scalar()
+    NULL values are not counted.  One scalar subquery gives min and max; the
+    counts are densified per group (at most ``bins`` entries) without a join."""
+    mm = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = mm.getField("lo"), mm.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor((F.col(value) - lo) / (hi - lo) * F.lit(float(bins)))
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
-    counts = df.filter(F.col(value).isNotNull()).groupBy(by, b.alias("bin")).agg(F.count("*").alias("count"))
-    grid = df.select(by).distinct().select(by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return grid.join(counts, [by, "bin"], "left").select(
+    counts = df.groupBy(by, F.when(F.col(value).isNotNull(), b).alias("bin")).agg(F.count("*").alias("n"))
+    per_group = counts.groupBy(by).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("m")
+    )
+    grid = per_group.select(by, "m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return grid.select(
         by,
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),
         (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
-        F.coalesce(F.col("count"), F.lit(0)).alias("count"),
+        F.coalesce(F.element_at("m", F.col("bin")), F.lit(0)).cast("bigint").alias("count"),
     )
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.columns import as_date, safe_ratio, to_day
 from feedlens.operators.engagement import VIEW
+from feedlens.session import materialize
 
 MODELS = ["linear", "damped", "linear_reg", "damped_reg"]
 REGRESSORS = ["dau_std", "anomaly"]
@@ -226,9 +227,12 @@ def fit_models(rows: DataFrame, models=MODELS) -> DataFrame:
 
 # --------------------------------------------------------------- forecasts
 def prepare(feed: DataFrame, as_of, anomaly: tuple, holdout_days: int = 14, by=None) -> DataFrame:
-    """F1-F4 in one frame: series, anomaly flag, train/test split, z-scores."""
+    """F1-F4 in one frame: series, anomaly flag, train/test split, z-scores.
+    Runs one job (the feed scan) and checkpoints the small daily series."""
     s = flag_period(daily_series(feed, by), anomaly[0], anomaly[1])
-    return zscore(split(s, as_of, holdout_days))
+    # One row per series and day, read by every later step: checkpoint it so
+    # the feed is scanned once.  The z-scores are then computed on it.
+    return zscore(materialize(split(s, as_of, holdout_days)))
 
 
 def forecast(prepared: DataFrame, horizon: int = 30, models=MODELS, y: str = "views_std") -> DataFrame:

@@ -12,14 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlens.session import materialize
+
 
 def running_total_below(df: DataFrame, key: str, weights: list[str], buckets: int = 64, rel_error: float = 1e-3) -> DataFrame:
     """Add ``<w>_below`` = sum of ``w`` over rows whose ``key`` is strictly smaller.
 
     ``key`` must be unique per row and non-NULL (e.g. a distinct-value table).
-    Runs one small approximate-quantile job to fix the range boundaries
-    (``buckets - 1`` numbers on the driver).
+    ``df`` is checkpointed first (it is read twice), then one approximate-
+    quantile job fixes the range boundaries (``buckets - 1`` numbers).
     """
+    df = materialize(df)  # read twice below (boundaries, then the totals)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted({float(b) for b in df.approxQuantile(key, probs, rel_error)}) if buckets > 1 else []
     if bounds:

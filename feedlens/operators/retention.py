@@ -1,4 +1,10 @@
-"""Retention and churn by Monday week; cohorts and segments."""
+"""Retention and churn by Monday week; cohorts and segments.
+
+The week table (one row per user and active week) is read once: the previous
+and next active week of each row come from ``lag`` / ``lead`` in a window per
+user.  A user's window holds at most one row per calendar week, however many
+events the user has, so a very active user does not make a large task.
+"""
 
 from __future__ import annotations
 
@@ -18,17 +24,23 @@ def user_weeks_array(feed: DataFrame) -> DataFrame:
     return user_weeks(feed).groupBy("user_id").agg(F.sort_array(F.collect_set("week")).alias("weeks_visited"))
 
 
+def _week_links(feed: DataFrame) -> DataFrame:
+    """(user_id, week, retained, gone_next): active the week before? inactive the week after?"""
+    w = Window.partitionBy("user_id").orderBy("week")
+    prev_w, next_w = F.lag("week").over(w), F.lead("week").over(w)
+    return user_weeks(feed).select(
+        "user_id",
+        "week",
+        F.coalesce(prev_w == F.date_sub("week", 7), F.lit(False)).alias("retained"),
+        F.coalesce(next_w != F.date_add("week", 7), F.lit(True)).alias("gone_next"),
+    )
+
+
 def weekly_new_retained(feed: DataFrame) -> DataFrame:
     """R2: per week, users active that week split into retained (also active the
     week before) and new (not active the week before, returners included)."""
-    uw = user_weeks(feed)
-    prev = uw.select("user_id", F.date_add("week", 7).alias("week"), F.lit(True).alias("was_active"))
-    status = F.when(F.col("was_active"), "retained").otherwise("new")
-    return (
-        uw.join(prev, ["user_id", "week"], "left")
-        .groupBy("week", status.alias("status"))
-        .agg(F.count("*").alias("users"))  # (user_id, week) is unique here
-    )
+    status = F.when(F.col("retained"), "retained").otherwise("new")
+    return _week_links(feed).groupBy("week", status.alias("status")).agg(F.count("*").alias("users"))
 
 
 def weekly_gone(feed: DataFrame) -> DataFrame:
@@ -36,31 +48,40 @@ def weekly_gone(feed: DataFrame) -> DataFrame:
 
     Dated one week after the last visit; the week after the data ends is
     included (it is open: everyone active in the last week shows as gone)."""
-    uw = user_weeks(feed)
-    nxt = uw.select("user_id", F.date_sub("week", 7).alias("week"))
-    gone = uw.join(nxt, ["user_id", "week"], "left_anti")
-    return gone.groupBy(F.date_add("week", 7).alias("week")).agg(
-        (-F.count("*")).alias("users")  # (user_id, week) is unique here
-    ).select("week", F.lit("gone").alias("status"), "users")
+    links = _week_links(feed).filter(F.col("gone_next"))
+    return links.groupBy(F.date_add("week", 7).alias("week")).agg((-F.count("*")).alias("users")).select(
+        "week", F.lit("gone").alias("status"), "users"
+    )
 
 
 def weekly_user_flow(feed: DataFrame, limit: int | None = None) -> DataFrame:
     """New, retained and gone per week in one frame, ascending by users
-    (ties by week, status).  ``limit`` reproduces the dashboard's row cap
-    (1000) when asked; by default every row is kept."""
-    flow = weekly_new_retained(feed).unionByName(weekly_gone(feed))
-    out = flow.groupBy("week", "status").agg(F.sum("users").cast("bigint").alias("users"))
-    out = out.orderBy("users", "week", "status")
+    (ties by week, status).  One pass: each user-week contributes +1 to its own
+    week's status and, if the user is not back the next week, -1 to 'gone' of
+    the next week.  ``limit`` reproduces the dashboard's row cap (1000) when
+    asked; by default every row is kept."""
+    links = _week_links(feed)
+    own = F.struct(
+        F.col("week").alias("w"), F.when(F.col("retained"), "retained").otherwise("new").alias("s"), F.lit(1).alias("d")
+    )
+    gone = F.struct(F.date_add("week", 7).alias("w"), F.lit("gone").alias("s"), F.lit(-1).alias("d"))
+    events = F.when(F.col("gone_next"), F.array(own, gone)).otherwise(F.array(own))
+    out = (
+        links.select(F.inline(events))
+        .groupBy(F.col("w").alias("week"), F.col("s").alias("status"))
+        .agg(F.sum("d").cast("bigint").alias("users"))
+        .orderBy("users", "week", "status")
+    )
     return out.limit(limit) if limit is not None else out
 
 
 def cohort_retention(feed: DataFrame) -> DataFrame:
     """Weekly cohorts by first active week; active users and share of the
     cohort per week offset."""
-    uw = user_weeks(feed)
-    first = uw.groupBy("user_id").agg(F.min("week").alias("cohort_week"))
+    first = F.min("week").over(Window.partitionBy("user_id"))
     active = (
-        uw.join(first, "user_id")
+        user_weeks(feed)
+        .select("week", first.alias("cohort_week"))
         .withColumn("week_offset", (F.datediff("week", "cohort_week") / 7).cast("int"))
         .groupBy("cohort_week", "week_offset")
         .agg(F.count("*").alias("active_users"))
@@ -81,8 +102,8 @@ def dau_by_segment(feed: DataFrame, dims=SEGMENT_DIMENSIONS) -> DataFrame:
     active day, so a drop can be traced to new or old users."""
     days = feed.select("user_id", to_day("time").alias("day"), "source", "os", "country").distinct()
     if "first_day" in dims:
-        first = days.groupBy("user_id").agg(F.min("day").alias("first_day_d"))
-        days = days.join(first, "user_id").withColumn("first_day", F.col("first_day_d").cast("string"))
+        first = F.min("day").over(Window.partitionBy("user_id"))
+        days = days.withColumn("first_day", first.cast("string"))
     pairs = F.array(
         *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("dimension_value")) for d in dims]
     )
@@ -97,17 +118,16 @@ def campaign_retention(feed: DataFrame, cohort_day, source: str = "ads") -> Data
     """Users first seen on ``cohort_day``, split by whether they came from
     ``source`` that day (segment 'campaign') or not ('other'); active users and
     retention per day offset."""
-    days = feed.select("user_id", to_day("time").alias("day"), "source")
-    first = days.groupBy("user_id").agg(F.min("day").alias("first_day"))
-    cohort_rows = days.join(first.filter(F.col("first_day") == as_date(cohort_day)), "user_id")
-    seg = cohort_rows.filter(F.col("day") == F.col("first_day")).groupBy("user_id").agg(
-        F.max(F.when(F.col("source") == source, 1).otherwise(0)).alias("is_campaign")
-    )
+    user = Window.partitionBy("user_id")
+    days = feed.select("user_id", to_day("time").alias("day"), (F.col("source") == source).alias("from_source"))
+    days = days.groupBy("user_id", "day").agg(F.max(F.coalesce("from_source", F.lit(False))).alias("from_source"))
+    first = F.min("day").over(user)
+    marked = days.select("user_id", "day", "from_source", first.alias("first_day"))
+    marked = marked.filter(F.col("first_day") == as_date(cohort_day))
+    campaign = F.max(F.when(F.col("day") == F.col("first_day"), F.col("from_source"))).over(user)
     active = (
-        cohort_rows.select("user_id", "day", "first_day")
-        .distinct()
-        .join(seg, "user_id")
-        .withColumn("segment", F.when(F.col("is_campaign") == 1, "campaign").otherwise("other"))
+        marked.select("day", "first_day", campaign.alias("is_campaign"))
+        .withColumn("segment", F.when(F.col("is_campaign"), "campaign").otherwise("other"))
         .withColumn("day_offset", F.datediff("day", "first_day"))
         .groupBy("segment", "day_offset")
         .agg(F.count("*").alias("active_users"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import age_band_bot, as_date, safe_ratio, to_day, week_start
@@ -57,9 +57,13 @@ def service_flags(
             F.lit(1 - used_feed).alias("used_message"),
         )
 
-    parts = side(feed, "user_id", 1).unionByName(side(msgs, "user_id", 0))
     if include_receivers:
-        parts = parts.unionByName(side(msgs, "receiver_id", 0))
+        # One scan of the messages: each row stands for its sender and its receiver.
+        both = msgs.withColumn("_people", F.array("user_id", "receiver_id")).drop("user_id")
+        both = both.select("*", F.explode("_people").alias("user_id")).drop("_people")
+        parts = side(feed, "user_id", 1).unionByName(side(both, "user_id", 0))
+    else:
+        parts = side(feed, "user_id", 1).unionByName(side(msgs, "user_id", 0))
     return parts.groupBy("user_id", *cols).agg(
         F.max("used_feed").alias("used_feed"), F.max("used_message").alias("used_message")
     )
@@ -111,13 +115,19 @@ def service_split_age(feed: DataFrame, msgs: DataFrame, as_of, days: int = 7, in
 
 def day_over_day(df: DataFrame, metrics: list[str], day: str = "day") -> DataFrame:
     """M6: per day and metric, the value, the value of the calendar day before and
-    the change in percent; NULL when that day is missing or its value is 0."""
+    the change in percent; NULL when that day is missing or its value is 0.
+
+    The previous row comes from ``lag`` per metric and counts only if it is the
+    calendar day before (one consumer of the input, no self-join)."""
     long = df.select(day, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
         day, metrics, "metric", "value"
     )
-    prev = long.select(F.date_add(day, 1).alias(day), "metric", F.col("value").alias("prev_value"))
-    joined = long.join(prev, [day, "metric"], "left")
-    return joined.select(
+    w = Window.partitionBy("metric").orderBy(day)
+    prev_day, prev_val = F.lag(day).over(w), F.lag("value").over(w)
+    with_prev = long.select(
+        day, "metric", "value", F.when(prev_day == F.date_sub(F.col(day), 1), prev_val).alias("prev_value")
+    )
+    return with_prev.select(
         day,
         "metric",
         "value",

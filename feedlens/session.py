@@ -55,3 +55,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the session's shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint in the shared checkpoint folder.
+
+    Used for small derived frames read by several consumers (a distinct-value
+    table, a daily series), so their upstream scans and shuffles run once and a
+    lost executor does not force recomputation from the raw tables."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
