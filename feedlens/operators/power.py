@@ -73,27 +73,33 @@ def _collect_distribution(dist: DataFrame, value: str) -> tuple[np.ndarray, np.n
     return vals, w / w.sum()
 
 
+def _cdf(p: np.ndarray) -> np.ndarray:
+    c = np.cumsum(p)
+    c[-1] = 1.0
+    return c
+
+
 def _replicate_sums(units: pd.DataFrame, params: dict) -> pd.DataFrame:
-    vv, vp = params["views_values"], params["views_p"]
-    cv, cp = params["ctr_values"], params["ctr_p"]
-    out = []
-    for sim_id, chunk_id, size in zip(units["sim_id"], units["chunk_id"], units["size"]):
+    """Draw each (replicate, chunk) unit and return its sufficient statistics.
+
+    Inverse-CDF sampling: one block of uniforms per unit, looked up in the
+    precomputed CDFs of the two distributions."""
+    vv, vcdf = params["views_values"], params["views_cdf"]
+    cv, ccdf = params["ctr_values"], params["ctr_cdf"]
+    prob, threshold = params["effect_probability"], params["views_threshold"]
+    out = np.empty((len(units), 7), dtype=np.int64)
+    for i, (sim_id, chunk_id, size) in enumerate(zip(units["sim_id"], units["chunk_id"], units["size"])):
         rng = np.random.default_rng([params["seed"], int(sim_id), int(chunk_id)])
         size = int(size)
-        a_views = rng.choice(vv, size=size, p=vp).astype(np.int64)
-        b_views = rng.choice(vv, size=size, p=vp).astype(np.int64)
-        a_ctr = rng.choice(cv, size=size, p=cp)
-        b_ctr = rng.choice(cv, size=size, p=cp)
-        extra = (
-            (1 + rng.binomial(1, 0.5, size))
-            * rng.binomial(1, params["effect_probability"], size)
-            * (b_views >= params["views_threshold"])
-        )
-        a_likes = rng.binomial(a_views, a_ctr).astype(np.int64)
-        b_likes = rng.binomial(b_views + extra, b_ctr).astype(np.int64)
-        out.append(
-            (sim_id, size, int(a_likes.sum()), int((a_likes * a_likes).sum()), size, int(b_likes.sum()), int((b_likes * b_likes).sum()))
-        )
+        u = rng.random((6, size))
+        a_views = vv[np.searchsorted(vcdf, u[0], side="right")]
+        b_views = vv[np.searchsorted(vcdf, u[1], side="right")]
+        a_ctr = cv[np.searchsorted(ccdf, u[2], side="right")]
+        b_ctr = cv[np.searchsorted(ccdf, u[3], side="right")]
+        extra = (1 + (u[4] < 0.5)) * (u[5] < prob) * (b_views >= threshold)
+        a_likes = rng.binomial(a_views, a_ctr)
+        b_likes = rng.binomial(b_views + extra, b_ctr)
+        out[i] = (sim_id, size, a_likes.sum(), (a_likes * a_likes).sum(), size, b_likes.sum(), (b_likes * b_likes).sum())
     return pd.DataFrame(out, columns=["sim_id", "n_a", "s_a", "ss_a", "n_b", "s_b", "ss_b"])
 
 
@@ -117,10 +123,10 @@ def power_replicates(
     sampling = ctr_dist.filter(F.col("ctr") <= 1.0)  # a like probability above 1 cannot be drawn
     cv, cp = _collect_distribution(sampling, "ctr")
     params = dict(
-        views_values=vv,
-        views_p=vp,
+        views_values=vv.astype(np.int64),
+        views_cdf=_cdf(vp),
         ctr_values=cv,
-        ctr_p=cp,
+        ctr_cdf=_cdf(cp),
         seed=int(seed),
         effect_probability=float(effect_probability),
         views_threshold=int(views_threshold),
@@ -128,7 +134,7 @@ def power_replicates(
     group_size = int(group_size)
     n_chunks = max(1, math.ceil(group_size / chunk))
     n_units = n_sims * n_chunks
-    parts = partitions or max(spark.sparkContext.defaultParallelism, min(4096, n_units // 256 + 1))
+    parts = partitions or max(spark.sparkContext.defaultParallelism, min(4096, math.ceil(n_units / 1000)))
     units = spark.range(0, n_units, 1, parts).select(
         (F.col("id") / n_chunks).cast("bigint").alias("sim_id"),
         (F.col("id") % n_chunks).cast("bigint").alias("chunk_id"),
