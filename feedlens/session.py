@@ -45,7 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; name a shared folder (HDFS, S3, ...) for this cluster")
+        conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
