@@ -88,3 +88,26 @@ def test_poisson_weights_average_one(spark):
     assert r.m == pytest.approx(1.0, abs=0.01)
     assert r.v == pytest.approx(1.0, abs=0.02)
     assert not math.isnan(r.m)
+
+
+def test_jvm_tails_match_arrow(spark):
+    from pyspark.sql import functions as F
+
+    from feedlens.functions import tails
+
+    rng = np.random.default_rng(3)
+    ts = np.concatenate([rng.normal(0, 3, 40), [0.0, 50.0, 1.96]])
+    ds = np.concatenate([rng.uniform(1, 500, 40), [3.0, 2.0, 1e8]])
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(ts, ds)], "t double, dof double")
+    got = tails.with_t_sf(df, "t", "dof", "p").orderBy("t", "dof").collect()
+    for r in got:
+        assert r.p == pytest.approx(float(t_sf_np(r.t, r.dof)), abs=1e-8)
+    z = spark.createDataFrame([(float(v),) for v in (-3.0, -0.5, 0.0, 0.7, 1.96, 6.0)], "z double")
+    for r in z.select("z", tails.norm_sf(F.col("z")).alias("p")).collect():
+        assert r.p == pytest.approx(float(norm_sf_np(r.z)), abs=1e-14)
+
+
+def test_welch_jvm_tails(spark):
+    df = _two_groups(spark, [1, 2, 3, 4], [2, 4, 6, 8, 10])
+    r = X.welch_ttest(df, "v", "g", 1, 2, tails="jvm").first()
+    assert r.p_value == pytest.approx(0.0691336, abs=1e-6)
