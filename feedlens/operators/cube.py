@@ -221,6 +221,27 @@ def publish_cube(df: DataFrame, path: str) -> None:
     )
 
 
+def create_cube_table(spark, table: str, location: str | None = None) -> None:
+    """Create the cube table if absent, partitioned by event_date."""
+    from feedlens.sources.schemas import CUBE_DDL
+
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({CUBE_DDL}) USING parquet PARTITIONED BY (event_date){where}")
+
+
+def publish_cube_table(df: DataFrame, table: str) -> None:
+    """S5 for a catalog table: insert with dynamic partition overwrite, so the
+    days in ``df`` replace their partitions and other days stay."""
+    cols = ["dimension", "dimension_value", *MEASURES, "event_date"]
+    spark = df.sparkSession
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.select(*cols).repartition("event_date").write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+
+
 def read_cube(spark, path: str) -> DataFrame:
     from feedlens.sources.schemas import CUBE
 

@@ -9,11 +9,11 @@ from feedlens.functions.columns import as_date, safe_ratio, to_day
 
 
 
-def VIEW():
+def is_view():
     return F.col("action") == "view"
 
 
-def LIKE():
+def is_like():
     return F.col("action") == "like"
 
 
@@ -37,8 +37,8 @@ def feed_daily(feed: DataFrame, start=None, end=None, exact: bool = True) -> Dat
         days.groupBy("day")
         .agg(
             _users(exact).alias("dau"),
-            F.count_if(VIEW()).alias("views"),
-            F.count_if(LIKE()).alias("likes"),
+            F.count_if(is_view()).alias("views"),
+            F.count_if(is_like()).alias("likes"),
         )
         .withColumn("ctr", safe_ratio("likes", "views"))
     )
@@ -51,8 +51,8 @@ def feed_summary(feed: DataFrame, as_of, exact: bool = True) -> DataFrame:
         feed.filter(to_day("time") == day)
         .agg(
             _users(exact).alias("dau"),
-            F.count_if(VIEW()).alias("views"),
-            F.count_if(LIKE()).alias("likes"),
+            F.count_if(is_view()).alias("views"),
+            F.count_if(is_like()).alias("likes"),
         )
         .select(day.alias("day"), "dau", "views", "likes", safe_ratio("likes", "views").alias("ctr"))
     )
@@ -65,7 +65,7 @@ def user_ctr(feed: DataFrame, start=None, end=None, groups=(1, 2)) -> DataFrame:
         df = df.filter(F.col("exp_group").isin(*groups))
     return (
         df.groupBy("user_id", "exp_group")
-        .agg(F.count_if(LIKE()).alias("likes"), F.count_if(VIEW()).alias("views"))
+        .agg(F.count_if(is_like()).alias("likes"), F.count_if(is_view()).alias("views"))
         .withColumn("ctr", safe_ratio("likes", "views"))
     )
 
@@ -74,7 +74,7 @@ def feed_user_day(feed: DataFrame, start=None, end=None) -> DataFrame:
     """Per (event_date, user_id, gender, age, os) likes and views."""
     df = _in_days(feed.withColumn("event_date", to_day("time")), start, end, day="event_date")
     return df.groupBy("event_date", "user_id", "gender", "age", "os").agg(
-        F.count_if(LIKE()).alias("likes"), F.count_if(VIEW()).alias("views")
+        F.count_if(is_like()).alias("likes"), F.count_if(is_view()).alias("views")
     )
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import as_date, safe_ratio, to_day
-from feedlens.operators.engagement import VIEW
+from feedlens.operators.engagement import is_view
 from feedlens.session import materialize
 
 MODELS = ["linear", "damped", "linear_reg", "damped_reg"]
@@ -38,7 +38,7 @@ def daily_series(feed: DataFrame, by: list[str] | None = None) -> DataFrame:
     return (
         feed.select(sid.alias("series_id"), to_day("time").alias("day"), "user_id", "action")
         .groupBy("series_id", "day")
-        .agg(F.count_if(VIEW()).alias("views"), F.count_distinct("user_id").alias("dau"))
+        .agg(F.count_if(is_view()).alias("views"), F.count_distinct("user_id").alias("dau"))
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.columns import floor_to_hundredth, safe_ratio, to_day
 from feedlens.functions.stats import t_sf
-from feedlens.operators.engagement import LIKE, VIEW, _in_days
+from feedlens.operators.engagement import _in_days, is_like, is_view
 
 MAX_DISTRIBUTION_VALUES = 1_000_000  # size check before a distribution is shipped to tasks
 
@@ -28,7 +28,7 @@ MAX_DISTRIBUTION_VALUES = 1_000_000  # size check before a distribution is shipp
 def user_period(feed: DataFrame, start, end) -> DataFrame:
     """Per user likes and views over a closed day range (all groups)."""
     df = _in_days(feed.withColumn("day", to_day("time")), start, end)
-    return df.groupBy("user_id").agg(F.count_if(LIKE()).alias("likes"), F.count_if(VIEW()).alias("views"))
+    return df.groupBy("user_id").agg(F.count_if(is_like()).alias("likes"), F.count_if(is_view()).alias("views"))
 
 
 def _with_share(dist: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def ctr_distribution(feed: DataFrame, start, end) -> DataFrame:
     """Q2: (ctr, users, p) over user-days, CTR floored to 0.01; user-days without
     a view (undefined CTR) are left out."""
     df = _in_days(feed.withColumn("day", to_day("time")), start, end)
-    ud = df.groupBy("user_id", "day").agg(safe_ratio(F.count_if(LIKE()), F.count_if(VIEW())).alias("raw_ctr"))
+    ud = df.groupBy("user_id", "day").agg(safe_ratio(F.count_if(is_like()), F.count_if(is_view())).alias("raw_ctr"))
     dist = (
         ud.filter(F.col("raw_ctr").isNotNull())
         .groupBy(floor_to_hundredth("raw_ctr").alias("ctr"))
@@ -73,6 +73,10 @@ def _collect_distribution(dist: DataFrame, value: str) -> tuple[np.ndarray, np.n
     return vals, w / w.sum()
 
 
+def schema_cols(schema: str) -> list[str]:
+    return [part.strip().split()[0] for part in schema.split(",")]
+
+
 def _cdf(p: np.ndarray) -> np.ndarray:
     c = np.cumsum(p)
     c[-1] = 1.0
@@ -174,9 +178,6 @@ def power_replicates(
     return stats.withColumn("p_value", p).withColumn("rejected", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
 
 
-def schema_cols(schema: str) -> list[str]:
-    return [part.strip().split()[0] for part in schema.split(",")]
-
 
 def power_resample(spark: SparkSession, views_dist: DataFrame, ctr_dist: DataFrame, group_size: int, **kw) -> DataFrame:
     """Q4: share of replicates in which Welch's test rejects (the power)."""

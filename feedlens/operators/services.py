@@ -9,15 +9,15 @@ from feedlens.functions.columns import age_band_bot, as_date, safe_ratio, to_day
 
 
 
-def BOTH():
+def both_services():
     return (F.col("used_feed") == 1) & (F.col("used_message") == 1)
 
 
-def MESSAGE_ONLY():
+def messenger_only():
     return (F.col("used_feed") == 0) & (F.col("used_message") == 1)
 
 
-def FEED_ONLY():
+def feed_only():
     return (F.col("used_feed") == 1) & (F.col("used_message") == 0)
 SPLIT = ["both_users", "messenger_only_users", "feed_only_users"]
 
@@ -71,9 +71,9 @@ def service_flags(
 
 def _split(flags: DataFrame, by: list) -> DataFrame:
     return flags.groupBy(*by).agg(
-        F.count(F.when(BOTH(), F.col("user_id"))).alias("both_users"),
-        F.count(F.when(MESSAGE_ONLY(), F.col("user_id"))).alias("messenger_only_users"),
-        F.count(F.when(FEED_ONLY(), F.col("user_id"))).alias("feed_only_users"),
+        F.count(F.when(both_services(), F.col("user_id"))).alias("both_users"),
+        F.count(F.when(messenger_only(), F.col("user_id"))).alias("messenger_only_users"),
+        F.count(F.when(feed_only(), F.col("user_id"))).alias("feed_only_users"),
     )
 
 
@@ -148,10 +148,10 @@ def both_service_weekly(feed: DataFrame, msgs: DataFrame, start, end) -> DataFra
     """M7: per Monday week of [start, end), user-days (at the grain of day, user
     and six profile columns) active in both services; receivers included."""
     flags = _weekly_flags(feed, msgs, start, end)
-    return flags.groupBy("week").agg(F.count(F.when(BOTH(), F.col("user_id"))).alias("both_service_user_days"))
+    return flags.groupBy("week").agg(F.count(F.when(both_services(), F.col("user_id"))).alias("both_service_user_days"))
 
 
 def both_service_wau(feed: DataFrame, msgs: DataFrame, start, end) -> DataFrame:
     """M7 variant: distinct users per Monday week with a both-service user-day."""
     flags = _weekly_flags(feed, msgs, start, end)
-    return flags.groupBy("week").agg(F.count_distinct(F.when(BOTH(), F.col("user_id"))).alias("both_service_wau"))
+    return flags.groupBy("week").agg(F.count_distinct(F.when(both_services(), F.col("user_id"))).alias("both_service_wau"))

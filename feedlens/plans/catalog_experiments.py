@@ -54,7 +54,7 @@ SELECT grid.exp_group, grid.bin,
        mm.lo + (grid.bin + 1) * ((mm.hi - mm.lo) / 10.0) AS bin_hi,
        coalesce(cnt.n, 0) AS count
 FROM grid CROSS JOIN mm LEFT JOIN cnt ON cnt.exp_group = grid.exp_group AND cnt.bin = grid.bin"""
-    ).replace("WITH users AS", "WITH users AS", 1),
+    ),
 )
 def q_ctr_histogram(spark, sf_dir):
     return X.histogram(_users(spark, sf_dir), "ctr", "exp_group", 10)

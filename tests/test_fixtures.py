@@ -230,3 +230,22 @@ def test_report_half_even_rounding(spark):
     rows = [(1, ts("2024-01-30"), "view", 1)] * 8 + [(1, ts("2024-01-30"), "like", 1)]
     r = {x.metric: x.value for x in feed_report(feed_df(spark, rows), "2024-01-31", ctr_digits=2).collect()}
     assert r["ctr"] == 0.12  # 1/8 = 0.125 -> half-to-even
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_cube_catalog_table(spark):
+    import uuid
+
+    feed, msgs = feed_actions(spark, SF001), message_actions(spark, SF001)
+    name = f"cube_{uuid.uuid4().hex[:8]}"
+    loc = shared_path(spark, f"test-table-{name}")
+    C.create_cube_table(spark, name, loc)
+    C.create_cube_table(spark, name, loc)  # if absent: a second call is a no-op
+    _, d29 = C.build_cube(feed, msgs, "2024-01-29", "2024-01-29")
+    _, d30 = C.build_cube(feed, msgs, "2024-01-30", "2024-01-30")
+    C.publish_cube_table(d29, name)
+    C.publish_cube_table(d30, name)
+    C.publish_cube_table(d30, name)  # retry of one day
+    got = spark.table(name)
+    assert got.count() == d29.count() + d30.count()
+    assert sorted(r.event_date for r in got.select("event_date").distinct().collect()) == [D(2024, 1, 29), D(2024, 1, 30)]
