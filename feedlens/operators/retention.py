@@ -1,9 +1,12 @@
 """Retention and churn by Monday week; cohorts and segments.
 
-The week table (one row per user and active week) is read once: the previous
-and next active week of each row come from ``lag`` / ``lead`` in a window per
-user.  A user's window holds at most one row per calendar week, however many
-events the user has, so a very active user does not make a large task.
+Each user's active weeks are gathered into one set (``collect_set`` with
+partial aggregation: every map task sends at most one small set per user, and
+a set holds at most one entry per calendar week however many events the user
+has).  Membership tests on that set (week - 7 present? week + 7 absent?) give
+new / retained / gone without a self-join.  Measured at sf 0.1 against a
+window (lag / lead) form: one shuffle less and about a ninth of the shuffle
+bytes (``scripts/measure_rewrites.py``).
 """
 
 from __future__ import annotations
@@ -24,15 +27,20 @@ def user_weeks_array(feed: DataFrame) -> DataFrame:
     return user_weeks(feed).groupBy("user_id").agg(F.sort_array(F.collect_set("week")).alias("weeks_visited"))
 
 
+def user_week_sets(feed: DataFrame) -> DataFrame:
+    """(user_id, weeks): the set of Monday weeks each user was active."""
+    return feed.groupBy("user_id").agg(F.collect_set(week_start(to_day("time"))).alias("weeks"))
+
+
 def _week_links(feed: DataFrame) -> DataFrame:
     """(user_id, week, retained, gone_next): active the week before? inactive the week after?"""
-    w = Window.partitionBy("user_id").orderBy("week")
-    prev_w, next_w = F.lag("week").over(w), F.lead("week").over(w)
-    return user_weeks(feed).select(
+    sets = user_week_sets(feed)
+    x = sets.select("user_id", "weeks", F.explode("weeks").alias("week"))
+    return x.select(
         "user_id",
         "week",
-        F.coalesce(prev_w == F.date_sub("week", 7), F.lit(False)).alias("retained"),
-        F.coalesce(next_w != F.date_add("week", 7), F.lit(True)).alias("gone_next"),
+        F.array_contains("weeks", F.date_sub("week", 7)).alias("retained"),
+        (~F.array_contains("weeks", F.date_add("week", 7))).alias("gone_next"),
     )
 
 
@@ -78,10 +86,9 @@ def weekly_user_flow(feed: DataFrame, limit: int | None = None) -> DataFrame:
 def cohort_retention(feed: DataFrame) -> DataFrame:
     """Weekly cohorts by first active week; active users and share of the
     cohort per week offset."""
-    first = F.min("week").over(Window.partitionBy("user_id"))
     active = (
-        user_weeks(feed)
-        .select("week", first.alias("cohort_week"))
+        user_week_sets(feed)
+        .select(F.explode("weeks").alias("week"), F.array_min("weeks").alias("cohort_week"))
         .withColumn("week_offset", (F.datediff("week", "cohort_week") / 7).cast("int"))
         .groupBy("cohort_week", "week_offset")
         .agg(F.count("*").alias("active_users"))
