@@ -73,29 +73,33 @@ def sender_profile(msgs: DataFrame, profile: str = "all", users: DataFrame | Non
     ``profile="all"`` keeps every distinct tuple of a user (a user seen with two
     OS values gets two rows: the reference's fan-out); ``"latest"`` keeps the
     tuple of the user's last message (ties broken by the tuple).  ``users``
-    restricts the history to those users first (a semi-join before the distinct).
+    keeps only those users (a semi-join after the reduction).
     """
     hist = msgs.select("user_id", "time", "os", "age", "gender")
-    if users is not None:
-        hist = hist.join(users.select("user_id").distinct(), "user_id", "left_semi")
     if profile == "all":
-        return hist.select("user_id", "os", "age", "gender").distinct()
-    if profile == "latest":
+        prof = hist.select("user_id", "os", "age", "gender").distinct()
+    elif profile == "latest":
         pick = F.max_by(
             F.struct("os", "age", "gender"),
             F.struct("time", "os", "age", "gender"),
         )
-        return hist.groupBy("user_id").agg(pick.alias("p")).select("user_id", "p.os", "p.age", "p.gender")
-    raise ValueError(f"profile must be 'all' or 'latest', not {profile!r}")
+        prof = hist.groupBy("user_id").agg(pick.alias("p")).select("user_id", "p.os", "p.age", "p.gender")
+    else:
+        raise ValueError(f"profile must be 'all' or 'latest', not {profile!r}")
+    # Reduce first (partial aggregation collapses a very active sender map-side),
+    # then keep the wanted users: no raw history row is shuffled by user.
+    if users is not None:
+        prof = prof.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    return prof
 
 
 def with_profile(mud: DataFrame, msgs: DataFrame, profile: str = "all", start=None, end=None) -> DataFrame:
     """C4: attach the sender profile to message user-days (left join; receivers
     who never sent keep NULL profile columns).
 
-    With a day range the history is first semi-joined to the people who sent or
+    With a day range the profiles are semi-joined to the people who sent or
     received in that range (read from a pruned scan of the range, not from
-    ``mud``), so the distinct runs over their history only."""
+    ``mud``) after they are reduced, so the join carries compact tuples."""
     users = None
     if start is not None or end is not None:
         day = _in_days(msgs.withColumn("event_date", to_day("time")), start, end, day="event_date")
