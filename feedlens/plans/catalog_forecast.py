@@ -191,3 +191,32 @@ def q_backtest_linear_scores(spark, sf_dir):
     p = _prepared(spark, sf_dir)
     fr = FC.folds(p)
     return FC.score(FC.linear_backtest(fr), fr).withColumn("value", F.round("value", 8))
+
+
+@register(
+    "forecast_compare_linear",
+    with_fixtures(
+        _PREPARED_SQL
+        + _FUTURE_SQL
+        + f""", t0 AS (SELECT series_id, min(day) AS t0 FROM z WHERE part = 'train' GROUP BY 1),
+tr AS (SELECT z.series_id, CAST(z.day - t0.t0 AS DOUBLE) AS t, views_std AS y
+       FROM z JOIN t0 USING (series_id) WHERE part = 'train'),
+coef AS (SELECT series_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept FROM tr GROUP BY 1),
+pred AS (SELECT f.series_id, f.day, c.intercept + c.slope * CAST(f.day - t0.t0 AS DOUBLE) AS prediction
+         FROM fut f JOIN coef c USING (series_id) JOIN t0 USING (series_id)),
+cmp AS (SELECT z.series_id, z.day, 'linear' AS model, z.views,
+               p.prediction * z.views_sd + z.views_mean AS views_pred
+        FROM z JOIN pred p USING (series_id, day) WHERE z.part = 'test')
+SELECT series_id, day, model, views, round(views_pred, 6) AS views_pred, round(views_pred - views, 6) AS error FROM cmp"""
+    ),
+)
+def q_forecast_compare_linear(spark, sf_dir):
+    """F12 for the linear trend (Spark SQL end to end): test-period actuals
+    beside the forecast in original units, joined on day."""
+    p = _prepared(spark, sf_dir)
+    train = p.filter(F.col("part") == "train")
+    fc = FC.linear_trend(train, FC.future_frame(train, HORIZON_DAYS), "views_std").withColumn("lo", F.lit(None).cast("double")).withColumn(
+        "hi", F.lit(None).cast("double")
+    )
+    out = FC.compare(p, fc).select("series_id", "day", "model", "views", "views_pred", "error")
+    return out.withColumn("views_pred", F.round("views_pred", 6)).withColumn("error", F.round("error", 6))

@@ -89,3 +89,30 @@ def test_power_partition_independent(spark):
     a = sorted(Q.power_replicates(spark, v, c, size, partitions=1, **kw).select("sim_id", "p_value").collect())
     b = sorted(Q.power_replicates(spark, v, c, size, partitions=11, **kw).select("sim_id", "p_value").collect())
     assert a == b
+
+
+def test_message_directions_under_skew(spark):
+    """One sender and one receiver carry a third of all messages each; the
+    two-level aggregation equals a brute-force count."""
+    import datetime as dt
+
+    import pandas as pd
+
+    from feedlens.operators.cube import message_user_day
+    from tests.conftest import msg_df
+
+    rng = np.random.default_rng(11)
+    n = 3000
+    senders = np.where(rng.random(n) < 1 / 3, 7, rng.integers(0, 60, n))
+    receivers = np.where(rng.random(n) < 1 / 3, 9, rng.integers(0, 60, n))
+    days = rng.integers(0, 3, n)
+    rows = [(int(s), int(r), dt.datetime(2024, 1, 10 + int(d), 12)) for s, r, d in zip(senders, receivers, days)]
+    got = {(r.event_date.day, r.user_id): (r.messages_sent, r.users_sent, r.messages_received, r.users_received) for r in message_user_day(msg_df(spark, rows)).collect()}
+    pdf = pd.DataFrame({"s": senders, "r": receivers, "d": 10 + days})
+    want = {}
+    for (d, u), g in pdf.groupby(["d", "s"]):
+        want[(d, u)] = [len(g), g["r"].nunique(), 0, 0]
+    for (d, u), g in pdf.groupby(["d", "r"]):
+        w = want.setdefault((d, u), [0, 0, 0, 0])
+        w[2], w[3] = len(g), g["s"].nunique()
+    assert got == {k: tuple(v) for k, v in want.items()}
