@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import as_date, safe_ratio, to_day
+from feedlens.sources.schemas import PART_DAY
 
 
 
@@ -17,12 +18,16 @@ def is_like():
     return F.col("action") == "like"
 
 
-def _in_days(df: DataFrame, start=None, end=None, day: str = "day") -> DataFrame:
-    """Closed day range on a day column; Catalyst pushes it to the timestamp scan."""
-    if start is not None:
-        df = df.filter(F.col(day) >= as_date(start))
-    if end is not None:
-        df = df.filter(F.col(day) <= as_date(end))
+def _in_days(df: DataFrame, start=None, end=None, day: str = "day", end_exclusive: bool = False) -> DataFrame:
+    """Closed (or half-open) day range on a day column; Catalyst pushes it to
+    the timestamp scan, and it is repeated on the source's day partition when
+    the frame carries one, so whole partitions are skipped."""
+    cols = [day] + ([PART_DAY] if PART_DAY in df.columns and day != PART_DAY else [])
+    for c in cols:
+        if start is not None:
+            df = df.filter(F.col(c) >= as_date(start))
+        if end is not None:
+            df = df.filter(F.col(c) < as_date(end)) if end_exclusive else df.filter(F.col(c) <= as_date(end))
     return df
 
 
@@ -48,7 +53,7 @@ def feed_summary(feed: DataFrame, as_of, exact: bool = True) -> DataFrame:
     """One row for the day before ``as_of``; an empty day gives zeros, ctr NULL."""
     day = F.date_sub(as_date(as_of), 1)
     return (
-        feed.filter(to_day("time") == day)
+        _in_days(feed.withColumn("day", to_day("time")), day, day)
         .agg(
             _users(exact).alias("dau"),
             F.count_if(is_view()).alias("views"),
@@ -89,6 +94,7 @@ def feed_trend(feed: DataFrame, as_of, days: int = 8, exact: bool = True) -> Dat
     """
     d0 = as_date(as_of)
     first = F.date_sub(d0, days)
-    daily = feed_daily(feed.filter((to_day("time") >= first) & (to_day("time") != d0)), exact=exact)
+    recent = _in_days(feed.withColumn("day", to_day("time")), first).filter(F.col("day") != d0).drop("day")
+    daily = feed_daily(recent, exact=exact)
     wide = daily.select("day", *[F.col(m).cast("double").alias(m) for m in TREND_METRICS])
     return wide.unpivot("day", TREND_METRICS, "metric", "value")

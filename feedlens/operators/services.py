@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import age_band_bot, as_date, safe_ratio, to_day, week_start
+from feedlens.operators.engagement import _in_days
 
 
 
@@ -23,11 +24,7 @@ SPLIT = ["both_users", "messenger_only_users", "feed_only_users"]
 
 
 def _day_range(df: DataFrame, start=None, end=None, end_exclusive: bool = False) -> DataFrame:
-    if start is not None:
-        df = df.filter(F.col("dt") >= as_date(start))
-    if end is not None:
-        df = df.filter(F.col("dt") < as_date(end)) if end_exclusive else df.filter(F.col("dt") <= as_date(end))
-    return df
+    return _in_days(df, start, end, day="dt", end_exclusive=end_exclusive)
 
 
 def service_flags(

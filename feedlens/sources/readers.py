@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from feedlens.sources.schemas import FEED, MESSAGES, check_schema
+from feedlens.sources.schemas import FEED, MESSAGES, PART_DAY, check_schema
 
 
 def _load(spark: SparkSession, where: str) -> DataFrame:
@@ -13,13 +15,22 @@ def _load(spark: SparkSession, where: str) -> DataFrame:
     return spark.table(where)
 
 
-def read_feed(spark: SparkSession, where: str) -> DataFrame:
-    """Feed actions from a parquet path or a table name, checked against FEED."""
-    df = _load(spark, where)
-    return check_schema(df, FEED, "feed_actions").select(*FEED.fieldNames())
+def _typed(df: DataFrame, schema: StructType, name: str, partition_col: str | None) -> DataFrame:
+    cols = [F.col(c) for c in schema.fieldNames()]
+    if partition_col and partition_col in df.columns:
+        # The table's day partition (equal to to_date(time)) rides along under an
+        # internal name; day filters of the operators repeat on it, so only the
+        # wanted partitions are listed and read.
+        cols.append(F.col(partition_col).cast("date").alias(PART_DAY))
+    return check_schema(df, schema, name).select(*cols)
 
 
-def read_messages(spark: SparkSession, where: str) -> DataFrame:
+def read_feed(spark: SparkSession, where: str, partition_col: str | None = "dt") -> DataFrame:
+    """Feed actions from a parquet path or a table name, checked against FEED.
+    ``partition_col``: the table's day partition column, if it has one."""
+    return _typed(_load(spark, where), FEED, "feed_actions", partition_col)
+
+
+def read_messages(spark: SparkSession, where: str, partition_col: str | None = "dt") -> DataFrame:
     """Message actions from a parquet path or a table name, checked against MESSAGES."""
-    df = _load(spark, where)
-    return check_schema(df, MESSAGES, "message_actions").select(*MESSAGES.fieldNames())
+    return _typed(_load(spark, where), MESSAGES, "message_actions", partition_col)

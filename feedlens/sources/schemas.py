@@ -35,6 +35,10 @@ MESSAGES = T.StructType(
     ]
 )
 
+# Internal name of a date partition column carried from the source table, so
+# day filters can prune partitions (see readers.read_feed).
+PART_DAY = "_part_day"
+
 MEASURES = ["views", "likes", "messages_sent", "users_sent", "messages_received", "users_received"]
 
 # Long-format daily metric cube, partitioned by event_date.

@@ -31,3 +31,29 @@ def test_reader_rejects_mismatch(spark):
     spark.range(3).select(F.col("id").alias("user_id"), F.lit("x").alias("time")).write.parquet(base)
     with pytest.raises(ValueError, match="time"):
         read_feed(spark, base)
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_day_partitions_are_pruned(spark):
+    from feedlens.operators import cube as C
+    from feedlens.operators import engagement as E
+    from feedlens.operators import services as M
+
+    base = shared_path(spark, f"test-part-{uuid.uuid4().hex}")
+    feed_fx, msgs_fx = feed_actions(spark, SF001), message_actions(spark, SF001)
+    feed_fx.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(f"{base}/feed")
+    msgs_fx.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(f"{base}/msgs")
+    feed, msgs = read_feed(spark, f"{base}/feed"), read_messages(spark, f"{base}/msgs")
+
+    summary = E.feed_summary(feed, "2024-01-31")
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-30" in plan
+    assert summary.collect() == E.feed_summary(feed_fx, "2024-01-31").collect()
+
+    _, cube_p = C.build_cube(feed, msgs, "2024-01-30", "2024-01-30")
+    _, cube_f = C.build_cube(feed_fx, msgs_fx, "2024-01-30", "2024-01-30")
+    assert sorted(cube_p.collect()) == sorted(cube_f.collect())
+
+    split_p = M.service_split_daily(feed, msgs, "2024-01-31")
+    assert "PartitionFilters: [isnotnull(dt" in split_p._jdf.queryExecution().executedPlan().toString()
+    assert sorted(split_p.collect()) == sorted(M.service_split_daily(feed_fx, msgs_fx, "2024-01-31").collect())
