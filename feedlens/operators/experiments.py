@@ -173,9 +173,10 @@ def mann_whitney(
 def smoothed_ctr(users: DataFrame, alpha: float = 5.0, group: str = "exp_group") -> DataFrame:
     """(likes + alpha * global CTR of the user's group) / (views + alpha).
 
-    The per-group CTR has one row per group: a bounded broadcast."""
+    The per-group CTR has one row per group; no hint is given, so the planner
+    broadcasts it after checking its size (AQE does so at run time)."""
     g = global_ctr(users, group).select(group, "global_ctr")
-    return users.join(F.broadcast(g), group).withColumn(
+    return users.join(g, group).withColumn(
         "smoothed_ctr",
         safe_ratio(F.col("likes") + F.lit(alpha) * F.col("global_ctr"), F.col("views") + F.lit(alpha)),
     )

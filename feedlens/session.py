@@ -25,6 +25,25 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(scan_bytes: int, checkpoint_dir: str) -> dict[str, str]:
+    """Session settings for a cluster run that scans about ``scan_bytes``
+    (after partition pruning): shuffle partitions sized so that each starts
+    near 512 MB of scanned input (AQE then coalesces small ones and splits
+    skewed ones), 256 MB file splits, and a shared checkpoint folder."""
+    partitions = min(40000, max(200, -(-int(scan_bytes) // (512 << 20))))
+    conf = dict(DEFAULT_CONF)
+    conf.update(
+        {
+            "spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.files.maxPartitionBytes": str(256 << 20),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+            "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+            "spark.checkpoint.dir": checkpoint_dir,
+        }
+    )
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "feedlens") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -57,3 +57,11 @@ def test_day_partitions_are_pruned(spark):
     split_p = M.service_split_daily(feed, msgs, "2024-01-31")
     assert "PartitionFilters: [isnotnull(dt" in split_p._jdf.queryExecution().executedPlan().toString()
     assert sorted(split_p.collect()) == sorted(M.service_split_daily(feed_fx, msgs_fx, "2024-01-31").collect())
+
+
+def test_scale_conf_bounds():
+    from feedlens.session import scale_conf
+
+    assert scale_conf(10 << 20, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 << 40, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "40000"
+    assert scale_conf(300 << 30, "s3://b/ckpt")["spark.checkpoint.dir"] == "s3://b/ckpt"
