@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from feedlens.functions.columns import as_date
 from feedlens.operators import retention as R
 from feedlens.operators import services as M
 from feedlens.plans.params import AS_OF, MONTH_END, MONTH_START
@@ -252,3 +255,19 @@ FROM act a LEFT JOIN act s ON s.segment = a.segment AND s.day_offset = 0
 )
 def q_campaign_retention(spark, sf_dir):
     return R.campaign_retention(feed_actions(spark, sf_dir), COHORT_DAY, "ads")
+
+
+@register("service_flags_daily", with_fixtures(_FLAGS_DAILY, feed=True, messages=True))
+def q_service_flags_daily(spark, sf_dir):
+    """M1 at (user, day) grain over the report week, senders only."""
+    end = F.date_sub(as_date(AS_OF), 1)
+    start = F.date_sub(as_date(AS_OF), 7)
+    return M.service_flags(feed_actions(spark, sf_dir), message_actions(spark, sf_dir), ["user_id", "dt"], False, start, end)
+
+
+@register("service_flags_dashboard", with_fixtures(_WEEKLY_FLAGS, feed=True, messages=True))
+def q_service_flags_dashboard(spark, sf_dir):
+    """M1 at the dashboard's grain (day, user, six profile columns), receivers included."""
+    return M.service_flags(
+        feed_actions(spark, sf_dir), message_actions(spark, sf_dir), M.WEEKLY_KEYS, True, MONTH_START, MONTH_END, end_exclusive=True
+    )
