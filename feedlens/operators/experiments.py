@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import hashed_uniform, md5_bucket, poisson1_weight, safe_ratio, xxhash_bucket
-from feedlens.functions.stats import norm_sf, t_sf
+from feedlens.functions.stats import mw_exact_sf, norm_sf, t_sf
 from feedlens.operators.engagement import user_ctr
 from feedlens.operators.prefix import running_total_below
 
@@ -144,12 +144,17 @@ def mann_whitney(
     alternative: str = "two-sided",
     alpha: float = 0.05,
     buckets: int = 64,
+    method: str = "auto",
 ) -> DataFrame:
-    """X5 + X6: Mann-Whitney U test of ``a`` against ``b`` with tie and
-    continuity correction (normal approximation).  ``alternative`` is
-    'two-sided', 'less' (a tends to be smaller) or 'greater'.  ``small_sample``
-    flags inputs where an exact test would be preferred (a side of <= 8 values
-    and no ties)."""
+    """X5 + X6: Mann-Whitney U test of ``a`` against ``b``.  ``alternative`` is
+    'two-sided', 'less' (a tends to be smaller) or 'greater'.
+
+    ``method="auto"`` uses the exact null distribution of U when a side has at
+    most 8 values and there are no ties (``small_sample``), else the normal
+    approximation with tie and continuity correction; ``"asymptotic"`` always
+    approximates; ``"exact"`` is exact whenever there are no ties.  The exact
+    count is evaluated on the one result row; when it would not fit in int64
+    the approximation is used.  ``method`` in the output says which."""
     s = mann_whitney_stats(df, value, group, a, b, buckets)
     mu = F.col("n_a").cast("double") * F.col("n_b") / 2.0
     if alternative == "two-sided":
@@ -161,11 +166,22 @@ def mann_whitney(
     else:
         raise ValueError(f"unknown alternative {alternative!r}")
     z = F.try_divide(u - mu - 0.5, F.col("sigma"))
+    small = (F.least("n_a", "n_b") <= 8) & (F.col("tie_term") == 0)
+    out = s.withColumn("z", z).withColumn("small_sample", small)
+    asymptotic = F.least(F.lit(1.0), factor * norm_sf(F.col("z")))
+    if method == "asymptotic":
+        exact = F.lit(None).cast("double")
+    elif method in ("auto", "exact"):
+        gate = F.col("small_sample") if method == "auto" else F.col("tie_term") == 0
+        exact = F.when(gate, F.least(F.lit(1.0), factor * mw_exact_sf(u, F.col("n_a"), F.col("n_b"))))
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    out = out.withColumn("_exact_p", exact)
     return (
-        s.withColumn("z", z)
-        .withColumn("p_value", F.least(F.lit(1.0), factor * norm_sf(F.col("z"))))
+        out.withColumn("p_value", F.coalesce(F.col("_exact_p"), asymptotic))
+        .withColumn("method", F.when(F.col("_exact_p").isNotNull(), "exact").otherwise("asymptotic"))
+        .drop("_exact_p")
         .withColumn("alternative", F.lit(alternative))
-        .withColumn("small_sample", (F.least("n_a", "n_b") <= 8) & (F.col("tie_term") == 0))
         .withColumn("significant", _decide(F.col("p_value"), alpha))
     )
 

@@ -111,3 +111,30 @@ def test_welch_jvm_tails(spark):
     df = _two_groups(spark, [1, 2, 3, 4], [2, 4, 6, 8, 10])
     r = X.welch_ttest(df, "v", "g", 1, 2, tails="jvm").first()
     assert r.p_value == pytest.approx(0.0691336, abs=1e-6)
+
+
+def test_mw_exact_distribution():
+    from itertools import combinations
+
+    from feedlens.functions.stats import mw_exact_sf_np
+
+    # brute force over all arrangements of 3 + 4 distinct values
+    m, n = 3, 4
+    us = []
+    for pick in combinations(range(m + n), m):
+        ranks = sum(r + 1 for r in pick)
+        us.append(ranks - m * (m + 1) / 2)
+    for u in range(0, m * n + 1):
+        assert mw_exact_sf_np(u, m, n) == pytest.approx(sum(x >= u for x in us) / len(us))
+    assert math.isnan(mw_exact_sf_np(10, 8, 10**6))
+
+
+def test_mann_whitney_exact_small(spark):
+    df = _two_groups(spark, [1, 2, 3], [4, 5, 6, 7])
+    r = X.mann_whitney(df, "v", "g", 1, 2, "two-sided").first()
+    assert r.method == "exact" and r.u_a == 0.0
+    assert r.p_value == pytest.approx(2 / 35)
+    r2 = X.mann_whitney(df, "v", "g", 1, 2, "less").first()
+    assert r2.p_value == pytest.approx(1 / 35)
+    r3 = X.mann_whitney(df, "v", "g", 1, 2, "two-sided", method="asymptotic").first()
+    assert r3.method == "asymptotic"
