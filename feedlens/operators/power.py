@@ -55,6 +55,16 @@ def ctr_distribution(feed: DataFrame, start, end) -> DataFrame:
     return _with_share(dist)
 
 
+def joint_distribution(feed: DataFrame, start, end) -> DataFrame:
+    """(views, ctr, users, p) at user grain: weekly views and the user's own CTR
+    over the period (floored to 0.01; 0 for a user without views), for sampling
+    both together (``joint=True`` of the power study)."""
+    per_user = user_period(feed, start, end).select(
+        "views", F.coalesce(floor_to_hundredth(safe_ratio("likes", "views")), F.lit(0.0)).alias("ctr")
+    )
+    return _with_share(per_user.groupBy("views", "ctr").agg(F.count("*").alias("users")))
+
+
 def group_size(feed: DataFrame, start, end) -> DataFrame:
     """Q3: distinct users of the period, halved (integer division)."""
     df = _in_days(feed.withColumn("day", to_day("time")), start, end)
@@ -91,15 +101,22 @@ def _replicate_sums(units: pd.DataFrame, params: dict) -> pd.DataFrame:
     vv, vcdf = params["views_values"], params["views_cdf"]
     cv, ccdf = params["ctr_values"], params["ctr_cdf"]
     prob, threshold = params["effect_probability"], params["views_threshold"]
+    joint = params.get("joint")
     out = np.empty((len(units), 7), dtype=np.int64)
     for i, (sim_id, chunk_id, size) in enumerate(zip(units["sim_id"], units["chunk_id"], units["size"])):
         rng = np.random.default_rng([params["seed"], int(sim_id), int(chunk_id)])
         size = int(size)
         u = rng.random((6, size))
-        a_views = vv[np.searchsorted(vcdf, u[0], side="right")]
-        b_views = vv[np.searchsorted(vcdf, u[1], side="right")]
-        a_ctr = cv[np.searchsorted(ccdf, u[2], side="right")]
-        b_ctr = cv[np.searchsorted(ccdf, u[3], side="right")]
+        if joint is not None:
+            jv, jc, jcdf = joint
+            ia = np.searchsorted(jcdf, u[0], side="right")
+            ib = np.searchsorted(jcdf, u[1], side="right")
+            a_views, a_ctr, b_views, b_ctr = jv[ia], jc[ia], jv[ib], jc[ib]
+        else:
+            a_views = vv[np.searchsorted(vcdf, u[0], side="right")]
+            b_views = vv[np.searchsorted(vcdf, u[1], side="right")]
+            a_ctr = cv[np.searchsorted(ccdf, u[2], side="right")]
+            b_ctr = cv[np.searchsorted(ccdf, u[3], side="right")]
         extra = (1 + (u[4] < 0.5)) * (u[5] < prob) * (b_views >= threshold)
         a_likes = rng.binomial(a_views, a_ctr)
         b_likes = rng.binomial(b_views + extra, b_ctr)
@@ -119,14 +136,32 @@ def power_replicates(
     alpha: float = 0.05,
     chunk: int = 200_000,
     partitions: int | None = None,
+    joint_dist: DataFrame | None = None,
 ) -> DataFrame:
     """Q4 per replicate: n, mean and variance of likes per group, Welch t, dof,
     p-value and whether the replicate rejects at ``alpha``.  The result does
-    not depend on ``partitions`` (default: from the cluster's parallelism)."""
+    not depend on ``partitions`` (default: from the cluster's parallelism).
+
+    By default views and CTR are drawn independently from their two
+    distributions (the reference's modelling choice); with ``joint_dist`` (see
+    ``joint_distribution``) each simulated user draws a (views, CTR) pair."""
     vv, vp = _collect_distribution(views_dist, "views")
     sampling = ctr_dist.filter(F.col("ctr") <= 1.0)  # a like probability above 1 cannot be drawn
     cv, cp = _collect_distribution(sampling, "ctr")
+    joint = None
+    if joint_dist is not None:
+        pairs = joint_dist.filter(F.col("ctr") <= 1.0).select("views", "ctr", "users").orderBy("views", "ctr")
+        rows = pairs.limit(MAX_DISTRIBUTION_VALUES + 1).collect()
+        if len(rows) > MAX_DISTRIBUTION_VALUES:
+            raise ValueError(f"joint distribution has more than {MAX_DISTRIBUTION_VALUES} pairs")
+        w = np.array([float(r["users"]) for r in rows])
+        joint = (
+            np.array([int(r["views"]) for r in rows], dtype=np.int64),
+            np.array([float(r["ctr"]) for r in rows]),
+            _cdf(w / w.sum()),
+        )
     params = dict(
+        joint=joint,
         views_values=vv.astype(np.int64),
         views_cdf=_cdf(vp),
         ctr_values=cv,

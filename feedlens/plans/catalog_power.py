@@ -57,7 +57,20 @@ def q_power_group_size(spark, sf_dir):
     return Q.group_size(feed_actions(spark, sf_dir), PRE_START, PRE_END)
 
 
-def _power(spark, sf_dir, **kw):
+@register(
+    "joint_distribution",
+    with_fixtures(
+        f"""SELECT views, ctr, users, CAST(users AS DOUBLE) / sum(users) OVER () AS p
+  FROM (SELECT views, coalesce(CAST(floor(CAST(likes AS DOUBLE) / NULLIF(views, 0) * 100) AS DOUBLE) / 100.0, 0.0) AS ctr,
+               count(*) AS users
+        FROM ({_USER_PERIOD}) u GROUP BY 1, 2) d"""
+    ),
+)
+def q_joint_distribution(spark, sf_dir):
+    return Q.joint_distribution(feed_actions(spark, sf_dir), PRE_START, PRE_END)
+
+
+def _power(spark, sf_dir, joint: bool = False, **kw):
     feed = feed_actions(spark, sf_dir)
     size = Q.group_size(feed, PRE_START, PRE_END).first()["group_size"]
     return Q.power_resample(
@@ -70,9 +83,16 @@ def _power(spark, sf_dir, **kw):
         effect_probability=EFFECT_PROBABILITY,
         views_threshold=EFFECT_VIEWS_THRESHOLD,
         alpha=SIGNIFICANCE,
+        joint_dist=Q.joint_distribution(feed, PRE_START, PRE_END) if joint else None,
     )
 
 
 @register("power_resample")
 def q_power_resample(spark, sf_dir):
     return _power(spark, sf_dir)
+
+
+@register("power_resample_joint")
+def q_power_resample_joint(spark, sf_dir):
+    """Q4 with views and CTR drawn together per simulated user."""
+    return _power(spark, sf_dir, joint=True)

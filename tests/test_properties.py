@@ -116,3 +116,13 @@ def test_message_directions_under_skew(spark):
         w = want.setdefault((d, u), [0, 0, 0, 0])
         w[2], w[3] = len(g), g["s"].nunique()
     assert got == {k: tuple(v) for k, v in want.items()}
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_power_joint_sampling(spark):
+    feed = feed_actions(spark, SF001)
+    v, c, size = _dists(spark)
+    joint = Q.joint_distribution(feed, "2024-01-08", "2024-01-14")
+    assert joint.agg(F.sum("users")).first()[0] == Q.group_size(feed, "2024-01-08", "2024-01-14").first()["users"]
+    r0 = Q.power_resample(spark, v, c, size, n_sims=1500, seed=2, effect_probability=0.0, joint_dist=joint).first()
+    assert abs(r0.power - 0.05) < 0.025
