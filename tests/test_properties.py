@@ -126,3 +126,36 @@ def test_power_joint_sampling(spark):
     assert joint.agg(F.sum("users")).first()[0] == Q.group_size(feed, "2024-01-08", "2024-01-14").first()["users"]
     r0 = Q.power_resample(spark, v, c, size, n_sims=1500, seed=2, effect_probability=0.0, joint_dist=joint).first()
     assert abs(r0.power - 0.05) < 0.025
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_gone_equals_active_minus_retained(spark):
+    import datetime as dt
+
+    from feedlens.operators import retention as R
+
+    feed = feed_actions(spark, SF001).filter(F.col("event_id") % 9 == 0)
+    flow = {(r.week, r.status): r.users for r in R.weekly_user_flow(feed).collect()}
+    active = {r.week: r.n for r in R.user_weeks(feed).groupBy("week").agg(F.count("*").alias("n")).collect()}
+    for week, n in active.items():
+        nxt = week + dt.timedelta(days=7)
+        retained_next = flow.get((nxt, "retained"), 0)
+        assert flow.get((nxt, "gone"), 0) == -(n - retained_next)
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_service_split_adds_up(spark):
+    from feedlens.operators import services as M
+    from feedlens.sources.fixtures import message_actions
+
+    feed, msgs = feed_actions(spark, SF001), message_actions(spark, SF001)
+    split = {r.day: r.both_users + r.messenger_only_users + r.feed_only_users for r in M.service_split_daily(feed, msgs, "2024-01-31").collect()}
+    day = F.to_date("time")
+    users = (
+        feed.select(day.alias("day"), "user_id")
+        .unionByName(msgs.select(day.alias("day"), "user_id"))
+        .filter(F.col("day").between(F.lit("2024-01-24").cast("date"), F.lit("2024-01-30").cast("date")))
+        .groupBy("day")
+        .agg(F.count_distinct("user_id").alias("n"))
+    )
+    assert split == {r.day: r.n for r in users.collect()}
