@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-from scripts.check_oracle import duck, normalize
+from scripts.check_oracle import duck, normalize, type_mismatches
 from tests.conftest import SF001
 
 import __spark_entry__ as entry
@@ -29,6 +29,7 @@ def test_matches_oracle(spark, con, name):
     cur = con.execute(ORACLES[name])
     dc, dn = normalize([d[0] for d in cur.description], cur.fetchall())
     assert sc == dc
+    assert type_mismatches(sdf, con, ORACLES[name]) == []
     assert len(sn) == len(dn)
     assert sn == dn
 
