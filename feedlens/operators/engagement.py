@@ -9,12 +9,13 @@ from feedlens.functions.columns import as_date, safe_ratio, to_day
 from feedlens.sources.schemas import PART_DAY
 
 
-
 def is_view():
+    """Predicate: the action is a view."""
     return F.col("action") == "view"
 
 
 def is_like():
+    """Predicate: the action is a like."""
     return F.col("action") == "like"
 
 
@@ -89,8 +90,8 @@ TREND_METRICS = ["dau", "views", "likes", "ctr"]
 def feed_trend(feed: DataFrame, as_of, days: int = 8, exact: bool = True) -> DataFrame:
     """E5: the trailing window behind the trend charts, long format (day, metric, value).
 
-    Days from ``as_of - days`` up to the day before ``as_of`` (``as_of`` itself
-    excluded; the reference's window also admits days after ``as_of``).
+    Days from ``as_of - days`` on, except ``as_of`` itself: the reference's
+    filter, which also admits any days after ``as_of`` present in the data.
     """
     d0 = as_date(as_of)
     first = F.date_sub(d0, days)

@@ -213,7 +213,6 @@ def power_replicates(
     return stats.withColumn("p_value", p).withColumn("rejected", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
 
 
-
 def power_resample(spark: SparkSession, views_dist: DataFrame, ctr_dist: DataFrame, group_size: int, **kw) -> DataFrame:
     """Q4: share of replicates in which Welch's test rejects (the power)."""
     reps = power_replicates(spark, views_dist, ctr_dist, group_size, **kw)

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from feedlens.functions.columns import age_band_bot, as_date, safe_ratio, to_day, week_start
 from feedlens.operators.engagement import _in_days
 
+SPLIT = ["both_users", "messenger_only_users", "feed_only_users"]
 
 
 def both_services():
+    """Predicate on service flags: used the feed and the messenger."""
     return (F.col("used_feed") == 1) & (F.col("used_message") == 1)
 
 
@@ -20,7 +22,6 @@ def messenger_only():
 
 def feed_only():
     return (F.col("used_feed") == 1) & (F.col("used_message") == 0)
-SPLIT = ["both_users", "messenger_only_users", "feed_only_users"]
 
 
 def _day_range(df: DataFrame, start=None, end=None, end_exclusive: bool = False) -> DataFrame:
