@@ -6,8 +6,11 @@ daily job is the same plan restricted to one day.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from feedlens.operators import cube as C
 from feedlens.operators.engagement import feed_user_day
+from feedlens.plans.params import AS_OF
 from feedlens.plans.registry import register
 from feedlens.sources.fixtures import feed_actions, message_actions, with_fixtures
 
@@ -167,3 +170,20 @@ def q_metrics_cube(spark, sf_dir):
 def q_cube_null_keys(spark, sf_dir):
     cube, _ = C.build_cube(feed_actions(spark, sf_dir), message_actions(spark, sf_dir))
     return C.cube_null_keys(cube)
+
+
+@register(
+    "metrics_cube_day",
+    with_fixtures(
+        f"SELECT * FROM ({METRICS_CUBE_SQL}) c WHERE event_date = DATE '{AS_OF}' - 1",
+        feed=True,
+        messages=True,
+    ),
+)
+def q_metrics_cube_day(spark, sf_dir):
+    """The daily job's plan: the cube of the day before ``as_of`` (day filters
+    pushed to the scans, age labels from the calendar, profile semi-joined to
+    that day's senders and receivers)."""
+    day = _dt.date.fromisoformat(AS_OF) - _dt.timedelta(days=1)
+    _, marginals = C.build_cube(feed_actions(spark, sf_dir), message_actions(spark, sf_dir), day, day)
+    return marginals
