@@ -332,7 +332,8 @@ def score(bt: DataFrame, fold_rows: DataFrame) -> DataFrame:
     """sMAPE, wMAPE, MAPE, MSE, MAE and RMSSE per (series, model), pooled
     over folds.  RMSSE scales each squared error by the mean squared one-step
     change of its fold's training actuals.  Points where a ratio is undefined
-    (zero denominators) are skipped; ``n_points`` counts all points."""
+    (zero denominators) are skipped: ``n_points`` counts all points, ``n_used``
+    those that entered the metric."""
     w = Window.partitionBy("series_id", "fold").orderBy("day")
     naive = (
         fold_rows.filter(F.col("role") == "train")
@@ -342,17 +343,32 @@ def score(bt: DataFrame, fold_rows: DataFrame) -> DataFrame:
     )
     e = F.col("prediction") - F.col("actual")
     x = bt.join(naive, ["series_id", "fold"], "left")
+    terms = {
+        "smape": F.try_divide(2.0 * F.abs(e), F.abs("actual") + F.abs("prediction")),
+        "mape": F.try_divide(F.abs(e), F.abs("actual")),
+        "mse": e * e,
+        "mae": F.abs(e),
+        "rmsse": F.try_divide(e * e, F.col("naive_mse")),
+    }
     agg = x.groupBy("series_id", "model").agg(
         F.count("*").alias("n_points"),
-        F.avg(F.try_divide(2.0 * F.abs(e), F.abs("actual") + F.abs("prediction"))).alias("smape"),
+        F.avg(terms["smape"]).alias("smape"),
         safe_ratio(F.sum(F.abs(e)), F.sum(F.abs("actual"))).alias("wmape"),
-        F.avg(F.try_divide(F.abs(e), F.abs("actual"))).alias("mape"),
-        F.avg(e * e).alias("mse"),
-        F.avg(F.abs(e)).alias("mae"),
-        F.sqrt(F.avg(F.try_divide(e * e, F.col("naive_mse")))).alias("rmsse"),
+        F.avg(terms["mape"]).alias("mape"),
+        F.avg(terms["mse"]).alias("mse"),
+        F.avg(terms["mae"]).alias("mae"),
+        F.sqrt(F.avg(terms["rmsse"])).alias("rmsse"),
+        *[F.count(t).alias(f"used_{m}") for m, t in terms.items()],
+        F.count(e).alias("used_wmape"),
     )
     metrics = ["smape", "wmape", "mape", "mse", "mae", "rmsse"]
-    return agg.unpivot(["series_id", "model", "n_points"], metrics, "metric", "value")
+    long = agg.select(
+        "series_id",
+        "model",
+        "n_points",
+        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"), F.col(f"used_{m}").alias("n_used")) for m in metrics])),
+    )
+    return long
 
 
 def best_model(scores: DataFrame) -> DataFrame:

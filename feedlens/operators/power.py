@@ -117,7 +117,8 @@ def _replicate_sums(units: pd.DataFrame, params: dict) -> pd.DataFrame:
             b_views = vv[np.searchsorted(vcdf, u[1], side="right")]
             a_ctr = cv[np.searchsorted(ccdf, u[2], side="right")]
             b_ctr = cv[np.searchsorted(ccdf, u[3], side="right")]
-        extra = (1 + (u[4] < 0.5)) * (u[5] < prob) * (b_views >= threshold)
+        lo, hi = params["extra_views"]
+        extra = (lo + np.floor(u[4] * (hi - lo + 1)).astype(np.int64)) * (u[5] < prob) * (b_views >= threshold)
         a_likes = rng.binomial(a_views, a_ctr)
         b_likes = rng.binomial(b_views + extra, b_ctr)
         out[i] = (sim_id, size, a_likes.sum(), (a_likes * a_likes).sum(), size, b_likes.sum(), (b_likes * b_likes).sum())
@@ -137,6 +138,7 @@ def power_replicates(
     chunk: int = 200_000,
     partitions: int | None = None,
     joint_dist: DataFrame | None = None,
+    extra_views: tuple[int, int] = (1, 2),
 ) -> DataFrame:
     """Q4 per replicate: n, mean and variance of likes per group, Welch t, dof,
     p-value and whether the replicate rejects at ``alpha``.  The result does
@@ -144,7 +146,10 @@ def power_replicates(
 
     By default views and CTR are drawn independently from their two
     distributions (the reference's modelling choice); with ``joint_dist`` (see
-    ``joint_distribution``) each simulated user draws a (views, CTR) pair."""
+    ``joint_distribution``) each simulated user draws a (views, CTR) pair.
+    The effect adds a uniform integer in ``extra_views`` to a group-B user's
+    views with probability ``effect_probability`` when the user has at least
+    ``views_threshold`` views."""
     vv, vp = _collect_distribution(views_dist, "views")
     sampling = ctr_dist.filter(F.col("ctr") <= 1.0)  # a like probability above 1 cannot be drawn
     cv, cp = _collect_distribution(sampling, "ctr")
@@ -169,6 +174,7 @@ def power_replicates(
         seed=int(seed),
         effect_probability=float(effect_probability),
         views_threshold=int(views_threshold),
+        extra_views=(int(extra_views[0]), int(extra_views[1])),
     )
     group_size = int(group_size)
     n_chunks = max(1, math.ceil(group_size / chunk))

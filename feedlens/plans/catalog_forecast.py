@@ -160,7 +160,6 @@ _LINEAR_SCORES_SQL = (
     _PREPARED_SQL
     + _FOLDS_SQL.replace("SELECT idx.series_id, f.fold", "SELECT idx.series_id AS series_id, f.fold AS fold", 1)
     .replace("round(idx.y, 10) AS y", "idx.y AS y")
-    .replace(", idx AS", ", idx AS", 1)
     .replace("\nSELECT idx.series_id", "\n, fr AS (SELECT idx.series_id", 1)
     + """)
 , t0 AS (SELECT series_id, fold, min(day) AS t0 FROM fr WHERE role = 'train' GROUP BY 1, 2)
@@ -173,16 +172,24 @@ _LINEAR_SCORES_SQL = (
 , naive AS (SELECT series_id, fold, avg(d * d) AS naive_mse FROM (
               SELECT series_id, fold, y - lag(y) OVER (PARTITION BY series_id, fold ORDER BY day) AS d
               FROM fr WHERE role = 'train') x GROUP BY 1, 2)
+
+, terms AS (SELECT bt.series_id, prediction - actual AS e, actual, prediction,
+                   2.0 * abs(prediction - actual) / NULLIF(abs(actual) + abs(prediction), 0) AS t_smape,
+                   abs(prediction - actual) / NULLIF(abs(actual), 0) AS t_mape,
+                   (prediction - actual) * (prediction - actual) / NULLIF(naive_mse, 0) AS t_rmsse
+            FROM bt LEFT JOIN naive USING (series_id, fold))
 , agg AS (SELECT series_id, 'linear' AS model, count(*) AS n_points,
-                 avg(2.0 * abs(prediction - actual) / NULLIF(abs(actual) + abs(prediction), 0)) AS smape,
-                 sum(abs(prediction - actual)) / NULLIF(sum(abs(actual)), 0) AS wmape,
-                 avg(abs(prediction - actual) / NULLIF(abs(actual), 0)) AS mape,
-                 avg((prediction - actual) * (prediction - actual)) AS mse,
-                 avg(abs(prediction - actual)) AS mae,
-                 sqrt(avg((prediction - actual) * (prediction - actual) / NULLIF(naive_mse, 0))) AS rmsse
-          FROM bt LEFT JOIN naive USING (series_id, fold) GROUP BY 1)
-SELECT series_id, model, n_points, metric, round(value, 8) AS value FROM agg
-UNPIVOT INCLUDE NULLS (value FOR metric IN (smape, wmape, mape, mse, mae, rmsse))"""
+                 avg(t_smape) AS smape, count(t_smape) AS used_smape,
+                 sum(abs(e)) / NULLIF(sum(abs(actual)), 0) AS wmape, count(e) AS used_wmape,
+                 avg(t_mape) AS mape, count(t_mape) AS used_mape,
+                 avg(e * e) AS mse, count(e) AS used_mse,
+                 avg(abs(e)) AS mae, count(e) AS used_mae,
+                 sqrt(avg(t_rmsse)) AS rmsse, count(t_rmsse) AS used_rmsse
+          FROM terms GROUP BY 1)
+""" + "\nUNION ALL\n".join(
+        f"SELECT series_id, model, n_points, '{m}' AS metric, round({m}, 8) AS value, used_{m} AS n_used FROM agg"
+        for m in ["smape", "wmape", "mape", "mse", "mae", "rmsse"]
+    )
 )
 
 
