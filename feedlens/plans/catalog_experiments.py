@@ -39,23 +39,25 @@ def q_group_sizes(spark, sf_dir):
     return X.group_sizes(_users(spark, sf_dir))
 
 
-@register(
-    "ctr_histogram",
-    _users_sql(
-        """, mm AS (SELECT min(ctr) AS lo, max(ctr) AS hi FROM users),
-grid AS (SELECT g.exp_group, b.bin FROM (SELECT DISTINCT exp_group FROM users) g,
-         (SELECT CAST(range AS INTEGER) AS bin FROM range(0, 10)) b),
-cnt AS (SELECT exp_group,
-               CAST(CASE WHEN mm.hi = mm.lo THEN 0 ELSE least(floor((ctr - mm.lo) / (mm.hi - mm.lo) * 10.0), 9) END AS INTEGER) AS bin,
+def _histogram_sql(source: str, value: str, by: str = "exp_group", bins: int = 10) -> str:
+    """Oracle of ``experiments.histogram``: ``source`` is a CTE name."""
+    return f"""
+, mm AS (SELECT min({value}) AS lo, max({value}) AS hi FROM {source}),
+grid AS (SELECT g.{by}, b.bin FROM (SELECT DISTINCT {by} FROM {source}) g,
+         (SELECT CAST(range AS INTEGER) AS bin FROM range(0, {bins})) b),
+cnt AS (SELECT {by},
+               CAST(CASE WHEN mm.hi = mm.lo THEN 0
+                         ELSE least(floor(({value} - mm.lo) / (mm.hi - mm.lo) * {float(bins)}), {bins - 1}) END AS INTEGER) AS bin,
                count(*) AS n
-        FROM users, mm WHERE ctr IS NOT NULL GROUP BY 1, 2)
-SELECT grid.exp_group, grid.bin,
-       mm.lo + grid.bin * ((mm.hi - mm.lo) / 10.0) AS bin_lo,
-       mm.lo + (grid.bin + 1) * ((mm.hi - mm.lo) / 10.0) AS bin_hi,
+        FROM {source}, mm WHERE {value} IS NOT NULL GROUP BY 1, 2)
+SELECT grid.{by}, grid.bin,
+       mm.lo + grid.bin * ((mm.hi - mm.lo) / {float(bins)}) AS bin_lo,
+       mm.lo + (grid.bin + 1) * ((mm.hi - mm.lo) / {float(bins)}) AS bin_hi,
        coalesce(cnt.n, 0) AS count
-FROM grid CROSS JOIN mm LEFT JOIN cnt ON cnt.exp_group = grid.exp_group AND cnt.bin = grid.bin"""
-    ),
-)
+FROM grid CROSS JOIN mm LEFT JOIN cnt ON cnt.{by} = grid.{by} AND cnt.bin = grid.bin"""
+
+
+@register("ctr_histogram", _users_sql(_histogram_sql("users", "ctr")))
 def q_ctr_histogram(spark, sf_dir):
     return X.histogram(_users(spark, sf_dir), "ctr", "exp_group", 10)
 
@@ -241,3 +243,46 @@ FROM d"""
 def q_bootstrap_ci_portable(spark, sf_dir):
     ci = X.bootstrap_ci(X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5"))
     return _rounded(ci, ["mean_diff", "ci_lo", "ci_hi"])
+
+
+@register(
+    "smoothed_ctr_histogram",
+    _users_sql(f", g AS ({GLOBAL_CTR_BODY}), sm AS ({SMOOTHED_SELECT})" + _histogram_sql("sm", "smoothed_ctr")),
+)
+def q_smoothed_ctr_histogram(spark, sf_dir):
+    """X2 over the smoothed CTR of each group."""
+    return X.histogram(X.smoothed_ctr(_users(spark, sf_dir), SMOOTHING_ALPHA), "smoothed_ctr", "exp_group", 10)
+
+
+@register("bucket_ctr_histogram", _users_sql(f", bk AS ({BUCKET_BODY})" + _histogram_sql("bk", "bucket_ctr")))
+def q_bucket_ctr_histogram(spark, sf_dir):
+    """X2 over the bucket CTR of each group."""
+    return X.histogram(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 10)
+
+
+@register("bootstrap_ctr_histogram", _users_sql(BOOT_PORTABLE_BODY + _histogram_sql("boot", "ctr")))
+def q_bootstrap_ctr_histogram(spark, sf_dir):
+    """X2 over the replicate CTRs of each group (portable bootstrap)."""
+    return X.histogram(X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5"), "ctr", "exp_group", 10)
+
+
+@register(
+    "bootstrap_diff_histogram",
+    _users_sql(
+        BOOT_PORTABLE_BODY
+        + """,
+per AS (SELECT boot_id, max(ctr) FILTER (WHERE exp_group = 1) AS ctr_a, max(ctr) FILTER (WHERE exp_group = 2) AS ctr_b
+        FROM boot GROUP BY 1),
+d AS (SELECT 'diff' AS series, ctr_b - ctr_a AS diff FROM per)"""
+        + _histogram_sql("d", "diff", by="series")
+    ),
+)
+def q_bootstrap_diff_histogram(spark, sf_dir):
+    """X2 over the replicate differences (group 2 minus group 1)."""
+    boot = X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5")
+    g = F.col("exp_group")
+    per = boot.groupBy("boot_id").agg(
+        F.max(F.when(g == 1, F.col("ctr"))).alias("ctr_a"), F.max(F.when(g == 2, F.col("ctr"))).alias("ctr_b")
+    )
+    diff = per.select(F.lit("diff").alias("series"), (F.col("ctr_b") - F.col("ctr_a")).alias("diff"))
+    return X.histogram(diff, "diff", "series", 10)
