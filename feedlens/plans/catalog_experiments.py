@@ -286,3 +286,11 @@ def q_bootstrap_diff_histogram(spark, sf_dir):
     )
     diff = per.select(F.lit("diff").alias("series"), (F.col("ctr_b") - F.col("ctr_a")).alias("diff"))
     return X.histogram(diff, "diff", "series", 10)
+
+
+@register("ab_summary")
+def q_ab_summary(spark, sf_dir):
+    """Every approach of the experiment analysis in one frame (rows-only: p-values)."""
+    from feedlens.plans.ab_analysis import ab_summary
+
+    return ab_summary(feed_actions(spark, sf_dir), EXP_START, EXP_END, alpha=SIGNIFICANCE, n_bootstrap=N_BOOTSTRAP, n_buckets=N_BUCKETS, seed=SEED)

@@ -159,3 +159,25 @@ def test_service_split_adds_up(spark):
         .agg(F.count_distinct("user_id").alias("n"))
     )
     assert split == {r.day: r.n for r in users.collect()}
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_ab_summary_consistent_with_single_tests(spark):
+    from feedlens.plans.ab_analysis import ab_summary
+
+    feed = feed_actions(spark, SF001)
+    rows = {r.test: r for r in ab_summary(feed, "2024-01-15", "2024-01-21", n_bootstrap=200).collect()}
+    assert set(rows) == {
+        "welch_ctr",
+        "mann_whitney_ctr",
+        "welch_smoothed_ctr",
+        "bootstrap_ctr_difference",
+        "welch_bucket_ctr",
+        "mann_whitney_bucket_ctr_less",
+    }
+    users = X.experiment_users(feed, "2024-01-15", "2024-01-21")
+    single = X.welch_ttest(users, "ctr").first()
+    assert rows["welch_ctr"].p_value == pytest.approx(single.p_value)
+    assert rows["welch_ctr"].significant == single.significant
+    b = rows["bootstrap_ctr_difference"]
+    assert b.ci_lo <= b.statistic <= b.ci_hi
