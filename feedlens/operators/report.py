@@ -14,6 +14,7 @@ from feedlens.operators.engagement import feed_summary
 from feedlens.operators.services import (
     SPLIT,
     day_over_day,
+    service_split_age,
     service_split_daily,
     service_split_os,
     service_top_countries,
@@ -35,8 +36,9 @@ def feed_report(feed: DataFrame, as_of, ctr_digits: int | None = None) -> DataFr
 
 def service_report(feed: DataFrame, msgs: DataFrame, as_of, k: int = 3) -> DataFrame:
     """B2: yesterday's service split with change against the calendar day
-    before, the split by OS (by name, not by row position) and the top-k
-    countries by both-service users (key = rank:country)."""
+    before, the split by OS (by name, not by row position), the top-k
+    countries by both-service users (key = rank:country) and, from the bot's
+    second task, both-service users per age group over the last 7 days."""
     yesterday = F.date_sub(as_date(as_of), 1)
     dod = day_over_day(service_split_daily(feed, msgs, as_of), SPLIT).filter(F.col("day") == yesterday)
     split = dod.select(F.lit("split").alias("section"), "metric", F.col("day").cast("string").alias("key"), "value")
@@ -48,4 +50,5 @@ def service_report(feed: DataFrame, msgs: DataFrame, as_of, k: int = 3) -> DataF
     # ``top`` has k rows at most, so an unpartitioned window over it is cheap.
     ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("both_users").desc(), F.col("country"))))
     top_rows = _rows(ranked, "top_countries", ["both_users"], F.concat_ws(":", F.col("rank").cast("string"), F.col("country")))
-    return split.unionByName(change).unionByName(by_os).unionByName(top_rows)
+    by_age = _rows(service_split_age(feed, msgs, as_of), "age", ["both_users"], F.col("age_group"))
+    return split.unionByName(change).unionByName(by_os).unionByName(top_rows).unionByName(by_age)

@@ -7,7 +7,7 @@ import uuid
 from feedlens.operators import cube as C
 from feedlens.operators import report as B
 from feedlens.plans.catalog_cube import METRICS_CUBE_SQL
-from feedlens.plans.catalog_services import SPLIT_DAILY_SQL, _SPLIT, _YESTERDAY, _flags_sql
+from feedlens.plans.catalog_services import _BOT_BAND, _SPLIT, _WEEK, _YESTERDAY, SPLIT_DAILY_SQL, _flags_sql
 from feedlens.plans.params import AS_OF
 from feedlens.plans.registry import register
 from feedlens.session import materialize, shared_path
@@ -61,6 +61,8 @@ UNION ALL SELECT 'os', metric, os, value FROM (
          CAST(feed_only_users AS DOUBLE) AS feed_only_users FROM os_split) w
   UNPIVOT INCLUDE NULLS (value FOR metric IN (both_users, messenger_only_users, feed_only_users))
 UNION ALL SELECT 'top_countries', 'both_users', CAST(rk AS VARCHAR) || ':' || country, CAST(both_users AS DOUBLE) FROM ranked
+UNION ALL SELECT 'age', 'both_users', age_group, CAST(both_users AS DOUBLE) FROM (
+  SELECT {_BOT_BAND} AS age_group, {_SPLIT} FROM ({_flags_sql('user_id, age', f'WHERE {_WEEK}')}) f GROUP BY 1) a
 """,
         feed=True,
         messages=True,
