@@ -65,3 +65,19 @@ def test_scale_conf_bounds():
     assert scale_conf(10 << 20, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(100 << 40, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "40000"
     assert scale_conf(300 << 30, "s3://b/ckpt")["spark.checkpoint.dir"] == "s3://b/ckpt"
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_cli_daily_cube_and_report(spark):
+    from feedlens.operators.cube import read_cube
+    from feedlens.plans.cli import main
+
+    base = shared_path(spark, f"test-cli-{uuid.uuid4().hex}")
+    feed_actions(spark, SF001).withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(f"{base}/feed")
+    message_actions(spark, SF001).withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(f"{base}/msgs")
+    main(["cube", "--feed", f"{base}/feed", "--messages", f"{base}/msgs", "--as-of", "2024-01-31", "--target", f"{base}/cube"])
+    cube = read_cube(spark, f"{base}/cube")
+    assert cube.select("event_date").distinct().count() == 1 and cube.count() == 10
+    main(["report", "--feed", f"{base}/feed", "--messages", f"{base}/msgs", "--as-of", "2024-01-31", "--out", f"{base}/report"])
+    rep = spark.read.parquet(f"{base}/report")
+    assert set(r.section for r in rep.select("section").distinct().collect()) == {"feed", "split", "change_pct", "os", "top_countries", "age"}
