@@ -75,6 +75,13 @@ def _split(flags: DataFrame, by: list) -> DataFrame:
     )
 
 
+def rollup_flags(fine: DataFrame, keys: list[str]) -> DataFrame:
+    """Re-aggregate service flags to coarser ``keys`` (max of each flag)."""
+    return fine.groupBy("user_id", *keys).agg(
+        F.max("used_feed").alias("used_feed"), F.max("used_message").alias("used_message")
+    )
+
+
 def service_split_daily(feed: DataFrame, msgs: DataFrame, as_of, days: int = 7, include_receivers: bool = False) -> DataFrame:
     """M2: per day of the ``days`` days before ``as_of``: both / messenger only / feed only."""
     end = F.date_sub(as_date(as_of), 1)
