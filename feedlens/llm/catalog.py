@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import packing
+from feedlens.llm import license_scan, line_dedup, mixing, packing
 from feedlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,28 @@ def tokenizer_path() -> str:
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without cross-site boilerplate lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.remove_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+ORACLES["op6_line_dedup"] = line_dedup.ORACLE
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op3_mix_sources"] = mixing.ORACLE
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
