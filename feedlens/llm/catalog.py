@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import license_scan, line_dedup, mixing, packing
+from feedlens.llm import license_scan, line_dedup, mixing, packing, topk_search, vector_dedup
 from feedlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,22 @@ ORACLES["op3_mix_sources"] = mixing.ORACLE
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth embedding."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLES["op2_topk_search"] = topk_search.ORACLE
+
+
+@query
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return vector_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_vector_dedup"] = vector_dedup.ORACLE
