@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import license_scan, line_dedup, mixing, packing, topk_search, vector_dedup
+from feedlens.llm import jaccard_join, license_scan, line_dedup, mixing, packing, topk_search, vector_dedup
 from feedlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op7_vector_dedup"] = vector_dedup.ORACLE
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 4-word shingles at 85 percent."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
