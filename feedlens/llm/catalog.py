@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlens.llm import jaccard_join, license_scan, line_dedup, mixing, packing, topk_search, vector_dedup
+from feedlens.llm import jaccard_join, license_scan, line_dedup, mixing, packing, substring_dedup, topk_search, vector_dedup
 from feedlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,10 @@ ORACLES["op7_vector_dedup"] = vector_dedup.ORACLE
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by 4-word shingles at 85 percent."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document as repeats of 20-word windows."""
+    found = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
