@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import jaccard_join, license_scan, line_dedup, mixing, packing, substring_dedup, topk_search, vector_dedup
+from feedlens.llm import jaccard_join, language_id, license_scan, line_dedup, mixing, packing, substring_dedup, topk_search, toxicity, vector_dedup
 from feedlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,24 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words removed from every document as repeats of 20-word windows."""
     found = substring_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    model = language_id.train(docs.where("NOT held_out"))
+    return language_id.predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+#: Categories in the order of the chain, by conditions on ``labels``.
+TOXICITY = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), TOXICITY)
+    return toxicity.predict(docs, chain).select("doc_id", "toxic", "toxic_score", "low_quality_score")
