@@ -10,18 +10,64 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlens.llm import packing
+from feedlens.llm import jaccard_join, language_id, line_dedup, mixing, packing
 from feedlens.llm.catalog import tokenizer_path
 from feedlens.session import shared_path
 
+#: Documents whose language is less sure than this are rejected.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter or of no certain language.
+
+    The model learns from the labelled documents that are not held out; without
+    any it knows no language, and then nothing is rejected but texts that are null
+    or have no letter."""
+    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = language_id.predict(docs, model, lang_pred="__lang_pred", score="__score")
+    return judged.where((F.col("__lang_pred") != language_id.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes cross-site boilerplate lines out of the texts."""
+    return _recounted(line_dedup.remove_boilerplate(docs, counts=("__n_lines", "__n_removed")).select(*docs.columns))
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of least id of every near-duplicate group: sets of
+    5-word shingles linked at a Jaccard similarity of 0.8.  Documents with a null
+    id stay."""
+    found = jaccard_join.join(docs, k=5, percent=80)
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
+    return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draws the mix of sources; a document drawn more than once is repeated."""
+    return _recounted(mixing.draw(docs))
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs every document that is left; the result is one row per piece."""
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", dedup_documents),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
 #: SQL cannot express the trained language model, the tokenizer and the draws.
 ORACLE_SQL = None

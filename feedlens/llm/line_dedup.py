@@ -59,6 +59,7 @@ def remove_boilerplate(
     min_sites: int = MIN_SITES,
     min_chars: int = MIN_CHARS,
     max_share: float = MAX_SHARE,
+    counts: tuple[str, str] = ("n_lines", "n_removed"),
 ) -> DataFrame:
     """The documents with boilerplate lines taken out of ``text``, and the new
     columns ``n_lines`` and ``n_removed``.
@@ -85,8 +86,8 @@ def remove_boilerplate(
     joined = joined.withColumn("__kept", F.when(whole, lines).otherwise(F.col("__kept")))
     out = joined.withColumns(
         {
-            "n_lines": F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
-            "n_removed": F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("__kept")).cast("long"),
+            counts[0]: F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
+            counts[1]: F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("__kept")).cast("long"),
         }
     )
     out = out.withColumn(text, F.array_join("__kept", "\n"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.frames import word_count
+from feedlens.llm.frames import GAP, word_count
 from feedlens.session import materialize
 
 WEIGHTS = (1, 2, 3)
@@ -209,6 +209,25 @@ def _draws(sized: DataFrame, plan: DataFrame, shards: DataFrame, seed: str, doc_
     )
 
 
+def draw(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", levels: int = SHARD_LEVELS, **options) -> DataFrame:
+    """The mix itself: a row with the columns of ``docs`` for every draw, in
+    shards that are shuffled within.
+
+    A document drawn in part is cut after its last word that is taken, its words
+    then joined by one space.  Documents that the mix does not take, those without
+    words among them, are left out.  Rows that repeat a doc_id are drawn alike."""
+    drawn = mix(docs, doc_id, text, source, levels=levels, **options)
+    drawn = drawn.where(F.size("draws") > 0).dropDuplicates([doc_id])
+    drawn = drawn.select(F.col(doc_id).alias("__doc"), F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
+    rows = docs.join(drawn, docs[doc_id].eqNullSafe(drawn["__doc"]))
+    spaced = F.split(F.trim(F.regexp_replace(F.col(text), GAP, " ")), " ")
+    cut = F.array_join(F.slice(spaced, F.lit(1), F.col("__draw.words").cast("int")), " ")
+    rows = rows.withColumn(text, F.when(F.col("__draw.words") < F.col("__size"), cut).otherwise(F.col(text)))
+    key = F.col("__draw.shuffle_key")
+    rows = rows.repartition(F.col("__draw.shard"), F.substring(key, 1, 2)).sortWithinPartitions(F.col("__draw.shard"), key)
+    return rows.select(*docs.columns)
+
+
 #: The words taken do not depend on the shards, so SQL can tell them: whole
 #: passes, whole permuted blocks, and the documents of the cut block in order.
 ORACLE = f"""
