@@ -15,12 +15,13 @@ the same members are one.
 Blocks.  A block's members form a signature tree: nodes hold a bitmap of shingle
 hashes, combined by OR, and a range of set sizes.  Traversing the tree against
 itself prunes the pairs of nodes whose sizes cannot link or whose common bits
-leave too small an overlap.  What survives is counted exactly.  Members of large
-blocks are dealt into chunks, and every pair of chunks is a group of its own.
+leave too small an overlap.  Only bitmaps travel to the blocks; the sets follow
+to what the trees leave open, where overlaps are counted exactly.  Members of
+large blocks are dealt into chunks, and every pair of chunks has its own tree.
 
 Each class is first seen in its largest block only.  Blocks whose members are
-connected after that need no second look; the rest are searched whole.  Only the
-edges of spanning forests leave a group.
+connected after that need no second look; of the others, pairs within one
+component are skipped.  Only the edges of spanning forests leave a group.
 """
 
 from __future__ import annotations
@@ -40,8 +41,12 @@ from feedlens.session import materialize
 
 #: Part of a set, by least hash, in which candidates are searched (percent).
 SEARCHED = 20
-#: Bytes of set members in one chunk of a block.
-CHUNK_BYTES = 8 << 20
+#: Members in one chunk of a block.
+CHUNK_ROWS = 1024
+#: Bits of a set's signature.
+BITS = 4096
+#: Open pairs for each member up to which a block's pairs are checked one by one.
+FEW_PAIRS = 4
 FANOUT = 8
 _BATCH_BYTES = 4 << 20
 
@@ -119,31 +124,25 @@ def _blocks(docs: DataFrame, reps: DataFrame, k: int, percent: int, doc_id: str,
     return materialize(keys.withColumnRenamed("token", "block").join(members.select("block", "many"), "block"))
 
 
-def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of bits per set; at least four bits for each member of the largest."""
-    bits = 1 << max(6, (4 * max(map(len, sets)) - 1).bit_length())
-    rows = np.zeros((len(sets), bits // 8), np.uint8)
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """A bitmap of ``BITS`` bits for each set, one row each."""
+    rows = np.zeros((len(sets), BITS), np.uint8)
     for row, s in zip(rows, sets):
-        at = (s >> np.uint64(13)) & np.uint64(bits - 1)
-        flags = np.zeros(bits, np.uint8)
-        flags[at.astype(np.int64)] = 1
-        row[:] = np.packbits(flags)
-    return rows.view(np.uint64)
+        row[((s >> np.uint64(13)) & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    return np.packbits(rows, axis=1).view(np.uint64)
 
 
 def _popcount(bits: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(bits).sum(-1).astype(np.int64)
+    return np.bitwise_count(bits).sum(-1, dtype=np.int64)
 
 
 class SignatureTree:
     """Levels of nodes over sets in the order of their sizes; the first level
-    holds the sets themselves, the last one the root."""
+    holds the sets' own bitmaps, the last one the root."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets], np.int64)
+    def __init__(self, sizes: np.ndarray, bits: np.ndarray):
         self.order = np.argsort(sizes, kind="stable")
-        sizes = sizes[self.order]
-        bits = _bitmaps([sets[i] for i in self.order])
+        sizes, bits = sizes[self.order], bits[self.order]
         slack = sizes - _popcount(bits)  # members that share a bit with another one
         self.levels = [(bits, sizes, sizes, slack)]
         while len(self.levels[-1][0]) > 1:
@@ -160,7 +159,7 @@ class SignatureTree:
             if not level:
                 break
             below = len(self.levels[level - 1][0])
-            x, y = (np.broadcast_to(z, (len(a), FANOUT, FANOUT)).ravel() for z in (a[:, None, None] * FANOUT + np.arange(FANOUT)[:, None], b[:, None, None] * FANOUT + np.arange(FANOUT)))
+            x, y = (np.broadcast_to(z, (len(a), FANOUT, FANOUT)).ravel() for z in (a[:, None, None] * FANOUT + np.arange(FANOUT)[:, None], (b * FANOUT)[:, None, None] + np.arange(FANOUT)))
             fine = (x <= y) & (y < below)
             a, b = x[fine], y[fine]
         apart = a < b
@@ -180,14 +179,15 @@ class SignatureTree:
 
 def linked_pairs(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of sets that link: percent of the union is in the intersection."""
-    a, b = SignatureTree(sets).pairs(percent)
-    if not len(a):
-        return a, b
+    sizes = np.array([len(s) for s in sets], np.int64)
     if len(sets) == 2:
+        a, b = np.zeros(1, np.int64), np.ones(1, np.int64)
         same = np.array([len(np.intersect1d(sets[0], sets[1], assume_unique=True))])
     else:
+        a, b = SignatureTree(sizes, signatures(sets)).pairs(percent)
+        if not len(a):
+            return a, b
         same = _overlaps(sets)[a, b]
-    sizes = np.array([len(s) for s in sets], np.int64)
     link = 100 * same >= percent * (sizes[a] + sizes[b] - same)
     return a[link], b[link]
 
@@ -210,20 +210,52 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _search(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Forest edges (``class``, ``to``) of the links within blocks (``block``,
-    ``class``).  ``whole``: every chunk of a block meets every other one; else
-    only the first."""
-    sized = blocks.join(sets.select("class", "n"), "class")
-    chunks = sized.groupBy("block").agg(F.ceil(F.sum(F.col("n") * 8 + 64) / CHUNK_BYTES).cast("int").alias("chunks"), F.count("*").alias("many"))
-    placed = blocks.select("block", "class").join(chunks.where("many > 1"), "block")
+def _open_groups(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Groups (``class``, ``group``) in which links are still possible, from
+    blocks (``block``, ``class``, ``part``: the component so far), by the blocks'
+    signature trees alone.
+
+    Few open pairs of a block become groups of two, so that a pair open in many
+    blocks is checked once; else the members with open pairs stay one group.
+    ``whole``: every chunk of a block meets every other one; else only the first."""
+    chunks = blocks.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"), F.count("*").alias("many"))
+    placed = blocks.select("block", "class", "part").join(chunks.where("many > 1").select("block", "chunks"), "block")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("class"), "chunks").cast("int"))
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
     if not whole:
         others = F.when(F.col("chunk") == 0, others).otherwise(F.array(F.lit(0), F.col("chunk")))
-    groups = placed.select("class", "block", F.explode(others).alias("other"), "chunk")
-    groups = groups.select("class", F.xxhash64("block", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("group"))
-    groups = groups.join(sets, "class").select("class", "group", "members")
+    groups = placed.select("class", "part", "block", F.explode(others).alias("other"), "chunk")
+    groups = groups.select("class", "part", F.xxhash64("block", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("group"))
+    groups = groups.join(sets.select("class", "n", "bits"), "class")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, "group"):
+            ids, parts, name = group.column("class").to_numpy(), group.column("part").to_numpy(), group.column("group")[0].as_py()
+            if len(ids) < 2 or (parts == parts[0]).all():
+                continue
+            bits = np.stack([np.frombuffer(x, np.uint64) for x in group.column("bits").to_pylist()])
+            a, b = SignatureTree(group.column("n").to_numpy(), bits).pairs(percent)
+            apart = parts[a] != parts[b]
+            a, b = a[apart], b[apart]
+            if not len(a):
+                continue
+            if len(a) <= FEW_PAIRS * len(ids):
+                low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+                with np.errstate(over="ignore"):
+                    names = mix(mix(low.view(np.uint64)) * np.uint64(3) + high.view(np.uint64)).view(np.int64)
+                ids, names = np.concatenate([low, high]), np.concatenate([names, names])
+            else:
+                ids = ids[np.unique(np.concatenate([a, b]))]
+                names = np.full(len(ids), name, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(names)], names=["class", "group"])
+
+    found = groups.repartition("group").sortWithinPartitions("group").mapInArrow(run, "class long, group long")
+    return found.distinct()
+
+
+def _search(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Forest edges (``class``, ``to``) of the exact links within groups."""
+    groups = groups.join(sets.select("class", "members"), "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, "group"):
@@ -240,8 +272,8 @@ def _search(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Da
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
-    """``class``, ``n``, ``members`` (sorted hashes) of the wanted documents
-    (``__doc``, ``class``)."""
+    """``class``, ``n``, ``bits`` (signature) and ``members`` (sorted hashes) of the
+    wanted documents (``__doc``, ``class``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,13 +281,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) ->
             for a, b in slices([len(t) for t in texts], _BATCH_BYTES):
                 sets = shingle_sets(texts[a:b], k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["class", "n", "members"],
+                    [pa.array(classes[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([s.tobytes() for s in x], pa.binary()) for x in (signatures(sets), sets))],
+                    names=["class", "n", "bits", "members"],
                 )
 
     # Rows that repeat the wanted id with another text are told apart by their class.
     joined = _working(docs, doc_id, text).join(wanted, "__doc")
-    return joined.mapInArrow(run, "class long, n long, members binary")
+    return joined.mapInArrow(run, "class long, n long, bits binary, members binary")
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
@@ -277,11 +309,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4
     sets = materialize(_sets(docs, wanted, k, doc_id, text).dropDuplicates(["class"]))
 
     largest = blocks.groupBy("class").agg(F.max(F.struct("many", "block")).alias("x")).select("class", F.col("x.block").alias("block"))
-    first = materialize(_search(largest, sets, percent, whole=False))
+    groups = _open_groups(largest.withColumn("part", F.col("class")), sets, percent, whole=False)
+    first = materialize(_search(groups, sets, percent))
     parts = components(first, "class", "to").withColumnRenamed("node", "class")
     parted = blocks.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class"))
     mixed = parted.groupBy("block").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("block")
-    second = materialize(_search(blocks.join(mixed, "block", "left_semi"), sets, percent, whole=True))
+    groups = _open_groups(parted.join(mixed, "block", "left_semi").select("block", "class", "part"), sets, percent, whole=True)
+    second = materialize(_search(groups, sets, percent))
     parts = components(first.unionByName(second), "class", "to").withColumnRenamed("node", "class")
 
     named = reps.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class"))
