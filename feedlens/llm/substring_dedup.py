@@ -117,18 +117,21 @@ def _index(docs: DataFrame, window: int) -> DataFrame:
                 sizes = [len(p) for p in where]
                 flat = np.concatenate(where)
                 pick = flat + np.repeat(at[:-1], sizes)
+                key, check = one[pick].view(np.int64), (two[pick] >> np.uint64(33)).astype(np.int32)
+                doc = np.repeat(ids[a:b], sizes)
+                # The first place within the slice stands for the others.
+                order = np.lexsort((flat, doc, check, key))
+                new = np.ones(len(order), bool)
+                new[1:] = (key[order[1:]] != key[order[:-1]]) | (check[order[1:]] != check[order[:-1]])
+                first_here = np.sort(order[new])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(one[pick].view(np.int64)),
-                        pa.array((two[pick] >> np.uint64(33)).astype(np.int32)),
-                        pa.array(np.repeat(ids[a:b], sizes)),
-                        pa.array(flat.astype(np.int32)),
-                    ],
-                    names=["key", "check", "doc", "at"],
+                    [pa.array(x[first_here]) for x in (key, check, doc, flat.astype(np.int32))], names=["key", "check", "doc", "at"]
                 )
 
     places = docs.mapInArrow(run, "key long, check int, doc long, at int")
-    return places.groupBy("key", "check").agg(F.min(F.struct("doc", "at")).alias("first")).select("first.doc", "first.at")
+    # Slices have taken their minima; rows travel in the order of documents, which compresses well.
+    places = places.repartition("key").groupBy("key", "check").agg(F.min(F.struct("doc", "at")).alias("first"))
+    return places.select("first.doc", "first.at")
 
 
 def spans(n_words: int, window: int, inside: np.ndarray, firsts: np.ndarray) -> np.ndarray:
