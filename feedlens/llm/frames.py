@@ -25,8 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, _UPPER, _UPPER.lower())
+    """Lower-case A-Z; other letters may be lowered too, but never to ASCII ones.
+
+    Only two characters have a lower case with an ASCII letter (U+0130, U+212A);
+    texts with one of them take the slower way."""
+    odd = F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212a"))
+    return F.when(odd, F.translate(text, _UPPER, _UPPER.lower())).otherwise(F.lower(text))
 
 
 def word_count(text: Column) -> Column:

@@ -13,6 +13,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +25,7 @@ from feedlens.llm.frames import ascii_lower
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Every rule's pattern holds one of these, so texts without them are left out.
-GATE = ("licen", "copyright", "gpl", "public domain", "cc by", "cc0", "creative commons", "rights reserved", "copyleft")
+GATE = ("licen", "hereby granted", "copyright", "gpl", "public domain", "cc by", "cc0", "creative commons", "rights reserved", "copyleft")
 
 # Fixed values of the contract: phrase and label.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -40,11 +42,14 @@ class Rule:
 
 def _named(label: str, keyword: str, name: str, spdx: str | None = None) -> list[Rule]:
     """The ways in which a text can say that a license with this name holds."""
-    lead = r"(?:licen[sc]ed|released|distributed|available|provided|published|covered|offered|dual licen[sc]ed|made available|sublicen[sc]ed)"
+    lead = r"(?:released|distributed|available|provided|published|covered|offered|dual licen[sc]ed|made available|sublicen[sc]ed)"
     grant = r"(?:under|by|with|according to|pursuant to|subject to|in accordance with|governed by|as per)"
     terms = r"(?:the |a |an )?(?:terms (?:and conditions )?of )?(?:the |either the )?"
+    said = re.sub(r"\(\?:[^()]*\)\?", "", name).replace("[sc]", "s")
+    known = any(g in said for g in GATE)  # else the word license must follow
     rules = [
-        Rule(label, keyword, rf"{lead} {grant} {terms}{name}(?: licen[sc]e)?", 0.95),
+        Rule(label, keyword, rf"licen[sc]ed {grant} {terms}{name}(?: licen[sc]e)?", 0.95),
+        Rule(label, keyword, rf"{lead} {grant} {terms}{name}" + ("(?: licen[sc]e)?" if known else " licen[sc]e"), 0.95),
         Rule(label, keyword, rf"{grant} {terms}{name} licen[sc]e", 0.9),
         Rule(label, keyword, rf"licen[sc]e (?:is |name |type |identifier |this is )?(?:the )?{name}", 0.8),
         Rule(label, keyword, rf"{name} (?:software |public |open source |document )?licen[sc]e", 0.75),
@@ -65,8 +70,8 @@ def _texts() -> list[Rule]:
         Rule("bsd-3", "endorse", r"neither the name of [a-z0-9 ]{1,80}? copyright holder[a-z ]{0,40}? endorse or promote", 0.9),
         Rule("apache-2", "apache", r"you may not use this file except in compliance with the licen[sc]e you may obtain a copy of the licen[sc]e at http www apache org licenses license 2 0", 1.0),
         Rule("apache-2", "apache", r"(?:http|https) www apache org licenses license 2 0", 0.95),
-        Rule("gpl-2", "general public license", r"gnu general public license as published by the free software foundation either version 2 of the license", 1.0),
-        Rule("gpl-3", "general public license", r"gnu general public license as published by the free software foundation either version 3 of the license", 1.0),
+        Rule("gpl-2", "general public", r"gnu general public license as published by the free software foundation either version 2 of the license", 1.0),
+        Rule("gpl-3", "general public", r"gnu general public license as published by the free software foundation either version 3 of the license", 1.0),
         Rule("lgpl-2.1", "lesser general public", r"gnu lesser general public license as published by the free software foundation either version 2 1 of the license", 1.0),
         Rule("lgpl-3", "lesser general public", r"gnu lesser general public license as published by the free software foundation either version 3 of the license", 1.0),
         Rule("agpl-3", "affero", r"gnu affero general public license as published by the free software foundation either version 3 of the license", 1.0),
@@ -82,7 +87,7 @@ def _texts() -> list[Rule]:
         Rule("cc0", "no rights reserved", r"no rights reserved", 0.8),
         Rule("creative-commons", "some rights reserved", r"some rights reserved", 0.5),
         Rule("all-rights-reserved", "all rights reserved", r"all rights reserved", 0.6),
-        Rule("proprietary", "proprietary", r"(?:proprietary|commercial|closed source) licen[sc]e(?: agreement)?", 0.7),
+        Rule("proprietary", "licen", r"(?:proprietary|commercial|closed source) licen[sc]e(?: agreement)?", 0.7),
         Rule("proprietary", "confidential", r"confidential and proprietary[a-z ]{0,60}? (?:copyright|licen[sc]e|rights reserved)", 0.7),
         Rule("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)?[0-9]{2})?", 0.3),
         Rule("copyleft", "copyleft", r"copyleft(?: licen[sc]e)?", 0.4),
@@ -103,7 +108,7 @@ _FAMILIES = (
     ("lgpl", "lesser general public", r"(?:gnu )?lesser general public licen[sc]e", ("2.1", "3.0", None)),
     ("lgpl", "library general public", r"(?:gnu )?library general public licen[sc]e", ("2.0", None)),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl", ("2.0", "2.1", "3.0", None)),
-    ("gpl", "general public license", r"(?:gnu )?general public licen[sc]e", ("1.0", "2.0", "3.0", None)),
+    ("gpl", "general public", r"(?:gnu )?general public licen[sc]e", ("1.0", "2.0", "3.0", None)),
     ("gpl", "gpl", r"(?:gnu )?gpl", ("2.0", "3.0", None)),
     ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e", ("1.2", "1.3", None)),
     ("apache", "apache", r"apache(?: software)?(?: licen[sc]e)?", ("1.1", "2.0", None)),
@@ -111,17 +116,19 @@ _FAMILIES = (
     ("epl", "eclipse", r"eclipse public licen[sc]e", ("1.0", "2.0", None)),
     ("eupl", "european union public", r"european union public licen[sc]e", ("1.1", "1.2", None)),
     ("cddl", "common development", r"common development and distribution licen[sc]e", ("1.0", "1.1", None)),
-    ("cpl", "common public license", r"common public licen[sc]e", ("1.0", None)),
+    ("cpl", "common public", r"common public licen[sc]e", ("1.0", None)),
     ("afl", "academic free", r"academic free licen[sc]e", ("3.0", None)),
-    ("osl", "open software license", r"open software licen[sc]e", ("3.0", None)),
+    ("osl", "open software", r"open software licen[sc]e", ("3.0", None)),
     ("artistic", "artistic", r"artistic licen[sc]e", ("1.0", "2.0", None)),
     ("ofl", "open font", r"(?:sil )?open font licen[sc]e", ("1.1", None)),
     ("odbl", "open database", r"open database licen[sc]e", ("1.0", None)),
-    ("bsd-2", "bsd", r"(?:simplified|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)(?: bsd)?", (None,)),
+    ("bsd-2", "bsd", r"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)", (None,)),
     ("bsd-3", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd)", (None,)),
     ("bsd-4", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd|four clause bsd)", (None,)),
     ("bsd", "bsd", r"bsd(?: style)?", (None,)),
-    ("mit", "mit", r"(?:mit|mit x11|x11|expat)", (None,)),
+    ("mit", "mit", r"(?:mit|mit x11)", (None,)),
+    ("mit", "x11", r"x11", (None,)),
+    ("mit", "expat", r"expat", (None,)),
     ("isc", "isc", r"isc", (None,)),
     ("zlib", "zlib", r"zlib(?: libpng)?", (None,)),
     ("boost", "boost", r"boost software licen[sc]e", ("1.0", None)),
@@ -178,18 +185,12 @@ def _places(words: Column, pattern: Column) -> Column:
 
 
 def _rules(rules: tuple[Rule, ...]) -> Column:
+    """The rules in their order as one constant array."""
     rows = [
-        F.struct(
-            F.lit(i).alias("rank"),
-            F.lit(r.label).alias("label"),
-            F.lit(r.keyword).alias("keyword"),
-            F.lit(rf"(?<![^ ])(?:{r.pattern})(?![^ ])").alias("pattern"),
-            F.lit(r.weight).alias("weight"),
-            F.lit(r.base).alias("base"),
-        )
+        {"rank": i, "label": r.label, "keyword": r.keyword, "pattern": rf"(?<![^ ])(?:{r.pattern})(?![^ ])", "weight": r.weight, "base": r.base}
         for i, r in enumerate(rules)
     ]
-    return F.array(*rows)
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<rank:int,label:string,keyword:string,pattern:string,weight:double,base:boolean>>")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -205,7 +206,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tup
     gate = F.lit(False)
     for word in GATE:
         gate = gate | F.contains(F.col("__words"), F.lit(word))
-    near = F.filter(_rules(rules), lambda r: F.contains(F.col("__words"), r["keyword"]))
+    near = F.filter(_rules(rules), lambda r: F.contains(F.col("__words"), r["keyword"]) & F.rlike(F.col("__words"), r["pattern"]))
     found = F.flatten(
         F.transform(
             near,
