@@ -15,7 +15,8 @@ Only windows whose anchor stands at two places or more can repeat, and only thos
 enter the index.  Anchors are counted by aggregation; the first place of a
 window is a minimum, taken map-side first, so a passage that many documents
 share is never gathered.  What comes back to a document are the windows that it
-is the first to hold, a list bounded by its own length.
+is the first to hold, a list bounded by its own length.  A document whose whole
+text stands under a smaller id is one factor at once and enters no index.
 """
 
 from __future__ import annotations
@@ -94,12 +95,18 @@ def _anchor_runs(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, doc long, at int, n int, weight int")
 
 
-def _positions(ranges: list[dict] | None) -> np.ndarray:
-    if not ranges:
-        return np.zeros(0, np.int64)
-    at = np.array([x["at"] for x in ranges], np.int64)
-    n = np.array([x["n"] for x in ranges], np.int64)
-    return np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
+def _starts(column: pa.Array, sizes: pa.Array | None = None) -> list[np.ndarray]:
+    """Word positions of each row of a list column; with ``sizes``, a list of run
+    lengths beside it, the positions of all windows of the runs."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    at = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    if sizes is not None:
+        n = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        done = np.cumsum(n)
+        at = np.repeat(at - done + n, n) + np.arange(done[-1] if len(done) else 0)
+        ends = np.concatenate([[0], done])[ends]
+    return np.split(at, ends[:-1])
 
 
 def _index(docs: DataFrame, window: int) -> DataFrame:
@@ -107,13 +114,12 @@ def _index(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, ranges = batch.column("__doc").to_numpy(), binary_texts(batch, "__text"), batch.column("ranges").to_pylist()
+            ids, texts, ranges = batch.column("__doc").to_numpy(), binary_texts(batch, "__text"), _starts(batch.column("at"), batch.column("n"))
             for a, b in slices([len(t) for t in texts], _BATCH_BYTES):
                 _, _, _, hashes, first = words(texts[a:b])
                 one, at = text_windows(hashes, first, window, seed=2)
                 two, _ = text_windows(hashes, first, window, seed=3)
-                where = [_positions(r) for r in ranges[a:b]]
-                where = [p[p < at[i + 1] - at[i]] for i, p in enumerate(where)]
+                where = [p[p < at[i + 1] - at[i]] for i, p in enumerate(ranges[a:b])]
                 sizes = [len(p) for p in where]
                 flat = np.concatenate(where)
                 pick = flat + np.repeat(at[:-1], sizes)
@@ -147,6 +153,17 @@ def spans(n_words: int, window: int, inside: np.ndarray, firsts: np.ndarray) ->
     return np.stack([starts, ends - starts + window - 1], 1)
 
 
+def _copies(named: DataFrame) -> DataFrame:
+    """Ids (``doc``) whose whole text is that of a smaller id: one factor each.
+
+    Ids that stand with several texts are no copies."""
+    hashed = named.select("__doc", F.xxhash64("__text").alias("h1"), F.xxhash64(F.lit(1), F.col("__text")).alias("h2"))
+    texts = hashed.groupBy("__doc").agg(*[f(h).alias(f"{f.__name__}_{h}") for h in ("h1", "h2") for f in (F.min, F.max)])
+    texts = texts.where("min_h1 = max_h1 AND min_h2 = max_h2").select(F.col("__doc").alias("doc"), F.col("min_h1").alias("h1"), F.col("min_h2").alias("h2"))
+    first = texts.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.count("*").alias("many")).where("many > 1")
+    return texts.join(first, ["h1", "h2"]).where("doc <> first").select("doc")
+
+
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``spans`` (the duplicate
     factors as (start, length) in words), ``n_removed`` and ``kept``, the words
@@ -163,20 +180,21 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     named = rows.where("__doc IS NOT NULL")
     runs = _anchor_runs(named, window)
     shared = runs.groupBy("anchor").agg(F.sum("weight").alias("places")).where("places > 1").select("anchor")
-    ranges = runs.join(shared, "anchor", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("ranges"))
-    ranges = materialize(ranges)
-    firsts = _index(named.join(ranges, named["__doc"] == ranges["doc"]).select("__doc", "__text", "ranges"), window)
+    ranges = runs.join(shared, "anchor", "left_semi").groupBy("doc").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
+    copies = materialize(_copies(named))
+    ranges = materialize(ranges.join(copies, "doc", "left_anti"))
+    firsts = _index(named.join(ranges, named["__doc"] == ranges["doc"]).select("__doc", "__text", "at", "n"), window)
     firsts = firsts.groupBy("doc").agg(F.collect_list("at").alias("firsts"))
-    found = ranges.join(firsts, "doc", "left")
+    found = ranges.join(firsts, "doc", "left").withColumn("copy", F.lit(False))
+    found = found.unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = binary_texts(batch, "__text"), [batch.column(c) for c in ("ranges", "firsts")]
-            ids, out = batch.column("__doc"), ([], [], [], [])
-            for i, t in enumerate(texts):
-                parts = t.split()
-                inside, firsts = (x[i].as_py() for x in lists)
-                cut = spans(len(parts), window, _positions(inside), np.array(firsts or [], np.int64))
+            texts, copied, out = binary_texts(batch, "__text"), batch.column("copy").to_pylist(), ([], [], [], [])
+            inside, first_here = _starts(batch.column("at"), batch.column("n")), _starts(batch.column("firsts"))
+            for text, copy, known, own in zip(texts, copied, inside, first_here):
+                parts = text.split()
+                cut = np.array([[0, len(parts)]] if copy and len(parts) >= window else [], np.int64).reshape(-1, 2) if copy else spans(len(parts), window, known, own)
                 keep = np.ones(len(parts), bool)
                 for start, n in cut.tolist():
                     keep[start : start + n] = False
@@ -187,11 +205,11 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
             n, cuts, removed, kept = out
             pairs = pa.array([[{"start": s, "length": m} for s, m in c] for c in cuts], pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pairs, pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                [batch.column("__doc"), pa.array(n, pa.int64()), pairs, pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 names=[doc_id, "n_words", "spans", "n_removed", "kept"],
             )
 
     # The texts meet both lists by one and the same exchange.
-    joined = named.join(found, named["__doc"] == found["doc"], "left").select("__doc", "__text", "ranges", "firsts")
+    joined = named.join(found, named["__doc"] == found["doc"], "left").select("__doc", "__text", "at", "n", "firsts", "copy")
     joined = joined.unionByName(rows.where("__doc IS NULL"), allowMissingColumns=True)
     return joined.mapInArrow(run, f"`{doc_id}` long, n_words long, spans array<struct<start:long,length:long>>, n_removed long, kept string")
