@@ -15,9 +15,10 @@ the same members are one.
 Blocks.  A block's members form a signature tree: nodes hold a bitmap of shingle
 hashes, combined by OR, and a range of set sizes.  Traversing the tree against
 itself prunes the pairs of nodes whose sizes cannot link or whose common bits
-leave too small an overlap.  Only bitmaps travel to the blocks; the sets follow
-to what the trees leave open, where overlaps are counted exactly.  Members of
-large blocks are dealt into chunks, and every pair of chunks has its own tree.
+leave too small an overlap.  Only bitmaps travel to the blocks.  What the trees
+leave open is joined over all blocks to components; a set travels once, to its
+component, where overlaps are counted exactly.  Members of large blocks and
+components are dealt into chunks, and every pair of chunks is searched.
 
 Each class is first seen in its largest block only.  Blocks whose members are
 connected after that need no second look; of the others, pairs within one
@@ -43,10 +44,6 @@ from feedlens.session import materialize
 SEARCHED = 20
 #: Members in one chunk of a block.
 CHUNK_ROWS = 1024
-#: Bits of a set's signature.
-BITS = 4096
-#: Open pairs for each member up to which a block's pairs are checked one by one.
-FEW_PAIRS = 4
 FANOUT = 8
 _BATCH_BYTES = 4 << 20
 
@@ -124,12 +121,34 @@ def _blocks(docs: DataFrame, reps: DataFrame, k: int, percent: int, doc_id: str,
     return materialize(keys.withColumnRenamed("token", "block").join(members.select("block", "many"), "block"))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """A bitmap of ``BITS`` bits for each set, one row each."""
-    rows = np.zeros((len(sets), BITS), np.uint8)
-    for row, s in zip(rows, sets):
-        row[((s >> np.uint64(13)) & np.uint64(BITS - 1)).astype(np.int64)] = 1
-    return np.packbits(rows, axis=1).view(np.uint64)
+def signature(members: np.ndarray) -> np.ndarray:
+    """Bitmap of a set, four to eight bits for each member, as 64-bit words."""
+    bits = 1 << max(6, (4 * len(members) - 1).bit_length())
+    flags = np.zeros(bits, np.uint8)
+    flags[((members >> np.uint64(13)) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).view(np.uint64)
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap that the set would have with fewer words."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
+def open_pairs(sizes: np.ndarray, bitmaps: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that their signature trees leave open.
+
+    Sets whose bitmaps are equally long share a tree; those with longer ones join
+    it folded, for the pairs with the shorter ones."""
+    words = np.array([len(x) for x in bitmaps])
+    out = [(np.zeros(0, np.int64),) * 2]
+    for w in np.unique(words):
+        here = words == w
+        some = np.flatnonzero(here | ((words > w) & (percent * sizes <= 100 * sizes[here].max())))
+        a, b = SignatureTree(sizes[some], np.stack([_folded(bitmaps[i], w) for i in some])).pairs(percent)
+        a, b = some[a], some[b]
+        new = here[a] | here[b]
+        out.append((a[new], b[new]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _popcount(bits: np.ndarray) -> np.ndarray:
@@ -184,7 +203,7 @@ def linked_pairs(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.n
         a, b = np.zeros(1, np.int64), np.ones(1, np.int64)
         same = np.array([len(np.intersect1d(sets[0], sets[1], assume_unique=True))])
     else:
-        a, b = SignatureTree(sizes, signatures(sets)).pairs(percent)
+        a, b = open_pairs(sizes, [signature(s) for s in sets], percent)
         if not len(a):
             return a, b
         same = _overlaps(sets)[a, b]
@@ -215,9 +234,11 @@ def _open_groups(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool)
     blocks (``block``, ``class``, ``part``: the component so far), by the blocks'
     signature trees alone.
 
-    Few open pairs of a block become groups of two, so that a pair open in many
-    blocks is checked once; else the members with open pairs stay one group.
-    ``whole``: every chunk of a block meets every other one; else only the first."""
+    A block gives a spanning forest of its open pairs between parts.  The
+    components of all forests hold every open pair, and a class is in one of them
+    only, so its set travels once however many blocks it shares.  Large components
+    are dealt into chunks whose pairs are the groups.  ``whole``: every chunk of a
+    block meets every other one; else only the first."""
     chunks = blocks.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"), F.count("*").alias("many"))
     placed = blocks.select("block", "class", "part").join(chunks.where("many > 1").select("block", "chunks"), "block")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("class"), "chunks").cast("int"))
@@ -230,27 +251,23 @@ def _open_groups(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, "group"):
-            ids, parts, name = group.column("class").to_numpy(), group.column("part").to_numpy(), group.column("group")[0].as_py()
+            ids, parts = group.column("class").to_numpy(), group.column("part").to_numpy()
             if len(ids) < 2 or (parts == parts[0]).all():
                 continue
-            bits = np.stack([np.frombuffer(x, np.uint64) for x in group.column("bits").to_pylist()])
-            a, b = SignatureTree(group.column("n").to_numpy(), bits).pairs(percent)
+            bitmaps = [np.frombuffer(x, np.uint64) for x in group.column("bits").to_pylist()]
+            a, b = open_pairs(group.column("n").to_numpy(), bitmaps, percent)
             apart = parts[a] != parts[b]
-            a, b = a[apart], b[apart]
-            if not len(a):
-                continue
-            if len(a) <= FEW_PAIRS * len(ids):
-                low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-                with np.errstate(over="ignore"):
-                    names = mix(mix(low.view(np.uint64)) * np.uint64(3) + high.view(np.uint64)).view(np.int64)
-                ids, names = np.concatenate([low, high]), np.concatenate([names, names])
-            else:
-                ids = ids[np.unique(np.concatenate([a, b]))]
-                names = np.full(len(ids), name, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(names)], names=["class", "group"])
+            root = _forest(len(ids), a[apart], b[apart])
+            far = np.flatnonzero(root != np.arange(len(ids)))
+            if len(far):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[root[far]])], names=["class", "to"])
 
-    found = groups.repartition("group").sortWithinPartitions("group").mapInArrow(run, "class long, group long")
-    return found.distinct()
+    forests = groups.repartition("group").sortWithinPartitions("group").mapInArrow(run, "class long, to long")
+    members = components(forests, "class", "to").select(F.col("node").alias("class"), "component")
+    counts = members.groupBy("component").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
+    members = members.join(counts, "component").withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), F.col("class")), "chunks").cast("int"))
+    members = members.select("class", "component", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    return members.select("class", F.xxhash64("component", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("group"))
 
 
 def _search(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -281,7 +298,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) ->
             for a, b in slices([len(t) for t in texts], _BATCH_BYTES):
                 sets = shingle_sets(texts[a:b], k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([s.tobytes() for s in x], pa.binary()) for x in (signatures(sets), sets))],
+                    [pa.array(classes[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([f(s).tobytes() for s in sets], pa.binary()) for f in (signature, np.asarray))],
                     names=["class", "n", "bits", "members"],
                 )
 
