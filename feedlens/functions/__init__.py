@@ -7,7 +7,6 @@ from feedlens.functions.columns import (
     floor_to_hundredth,
     hashed_uniform,
     md5_bucket,
-    poisson1_weight,
     safe_ratio,
     to_day,
     week_start,
@@ -23,7 +22,6 @@ __all__ = [
     "floor_to_hundredth",
     "hashed_uniform",
     "md5_bucket",
-    "poisson1_weight",
     "safe_ratio",
     "to_day",
     "week_start",

@@ -98,27 +98,19 @@ def hashed_uniform(*keys: Column, seed: int = 0, method: str = "xxhash64") -> Co
     return bits.cast("double") / _TWO52
 
 
-def poisson1_thresholds() -> list[float]:
-    """CDF of Poisson(1) at k = 0, 1, ... until it rounds to 1.0 in double."""
-    out, term, acc, k = [], math.exp(-1.0), 0.0, 0
-    while True:
-        acc += term
-        if acc >= 1.0:
-            break
-        out.append(acc)
-        k += 1
-        term /= k
-    return out
-
-
-def poisson1_weight(u: Column) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform u: number of CDF steps <= u."""
-    total = None
-    for c in poisson1_thresholds():
-        step = F.when(u >= F.lit(c), 1).otherwise(0)
-        total = step if total is None else total + step
-    return total.cast("int")
-
-
-def poisson1_weight_sql(u: str) -> str:
-    return "(" + " + ".join(f"CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END" for c in poisson1_thresholds()) + ")"
+def log_factorial(n: Column) -> Column:
+    """ln(n!) by Stirling's series after eight steps of the factorial's own rule."""
+    n = n.cast("double")
+    m = n + 9.0
+    rest = m * F.log(m) - m - 0.5 * F.log(m) + 0.5 * math.log(2 * math.pi) + 1 / (12 * m) - 1 / (360 * m**3) + 1 / (1260 * m**5) - 1 / (1680 * m**7)
+    steps = n + 1.0
+    for k in range(2, 9):
+        steps = steps * (n + float(k))
+    return rest - F.log(steps)
+
+
+def poisson_support(mean: Column) -> tuple[Column, Column]:
+    """Counts outside which a Poisson variable falls with a probability that is
+    nil in doubles (12 standard deviations and then some)."""
+    spread = 12.0 * F.sqrt(mean)
+    return F.greatest(F.lit(0), F.floor(mean - spread - 20.0)).cast("bigint"), F.ceil(mean + spread + 40.0).cast("bigint")

@@ -1,10 +1,8 @@
-"""Tail probabilities for the test statistics.
+"""Exact null distribution of the Mann-Whitney U.
 
-Spark SQL has no erf / log-gamma / Student-t CDF.  These Arrow-batched pandas
-UDFs evaluate them on the few rows that carry a test statistic (one per test,
-or one per simulated replicate); the data-sized work stays in Spark aggregates.
-The regularised incomplete beta uses the standard continued fraction with the
-modified Lentz method, vectorised over the batch.
+The counts of U are the coefficients of a Gaussian binomial, a product and a
+quotient of short polynomials.  They are kept as probabilities in doubles, scaled
+at every step, so no integer width limits the sample sizes.
 """
 
 from __future__ import annotations
@@ -17,142 +15,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
-_erfc = np.frompyfunc(math.erfc, 1, 1)
-_TINY = 1e-300
-_EPS = 3e-16
-_MAX_ITER = 500
-
-
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < _TINY, _TINY, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, _MAX_ITER + 1):
-        m2 = 2.0 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < _EPS):
-            break
-    return h
-
-
-def betainc(a, b, x) -> np.ndarray:
-    """Regularised incomplete beta I_x(a, b), elementwise; NaN where undefined."""
-    a, b, x = (np.asarray(v, dtype="float64") for v in (a, b, x))
-    a, b, x = np.broadcast_arrays(a, b, x)
-    out = np.full(x.shape, np.nan)
-    ok = np.isfinite(a) & np.isfinite(b) & np.isfinite(x) & (a > 0) & (b > 0) & (x >= 0) & (x <= 1)
-    out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    mid = ok & (x > 0) & (x < 1)
-    if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbeta = (_lgamma(am + bm) - _lgamma(am) - _lgamma(bm)).astype("float64")
-        front = np.exp(lbeta + am * np.log(xm) + bm * np.log1p(-xm))
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if direct.any():
-            res[direct] = front[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        flip = ~direct
-        if flip.any():
-            res[flip] = 1.0 - front[flip] * _betacf(bm[flip], am[flip], 1.0 - xm[flip]) / bm[flip]
-        out[mid] = res
-    return out
-
-
-def t_sf_np(t, dof) -> np.ndarray:
-    """P(T > t) for Student's t with ``dof`` degrees of freedom (dof may be fractional)."""
-    t, dof = (np.asarray(v, dtype="float64") for v in (t, dof))
-    two_sided = betainc(dof / 2.0, 0.5, dof / (dof + t * t))
-    res = np.where(t > 0, 0.5 * two_sided, 1.0 - 0.5 * two_sided)
-    res = np.where(np.isposinf(t), 0.0, np.where(np.isneginf(t), 1.0, res))
-    return res
-
-
-def norm_sf_np(z) -> np.ndarray:
-    z = np.asarray(z, dtype="float64")
-    out = np.full(z.shape, np.nan)
-    ok = ~np.isnan(z)
-    out[ok] = 0.5 * _erfc(z[ok] / math.sqrt(2.0)).astype("float64")
-    return out
-
-
-@F.pandas_udf(DoubleType())
-def _t_sf_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(t_sf_np(t.to_numpy(dtype="float64", na_value=np.nan), dof.to_numpy(dtype="float64", na_value=np.nan)))
-
-
-@F.pandas_udf(DoubleType())
-def _norm_sf_udf(z: pd.Series) -> pd.Series:
-    return pd.Series(norm_sf_np(z.to_numpy(dtype="float64", na_value=np.nan)))
-
-
-def t_sf(t: Column, dof: Column) -> Column:
-    """Upper tail of Student's t as a Column (NULL in, NULL out)."""
-    return F.when(t.isNotNull() & dof.isNotNull(), _t_sf_udf(t.cast("double"), dof.cast("double")))
-
-
-def norm_sf(z: Column) -> Column:
-    """Upper tail of the standard normal as a Column."""
-    return F.when(z.isNotNull(), _norm_sf_udf(z.cast("double")))
-
-
-def t_two_sided_p(t: Column, dof: Column) -> Column:
-    return F.least(F.lit(1.0), 2.0 * t_sf(F.abs(t), dof))
-
-
-_EXACT_LIMIT = 2**62
-
 
 def mw_exact_sf_np(u: float, m: int, n: int) -> float:
-    """P(U >= u) under the null for sample sizes m, n without ties, or NaN when
-    the count of arrangements C(m + n, min(m, n)) does not fit in int64.
-
-    The counts of U are the coefficients of the Gaussian binomial
-    [m + n choose k]_q = prod_{i=1..k} (1 - q^(N-k+i)) / (1 - q^i), built with
-    exact integer polynomial multiplication and division."""
-    m, n = int(m), int(n)
-    k, N = min(m, n), m + n
-    if k == 0:
-        return 1.0 if u <= 0 else 0.0
-    if math.comb(N, k) >= _EXACT_LIMIT:
-        return float("nan")
-    size = k * (N - k) + k + 1
-    poly = np.zeros(size, dtype=np.int64)
-    poly[0] = 1
-    for i in range(1, k + 1):
-        e = N - k + i
-        shifted = np.zeros(size, dtype=np.int64)
-        shifted[e:] = poly[: size - e]
-        poly = poly - shifted
-        pad = (-size) % i
-        blocks = np.concatenate([poly, np.zeros(pad, dtype=np.int64)]).reshape(-1, i)
-        poly = np.cumsum(blocks, axis=0).reshape(-1)[:size]
-    counts = poly[: k * (N - k) + 1]
-    total = counts.sum()
-    lo = int(math.ceil(u))
-    if lo <= 0:
+    """P(U >= u) under the null for sample sizes m, n without ties."""
+    k, big = sorted((int(m), int(n)))
+    most = k * big
+    low = math.ceil(u)
+    if low <= 0:
         return 1.0
-    if lo >= len(counts):
+    if low > most:
         return 0.0
-    return float(counts[lo:].sum() / total)
+    if 2 * low <= most:  # U is symmetric: take the shorter tail
+        return 1.0 - mw_exact_sf_np(most - low + 1, m, n)
+    size = most - low + 1  # P(U >= low) = P(U <= most - low)
+    p = np.zeros(size)
+    p[0] = 1.0
+    for i in range(1, k + 1):
+        # divide by 1 - q^i, multiply by 1 - q^(big + i), scale by i / (big + i)
+        blocks = np.concatenate([p, np.zeros(-size % i)]).reshape(-1, i)
+        p = np.cumsum(blocks, axis=0).reshape(-1)[:size]
+        if big + i < size:
+            p[big + i :] = p[big + i :] - p[: size - big - i]
+        p *= i / (big + i)
+    return float(p.sum())
 
 
 @F.pandas_udf(DoubleType())
@@ -161,6 +46,6 @@ def _mw_exact_udf(u: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
 
 
 def mw_exact_sf(u: Column, m: Column, n: Column) -> Column:
-    """Column form of ``mw_exact_sf_np`` (NULL where the exact count is too large)."""
+    """Column form of ``mw_exact_sf_np`` for the one row of a test (NULL in, NULL out)."""
     p = _mw_exact_udf(u.cast("double"), m.cast("long"), n.cast("long"))
     return F.when(~F.isnan(p), p)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import as_date, safe_ratio, to_day
-from feedlens.sources.schemas import PART_DAY
+from feedlens.sources.schemas import PART_DAY, PART_EVENT_DAY
 
 
 def is_view():
@@ -23,11 +23,15 @@ def _in_days(df: DataFrame, start=None, end=None, day: str = "day", end_exclusiv
     """Closed (or half-open) day range on a day column; Catalyst pushes it to
     the timestamp scan, and it is repeated on the source's day partition when
     the frame carries one, so whole partitions are skipped."""
-    cols = [day] + ([PART_DAY] if PART_DAY in df.columns and day != PART_DAY else [])
-    for c in cols:
-        if start is not None:
+    lows, highs = [day], [day]
+    if PART_DAY in df.columns:
+        lows.append(PART_DAY)
+        highs.append(PART_EVENT_DAY)
+    if start is not None:
+        for c in lows:
             df = df.filter(F.col(c) >= as_date(start))
-        if end is not None:
+    if end is not None:
+        for c in highs:
             df = df.filter(F.col(c) < as_date(end)) if end_exclusive else df.filter(F.col(c) <= as_date(end))
     return df
 

@@ -2,16 +2,17 @@
 smoothed CTR, bucket CTR, Poisson bootstrap and its interval.
 
 Every test reduces the data with Spark aggregates to one row of sufficient
-statistics; only the tail probability of that row is evaluated in Python.
+statistics; its tail probability is a Spark expression on that row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import hashed_uniform, md5_bucket, poisson1_weight, safe_ratio, xxhash_bucket
-from feedlens.functions.stats import mw_exact_sf, norm_sf, t_sf
+from feedlens.functions.columns import hashed_uniform, log_factorial, md5_bucket, poisson_support, safe_ratio, xxhash_bucket
+from feedlens.functions.stats import mw_exact_sf
+from feedlens.functions.tails import norm_sf, t_two_sided_p, two_sided
 from feedlens.operators.engagement import user_ctr
 from feedlens.operators.prefix import running_total_below
 
@@ -83,24 +84,15 @@ def welch_stats(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2) -
     )
 
 
-def welch_ttest(
-    df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, alpha: float = 0.05, tails: str = "arrow"
-) -> DataFrame:
+def welch_ttest(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, alpha: float = 0.05) -> DataFrame:
     """X4 + X6: Welch's unequal-variance t-test of ``a`` against ``b``, two-sided
-    p-value and the decision at ``alpha``.  ``tails="arrow"`` evaluates the t
-    tail in an Arrow-batched pandas UDF (fast for few rows); ``"jvm"`` uses the
-    Spark-SQL continued fraction (no Python workers needed)."""
-    s = welch_stats(df, value, group, a, b)
-    if tails == "jvm":
-        from feedlens.functions.tails import with_t_sf
-
-        s = with_t_sf(s, "t_stat", "dof", "p_value", two_sided=True)
-    else:
-        s = s.withColumn("p_value", F.least(F.lit(1.0), 2.0 * t_sf(F.abs(F.col("t_stat")), F.col("dof"))))
+    p-value and the decision at ``alpha``; both NULL where t is undefined (no
+    spread, or fewer than two values in a group)."""
+    s = welch_stats(df, value, group, a, b).withColumn("p_value", t_two_sided_p(F.col("t_stat"), F.col("dof")))
     return s.withColumn("significant", _decide(F.col("p_value"), alpha))
 
 
-def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, buckets: int = 64) -> DataFrame:
+def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, ranges: int | None = None) -> DataFrame:
     """X5 (statistic part): U of ``a``, U of ``b``, tie term, sigma.
 
     Ranks are never materialised per row: rows are grouped to distinct values
@@ -114,7 +106,7 @@ def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1,
         .groupBy(v.cast("double").alias("v"))
         .agg(F.count_if(g == a).alias("cnt_a"), F.count_if(g == b).alias("cnt_b"))
     )
-    cum = running_total_below(vals, "v", ["cnt_b"], buckets=buckets)
+    cum = running_total_below(vals, "v", ["cnt_b"], ranges)
     t = F.col("cnt_a") + F.col("cnt_b")
     agg = cum.agg(
         F.sum("cnt_a").alias("n_a"),
@@ -143,44 +135,36 @@ def mann_whitney(
     b=2,
     alternative: str = "two-sided",
     alpha: float = 0.05,
-    buckets: int = 64,
-    method: str = "auto",
+    ranges: int | None = None,
+    method: str = "asymptotic",
 ) -> DataFrame:
     """X5 + X6: Mann-Whitney U test of ``a`` against ``b``.  ``alternative`` is
     'two-sided', 'less' (a tends to be smaller) or 'greater'.
 
-    ``method="auto"`` uses the exact null distribution of U when a side has at
-    most 8 values and there are no ties (``small_sample``), else the normal
-    approximation with tie and continuity correction; ``"asymptotic"`` always
-    approximates; ``"exact"`` is exact whenever there are no ties.  The exact
-    count is evaluated on the one result row; when it would not fit in int64
-    the approximation is used.  ``method`` in the output says which."""
-    s = mann_whitney_stats(df, value, group, a, b, buckets)
+    ``method="asymptotic"`` is the normal approximation with tie and continuity
+    correction; ``"exact"`` takes the exact null distribution of U, which holds
+    without ties only.  p-value and decision are NULL where the test is undefined:
+    an empty group, no spread, or ties under ``"exact"``."""
+    s = mann_whitney_stats(df, value, group, a, b, ranges)
     mu = F.col("n_a").cast("double") * F.col("n_b") / 2.0
     if alternative == "two-sided":
-        u, factor = F.greatest("u_a", "u_b"), 2.0
+        u = F.greatest("u_a", "u_b")
     elif alternative == "less":
-        u, factor = F.col("u_b"), 1.0
+        u = F.col("u_b")
     elif alternative == "greater":
-        u, factor = F.col("u_a"), 1.0
+        u = F.col("u_a")
     else:
         raise ValueError(f"unknown alternative {alternative!r}")
-    z = F.try_divide(u - mu - 0.5, F.col("sigma"))
-    small = (F.least("n_a", "n_b") <= 8) & (F.col("tie_term") == 0)
-    out = s.withColumn("z", z).withColumn("small_sample", small)
-    asymptotic = F.least(F.lit(1.0), factor * norm_sf(F.col("z")))
+    out = s.withColumn("z", F.try_divide(u - mu - 0.5, F.col("sigma")))
     if method == "asymptotic":
-        exact = F.lit(None).cast("double")
-    elif method in ("auto", "exact"):
-        gate = F.col("small_sample") if method == "auto" else F.col("tie_term") == 0
-        exact = F.when(gate, F.least(F.lit(1.0), factor * mw_exact_sf(u, F.col("n_a"), F.col("n_b"))))
+        tail = norm_sf(F.col("z"))
+    elif method == "exact":
+        tail = F.when((F.col("tie_term") == 0) & (F.least("n_a", "n_b") > 0), mw_exact_sf(u, F.col("n_a"), F.col("n_b")))
     else:
         raise ValueError(f"unknown method {method!r}")
-    out = out.withColumn("_exact_p", exact)
     return (
-        out.withColumn("p_value", F.coalesce(F.col("_exact_p"), asymptotic))
-        .withColumn("method", F.when(F.col("_exact_p").isNotNull(), "exact").otherwise("asymptotic"))
-        .drop("_exact_p")
+        out.withColumn("p_value", two_sided(tail) if alternative == "two-sided" else tail)
+        .withColumn("method", F.lit(method))
         .withColumn("alternative", F.lit(alternative))
         .withColumn("significant", _decide(F.col("p_value"), alpha))
     )
@@ -198,43 +182,53 @@ def smoothed_ctr(users: DataFrame, alpha: float = 5.0, group: str = "exp_group")
     )
 
 
-def upper_median(col: str) -> Column:
-    """Element at index floor(n/2) of the sorted values (upper median for even n)."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {col} DESC)")
-
-
 def bucket_ctr(users: DataFrame, n: int = 50, method: str = "md5", group: str = "exp_group") -> DataFrame:
     """Per (group, bucket) the CTR of sums and the upper median of user CTR.
 
     Buckets: ``md5`` (first 8 hex digits of md5 of the user id, portable) or
-    ``xxhash64`` (faster, Spark-only membership)."""
+    ``xxhash64`` (faster, Spark-only membership).  Users are first counted by
+    distinct CTR, so a bucket's median needs no buffer of its users."""
     bucket = md5_bucket("user_id", n) if method == "md5" else xxhash_bucket("user_id", n)
-    return (
+    values = (
         users.withColumn("bucket", bucket)
-        .groupBy(group, "bucket")
-        .agg(
-            safe_ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"),
-            upper_median("ctr").alias("median_ctr"),
-        )
+        .groupBy(group, "bucket", "ctr")
+        .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"), F.count("*").alias("n"))
+    )
+    keys = Window.partitionBy(group, "bucket")
+    known = F.when(F.col("ctr").isNotNull(), F.col("n")).otherwise(0)
+    upto = F.sum(known).over(keys.orderBy("ctr").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    values = values.withColumns({"_upto": upto, "_half": F.floor(F.sum(known).over(keys) / 2)})
+    return values.groupBy(group, "bucket").agg(
+        safe_ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"),
+        F.min(F.when(F.col("_upto") > F.col("_half"), F.col("ctr"))).alias("median_ctr"),
     )
 
 
-def poisson_bootstrap(
-    users: DataFrame, n: int = 2000, seed: int = 42, method: str = "xxhash64", group: str = "exp_group"
-) -> DataFrame:
+def poisson_bootstrap(users: DataFrame, n: int = 2000, seed: int = 42, group: str = "exp_group") -> DataFrame:
     """Poisson(1) bootstrap of the CTR of sums per group.
 
-    Each user row is expanded to ``n`` replicate ids; the weight is an
-    inverse-CDF Poisson(1) draw from a uniform hashed from (seed, replicate,
-    user), so results do not depend on partitioning or retries.  The weighted
-    sums are aggregated right after the expansion (partial aggregation in the
-    same stage), so the n-fold rows never cross a shuffle."""
-    u = hashed_uniform(F.col("boot_id"), F.col("user_id"), seed=seed, method=method)
-    w = poisson1_weight(u)
-    rows = users.select(group, "user_id", "likes", "views", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("boot_id"))
+    Users with equal likes and views are interchangeable, and the sum of c
+    independent Poisson(1) weights is Poisson(c).  So users are counted by
+    (group, likes, views) first, and each replicate draws one Poisson(c) weight for
+    each tuple: the work grows with the distinct tuples, not with the users.  A
+    draw inverts the distribution function (a running sum over the counts around
+    c) at a uniform hashed from (seed, replicate, tuple), so results do not depend
+    on partitioning or retries.  The weighted sums are aggregated right after the
+    expansion; the expanded rows never cross a shuffle."""
+    tuples = users.groupBy(group, "likes", "views").agg(F.count("*").alias("c"))
+    mean = F.col("c").cast("double")
+    low, high = poisson_support(mean)
+    steps = tuples.select("*", low.alias("low"), F.explode(F.sequence(low, high)).alias("k"))
+    steps = steps.withColumn("p", F.exp(F.col("k") * F.log(mean) - mean - log_factorial(F.col("k"))))
+    by_tuple = Window.partitionBy(group, "likes", "views").orderBy("k")
+    steps = steps.withColumn("cdf", F.sum("p").over(by_tuple.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    tuples = steps.groupBy(group, "likes", "views", "low").agg(F.sort_array(F.collect_list("cdf")).alias("cdf"))
+    rows = tuples.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("boot_id"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    u = hashed_uniform(F.col("boot_id"), text(group), text("likes"), text("views"), seed=seed, method="md5")
+    rows = rows.withColumn("u", u).withColumn("w", F.col("low") + F.size(F.filter("cdf", lambda x: x <= F.col("u"))))
     return (
-        rows.withColumn("w", w)
-        .groupBy("boot_id", group)
+        rows.groupBy("boot_id", group)
         .agg(F.sum(F.col("w") * F.col("likes")).alias("likes"), F.sum(F.col("w") * F.col("views")).alias("views"))
         .withColumn("ctr", safe_ratio("likes", "views"))
     )

@@ -1,29 +1,23 @@
-"""Power of a planned experiment by resampling (Q1-Q4).
-
-Q1-Q3 are plain aggregates.  Q4 draws ``n_sims`` independent replicates of two
-groups from the observed views and CTR distributions, adds the algorithm's
-effect to group B, and counts how often Welch's test rejects.  Replicates are
-spread over tasks as (replicate, chunk) units; each unit seeds its own
-generator from (seed, replicate, chunk), so results do not depend on the
-partitioning or on task retries, and a replicate larger than one chunk is
-split across tasks (its sufficient statistics are summed by Spark).
+"""Power of a planned experiment (Q1-Q4).
+
+Q1-Q3 are plain aggregates.  Q4 follows from them without drawing anything: a
+user's likes are binomial in views and CTR, so their mean and variance in either
+group are sums over the two distributions (a binomial mixture, the algorithm's
+extra views included), and the power of Welch's test is the normal one at the
+standardised difference of the means.
 """
 
 from __future__ import annotations
 
-import math
+from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import floor_to_hundredth, safe_ratio, to_day
-from feedlens.functions.stats import t_sf
+from feedlens.functions.tails import norm_sf
 from feedlens.operators.engagement import _in_days, is_like, is_view
 
-MAX_DISTRIBUTION_VALUES = 1_000_000  # size check before a distribution is shipped to tasks
-
 
 def user_period(feed: DataFrame, start, end) -> DataFrame:
     """Per user likes and views over a closed day range (all groups)."""
@@ -57,8 +51,8 @@ def ctr_distribution(feed: DataFrame, start, end) -> DataFrame:
 
 def joint_distribution(feed: DataFrame, start, end) -> DataFrame:
     """(views, ctr, users, p) at user grain: weekly views and the user's own CTR
-    over the period (floored to 0.01; 0 for a user without views), for sampling
-    both together (``joint=True`` of the power study)."""
+    over the period (floored to 0.01; 0 for a user without views), for the power
+    study of users whose views and CTR go together."""
     per_user = user_period(feed, start, end).select(
         "views", F.coalesce(floor_to_hundredth(safe_ratio("likes", "views")), F.lit(0.0)).alias("ctr")
     )
@@ -73,158 +67,64 @@ def group_size(feed: DataFrame, start, end) -> DataFrame:
     )
 
 
-def _collect_distribution(dist: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ship a small distribution (bounded by its value domain) to the tasks."""
-    rows = dist.select(value, "users").orderBy(value).limit(MAX_DISTRIBUTION_VALUES + 1).collect()
-    if len(rows) > MAX_DISTRIBUTION_VALUES:
-        raise ValueError(f"distribution of {value} has more than {MAX_DISTRIBUTION_VALUES} values")
-    vals = np.array([float(r[0]) for r in rows])
-    w = np.array([float(r[1]) for r in rows])
-    return vals, w / w.sum()
-
-
-def schema_cols(schema: str) -> list[str]:
-    return [part.strip().split()[0] for part in schema.split(",")]
-
-
-def _cdf(p: np.ndarray) -> np.ndarray:
-    c = np.cumsum(p)
-    c[-1] = 1.0
-    return c
-
-
-def _replicate_sums(units: pd.DataFrame, params: dict) -> pd.DataFrame:
-    """Draw each (replicate, chunk) unit and return its sufficient statistics.
-
-    Inverse-CDF sampling: one block of uniforms per unit, looked up in the
-    precomputed CDFs of the two distributions."""
-    vv, vcdf = params["views_values"], params["views_cdf"]
-    cv, ccdf = params["ctr_values"], params["ctr_cdf"]
-    prob, threshold = params["effect_probability"], params["views_threshold"]
-    joint = params.get("joint")
-    out = np.empty((len(units), 7), dtype=np.int64)
-    for i, (sim_id, chunk_id, size) in enumerate(zip(units["sim_id"], units["chunk_id"], units["size"])):
-        rng = np.random.default_rng([params["seed"], int(sim_id), int(chunk_id)])
-        size = int(size)
-        u = rng.random((6, size))
-        if joint is not None:
-            jv, jc, jcdf = joint
-            ia = np.searchsorted(jcdf, u[0], side="right")
-            ib = np.searchsorted(jcdf, u[1], side="right")
-            a_views, a_ctr, b_views, b_ctr = jv[ia], jc[ia], jv[ib], jc[ib]
-        else:
-            a_views = vv[np.searchsorted(vcdf, u[0], side="right")]
-            b_views = vv[np.searchsorted(vcdf, u[1], side="right")]
-            a_ctr = cv[np.searchsorted(ccdf, u[2], side="right")]
-            b_ctr = cv[np.searchsorted(ccdf, u[3], side="right")]
-        lo, hi = params["extra_views"]
-        extra = (lo + np.floor(u[4] * (hi - lo + 1)).astype(np.int64)) * (u[5] < prob) * (b_views >= threshold)
-        a_likes = rng.binomial(a_views, a_ctr)
-        b_likes = rng.binomial(b_views + extra, b_ctr)
-        out[i] = (sim_id, size, a_likes.sum(), (a_likes * a_likes).sum(), size, b_likes.sum(), (b_likes * b_likes).sum())
-    return pd.DataFrame(out, columns=["sim_id", "n_a", "s_a", "ss_a", "n_b", "s_b", "ss_b"])
-
-
-def power_replicates(
-    spark: SparkSession,
+def _effect(views: Column, probability: float, threshold: int, extra: tuple[int, int]) -> tuple[Column, Column]:
+    """First and second moment of a treated user's views given the views before:
+    an equally likely whole number in ``extra`` is added with ``probability`` from
+    ``threshold`` views on."""
+    sizes = range(extra[0], extra[1] + 1)
+    one, two = sum(sizes) / len(sizes), sum(x * x for x in sizes) / len(sizes)
+    hit = F.when(views >= threshold, probability).otherwise(0.0)
+    return views + hit * one, views * views + hit * (2 * one * views + two)
+
+
+def _likes(v: Column, v2: Column, q: Column, q2: Column) -> tuple[Column, Column]:
+    """Terms of the first and second moment of binomial likes from the moments of
+    views and like probability."""
+    return v * q, v * (q - q2) + v2 * q2
+
+
+def expected_power(
     views_dist: DataFrame,
     ctr_dist: DataFrame,
-    group_size: int,
-    n_sims: int = 20000,
-    seed: int = 42,
+    size: DataFrame,
     effect_probability: float = 0.9,
     views_threshold: int = 50,
     alpha: float = 0.05,
-    chunk: int = 200_000,
-    partitions: int | None = None,
-    joint_dist: DataFrame | None = None,
     extra_views: tuple[int, int] = (1, 2),
+    joint_dist: DataFrame | None = None,
 ) -> DataFrame:
-    """Q4 per replicate: n, mean and variance of likes per group, Welch t, dof,
-    p-value and whether the replicate rejects at ``alpha``.  The result does
-    not depend on ``partitions`` (default: from the cluster's parallelism).
-
-    By default views and CTR are drawn independently from their two
-    distributions (the reference's modelling choice); with ``joint_dist`` (see
-    ``joint_distribution``) each simulated user draws a (views, CTR) pair.
-    The effect adds a uniform integer in ``extra_views`` to a group-B user's
-    views with probability ``effect_probability`` when the user has at least
-    ``views_threshold`` views."""
-    vv, vp = _collect_distribution(views_dist, "views")
-    sampling = ctr_dist.filter(F.col("ctr") <= 1.0)  # a like probability above 1 cannot be drawn
-    cv, cp = _collect_distribution(sampling, "ctr")
-    joint = None
-    if joint_dist is not None:
-        pairs = joint_dist.filter(F.col("ctr") <= 1.0).select("views", "ctr", "users").orderBy("views", "ctr")
-        rows = pairs.limit(MAX_DISTRIBUTION_VALUES + 1).collect()
-        if len(rows) > MAX_DISTRIBUTION_VALUES:
-            raise ValueError(f"joint distribution has more than {MAX_DISTRIBUTION_VALUES} pairs")
-        w = np.array([float(r["users"]) for r in rows])
-        joint = (
-            np.array([int(r["views"]) for r in rows], dtype=np.int64),
-            np.array([float(r["ctr"]) for r in rows]),
-            _cdf(w / w.sum()),
-        )
-    params = dict(
-        joint=joint,
-        views_values=vv.astype(np.int64),
-        views_cdf=_cdf(vp),
-        ctr_values=cv,
-        ctr_cdf=_cdf(cp),
-        seed=int(seed),
-        effect_probability=float(effect_probability),
-        views_threshold=int(views_threshold),
-        extra_views=(int(extra_views[0]), int(extra_views[1])),
-    )
-    group_size = int(group_size)
-    n_chunks = max(1, math.ceil(group_size / chunk))
-    n_units = n_sims * n_chunks
-    parts = partitions or max(spark.sparkContext.defaultParallelism, min(4096, math.ceil(n_units / 1000)))
-    units = spark.range(0, n_units, 1, parts).select(
-        (F.col("id") / n_chunks).cast("bigint").alias("sim_id"),
-        (F.col("id") % n_chunks).cast("bigint").alias("chunk_id"),
-    )
-    units = units.withColumn(
-        "size",
-        F.least(F.lit(chunk), F.lit(group_size) - F.col("chunk_id") * chunk).cast("bigint"),
-    )
-
-    def run(batches):
-        for pdf in batches:
-            yield _replicate_sums(pdf, params)
-
-    schema = "sim_id long, n_a long, s_a long, ss_a long, n_b long, s_b long, ss_b long"
-    sums = units.mapInPandas(run, schema).groupBy("sim_id").agg(*[F.sum(c).alias(c) for c in schema_cols(schema)[1:]])
-
-    def mean(s, n):
-        return F.col(s) / F.col(n)
-
-    def var(s, ss, n):
-        return (F.col(ss) - F.col(s) * F.col(s) / F.col(n)) / (F.col(n) - 1)
-
-    stats = sums.select(
-        "sim_id",
-        "n_a",
-        "n_b",
-        mean("s_a", "n_a").alias("mean_a"),
-        mean("s_b", "n_b").alias("mean_b"),
-        var("s_a", "ss_a", "n_a").alias("var_a"),
-        var("s_b", "ss_b", "n_b").alias("var_b"),
-    )
-    se_a, se_b = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
-    stats = stats.withColumn("t_stat", F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(se_a + se_b))).withColumn(
-        "dof", F.try_divide((se_a + se_b) * (se_a + se_b), se_a * se_a / (F.col("n_a") - 1) + se_b * se_b / (F.col("n_b") - 1))
-    )
-    p = F.least(F.lit(1.0), 2.0 * t_sf(F.abs(F.col("t_stat")), F.col("dof")))
-    return stats.withColumn("p_value", p).withColumn("rejected", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
-
-
-def power_resample(spark: SparkSession, views_dist: DataFrame, ctr_dist: DataFrame, group_size: int, **kw) -> DataFrame:
-    """Q4: share of replicates in which Welch's test rejects (the power)."""
-    reps = power_replicates(spark, views_dist, ctr_dist, group_size, **kw)
-    return reps.agg(
-        F.count("*").alias("n_sims"),
-        F.lit(int(group_size)).cast("bigint").alias("group_size"),
-        F.sum(F.col("rejected").cast("int")).cast("bigint").alias("rejections"),
-        F.avg(F.col("rejected").cast("double")).alias("power"),
+    """Q4: one row with the group size, mean and variance of likes per group, the
+    standardised difference and the two-sided power at ``alpha``.
+
+    Views and CTR are independent, each from its own distribution; with
+    ``joint_dist`` (see ``joint_distribution``) a user has a (views, CTR) pair.  A CTR
+    above 1 counts as a like for every view; ``ctr_above_one`` is the share of such
+    values.  ``size`` is the frame of ``group_size``."""
+    v = F.col("views").cast("double")
+    treated, treated2 = _effect(v, effect_probability, views_threshold, extra_views)
+    q = F.least(F.col("ctr"), F.lit(1.0))
+    share = lambda x: F.sum(F.col("p") * x)
+    above = share(F.when(F.col("ctr") > 1, 1.0).otherwise(0.0))
+    names = ("m_a", "s_a", "m_b", "s_b")
+    if joint_dist is None:
+        seen = views_dist.agg(F.struct(share(v).alias("v"), share(v * v).alias("v2"), share(treated).alias("t"), share(treated2).alias("t2"))).scalar()
+        rate = ctr_dist.agg(F.struct(share(q).alias("q"), share(q * q).alias("q2"), above.alias("above"))).scalar()
+        a = _likes(seen.getField("v"), seen.getField("v2"), rate.getField("q"), rate.getField("q2"))
+        b = _likes(seen.getField("t"), seen.getField("t2"), rate.getField("q"), rate.getField("q2"))
+        out = size.select("group_size", rate.getField("above").alias("ctr_above_one"), *[x.alias(n) for n, x in zip(names, a + b)])
+    else:
+        a, b = _likes(v, v * v, q, q * q), _likes(treated, treated2, q, q * q)
+        seen = joint_dist.agg(F.struct(above.alias("above"), *[share(x).alias(n) for n, x in zip(names, a + b)])).scalar()
+        out = size.select("group_size", seen.getField("above").alias("ctr_above_one"), *[seen.getField(n).alias(n) for n in names])
+    out = out.select(
+        "group_size",
+        "ctr_above_one",
+        F.col("m_a").alias("mean_a"),
+        F.col("m_b").alias("mean_b"),
+        (F.col("s_a") - F.col("m_a") * F.col("m_a")).alias("var_a"),
+        (F.col("s_b") - F.col("m_b") * F.col("m_b")).alias("var_b"),
     )
+    spread = F.sqrt(F.try_divide(F.col("var_a") + F.col("var_b"), F.col("group_size")))
+    out = out.withColumn("shift", F.try_divide(F.col("mean_b") - F.col("mean_a"), spread))
+    z = NormalDist().inv_cdf(1 - alpha / 2)
+    return out.withColumn("power", norm_sf(z - F.col("shift")) + norm_sf(z + F.col("shift")))

@@ -11,6 +11,8 @@ bytes (``scripts/measure_rewrites.py``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,34 +108,43 @@ SEGMENT_DIMENSIONS = ("source", "os", "country", "first_day")
 def dau_by_segment(feed: DataFrame, dims=SEGMENT_DIMENSIONS) -> DataFrame:
     """DAU per day and segment value for each dimension, long format
     (day, dimension, dimension_value, dau).  ``first_day`` is the user's first
-    active day, so a drop can be traced to new or old users."""
-    days = feed.select("user_id", to_day("time").alias("day"), "source", "os", "country").distinct()
+    active day, so a drop can be traced to new or old users; it is a minimum per
+    user, joined to the distinct user-days."""
+    day = to_day("time").alias("day")
+    plain = [d for d in dims if d != "first_day"]
+    parts = []
+    if plain:
+        rows = feed.select("user_id", day, *plain).distinct()
+        pairs = F.array(
+            *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("dimension_value")) for d in plain]
+        )
+        parts.append(rows.select("day", "user_id", F.inline(pairs)))
     if "first_day" in dims:
-        first = F.min("day").over(Window.partitionBy("user_id"))
-        days = days.withColumn("first_day", first.cast("string"))
-    pairs = F.array(
-        *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("dimension_value")) for d in dims]
-    )
-    return (
-        days.select("day", "user_id", F.inline(pairs))
-        .groupBy("day", "dimension", "dimension_value")
-        .agg(F.count_distinct("user_id").alias("dau"))
-    )
+        days = feed.select("user_id", day).distinct()
+        first = feed.select("user_id", day).groupBy("user_id").agg(F.min("day").cast("string").alias("dimension_value"))
+        parts.append(days.join(first, "user_id").select("day", "user_id", F.lit("first_day").alias("dimension"), "dimension_value"))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("day", "dimension", "dimension_value").agg(F.count_distinct("user_id").alias("dau"))
 
 
 def campaign_retention(feed: DataFrame, cohort_day, source: str = "ads") -> DataFrame:
     """Users first seen on ``cohort_day``, split by whether they came from
     ``source`` that day (segment 'campaign') or not ('other'); active users and
-    retention per day offset."""
-    user = Window.partitionBy("user_id")
-    days = feed.select("user_id", to_day("time").alias("day"), (F.col("source") == source).alias("from_source"))
-    days = days.groupBy("user_id", "day").agg(F.max(F.coalesce("from_source", F.lit(False))).alias("from_source"))
-    first = F.min("day").over(user)
-    marked = days.select("user_id", "day", "from_source", first.alias("first_day"))
-    marked = marked.filter(F.col("first_day") == as_date(cohort_day))
-    campaign = F.max(F.when(F.col("day") == F.col("first_day"), F.col("from_source"))).over(user)
+    retention per day offset.
+
+    One aggregation finds each user's first day and source; only the cohort's own
+    rows are then joined and counted."""
+    day, cohort = to_day("time").alias("day"), as_date(cohort_day)
+    rows = feed.select("user_id", day, (F.col("source") == source).alias("from_source"))
+    users = rows.groupBy("user_id").agg(
+        F.min("day").alias("first_day"),
+        F.coalesce(F.max(F.when(F.col("day") == cohort, F.col("from_source"))), F.lit(False)).alias("is_campaign"),
+    )
+    users = users.filter(F.col("first_day") == cohort)
     active = (
-        marked.select("day", "first_day", campaign.alias("is_campaign"))
+        rows.select("user_id", "day")
+        .join(users, "user_id")
+        .distinct()
         .withColumn("segment", F.when(F.col("is_campaign"), "campaign").otherwise("other"))
         .withColumn("day_offset", F.datediff("day", "first_day"))
         .groupBy("segment", "day_offset")

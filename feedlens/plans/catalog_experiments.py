@@ -1,9 +1,9 @@
 """Registered A/B-test queries (X1-X10) with DuckDB oracles.
 
-Tests come in pairs: ``<name>`` returns statistic, p-value and decision (the
-p-value needs a t / normal tail, which DuckDB lacks: rows-only check), and
-``<name>_stat`` returns the statistic part, rounded to 10 decimals on both
-sides, checked against SQL.  p-values are checked by unit tests.
+Tests come in pairs: ``<name>`` returns statistic, p-value and decision, and
+``<name>_stat`` the statistic part alone, rounded to 10 decimals on both sides.
+The oracles of p-values integrate the density in their own way (see
+``functions.tails``); p-values are rounded to 8 decimals on both sides.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import poisson1_weight_sql
+from feedlens.functions.tails import sql_norm_sf, sql_t_two_sided
 from feedlens.operators import experiments as X
 from feedlens.operators.engagement import user_ctr
 from feedlens.plans.catalog_engagement import USER_CTR_SQL
@@ -20,14 +20,16 @@ from feedlens.plans.registry import register
 from feedlens.sources.fixtures import feed_actions, with_fixtures
 
 ROUND = 10
+P_ROUND = 8
 
 
 def _users(spark, sf_dir) -> DataFrame:
     return user_ctr(feed_actions(spark, sf_dir), EXP_START, EXP_END, (1, 2))
 
 
-def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.round(c, ROUND).alias(c) if c in cols else F.col(c) for c in df.columns])
+def _rounded(df: DataFrame, cols: list[str], p: str = "p_value") -> DataFrame:
+    digits = {c: P_ROUND if c == p else ROUND for c in (*cols, p)}
+    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
 
 def _users_sql(body: str) -> str:
@@ -90,6 +92,30 @@ FROM (
 """
 
 
+def _welch_p_sql(source: str, value: str, group: str, a, b) -> str:
+    """The test with its p-value; t and dof unrounded inside."""
+    return f"""
+, stat AS (
+  SELECT *, (mean_a - mean_b) / nullif(sqrt(var_a / n_a + var_b / n_b), 0) AS t,
+         power(var_a / n_a + var_b / n_b, 2)
+           / nullif(power(var_a / n_a, 2) / (n_a - 1) + power(var_b / n_b, 2) / (n_b - 1), 0) AS f
+  FROM (
+    SELECT count({value}) FILTER (WHERE {group} = {a}) AS n_a,
+           count({value}) FILTER (WHERE {group} = {b}) AS n_b,
+           avg({value}) FILTER (WHERE {group} = {a}) AS mean_a,
+           avg({value}) FILTER (WHERE {group} = {b}) AS mean_b,
+           var_samp({value}) FILTER (WHERE {group} = {a}) AS var_a,
+           var_samp({value}) FILTER (WHERE {group} = {b}) AS var_b,
+           count(*) FILTER (WHERE {group} IN ({a}, {b}) AND {value} IS NULL) AS n_undefined
+    FROM {source}) s),
+tail AS (SELECT *, {sql_t_two_sided("t", "f")} AS p FROM stat)
+SELECT n_a, n_b, round(mean_a, {ROUND}) AS mean_a, round(mean_b, {ROUND}) AS mean_b,
+       round(var_a, {ROUND}) AS var_a, round(var_b, {ROUND}) AS var_b, n_undefined,
+       round(t, {ROUND}) AS t_stat, round(f, {ROUND}) AS dof, round(p, {P_ROUND}) AS p_value, p < {SIGNIFICANCE} AS significant
+FROM tail
+"""
+
+
 _WELCH_ROUND = ["mean_a", "mean_b", "var_a", "var_b", "t_stat", "dof"]
 
 
@@ -115,14 +141,30 @@ FROM agg
 """
 
 
+def _mw_p_sql(source: str, value: str, group: str, a, b, alternative: str) -> str:
+    """The asymptotic test with its p-value."""
+    u, factor = {"two-sided": ("greatest(u_a, u_b)", 2), "less": ("u_b", 1), "greater": ("u_a", 1)}[alternative]
+    stat = _mw_sql(source, value, group, a, b)
+    head, _, tail = stat.rpartition("SELECT n_a, n_b, u_a,")
+    tail = tail.replace("round(sqrt(", "(sqrt(").replace(f", {ROUND}) AS sigma", ") AS sigma")
+    return f"""{head}, st AS (SELECT n_a, n_b, u_a,{tail}),
+zs AS (SELECT *, ({u} - CAST(n_a AS DOUBLE) * n_b / 2 - 0.5) / nullif(sigma, 0) AS z FROM st),
+ps AS (SELECT *, {sql_norm_sf("z")} AS sf FROM zs),
+pv AS (SELECT *, CASE WHEN sf IS NOT NULL THEN least(1.0, {factor} * sf) END AS p FROM ps)
+SELECT n_a, n_b, u_a, u_b, tie_term, round(sigma, {ROUND}) AS sigma, round(z, {ROUND}) AS z, round(p, {P_ROUND}) AS p_value,
+       'asymptotic' AS method, '{alternative}' AS alternative, p < {SIGNIFICANCE} AS significant
+FROM pv
+"""
+
+
 @register("welch_ctr_stat", _users_sql(_welch_sql("users", "ctr", "exp_group", 1, 2)))
 def q_welch_ctr_stat(spark, sf_dir):
     return _rounded(X.welch_stats(_users(spark, sf_dir), "ctr", "exp_group", 1, 2), _WELCH_ROUND)
 
 
-@register("welch_ctr")
+@register("welch_ctr", _users_sql(_welch_p_sql("users", "ctr", "exp_group", 1, 2)))
 def q_welch_ctr(spark, sf_dir):
-    return X.welch_ttest(_users(spark, sf_dir), "ctr", "exp_group", 1, 2, SIGNIFICANCE)
+    return _rounded(X.welch_ttest(_users(spark, sf_dir), "ctr", "exp_group", 1, 2, SIGNIFICANCE), _WELCH_ROUND)
 
 
 @register("mann_whitney_ctr_stat", _users_sql(_mw_sql("users", "ctr", "exp_group", 1, 2)))
@@ -130,9 +172,9 @@ def q_mann_whitney_ctr_stat(spark, sf_dir):
     return _rounded(X.mann_whitney_stats(_users(spark, sf_dir), "ctr", "exp_group", 1, 2), ["sigma"])
 
 
-@register("mann_whitney_ctr")
+@register("mann_whitney_ctr", _users_sql(_mw_p_sql("users", "ctr", "exp_group", 1, 2, "two-sided")))
 def q_mann_whitney_ctr(spark, sf_dir):
-    return X.mann_whitney(_users(spark, sf_dir), "ctr", "exp_group", 1, 2, "two-sided", SIGNIFICANCE)
+    return _rounded(X.mann_whitney(_users(spark, sf_dir), "ctr", "exp_group", 1, 2, "two-sided", SIGNIFICANCE), ["sigma", "z"])
 
 
 SMOOTHED_SELECT = f"""SELECT u.exp_group, u.user_id, u.likes, u.views, u.ctr, g.global_ctr,
@@ -156,10 +198,13 @@ def q_welch_smoothed_stat(spark, sf_dir):
     return _rounded(X.welch_stats(sm, "smoothed_ctr", "exp_group", 1, 2), _WELCH_ROUND)
 
 
-@register("welch_smoothed")
+@register(
+    "welch_smoothed",
+    _users_sql(f", g AS ({GLOBAL_CTR_BODY}), sm AS ({SMOOTHED_SELECT})" + _welch_p_sql("sm", "smoothed_ctr", "exp_group", 1, 2)),
+)
 def q_welch_smoothed(spark, sf_dir):
     sm = X.smoothed_ctr(_users(spark, sf_dir), SMOOTHING_ALPHA)
-    return X.welch_ttest(sm, "smoothed_ctr", "exp_group", 1, 2, SIGNIFICANCE)
+    return _rounded(X.welch_ttest(sm, "smoothed_ctr", "exp_group", 1, 2, SIGNIFICANCE), _WELCH_ROUND)
 
 
 BUCKET_BODY = f"""SELECT exp_group, CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % {N_BUCKETS} AS INTEGER) AS bucket,
@@ -182,9 +227,9 @@ def q_welch_bucket_stat(spark, sf_dir):
     return _rounded(X.welch_stats(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 1, 2), _WELCH_ROUND)
 
 
-@register("welch_bucket")
+@register("welch_bucket", _users_sql(f", bk AS ({BUCKET_BODY})" + _welch_p_sql("bk", "bucket_ctr", "exp_group", 1, 2)))
 def q_welch_bucket(spark, sf_dir):
-    return X.welch_ttest(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 1, 2, SIGNIFICANCE)
+    return _rounded(X.welch_ttest(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 1, 2, SIGNIFICANCE), _WELCH_ROUND)
 
 
 @register("mann_whitney_bucket_less_stat", _users_sql(f", bk AS ({BUCKET_BODY})" + _mw_sql("bk", "bucket_ctr", "exp_group", 2, 1)))
@@ -192,57 +237,61 @@ def q_mann_whitney_bucket_less_stat(spark, sf_dir):
     return _rounded(X.mann_whitney_stats(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 2, 1), ["sigma"])
 
 
-@register("mann_whitney_bucket_less")
+@register("mann_whitney_bucket_less", _users_sql(f", bk AS ({BUCKET_BODY})" + _mw_p_sql("bk", "bucket_ctr", "exp_group", 2, 1, "less")))
 def q_mann_whitney_bucket_less(spark, sf_dir):
-    return X.mann_whitney(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 2, 1, "less", SIGNIFICANCE)
+    return _rounded(X.mann_whitney(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 2, 1, "less", SIGNIFICANCE), ["sigma", "z"])
 
 
 _TWO52 = "CAST(4503599627370496 AS DOUBLE)"
-BOOT_PORTABLE_BODY = f""", boots AS (SELECT CAST(range AS INTEGER) AS boot_id FROM range(0, {N_BOOTSTRAP})),
+BOOT_BODY = f""", tuples AS (SELECT exp_group, likes, views, CAST(count(*) AS DOUBLE) AS c FROM users GROUP BY 1, 2, 3),
+ks AS (
+  SELECT *, unnest(range(greatest(0, CAST(floor(c - 12 * sqrt(c) - 20) AS BIGINT)), CAST(ceil(c + 12 * sqrt(c) + 40) AS BIGINT) + 1)) AS k
+  FROM tuples),
+cdfs AS (
+  SELECT exp_group, likes, views, k,
+         sum(exp(k * ln(c) - c - lgamma(k + 1.0))) OVER (PARTITION BY exp_group, likes, views ORDER BY k ROWS UNBOUNDED PRECEDING) AS cdf
+  FROM ks),
 draws AS (
-  SELECT b.boot_id, u.exp_group, u.likes, u.views,
-         CAST(('0x' || substr(md5(concat_ws('-', '{SEED}', CAST(b.boot_id AS VARCHAR), CAST(u.user_id AS VARCHAR))), 1, 13))::BIGINT AS DOUBLE)
-           / {_TWO52} AS uu
-  FROM users u CROSS JOIN boots b),
-weighted AS (SELECT *, {poisson1_weight_sql('uu')} AS w FROM draws),
+  SELECT b.boot_id, t.*,
+         CAST(('0x' || substr(md5(concat_ws('-', '{SEED}', CAST(b.boot_id AS VARCHAR), CAST(t.exp_group AS VARCHAR),
+           CAST(t.likes AS VARCHAR), CAST(t.views AS VARCHAR))), 1, 13))::BIGINT AS DOUBLE) / {_TWO52} AS uu
+  FROM tuples t CROSS JOIN (SELECT CAST(range AS INTEGER) AS boot_id FROM range(0, {N_BOOTSTRAP})) b),
+weighted AS (
+  SELECT d.boot_id, d.exp_group, d.likes, d.views, min(f.k) AS w
+  FROM draws d JOIN cdfs f ON f.exp_group = d.exp_group AND f.likes = d.likes AND f.views = d.views AND f.cdf > d.uu
+  GROUP BY 1, 2, 3, 4),
 boot AS (
   SELECT boot_id, exp_group, CAST(sum(w * likes) AS BIGINT) AS likes, CAST(sum(w * views) AS BIGINT) AS views,
          CAST(sum(w * likes) AS DOUBLE) / NULLIF(sum(w * views), 0) AS ctr
   FROM weighted GROUP BY 1, 2)"""
+CI_BODY = """per AS (SELECT boot_id, max(ctr) FILTER (WHERE exp_group = 1) AS ctr_a, max(ctr) FILTER (WHERE exp_group = 2) AS ctr_b
+        FROM boot GROUP BY 1),
+d AS (SELECT ctr_b - ctr_a AS diff FROM per)"""
 
 
-@register("poisson_bootstrap")
-def q_poisson_bootstrap(spark, sf_dir):
-    return X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "xxhash64")
-
-
-@register("poisson_bootstrap_portable", _users_sql(BOOT_PORTABLE_BODY + "\nSELECT * FROM boot"))
-def q_poisson_bootstrap_portable(spark, sf_dir):
-    return X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5")
+def _bootstrap(spark, sf_dir) -> DataFrame:
+    return X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED)
 
 
-@register("bootstrap_ci")
-def q_bootstrap_ci(spark, sf_dir):
-    return X.bootstrap_ci(X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "xxhash64"))
+@register("poisson_bootstrap", _users_sql(BOOT_BODY + "\nSELECT * FROM boot"))
+def q_poisson_bootstrap(spark, sf_dir):
+    return _bootstrap(spark, sf_dir)
 
 
 @register(
-    "bootstrap_ci_portable",
+    "bootstrap_ci",
     _users_sql(
-        BOOT_PORTABLE_BODY
+        BOOT_BODY
         + f""",
-per AS (SELECT boot_id, max(ctr) FILTER (WHERE exp_group = 1) AS ctr_a, max(ctr) FILTER (WHERE exp_group = 2) AS ctr_b
-        FROM boot GROUP BY 1),
-d AS (SELECT ctr_b - ctr_a AS diff FROM per)
+{CI_BODY}
 SELECT count(diff) AS n_boot, round(avg(diff), {ROUND}) AS mean_diff,
        round(quantile_cont(diff, 0.025), {ROUND}) AS ci_lo, round(quantile_cont(diff, 0.975), {ROUND}) AS ci_hi,
        quantile_cont(diff, 0.025) <= 0 AND quantile_cont(diff, 0.975) >= 0 AS contains_zero
 FROM d"""
     ),
 )
-def q_bootstrap_ci_portable(spark, sf_dir):
-    ci = X.bootstrap_ci(X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5"))
-    return _rounded(ci, ["mean_diff", "ci_lo", "ci_hi"])
+def q_bootstrap_ci(spark, sf_dir):
+    return _rounded(X.bootstrap_ci(_bootstrap(spark, sf_dir)), ["mean_diff", "ci_lo", "ci_hi"])
 
 
 @register(
@@ -260,16 +309,16 @@ def q_bucket_ctr_histogram(spark, sf_dir):
     return X.histogram(_buckets(spark, sf_dir), "bucket_ctr", "exp_group", 10)
 
 
-@register("bootstrap_ctr_histogram", _users_sql(BOOT_PORTABLE_BODY + _histogram_sql("boot", "ctr")))
+@register("bootstrap_ctr_histogram", _users_sql(BOOT_BODY + _histogram_sql("boot", "ctr")))
 def q_bootstrap_ctr_histogram(spark, sf_dir):
-    """X2 over the replicate CTRs of each group (portable bootstrap)."""
-    return X.histogram(X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5"), "ctr", "exp_group", 10)
+    """X2 over the replicate CTRs of each group."""
+    return X.histogram(_bootstrap(spark, sf_dir), "ctr", "exp_group", 10)
 
 
 @register(
     "bootstrap_diff_histogram",
     _users_sql(
-        BOOT_PORTABLE_BODY
+        BOOT_BODY
         + """,
 per AS (SELECT boot_id, max(ctr) FILTER (WHERE exp_group = 1) AS ctr_a, max(ctr) FILTER (WHERE exp_group = 2) AS ctr_b
         FROM boot GROUP BY 1),
@@ -279,7 +328,7 @@ d AS (SELECT 'diff' AS series, ctr_b - ctr_a AS diff FROM per)"""
 )
 def q_bootstrap_diff_histogram(spark, sf_dir):
     """X2 over the replicate differences (group 2 minus group 1)."""
-    boot = X.poisson_bootstrap(_users(spark, sf_dir), N_BOOTSTRAP, SEED, "md5")
+    boot = _bootstrap(spark, sf_dir)
     g = F.col("exp_group")
     per = boot.groupBy("boot_id").agg(
         F.max(F.when(g == 1, F.col("ctr"))).alias("ctr_a"), F.max(F.when(g == 2, F.col("ctr"))).alias("ctr_b")
@@ -288,9 +337,34 @@ def q_bootstrap_diff_histogram(spark, sf_dir):
     return X.histogram(diff, "diff", "series", 10)
 
 
-@register("ab_summary")
+def _summary_sql() -> str:
+    """One row per test, each from the oracle of the single test."""
+    tests = (
+        ("welch_ctr", "t_stat", _welch_p_sql("users", "ctr", "exp_group", 1, 2)),
+        ("mann_whitney_ctr", "u_a", _mw_p_sql("users", "ctr", "exp_group", 1, 2, "two-sided")),
+        ("welch_smoothed_ctr", "t_stat", f", g AS ({GLOBAL_CTR_BODY}), sm AS ({SMOOTHED_SELECT})" + _welch_p_sql("sm", "smoothed_ctr", "exp_group", 1, 2)),
+        ("welch_bucket_ctr", "t_stat", f", bk AS ({BUCKET_BODY})" + _welch_p_sql("bk", "bucket_ctr", "exp_group", 1, 2)),
+        ("mann_whitney_bucket_ctr_less", "u_a", f", bk AS ({BUCKET_BODY})" + _mw_p_sql("bk", "bucket_ctr", "exp_group", 2, 1, "less")),
+    )
+    rows = [
+        f"SELECT '{name}' AS test, CAST({statistic} AS DOUBLE) AS statistic, p_value, significant, NULL::DOUBLE AS ci_lo, NULL::DOUBLE AS ci_hi FROM ({_users_sql(body)}) x"
+        for name, statistic, body in tests
+    ]
+    interval = _users_sql(
+        BOOT_BODY
+        + f""",
+{CI_BODY}
+SELECT round(avg(diff), {ROUND}) AS statistic, quantile_cont(diff, 0.025) > 0 OR quantile_cont(diff, 0.975) < 0 AS significant,
+       round(quantile_cont(diff, 0.025), {ROUND}) AS ci_lo, round(quantile_cont(diff, 0.975), {ROUND}) AS ci_hi FROM d"""
+    )
+    rows.append(f"SELECT 'bootstrap_ctr_difference', statistic, NULL::DOUBLE, significant, ci_lo, ci_hi FROM ({interval}) x")
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("ab_summary", _summary_sql())
 def q_ab_summary(spark, sf_dir):
-    """Every approach of the experiment analysis in one frame (rows-only: p-values)."""
+    """Every approach of the experiment analysis in one frame."""
     from feedlens.plans.ab_analysis import ab_summary
 
-    return ab_summary(feed_actions(spark, sf_dir), EXP_START, EXP_END, alpha=SIGNIFICANCE, n_bootstrap=N_BOOTSTRAP, n_buckets=N_BUCKETS, seed=SEED)
+    out = ab_summary(feed_actions(spark, sf_dir), EXP_START, EXP_END, alpha=SIGNIFICANCE, n_bootstrap=N_BOOTSTRAP, n_buckets=N_BUCKETS, seed=SEED)
+    return _rounded(out, ["statistic", "ci_lo", "ci_hi"])

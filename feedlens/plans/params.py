@@ -12,7 +12,6 @@ ANOMALY_START, ANOMALY_END = "2024-01-05", "2024-01-11"  # flagged period
 HOLDOUT_DAYS = 14
 HORIZON_DAYS = 30
 N_BOOTSTRAP = 2000
-N_SIMULATIONS = 20000
 N_BUCKETS = 50
 SMOOTHING_ALPHA = 5.0
 SIGNIFICANCE = 0.05

@@ -30,7 +30,7 @@ def scale_conf(scan_bytes: int, checkpoint_dir: str) -> dict[str, str]:
     (after partition pruning): shuffle partitions sized so that each starts
     near 512 MB of scanned input (AQE then coalesces small ones and splits
     skewed ones), 256 MB file splits, and a shared checkpoint folder."""
-    partitions = min(40000, max(200, -(-int(scan_bytes) // (512 << 20))))
+    partitions = max(200, -(-int(scan_bytes) // (512 << 20)))
     conf = dict(DEFAULT_CONF)
     conf.update(
         {

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 FEED_EVENT_TYPES = ("view", "click", "signup")  # click -> like, others -> view
 MESSAGE_EVENT_TYPES = ("purchase", "error")
 RECEIVER_SPREAD = 97
-SENDER_EXCLUDE_MOD = 10
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _profiled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    # nation is a fixed 25-row dimension table: a proven broadcast bound.
-    nation = F.broadcast(_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
     return (
         events.join(customer, events.user_id == customer.c_custkey)
@@ -69,9 +67,7 @@ def feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     modulus = events.agg(F.max("user_id") + 1).scalar()
-    ev = _profiled_events(spark, sf_dir).filter(
-        F.col("event_type").isin(*MESSAGE_EVENT_TYPES) & (F.col("user_id") % SENDER_EXCLUDE_MOD != 0)
-    )
+    ev = _profiled_events(spark, sf_dir).filter(F.col("event_type").isin(*MESSAGE_EVENT_TYPES))
     receiver = (F.col("user_id") + 1 + F.col("event_id") % RECEIVER_SPREAD) % modulus
     return ev.select(
         "user_id",
@@ -115,7 +111,7 @@ MESSAGES_CTE = f"""message_actions AS (
          pe.time, pe.gender, pe.age, pe.country, pe.city, pe.os, pe.source
   FROM ({_PROFILED_SQL}) pe
   CROSS JOIN (SELECT max(user_id) + 1 AS modulus FROM events) mx
-  WHERE pe.event_type IN ('purchase', 'error') AND pe.user_id % 10 <> 0
+  WHERE pe.event_type IN ('purchase', 'error')
 )"""
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from feedlens.sources.schemas import FEED, MESSAGES, PART_DAY, check_schema
+from feedlens.sources.schemas import FEED, MESSAGES, PART_DAY, PART_EVENT_DAY, check_schema
 
 
 def _load(spark: SparkSession, where: str) -> DataFrame:
@@ -15,22 +15,28 @@ def _load(spark: SparkSession, where: str) -> DataFrame:
     return spark.table(where)
 
 
-def _typed(df: DataFrame, schema: StructType, name: str, partition_col: str | None) -> DataFrame:
+def _typed(df: DataFrame, schema: StructType, name: str, partition_col: str | None, lateness_days: int) -> DataFrame:
     cols = [F.col(c) for c in schema.fieldNames()]
-    if partition_col and partition_col in df.columns:
-        # The table's day partition (equal to to_date(time)) rides along under an
-        # internal name; day filters of the operators repeat on it, so only the
-        # wanted partitions are listed and read.
-        cols.append(F.col(partition_col).cast("date").alias(PART_DAY))
+    if partition_col:
+        # The partition's day rides along under internal names.  A row of day d
+        # lies in a partition from d to d + lateness; day filters of the operators
+        # repeat on these bounds, so only the wanted partitions are listed and
+        # read, and the exact filter on ``time`` stays.
+        day = F.col(partition_col).cast("date")
+        cols += [day.alias(PART_DAY), F.date_sub(day, lateness_days).alias(PART_EVENT_DAY)]
     return check_schema(df, schema, name).select(*cols)
 
 
-def read_feed(spark: SparkSession, where: str, partition_col: str | None = "dt") -> DataFrame:
+def read_feed(spark: SparkSession, where: str, partition_col: str | None = None, lateness_days: int = 0) -> DataFrame:
     """Feed actions from a parquet path or a table name, checked against FEED.
-    ``partition_col``: the table's day partition column, if it has one."""
-    return _typed(_load(spark, where), FEED, "feed_actions", partition_col)
 
+    ``partition_col`` names the table's day partition, if day filters are to prune
+    by it: a row must then lie in the partition of its day or at most
+    ``lateness_days`` days later (a partition by ingestion day).  Without it
+    nothing is assumed about the layout."""
+    return _typed(_load(spark, where), FEED, "feed_actions", partition_col, lateness_days)
 
-def read_messages(spark: SparkSession, where: str, partition_col: str | None = "dt") -> DataFrame:
-    """Message actions from a parquet path or a table name, checked against MESSAGES."""
-    return _typed(_load(spark, where), MESSAGES, "message_actions", partition_col)
+
+def read_messages(spark: SparkSession, where: str, partition_col: str | None = None, lateness_days: int = 0) -> DataFrame:
+    """Message actions, likewise, checked against MESSAGES."""
+    return _typed(_load(spark, where), MESSAGES, "message_actions", partition_col, lateness_days)

@@ -38,6 +38,7 @@ MESSAGES = T.StructType(
 # Internal name of a date partition column carried from the source table, so
 # day filters can prune partitions (see readers.read_feed).
 PART_DAY = "_part_day"
+PART_EVENT_DAY = "_part_event_day"  # the earliest day of events in the partition
 
 MEASURES = ["views", "likes", "messages_sent", "users_sent", "messages_received", "users_received"]
 

@@ -7,18 +7,22 @@ exactly those days from the full tables and publishes them with dynamic
 partition overwrite.  Re-publishing a day is idempotent, so a replayed batch
 (after a failure, from the checkpoint) gives the same table.
 ``trigger(availableNow=True)`` is the catch-up run; a processing-time trigger
-keeps the cube fresh continuously.
+keeps the cube fresh continuously.  Only the touched days are rebuilt, each on its
+own.  A new profile tuple of a user changes earlier days of that user too; those
+are republished by a backfill, not by the stream.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlens.functions.columns import to_day
 from feedlens.operators.cube import build_cube, publish_cube
 from feedlens.session import shared_path
+from feedlens.sources import read_feed, read_messages
 from feedlens.sources.schemas import FEED, MESSAGES
 
 
@@ -39,17 +43,17 @@ def start_incremental_cube(
     profile: str = "all",
 ) -> StreamingQuery:
     """Start the stream; returns the StreamingQuery (call ``awaitTermination``)."""
-    checkpoint = checkpoint or shared_path(spark, "feedlens-incremental-cube")
+    checkpoint = checkpoint or shared_path(spark, f"feedlens-incremental-cube-{hashlib.md5(target.encode()).hexdigest()}")
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         # The days of one batch: a calendar-sized list, not data.
         days = sorted(r.event_date for r in batch.distinct().collect())
         if not days:
             return
-        feed = spark.read.schema(FEED).parquet(feed_path)
-        msgs = spark.read.schema(MESSAGES).parquet(msgs_path)
-        _, marginals = build_cube(feed, msgs, days[0], days[-1], profile)
-        publish_cube(marginals.filter(F.col("event_date").isin(days)), target)
+        feed, msgs = read_feed(spark, feed_path), read_messages(spark, msgs_path)
+        for day in days:
+            _, marginals = build_cube(feed, msgs, day, day, profile)
+            publish_cube(marginals, target)
 
     writer = _touched_days(spark, feed_path, msgs_path).writeStream.foreachBatch(publish)
     writer = writer.option("checkpointLocation", checkpoint)

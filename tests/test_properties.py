@@ -47,28 +47,40 @@ def test_bootstrap_interval_brackets_observed(spark):
     assert ci.n_boot == 400
 
 
-def _dists(spark):
+PERIOD = ("2024-01-08", "2024-01-14")
+
+
+def _power(spark, size=None, **kw):
     feed = feed_actions(spark, SF001)
-    size = Q.group_size(feed, "2024-01-08", "2024-01-14").first()["group_size"]
-    return Q.views_distribution(feed, "2024-01-08", "2024-01-14"), Q.ctr_distribution(feed, "2024-01-08", "2024-01-14"), size
+    frame = Q.group_size(feed, *PERIOD) if size is None else spark.createDataFrame([(size,)], "group_size long")
+    return Q.expected_power(Q.views_distribution(feed, *PERIOD), Q.ctr_distribution(feed, *PERIOD), frame, **kw).first()
 
 
 @pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
 def test_power_zero_effect_is_alpha(spark):
-    v, c, size = _dists(spark)
-    r = Q.power_resample(spark, v, c, size, n_sims=2000, seed=3, effect_probability=0.0).first()
-    assert r.n_sims == 2000
-    assert abs(r.power - 0.05) < 0.02
+    assert _power(spark, effect_probability=0.0).power == pytest.approx(0.05, abs=1e-8)
 
 
 @pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
-def test_power_deterministic_and_monotone(spark):
-    v, c, size = _dists(spark)
-    a = Q.power_resample(spark, v, c, size, n_sims=300, seed=9, views_threshold=0).first().power
-    b = Q.power_resample(spark, v, c, size, n_sims=300, seed=9, views_threshold=0).first().power
-    assert a == b
-    big = Q.power_resample(spark, v, c, size * 40, n_sims=300, seed=9, views_threshold=0, chunk=500).first().power
-    assert big > a
+def test_power_grows_with_the_group(spark):
+    small, big = (_power(spark, size=n, views_threshold=0).power for n in (50, 5000))
+    assert 0.05 < small < big <= 1
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_power_agrees_with_drawn_experiments(spark):
+    feed = feed_actions(spark, SF001)
+    v, c = (d.toPandas() for d in (Q.views_distribution(feed, *PERIOD), Q.ctr_distribution(feed, *PERIOD)))
+    rng, n, runs = np.random.default_rng(2), 300, 2000
+    draw = lambda d, x: rng.choice(d[x].to_numpy(), (runs, n), p=(d["users"] / d["users"].sum()).to_numpy())
+    groups = []
+    for extra in (0, 1):
+        views, rate = draw(v, "views"), np.minimum(draw(c, "ctr"), 1)
+        views = views + extra * (rng.random((runs, n)) < 0.9) * rng.integers(1, 3, (runs, n)) * (views >= 2)
+        groups.append(rng.binomial(views, rate))
+    a, b = groups
+    t = (b.mean(1) - a.mean(1)) / np.sqrt((a.var(1, ddof=1) + b.var(1, ddof=1)) / n)
+    assert _power(spark, size=n, views_threshold=2).power == pytest.approx((np.abs(t) > 1.96).mean(), abs=0.04)
 
 
 def test_histogram_counts(spark):
@@ -82,15 +94,6 @@ def test_histogram_counts(spark):
     assert F is not None
 
 
-@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
-def test_power_partition_independent(spark):
-    v, c, size = _dists(spark)
-    kw = dict(n_sims=120, seed=4, views_threshold=0, chunk=7)
-    a = sorted(Q.power_replicates(spark, v, c, size, partitions=1, **kw).select("sim_id", "p_value").collect())
-    b = sorted(Q.power_replicates(spark, v, c, size, partitions=11, **kw).select("sim_id", "p_value").collect())
-    assert a == b
-
-
 def test_message_directions_under_skew(spark):
     """One sender and one receiver carry a third of all messages each; the
     two-level aggregation equals a brute-force count."""
@@ -119,13 +122,11 @@ def test_message_directions_under_skew(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
-def test_power_joint_sampling(spark):
+def test_power_joint(spark):
     feed = feed_actions(spark, SF001)
-    v, c, size = _dists(spark)
-    joint = Q.joint_distribution(feed, "2024-01-08", "2024-01-14")
-    assert joint.agg(F.sum("users")).first()[0] == Q.group_size(feed, "2024-01-08", "2024-01-14").first()["users"]
-    r0 = Q.power_resample(spark, v, c, size, n_sims=1500, seed=2, effect_probability=0.0, joint_dist=joint).first()
-    assert abs(r0.power - 0.05) < 0.025
+    joint = Q.joint_distribution(feed, *PERIOD)
+    assert joint.agg(F.sum("users")).first()[0] == Q.group_size(feed, *PERIOD).first()["users"]
+    assert _power(spark, effect_probability=0.0, joint_dist=joint).power == pytest.approx(0.05, abs=1e-8)
 
 
 @pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")

@@ -43,7 +43,7 @@ def test_day_partitions_are_pruned(spark):
     feed_fx, msgs_fx = feed_actions(spark, SF001), message_actions(spark, SF001)
     feed_fx.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(f"{base}/feed")
     msgs_fx.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(f"{base}/msgs")
-    feed, msgs = read_feed(spark, f"{base}/feed"), read_messages(spark, f"{base}/msgs")
+    feed, msgs = read_feed(spark, f"{base}/feed", "dt"), read_messages(spark, f"{base}/msgs", "dt")
 
     summary = E.feed_summary(feed, "2024-01-31")
     plan = summary._jdf.queryExecution().executedPlan().toString()
@@ -59,11 +59,35 @@ def test_day_partitions_are_pruned(spark):
     assert sorted(split_p.collect()) == sorted(M.service_split_daily(feed_fx, msgs_fx, "2024-01-31").collect())
 
 
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+def test_late_rows_are_kept(spark):
+    """A partition by ingestion day: a row of the 30th lies in the one of the 31st."""
+    from feedlens.operators import engagement as E
+
+    base = shared_path(spark, f"test-late-{uuid.uuid4().hex}")
+    feed_fx = feed_actions(spark, SF001)
+    late = F.when(F.col("event_id") % 3 == 0, F.date_add(F.to_date("time"), 1)).otherwise(F.to_date("time"))
+    feed_fx.withColumn("dt", late).write.partitionBy("dt").parquet(base)
+    expect = E.feed_summary(feed_fx, "2024-01-31").collect()
+    assert E.feed_summary(read_feed(spark, base), "2024-01-31").collect() == expect
+    pruned = E.feed_summary(read_feed(spark, base, "dt", lateness_days=1), "2024-01-31")
+    assert pruned.collect() == expect
+    assert "PartitionFilters: [isnotnull(dt" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cli_asks_for_what_a_job_needs():
+    from feedlens.plans.cli import main
+
+    for argv in (["forecast", "--feed", "f", "--as-of", "2024-01-31", "--out", "o"], ["report", "--feed", "f", "--out", "o"], ["ab", "--feed", "f", "--start", "a", "--end", "b"]):
+        with pytest.raises(SystemExit):
+            main(argv)
+
+
 def test_scale_conf_bounds():
     from feedlens.session import scale_conf
 
     assert scale_conf(10 << 20, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "200"
-    assert scale_conf(100 << 40, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "40000"
+    assert scale_conf(100 << 40, "hdfs:///ckpt")["spark.sql.shuffle.partitions"] == "204800"
     assert scale_conf(300 << 30, "s3://b/ckpt")["spark.checkpoint.dir"] == "s3://b/ckpt"
 
 

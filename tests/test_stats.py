@@ -7,30 +7,64 @@ import math
 import numpy as np
 import pytest
 
-from feedlens.functions.stats import betainc, norm_sf_np, t_sf_np
+from pyspark.sql import functions as F
+
+from feedlens.functions import tails
+from feedlens.functions.stats import mw_exact_sf_np
 from feedlens.operators import experiments as X
 
 
-def test_t_cdf_constant():
-    assert 1 - t_sf_np(2.0, 10) == pytest.approx(0.96330598, abs=1e-8)
+def _t_tail(t: float, dof: float) -> float:
+    """P(T > t) from the density with its gamma constant, by a fine rule on y in
+    [0, 1) with x = |t| + y / (1 - y)."""
+    y = np.linspace(0, 1, 400001)[:-1]
+    x = abs(t) + y / (1 - y)
+    log_constant = math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2) - 0.5 * math.log(dof * math.pi)
+    f = np.exp(log_constant - (dof + 1) / 2 * np.log1p(x * x / dof)) / (1 - y) ** 2
+    w = np.where(np.arange(len(f)) % 2 == 1, 4.0, 2.0)
+    w[0] = 1.0
+    tail = float((w * f).sum() / 3 / 400000)
+    return tail if t >= 0 else 1 - tail
+
+
+def _tails(spark, rows):
+    df = spark.createDataFrame([(float(t), float(d)) for t, d in rows], "t double, dof double")
+    return df.select("t", "dof", tails.t_sf(F.col("t"), F.col("dof")).alias("p"), tails.t_two_sided_p(F.col("t"), F.col("dof")).alias("p2")).collect()
+
+
+def test_known_tail_values(spark):
+    (t,) = _tails(spark, [(2.0, 10)])
+    assert 1 - t.p == pytest.approx(0.96330598, abs=1e-8)
+    z = spark.range(1).select(tails.norm_sf(F.lit(1.96)).alias("p")).first()
+    assert 1 - z.p == pytest.approx(0.97500210, abs=1e-8)
+
+
+def test_t_tail_against_density(spark):
+    rng = np.random.default_rng(3)
+    rows = [*zip(rng.normal(0, 3, 30), rng.uniform(1, 500, 30)), (0.0, 5.0), (-1.3, 7.0), (1.3, 7.0), (1.96, 2.5)]
+    for r in _tails(spark, rows):
+        assert r.p == pytest.approx(_t_tail(r.t, r.dof), abs=1e-8)
+        assert r.p2 == pytest.approx(2 * _t_tail(abs(r.t), r.dof), abs=1e-8)
 
 
-def test_norm_cdf_constant():
-    assert 1 - norm_sf_np(1.96) == pytest.approx(0.97500210, abs=1e-8)
+def test_t_tail_at_extreme_degrees(spark):
+    # one degree of freedom is the Cauchy law, very many are the normal one
+    for r in _tails(spark, [(0.5, 1.0), (40.0, 1.0)]):
+        assert r.p == pytest.approx(0.5 - math.atan(r.t) / math.pi, abs=1e-10)
+    for r in _tails(spark, [(1.96, 1e9), (5.0, 1e9), (1.96, 1e15)]):
+        assert r.p == pytest.approx(0.5 * math.erfc(r.t / math.sqrt(2)), rel=1e-7)
 
 
-def test_betainc_edges():
-    assert betainc(2.0, 3.0, 0.0) == 0.0
-    assert betainc(2.0, 3.0, 1.0) == 1.0
-    # I_x(1, 1) = x
-    assert betainc(1.0, 1.0, 0.3) == pytest.approx(0.3, abs=1e-14)
-    assert np.isnan(betainc(-1.0, 1.0, 0.3))
+def test_norm_tail(spark):
+    z = spark.createDataFrame([(float(v),) for v in (-3.0, -0.5, 0.0, 0.7, 1.96, 6.0, 12.0)], "z double")
+    for r in z.select("z", tails.norm_sf(F.col("z")).alias("p")).collect():
+        assert r.p == pytest.approx(0.5 * math.erfc(r.z / math.sqrt(2)), abs=1e-10)
 
 
-def test_t_symmetry_and_large_dof():
-    assert t_sf_np(0.0, 5.0) == pytest.approx(0.5)
-    assert t_sf_np(-1.3, 7.0) == pytest.approx(1 - t_sf_np(1.3, 7.0))
-    assert t_sf_np(1.96, 1e7) == pytest.approx(norm_sf_np(1.96), abs=1e-6)
+def test_undefined_tails_are_null(spark):
+    df = spark.createDataFrame([(None, 3.0), (float("nan"), 3.0), (1.0, None), (1.0, 0.0)], "t double, dof double")
+    got = df.select(tails.t_sf(F.col("t"), F.col("dof")).alias("a"), tails.t_two_sided_p(F.col("t"), F.col("dof")).alias("b")).collect()
+    assert all(r.a is None and r.b is None for r in got)
 
 
 def _two_groups(spark, a, b, col="v"):
@@ -49,7 +83,7 @@ def test_welch_fixture(spark):
 
 def test_mann_whitney_fixture_two_sided(spark):
     df = _two_groups(spark, [1, 2, 3, 4], [2, 4, 6, 8, 10])
-    r = X.mann_whitney(df, "v", "g", 1, 2, "two-sided", buckets=3).first()
+    r = X.mann_whitney(df, "v", "g", 1, 2, "two-sided", ranges=3).first()
     assert (r.u_a, r.u_b) == (3.0, 17.0)
     assert r.sigma == pytest.approx(4.0483193, abs=1e-6)
     assert r.p_value == pytest.approx(0.1083608, abs=1e-6)
@@ -67,57 +101,77 @@ def test_mann_whitney_equals_pair_count(spark):
     a = rng.integers(0, 15, 60)
     b = rng.integers(0, 15, 45)
     df = _two_groups(spark, a, b)
-    r = X.mann_whitney_stats(df, "v", "g", 1, 2, buckets=5).first()
+    r = X.mann_whitney_stats(df, "v", "g", 1, 2, ranges=5).first()
     brute = sum((x > y) + 0.5 * (x == y) for x in a for y in b)
     assert r.u_a == pytest.approx(brute)
 
 
-def test_upper_median(spark):
-    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 3.0), (1, 4.0), (2, 1.0), (2, 2.0), (2, 3.0)], "g int, ctr double")
-    got = {r.g: r.m for r in df.groupBy("g").agg(X.upper_median("ctr").alias("m")).collect()}
-    assert got == {1: 3.0, 2: 2.0}
-
-
-def test_poisson_weights_average_one(spark):
-    from pyspark.sql import functions as F
-
-    from feedlens.functions.columns import hashed_uniform, poisson1_weight
-
-    df = spark.range(200000).select(poisson1_weight(hashed_uniform(F.col("id"), seed=3)).alias("w"))
-    r = df.agg(F.avg("w").alias("m"), F.variance("w").alias("v")).first()
-    assert r.m == pytest.approx(1.0, abs=0.01)
-    assert r.v == pytest.approx(1.0, abs=0.02)
-    assert not math.isnan(r.m)
-
-
-def test_jvm_tails_match_arrow(spark):
-    from pyspark.sql import functions as F
-
-    from feedlens.functions import tails
-
-    rng = np.random.default_rng(3)
-    ts = np.concatenate([rng.normal(0, 3, 40), [0.0, 50.0, 1.96]])
-    ds = np.concatenate([rng.uniform(1, 500, 40), [3.0, 2.0, 1e8]])
-    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(ts, ds)], "t double, dof double")
-    got = tails.with_t_sf(df, "t", "dof", "p").orderBy("t", "dof").collect()
-    for r in got:
-        assert r.p == pytest.approx(float(t_sf_np(r.t, r.dof)), abs=1e-8)
-    z = spark.createDataFrame([(float(v),) for v in (-3.0, -0.5, 0.0, 0.7, 1.96, 6.0)], "z double")
-    for r in z.select("z", tails.norm_sf(F.col("z")).alias("p")).collect():
-        assert r.p == pytest.approx(float(norm_sf_np(r.z)), abs=1e-14)
-
-
-def test_welch_jvm_tails(spark):
-    df = _two_groups(spark, [1, 2, 3, 4], [2, 4, 6, 8, 10])
-    r = X.welch_ttest(df, "v", "g", 1, 2, tails="jvm").first()
-    assert r.p_value == pytest.approx(0.0691336, abs=1e-6)
+def test_bucket_upper_median(spark):
+    users = spark.createDataFrame(
+        [(1, i, likes, 10) for i, likes in enumerate([4, 1, 3, 2])] + [(2, 9 + i, likes, 10) for i, likes in enumerate([3, 1, 2, 2])] + [(2, 20, 1, 0)],
+        "exp_group int, user_id long, likes long, views long",
+    ).withColumn("ctr", F.expr("likes / nullif(views, 0)"))
+    got = {r.exp_group: r.median_ctr for r in X.bucket_ctr(users, 1).collect()}
+    assert got == {1: 0.3, 2: 0.2}
+
+
+def test_poisson_bootstrap_agrees_with_users_one_by_one(spark):
+    """Mean and variance of the replicate sums: those of one Poisson(1) weight per
+    user, sum of x and sum of x squared."""
+    rng = np.random.default_rng(5)
+    likes, views = rng.integers(0, 4, 600), rng.integers(1, 9, 600)
+    users = spark.createDataFrame([(1, i, int(a), int(b)) for i, (a, b) in enumerate(zip(likes, views))], "exp_group int, user_id long, likes long, views long")
+    n = 3000
+    got = X.poisson_bootstrap(users, n=n, seed=3).toPandas()
+    for column, x in (("likes", likes), ("views", views)):
+        mean, var = x.sum(), (x * x).sum()
+        assert abs(got[column].mean() - mean) < 5 * math.sqrt(var / n)
+        assert got[column].var() == pytest.approx(var, rel=0.15)
+
+
+def test_log_factorial(spark):
+    from feedlens.functions.columns import log_factorial
+
+    ns = [0, 1, 2, 5, 20, 1000, 10**8]
+    df = spark.createDataFrame([(n,) for n in ns], "n long")
+    for r in df.select("n", log_factorial(F.col("n")).alias("x")).collect():
+        assert r.x == pytest.approx(math.lgamma(r.n + 1), rel=1e-12, abs=1e-11)
+
+
+def test_undefined_tests_are_null(spark):
+    constant = _two_groups(spark, [2, 2, 2], [2, 2])
+    single = _two_groups(spark, [1], [2])
+    empty = _two_groups(spark, [1, 2, 3], [])
+    for df in (constant, single, empty):
+        r = X.welch_ttest(df, "v", "g", 1, 2).first()
+        assert r.p_value is None and r.significant is None
+    for df in (constant, empty):
+        r = X.mann_whitney(df, "v", "g", 1, 2).first()
+        assert r.p_value is None and r.significant is None
+    tied = X.mann_whitney(constant, "v", "g", 1, 2, method="exact").first()
+    assert tied.p_value is None
+
+
+def test_mann_whitney_few_against_many(spark):
+    """Eight values below two thousand others."""
+    df = _two_groups(spark, range(8), range(100, 2100))
+    r = X.mann_whitney(df, "v", "g", 1, 2).first()
+    assert r.method == "asymptotic" and r.significant is True
+    assert r.p_value == pytest.approx(1.0e-6, rel=0.1)
+    e = X.mann_whitney(df, "v", "g", 1, 2, method="exact").first()
+    assert e.p_value == pytest.approx(2 / math.comb(2008, 8), rel=1e-9) and e.significant is True
+
+
+def test_mann_whitney_exact_forty_against_forty(spark):
+    df = _two_groups(spark, range(0, 80, 2), [x + 21 for x in range(0, 80, 2)])
+    r = X.mann_whitney(df, "v", "g", 1, 2, method="exact").first()
+    a = X.mann_whitney(df, "v", "g", 1, 2).first()
+    assert r.p_value == pytest.approx(a.p_value, abs=2e-3) and 0 < r.p_value < 0.01
 
 
 def test_mw_exact_distribution():
     from itertools import combinations
 
-    from feedlens.functions.stats import mw_exact_sf_np
-
     # brute force over all arrangements of 3 + 4 distinct values
     m, n = 3, 4
     us = []
@@ -126,15 +180,14 @@ def test_mw_exact_distribution():
         us.append(ranks - m * (m + 1) / 2)
     for u in range(0, m * n + 1):
         assert mw_exact_sf_np(u, m, n) == pytest.approx(sum(x >= u for x in us) / len(us))
-    assert math.isnan(mw_exact_sf_np(10, 8, 10**6))
+    assert mw_exact_sf_np(8 * 1000, 8, 1000) == pytest.approx(1 / math.comb(1008, 8), rel=1e-9)
 
 
 def test_mann_whitney_exact_small(spark):
     df = _two_groups(spark, [1, 2, 3], [4, 5, 6, 7])
-    r = X.mann_whitney(df, "v", "g", 1, 2, "two-sided").first()
+    r = X.mann_whitney(df, "v", "g", 1, 2, "two-sided", method="exact").first()
     assert r.method == "exact" and r.u_a == 0.0
     assert r.p_value == pytest.approx(2 / 35)
-    r2 = X.mann_whitney(df, "v", "g", 1, 2, "less").first()
-    assert r2.p_value == pytest.approx(1 / 35)
-    r3 = X.mann_whitney(df, "v", "g", 1, 2, "two-sided", method="asymptotic").first()
-    assert r3.method == "asymptotic"
+    assert X.mann_whitney(df, "v", "g", 1, 2, "less", method="exact").first().p_value == pytest.approx(1 / 35)
+    assert X.mann_whitney(df, "v", "g", 1, 2, "greater", method="exact").first().p_value == pytest.approx(1.0)
+    assert X.mann_whitney(df, "v", "g", 1, 2).first().method == "asymptotic"
