@@ -47,7 +47,8 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_s
     spread = spread.select("__key", "__sites").where(F.col("__sites") >= min_sites / NEAR)
     clear = spread.where(F.col("__sites") > min_sites * NEAR).select("__key")
     near = spread.where(F.col("__sites") <= min_sites * NEAR).select("__key")
-    exact = lines.join(near, "__key", "left_semi").groupBy("__key").agg(F.count_distinct("__site").alias("__sites"))
+    # Distinct first (map-side for a frequent line), so the join meets a line's sites, not its rows.
+    exact = lines.distinct().join(near, "__key", "left_semi").groupBy("__key").agg(F.count("*").alias("__sites"))
     return clear.unionByName(exact.where(F.col("__sites") >= min_sites).select("__key"))
 
 
