@@ -161,7 +161,8 @@ def _copies(named: DataFrame) -> DataFrame:
     texts = hashed.groupBy("__doc").agg(*[f(h).alias(f"{f.__name__}_{h}") for h in ("h1", "h2") for f in (F.min, F.max)])
     texts = texts.where("min_h1 = max_h1 AND min_h2 = max_h2").select(F.col("__doc").alias("doc"), F.col("min_h1").alias("h1"), F.col("min_h2").alias("h2"))
     first = texts.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.count("*").alias("many")).where("many > 1")
-    return texts.join(first, ["h1", "h2"]).where("doc <> first").select("doc")
+    # Written first, so that the texts' side of the join can be split where one text stands very often.
+    return texts.join(materialize(first), ["h1", "h2"]).where("doc <> first").select("doc")
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
