@@ -1,26 +1,24 @@
 """Daily-metric forecasting with rolling backtests.
 
-Framing, scaling, folds, scores and model choice are Spark aggregates and
-joins; every operator carries a ``series_id`` so one run covers many series.
-Model fits are per (series, model[, fold]) groups of a few hundred rows at
-most, run with ``applyInPandas``:
+Framing, scaling, model fits, folds, scores and model choice are Spark SQL; every
+operator carries a ``series_id`` so one run covers many series.  A fit is one row
+per (series, fold): covariances of its training days, and the days themselves as
+one sorted array (a series' days are a calendar-sized list).
 
-* ``linear``      least-squares trend (also available fully in Spark SQL: ``linear_trend``)
+* ``linear``      least-squares trend
 * ``linear_reg``  trend plus regressors with non-negative coefficients
 * ``damped``      damped local trend (Holt), smoothing and damping grid-fitted
 * ``damped_reg``  non-negative regressors, damped local trend on the rest
 
-Intervals: empirical 5 % / 95 % quantiles of in-sample one-step errors,
-widened by sqrt(steps ahead).
+Intervals: empirical 5 % / 95 % quantiles of in-sample one-step errors; those of
+the local trends grow with the square root of the steps ahead.
 """
 
 from __future__ import annotations
 
-import itertools
+import json
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import as_date, safe_ratio, to_day
@@ -97,132 +95,148 @@ def linear_trend(train: DataFrame, future: DataFrame, y: str, model: str = "line
 
 
 # ------------------------------------------------------------- model fits
-def _nonneg_lstsq(X: np.ndarray, y: np.ndarray, free: int, ridge: float = 1e-6) -> np.ndarray:
-    """Least squares with the columns after the first ``free`` constrained >= 0
-    (exhaustive active set: the constrained block is tiny)."""
-    k = X.shape[1]
-    best, best_sse = np.zeros(k), np.inf
-    constrained = list(range(free, k))
-    for r in range(len(constrained) + 1):
-        for subset in itertools.combinations(constrained, r):
-            cols = list(range(free)) + list(subset)
-            A = X[:, cols]
-            if A.shape[1] == 0:
-                coef, sse = np.zeros(0), float(np.sum(y * y))
-            else:
-                coef = np.linalg.solve(A.T @ A + ridge * np.eye(len(cols)), A.T @ y)
-                sse = float(np.sum((y - A @ coef) ** 2))
-            if np.any(coef[free:] < 0):
-                continue
-            if sse < best_sse - 1e-12:
-                full = np.zeros(k)
-                full[cols] = coef
-                best, best_sse = full, sse
-    return best
-
-
-_ALPHAS = np.linspace(0.05, 0.95, 10)
-_BETAS = np.linspace(0.05, 0.5, 6)
-_PHIS = np.array([0.8, 0.85, 0.9, 0.95, 0.98])
-
-
-def _damped_fit(y: np.ndarray):
-    """Damped local trend: grid-fit (alpha, beta, phi) on one-step SSE.
-    Returns (level, trend, phi, one-step errors)."""
-    n = len(y)
-    if n == 0:
-        return 0.0, 0.0, 1.0, np.zeros(0)
-    if n == 1:
-        return float(y[0]), 0.0, 1.0, np.zeros(0)
-    best = None
-    for a in _ALPHAS:
-        for b in _BETAS:
-            for phi in _PHIS:
-                level, trend = y[0], y[1] - y[0]
-                errs = np.empty(n - 1)
-                for i in range(1, n):
-                    fc = level + phi * trend
-                    errs[i - 1] = y[i] - fc
-                    new_level = a * y[i] + (1 - a) * fc
-                    trend = b * (new_level - level) + (1 - b) * phi * trend
-                    level = new_level
-                sse = float(np.sum(errs * errs))
-                if best is None or sse < best[0]:
-                    best = (sse, level, trend, phi, errs.copy())
-    return best[1], best[2], best[3], best[4]
-
-
-def _fit_predict(model: str, t_tr, y_tr, X_tr, t_fu, X_fu):
-    """Predictions and interval half-widths for one series and model."""
-    steps = np.maximum(t_fu - (t_tr.max() if len(t_tr) else 0), 1).astype(float)
-    ones_tr, ones_fu = np.ones_like(t_tr), np.ones_like(t_fu)
-    if X_tr.shape[1]:
-        keep = [j for j in range(X_tr.shape[1]) if np.ptp(X_tr[:, j]) > 0]
-        X_tr, X_fu = X_tr[:, keep], X_fu[:, keep]
-    if model in ("linear", "linear_reg"):
-        if model == "linear" or X_tr.shape[1] == 0:
-            A_tr, A_fu = np.column_stack([ones_tr, t_tr]), np.column_stack([ones_fu, t_fu])
-        else:
-            A_tr, A_fu = np.column_stack([ones_tr, t_tr, X_tr]), np.column_stack([ones_fu, t_fu, X_fu])
-        coef = _nonneg_lstsq(A_tr, y_tr, free=2) if len(y_tr) else np.zeros(A_tr.shape[1])
-        pred = A_fu @ coef
-        errs = y_tr - A_tr @ coef
-    else:
-        reg_tr = np.zeros_like(y_tr)
-        reg_fu = np.zeros(len(t_fu))
-        if model == "damped_reg" and X_tr.shape[1] and len(y_tr):
-            A_tr = np.column_stack([ones_tr, t_tr, X_tr])
-            coef = _nonneg_lstsq(A_tr, y_tr, free=2)
-            c = coef[2:]
-            reg_tr, reg_fu = X_tr @ c, X_fu @ c
-        level, trend, phi, errs = _damped_fit(y_tr - reg_tr)
-        damp = np.array([np.sum(phi ** np.arange(1, int(h) + 1)) for h in steps])
-        pred = level + damp * trend + reg_fu
-    if len(errs) >= 2:
-        q_lo, q_hi = np.quantile(errs, 0.05), np.quantile(errs, 0.95)
-        lo, hi = pred + q_lo * np.sqrt(steps), pred + q_hi * np.sqrt(steps)
-    else:
-        lo = hi = np.full(len(pred), np.nan)
-    return pred, lo, hi
-
-
-def _model_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    model = pdf["model"].iloc[0]
-    pdf = pdf.sort_values("day")
-    tr = pdf[pdf["role"] == "train"]
-    fu = pdf[pdf["role"] != "train"]
-    t0 = tr["day"].min() if len(tr) else fu["day"].min()
-    t_tr = np.array([(d - t0).days for d in tr["day"]], dtype=float)
-    t_fu = np.array([(d - t0).days for d in fu["day"]], dtype=float)
-    X_tr = tr[REGRESSORS].to_numpy(dtype=float, na_value=0.0) if model.endswith("_reg") else np.zeros((len(tr), 0))
-    X_fu = fu[REGRESSORS].to_numpy(dtype=float, na_value=0.0) if model.endswith("_reg") else np.zeros((len(fu), 0))
-    y_tr = tr["y"].to_numpy(dtype=float, na_value=np.nan)
-    ok = ~np.isnan(y_tr)
-    pred, lo, hi = _fit_predict(model, t_tr[ok], y_tr[ok], X_tr[ok], t_fu, X_fu)
-    return pd.DataFrame(
-        {
-            "series_id": fu["series_id"].to_numpy(),
-            "fold": fu["fold"].to_numpy(),
-            "model": model,
-            "day": fu["day"].to_numpy(),
-            "actual": fu["y"].to_numpy(dtype=float, na_value=np.nan),
-            "prediction": pred,
-            "lo": lo,
-            "hi": hi,
-        }
+# The grid of smoothing (level, trend) and damping parameters.
+GRID = [
+    (a / 100, b / 100, phi)
+    for a in range(5, 100, 10)
+    for b in range(5, 51, 9)
+    for phi in (0.8, 0.85, 0.9, 0.95, 0.98)
+]
+#: Share of a regressor's variance that the trend must leave for it to be used.
+INDEPENDENT = 1e-9
+
+
+def _t(day: str = "day") -> Column:
+    return F.datediff(F.col(day), F.lit("2000-01-01").cast("date")).cast("double")
+
+
+def _nonnegative(fit: DataFrame) -> DataFrame:
+    """Coefficients ``b1`` and ``b2`` >= 0 of the two regressors beside the trend:
+    the least-squares solutions of the four sets of regressors in closed form, on
+    what the trend leaves of each variable; the feasible one of least squared
+    error is taken."""
+    pairs = {"11": "11", "22": "22", "12": "12", "1y": "1y", "2y": "2y", "yy": "yy"}
+    fit = fit.withColumns(
+        {f"r{p}": F.col(f"c{p}") - F.try_divide(F.col(f"ct{p[0]}") * F.col(f"ct{p[1]}"), F.col("ctt")) for p in pairs}
+    )
+    r11, r22, r12, r1y, r2y, ryy = (F.col(f"r{p}") for p in pairs)
+    det = r11 * r22 - r12 * r12
+    one, two = r11 > F.col("c11") * INDEPENDENT, r22 > F.col("c22") * INDEPENDENT
+    both1, both2 = F.try_divide(r22 * r1y - r12 * r2y, det), F.try_divide(r11 * r2y - r12 * r1y, det)
+    zero = F.lit(0.0)
+
+    def choice(k: int, b1: Column, b2: Column, usable: Column) -> Column:
+        sse = ryy - b1 * r1y - b2 * r2y
+        return F.when(usable & (b1 >= 0) & (b2 >= 0), F.struct(sse.alias("sse"), F.lit(k).alias("k"), b1.alias("b1"), b2.alias("b2")))
+
+    choices = F.array(
+        choice(0, zero, zero, F.lit(True)),
+        choice(1, F.try_divide(r1y, r11), zero, one),
+        choice(2, zero, F.try_divide(r2y, r22), two),
+        choice(3, both1, both2, one & two & (det > r11 * r22 * INDEPENDENT)),
+    )
+    fit = fit.withColumn("best", F.array_min(F.filter(choices, lambda x: x.isNotNull())))
+    return fit.withColumns({"b1": F.col("best.b1"), "b2": F.col("best.b2")})
+
+
+def _damped(values: Column) -> Column:
+    """Damped local trend of an array: (sse, k, level, trend, phi, errors) of the
+    grid's best parameters by squared one-step errors."""
+    first = F.get(values, 0)
+    trend = F.coalesce(F.get(values, 1) - first, F.lit(0.0))
+
+    def walk(g: Column, with_errors: bool) -> Column:
+        start = {"level": first, "trend": trend, "sse": F.lit(0.0)}
+        if with_errors:
+            start["errors"] = F.array().cast("array<double>")
+
+        def step(s: Column, y: Column) -> Column:
+            ahead = s["level"] + g["phi"] * s["trend"]
+            level = g["a"] * y + (1.0 - g["a"]) * ahead
+            out = {
+                "level": level,
+                "trend": g["b"] * (level - s["level"]) + (1.0 - g["b"]) * g["phi"] * s["trend"],
+                "sse": s["sse"] + (y - ahead) * (y - ahead),
+            }
+            if with_errors:
+                out["errors"] = F.concat(s["errors"], F.array(y - ahead))
+            return F.struct(*[v.alias(k) for k, v in out.items()])
+
+        rest = F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0)))
+        return F.aggregate(rest, F.struct(*[v.alias(k) for k, v in start.items()]), step)
+
+    grid = F.from_json(
+        F.lit(json.dumps([{"k": k, "a": a, "b": b, "phi": phi} for k, (a, b, phi) in enumerate(GRID)])),
+        "array<struct<k:int,a:double,b:double,phi:double>>",
     )
+    tried = F.transform(grid, lambda g: F.struct(walk(g, False)["sse"].alias("sse"), g.alias("g")))
+    chosen = F.array_min(tried)["g"]
+    return F.transform(F.array(chosen), lambda g: F.struct(walk(g, True).alias("end"), g["phi"].alias("phi")))[0]
 
 
-_OUT = "series_id string, fold int, model string, day date, actual double, prediction double, lo double, hi double"
+def _quantile(sorted_values: Column, q: float) -> Column:
+    """Linearly interpolated quantile of a sorted array; NULL below two values."""
+    at = (F.size(sorted_values) - 1) * F.lit(q)
+    low = F.floor(at).cast("int")
+    here, above = F.get(sorted_values, low), F.get(sorted_values, low + 1)
+    return F.when(F.size(sorted_values) >= 2, here + F.coalesce((above - here) * (at - low), F.lit(0.0)))
 
 
 def fit_models(rows: DataFrame, models=MODELS) -> DataFrame:
     """Fit each model on the 'train' rows of every (series_id, fold) group and
-    predict its other rows.  ``rows``: series_id, fold, role, day, y, dau_std, anomaly."""
-    exploded = rows.select(
-        "series_id", "fold", "role", "day", "y", *REGRESSORS, F.explode(F.array(*[F.lit(m) for m in models])).alias("model")
+    predict its other rows.  ``rows``: series_id, fold, role, day, y, dau_std, anomaly.
+
+    Training rows without ``y`` are left out; a missing regressor counts as 0.  A
+    trend needs two training days, else its predictions are NULL."""
+    keys = ["series_id", "fold"]
+    x1, x2 = (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in REGRESSORS)
+    rows = rows.select(*keys, "role", "day", F.col("y").cast("double").alias("y"), x1.alias("x1"), x2.alias("x2"), _t().alias("t"))
+    named = {"t": "t", "1": "x1", "2": "x2", "y": "y"}
+    train = rows.filter((F.col("role") == "train") & F.col("y").isNotNull())
+    fit = train.groupBy(*keys).agg(
+        F.max("day").alias("last"),
+        *[F.avg(c).alias(f"m{k}") for k, c in named.items()],
+        *[F.covar_samp(named[p[0]], named[p[1]]).alias(f"c{p}") for p in ("tt", "t1", "t2", "ty", "11", "22", "12", "1y", "2y", "yy")],
+        F.sort_array(F.collect_list(F.struct("day", "t", "y", "x1", "x2"))).alias("points"),
+    )
+    fit = _nonnegative(fit)
+    used = {m: (F.col("b1"), F.col("b2")) if m.endswith("_reg") else (F.lit(0.0), F.lit(0.0)) for m in models}
+
+    def line(m: str, t: Column, x1: Column, x2: Column) -> Column:
+        b1, b2 = used[m]
+        return F.col("my") + F.col(f"{m}_slope") * (t - F.col("mt")) + b1 * (x1 - F.col("m1")) + b2 * (x2 - F.col("m2"))
+
+    def line_errors(m: str) -> Column:
+        errors = F.transform("points", lambda p: p["y"] - line(m, p["t"], p["x1"], p["x2"]))
+        return F.filter(errors, lambda e: e.isNotNull())
+
+    def beside_regressors(m: str) -> Column:
+        b1, b2 = used[m]
+        return F.transform("points", lambda p: p["y"] - b1 * p["x1"] - b2 * p["x2"])
+
+    for m, (b1, b2) in used.items():
+        if m.startswith("linear"):
+            fit = fit.withColumn(f"{m}_slope", F.try_divide(F.col("cty") - b1 * F.col("ct1") - b2 * F.col("ct2"), F.col("ctt")))
+            errors = line_errors(m)
+        else:
+            fit = fit.withColumn(f"{m}_fit", _damped(beside_regressors(m)))
+            errors = F.col(f"{m}_fit.end.errors")
+        fit = fit.withColumn(f"{m}_errors", F.sort_array(errors))
+    ahead = rows.filter(F.col("role") != "train").join(fit, keys, "left")
+    steps = F.greatest(F.datediff("day", "last"), F.lit(1)).cast("double")
+    out = []
+    for m, (b1, b2) in used.items():
+        if m.startswith("linear"):
+            value, growth = line(m, F.col("t"), F.col("x1"), F.col("x2")), F.lit(1.0)
+        else:
+            phi, end = F.col(f"{m}_fit.phi"), F.col(f"{m}_fit.end")
+            value = end["level"] + end["trend"] * phi * (1.0 - F.pow(phi, steps)) / (1.0 - phi) + b1 * F.col("x1") + b2 * F.col("x2")
+            growth = F.sqrt(steps)
+        low, high = (value + _quantile(F.col(f"{m}_errors"), q) * growth for q in (0.05, 0.95))
+        out.append(F.struct(F.lit(m).alias("model"), value.alias("prediction"), low.alias("lo"), high.alias("hi")))
+    return ahead.select(*keys, "day", F.col("y").alias("actual"), F.inline(F.array(*out))).select(
+        "series_id", "fold", "model", "day", "actual", "prediction", "lo", "hi"
     )
-    return exploded.groupBy("series_id", "model", "fold").applyInPandas(_model_group, _OUT)
 
 
 # --------------------------------------------------------------- forecasts
@@ -238,7 +252,7 @@ def prepare(feed: DataFrame, as_of, anomaly: tuple, holdout_days: int = 14, by=N
 def forecast(prepared: DataFrame, horizon: int = 30, models=MODELS, y: str = "views_std") -> DataFrame:
     """F5-F8 + F13: forecasts of ``y`` for ``horizon`` days after training, with
     intervals.  The DAU regressor of the future is itself forecast first
-    (linear trend of ``dau_std``) and joined on day."""
+    (linear trend of ``dau_std``) and joined on day; it is kept as ``dau_std``."""
     train = prepared.filter(F.col("part") == "train")
     future = future_frame(train, horizon)
     dau_future = linear_trend(train, future, "dau_std", "dau").select("series_id", "day", F.col("prediction").alias("dau_std"))
@@ -250,15 +264,18 @@ def forecast(prepared: DataFrame, horizon: int = 30, models=MODELS, y: str = "vi
             "series_id", F.lit(0).alias("fold"), F.lit("future").alias("role"), "day", F.lit(None).cast("double").alias("y"), *REGRESSORS
         )
     )
-    return fit_models(rows, models).drop("fold", "actual")
+    # The DAU forecast rides along, for its own comparison in users.
+    return fit_models(rows, models).drop("fold", "actual").join(dau_future, ["series_id", "day"], "left")
 
 
 def compare(prepared: DataFrame, forecasts: DataFrame) -> DataFrame:
     """test-period actuals beside each model's forecast in original units
-    (joined on day, never by position); error = forecast - actual."""
-    test = prepared.filter(F.col("part") == "test")
+    (joined on day, never by position), views in views and DAU in users; error =
+    forecast - actual."""
+    test = prepared.filter(F.col("part") == "test").drop("dau_std")
     joined = test.join(forecasts, ["series_id", "day"])
     views_pred = F.col("prediction") * F.col("views_sd") + F.col("views_mean")
+    dau_pred = F.col("dau_std") * F.col("dau_sd") + F.col("dau_mean")
     return joined.select(
         "series_id",
         "day",
@@ -268,6 +285,9 @@ def compare(prepared: DataFrame, forecasts: DataFrame) -> DataFrame:
         (views_pred - F.col("views")).alias("error"),
         (F.col("lo") * F.col("views_sd") + F.col("views_mean")).alias("views_lo"),
         (F.col("hi") * F.col("views_sd") + F.col("views_mean")).alias("views_hi"),
+        "dau",
+        dau_pred.alias("dau_pred"),
+        (dau_pred - F.col("dau")).alias("dau_error"),
     )
 
 

@@ -1,6 +1,6 @@
-"""Registered forecasting queries (F1-F13).  Framing, scaling, the future
-frame, the linear trend and the fold table have DuckDB oracles; model fits
-(damped trend, non-negative regressors) are rows-only."""
+"""Registered forecasting queries (F1-F13) with DuckDB oracles.  The oracles of
+the model fits walk the damped trends with a recursive query and choose the
+non-negative regressors by a ranked list of candidates."""
 
 from __future__ import annotations
 
@@ -102,20 +102,126 @@ def q_forecast_linear(spark, sf_dir):
     return out.withColumn("prediction", F.round("prediction", 8))
 
 
-@register("forecast_models")
+_DAU_FUTURE_SQL = """
+, dt AS (SELECT series_id, regr_slope(dau_std, epoch(day) / 86400) AS slope, regr_intercept(dau_std, epoch(day) / 86400) AS intercept
+         FROM z WHERE part = 'train' GROUP BY 1)
+, dauf AS (SELECT fut.series_id, fut.day, fut.anomaly, dt.intercept + dt.slope * (epoch(fut.day) / 86400) AS dau_std FROM fut JOIN dt USING (series_id))
+, fr AS (
+  SELECT series_id, 0 AS fold, 'train' AS role, day, views_std AS y, dau_std, anomaly FROM z WHERE part = 'train'
+  UNION ALL SELECT series_id, 0, 'future', day, NULL, dau_std, anomaly FROM dauf)
+"""
+_GRID_SQL = ", ".join(f"({k}, {a!r}::DOUBLE, {b!r}::DOUBLE, {phi!r}::DOUBLE)" for k, (a, b, phi) in enumerate(FC.GRID))
+_SAME = "a.series_id = b.series_id AND a.fold = b.fold"
+_MODELS_SQL = f"""
+, pt AS (SELECT series_id, fold, role, day, CAST(y AS DOUBLE) AS y, epoch(day) / 86400 AS t, coalesce(dau_std, 0.0) AS x1, coalesce(CAST(anomaly AS DOUBLE), 0.0) AS x2 FROM fr)
+, tr AS (SELECT *, row_number() OVER (PARTITION BY series_id, fold ORDER BY day) AS i FROM pt WHERE role = 'train' AND y IS NOT NULL)
+, tc AS (SELECT *, t - avg(t) OVER w AS dt, y - avg(y) OVER w AS dy, x1 - avg(x1) OVER w AS d1, x2 - avg(x2) OVER w AS d2
+         FROM tr WINDOW w AS (PARTITION BY series_id, fold))
+, tp AS (SELECT series_id, fold, sum(dt * dy) / nullif(sum(dt * dt), 0) AS by_, sum(dt * d1) / nullif(sum(dt * dt), 0) AS b1_,
+                sum(dt * d2) / nullif(sum(dt * dt), 0) AS b2_, sum(d1 * d1) AS c11, sum(d2 * d2) AS c22 FROM tc GROUP BY 1, 2)
+, rs AS (SELECT a.*, dy - by_ * dt AS ry, d1 - b1_ * dt AS r1, d2 - b2_ * dt AS r2 FROM tc a JOIN tp b ON {_SAME})
+, sm AS (SELECT a.series_id, a.fold, any_value(c11) AS c11, any_value(c22) AS c22, sum(r1 * r1) AS r11, sum(r2 * r2) AS r22,
+                sum(r1 * r2) AS r12, sum(r1 * ry) AS r1y, sum(r2 * ry) AS r2y, sum(ry * ry) AS ryy FROM rs a JOIN tp b ON {_SAME} GROUP BY 1, 2)
+, cand AS (
+  SELECT series_id, fold, 0 AS k, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, ryy, r1y, r2y FROM sm
+  UNION ALL SELECT series_id, fold, 1, r1y / r11, 0.0, ryy, r1y, r2y FROM sm WHERE r11 > c11 * {FC.INDEPENDENT}
+  UNION ALL SELECT series_id, fold, 2, 0.0, r2y / r22, ryy, r1y, r2y FROM sm WHERE r22 > c22 * {FC.INDEPENDENT}
+  UNION ALL SELECT series_id, fold, 3, (r22 * r1y - r12 * r2y) / (r11 * r22 - r12 * r12), (r11 * r2y - r12 * r1y) / (r11 * r22 - r12 * r12), ryy, r1y, r2y
+    FROM sm WHERE r11 > c11 * {FC.INDEPENDENT} AND r22 > c22 * {FC.INDEPENDENT} AND r11 * r22 - r12 * r12 > r11 * r22 * {FC.INDEPENDENT})
+, reg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id, fold ORDER BY ryy - b1 * r1y - b2 * r2y, k) AS rn
+                         FROM cand WHERE b1 >= 0 AND b2 >= 0) q WHERE rn = 1)
+, coefs AS (
+  SELECT series_id, fold, m.model, CASE WHEN m.model LIKE '%reg' THEN b1 ELSE 0 END AS b1, CASE WHEN m.model LIKE '%reg' THEN b2 ELSE 0 END AS b2
+  FROM reg, (VALUES ('linear'), ('linear_reg'), ('damped'), ('damped_reg')) m(model))
+, lf AS (
+  SELECT b.model, a.series_id, a.fold, any_value(b.b1) AS b1, any_value(b.b2) AS b2,
+         regr_slope(y - b.b1 * x1 - b.b2 * x2, t) AS slope, regr_intercept(y - b.b1 * x1 - b.b2 * x2, t) AS intercept
+  FROM tr a JOIN coefs b ON {_SAME} WHERE b.model LIKE 'linear%' GROUP BY 1, 2, 3)
+, le AS (SELECT b.model, a.series_id, a.fold, y - (intercept + slope * t + b1 * x1 + b2 * x2) AS e FROM tr a JOIN lf b ON {_SAME})
+, ys AS (SELECT b.model, a.series_id, a.fold, a.i, a.y - b.b1 * a.x1 - b.b2 * a.x2 AS y FROM tr a JOIN coefs b ON {_SAME} WHERE b.model LIKE 'damped%')
+, grid(k, a, b, phi) AS (VALUES {_GRID_SQL})
+, walk AS (
+  SELECT s.model, s.series_id, s.fold, g.k, g.a, g.b, g.phi, s.i, s.y AS level, coalesce(n.y - s.y, 0) AS trend, 0.0::DOUBLE AS sse, NULL::DOUBLE AS e
+  FROM ys s LEFT JOIN ys n ON n.model = s.model AND n.series_id = s.series_id AND n.fold = s.fold AND n.i = 2 CROSS JOIN grid g WHERE s.i = 1
+  UNION ALL
+  SELECT w.model, w.series_id, w.fold, w.k, w.a, w.b, w.phi, s.i, w.a * s.y + (1 - w.a) * (w.level + w.phi * w.trend),
+         w.b * (w.a * s.y + (1 - w.a) * (w.level + w.phi * w.trend) - w.level) + (1 - w.b) * w.phi * w.trend,
+         w.sse + (s.y - (w.level + w.phi * w.trend)) * (s.y - (w.level + w.phi * w.trend)), s.y - (w.level + w.phi * w.trend)
+  FROM walk w JOIN ys s ON s.model = w.model AND s.series_id = w.series_id AND s.fold = w.fold AND s.i = w.i + 1)
+, df AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, series_id, fold ORDER BY i DESC, sse, k) AS rn FROM walk) q WHERE rn = 1)
+, de AS (SELECT w.model, w.series_id, w.fold, w.e FROM walk w JOIN df USING (model, series_id, fold, k) WHERE w.e IS NOT NULL)
+, qt AS (SELECT model, series_id, fold, CASE WHEN count(e) >= 2 THEN quantile_cont(e, 0.05) END AS q1, CASE WHEN count(e) >= 2 THEN quantile_cont(e, 0.95) END AS q2
+         FROM (SELECT * FROM le WHERE e IS NOT NULL UNION ALL SELECT * FROM de) x GROUP BY 1, 2, 3)
+, ends AS (SELECT series_id, fold, max(day) AS last FROM tr GROUP BY 1, 2)
+, ah AS (SELECT a.*, greatest(a.day - b.last, 1) AS h FROM pt a JOIN ends b ON {_SAME} WHERE a.role <> 'train')
+, pred AS (
+  SELECT b.model, a.series_id, a.fold, a.day, a.y AS actual, 1.0::DOUBLE AS growth, intercept + slope * t + b1 * x1 + b2 * x2 AS prediction FROM ah a JOIN lf b ON {_SAME}
+  UNION ALL
+  SELECT b.model, a.series_id, a.fold, a.day, a.y, sqrt(a.h::DOUBLE), b.level + b.trend * b.phi * (1 - pow(b.phi, a.h)) / (1 - b.phi) + c.b1 * a.x1 + c.b2 * a.x2
+  FROM ah a JOIN df b ON {_SAME} JOIN coefs c ON c.model = b.model AND c.series_id = a.series_id AND c.fold = a.fold)
+, bt AS (SELECT p.series_id, p.fold, p.model, p.day, p.actual, p.prediction, p.prediction + q1 * growth AS lo, p.prediction + q2 * growth AS hi
+         FROM pred p LEFT JOIN qt USING (model, series_id, fold))
+"""
+
+
+def _recursive(sql: str) -> str:
+    return with_fixtures(sql).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_FORECAST_SQL = _FUTURE_SQL + _DAU_FUTURE_SQL + _MODELS_SQL
+_FORECAST_SELECT = """SELECT bt.series_id, bt.day, model, round(prediction, 6) AS prediction, round(lo, 6) AS lo, round(hi, 6) AS hi, round(d.dau_std, 6) AS dau_std
+FROM bt JOIN dauf d ON d.series_id = bt.series_id AND d.day = bt.day"""
+
+
+def _rounded(df, columns, digits=6):
+    return df.select(*[F.round(c, digits).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+_FORECAST_ROUND = ["prediction", "lo", "hi", "dau_std"]
+
+
+@register("forecast_models", _recursive(_PREPARED_SQL + _FORECAST_SQL + _FORECAST_SELECT))
 def q_forecast_models(spark, sf_dir):
-    return FC.forecast(_prepared(spark, sf_dir), HORIZON_DAYS)
+    return _rounded(FC.forecast(_prepared(spark, sf_dir), HORIZON_DAYS), _FORECAST_ROUND)
+
 
+_PREPARED_BY_OS_SQL = _PREPARED_SQL.replace(_series_sql(), _series_sql("coalesce(CAST(os AS VARCHAR), 'NULL')"))
 
-@register("forecast_models_by_os")
+
+@register("forecast_models_by_os", _recursive(_PREPARED_BY_OS_SQL + _FORECAST_SQL + _FORECAST_SELECT))
 def q_forecast_models_by_os(spark, sf_dir):
-    return FC.forecast(_prepared(spark, sf_dir, ["os"]), HORIZON_DAYS)
+    return _rounded(FC.forecast(_prepared(spark, sf_dir, ["os"]), HORIZON_DAYS), _FORECAST_ROUND)
+
 
+_COMPARE_ROUND = ["views_pred", "error", "views_lo", "views_hi", "dau_pred", "dau_error"]
+_COMPARE_SELECT = """SELECT z.series_id, z.day, bt.model, z.views, round(prediction * views_sd + views_mean, 6) AS views_pred,
+       round(prediction * views_sd + views_mean - z.views, 6) AS error, round(lo * views_sd + views_mean, 6) AS views_lo,
+       round(hi * views_sd + views_mean, 6) AS views_hi, z.dau, round(d.dau_std * dau_sd + dau_mean, 6) AS dau_pred,
+       round(d.dau_std * dau_sd + dau_mean - z.dau, 6) AS dau_error
+FROM z JOIN bt ON bt.series_id = z.series_id AND bt.day = z.day JOIN dauf d ON d.series_id = z.series_id AND d.day = z.day WHERE z.part = 'test'"""
 
-@register("forecast_compare")
+
+@register("forecast_compare", _recursive(_PREPARED_SQL + _FORECAST_SQL + _COMPARE_SELECT))
 def q_forecast_compare(spark, sf_dir):
     p = _prepared(spark, sf_dir)
-    return FC.compare(p, FC.forecast(p, HORIZON_DAYS))
+    return _rounded(FC.compare(p, FC.forecast(p, HORIZON_DAYS)), _COMPARE_ROUND)
+
+
+@register(
+    "forecast_dau",
+    _recursive(
+        _PREPARED_SQL
+        + _FUTURE_SQL
+        + _DAU_FUTURE_SQL
+        + """SELECT z.series_id, z.day, z.dau, round(d.dau_std * dau_sd + dau_mean, 6) AS dau_pred, round(d.dau_std * dau_sd + dau_mean - z.dau, 6) AS dau_error
+FROM z JOIN dauf d ON d.series_id = z.series_id AND d.day = z.day WHERE z.part = 'test'"""
+    ),
+)
+def q_forecast_dau(spark, sf_dir):
+    """The DAU forecast of the test days, in users."""
+    p = _prepared(spark, sf_dir)
+    out = FC.compare(p, FC.forecast(p, HORIZON_DAYS, ["linear"]))
+    return _rounded(out.select("series_id", "day", "dau", "dau_pred", "dau_error"), _COMPARE_ROUND)
 
 
 _FOLDS_SQL = """, idx AS (SELECT series_id, day, views_std AS y, dau_std, anomaly,
@@ -136,9 +242,27 @@ def q_backtest_folds(spark, sf_dir):
     return f.withColumn("y", F.round("y", ROUND)).withColumn("dau_std", F.round("dau_std", ROUND))
 
 
-@register("backtest")
+_FOLD_ROWS_SQL = (
+    _FOLDS_SQL.replace("SELECT idx.series_id, f.fold", "SELECT idx.series_id AS series_id, f.fold AS fold", 1)
+    .replace("round(idx.y, 10) AS y", "idx.y AS y")
+    .replace("round(idx.dau_std, 10) AS dau_std", "idx.dau_std AS dau_std")
+    .replace("\nSELECT idx.series_id", "\n, fr AS (SELECT idx.series_id", 1)
+    + ")"
+)
+_BACKTEST_ROUND = ["actual", "prediction", "lo", "hi"]
+
+
+@register(
+    "backtest",
+    _recursive(
+        _PREPARED_SQL
+        + _FOLD_ROWS_SQL
+        + _MODELS_SQL
+        + "SELECT series_id, fold, model, day, round(actual, 6) AS actual, round(prediction, 6) AS prediction, round(lo, 6) AS lo, round(hi, 6) AS hi FROM bt"
+    ),
+)
 def q_backtest(spark, sf_dir):
-    return FC.backtest(_prepared(spark, sf_dir))
+    return _rounded(FC.backtest(_prepared(spark, sf_dir)), _BACKTEST_ROUND)
 
 
 def _scores(spark, sf_dir):
@@ -146,50 +270,58 @@ def _scores(spark, sf_dir):
     return FC.score(FC.backtest(p), FC.folds(p))
 
 
-@register("backtest_scores")
+_METRICS = ["smape", "wmape", "mape", "mse", "mae", "rmsse"]
+_SCORES_SQL = """, naive AS (SELECT series_id, fold, avg(d * d) AS naive_mse FROM (
+              SELECT series_id, fold, y - lag(y) OVER (PARTITION BY series_id, fold ORDER BY day) AS d
+              FROM fr WHERE role = 'train') x GROUP BY 1, 2)
+, terms AS (SELECT bt.series_id, model, prediction - actual AS e, actual, prediction,
+                   2.0 * abs(prediction - actual) / NULLIF(abs(actual) + abs(prediction), 0) AS t_smape,
+                   abs(prediction - actual) / NULLIF(abs(actual), 0) AS t_mape,
+                   (prediction - actual) * (prediction - actual) / NULLIF(naive_mse, 0) AS t_rmsse
+            FROM bt LEFT JOIN naive USING (series_id, fold))
+, agg AS (SELECT series_id, model, count(*) AS n_points,
+                 avg(t_smape) AS smape, count(t_smape) AS used_smape,
+                 sum(abs(e)) / NULLIF(sum(abs(actual)), 0) AS wmape, count(e) AS used_wmape,
+                 avg(t_mape) AS mape, count(t_mape) AS used_mape,
+                 avg(e * e) AS mse, count(e) AS used_mse,
+                 avg(abs(e)) AS mae, count(e) AS used_mae,
+                 sqrt(avg(t_rmsse)) AS rmsse, count(t_rmsse) AS used_rmsse
+          FROM terms GROUP BY 1, 2)
+, long AS (""" + "\nUNION ALL\n".join(f"SELECT series_id, model, n_points, '{m}' AS metric, {m} AS value, used_{m} AS n_used FROM agg" for m in _METRICS) + ")\n"
+_ALL_SCORES_SQL = _PREPARED_SQL + _FOLD_ROWS_SQL + _MODELS_SQL + _SCORES_SQL
+
+
+@register("backtest_scores", _recursive(_ALL_SCORES_SQL + "SELECT series_id, model, n_points, metric, round(value, 6) AS value, n_used FROM long"))
 def q_backtest_scores(spark, sf_dir):
-    return _scores(spark, sf_dir)
+    return _rounded(_scores(spark, sf_dir), ["value"])
 
 
-@register("best_model")
+@register(
+    "best_model",
+    _recursive(
+        _ALL_SCORES_SQL
+        + """SELECT series_id, metric, model AS best_model, round(value, 6) AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id, metric ORDER BY value, model) AS rn FROM long WHERE value IS NOT NULL) q WHERE rn = 1"""
+    ),
+)
 def q_best_model(spark, sf_dir):
-    return FC.best_model(_scores(spark, sf_dir))
+    return _rounded(FC.best_model(_scores(spark, sf_dir)), ["value"])
 
 
 _LINEAR_SCORES_SQL = (
     _PREPARED_SQL
-    + _FOLDS_SQL.replace("SELECT idx.series_id, f.fold", "SELECT idx.series_id AS series_id, f.fold AS fold", 1)
-    .replace("round(idx.y, 10) AS y", "idx.y AS y")
-    .replace("\nSELECT idx.series_id", "\n, fr AS (SELECT idx.series_id", 1)
-    + """)
+    + _FOLD_ROWS_SQL
+    + """
 , t0 AS (SELECT series_id, fold, min(day) AS t0 FROM fr WHERE role = 'train' GROUP BY 1, 2)
 , coef AS (SELECT fr.series_id, fr.fold, regr_slope(y, CAST(fr.day - t0.t0 AS DOUBLE)) AS slope,
                   regr_intercept(y, CAST(fr.day - t0.t0 AS DOUBLE)) AS intercept
            FROM fr JOIN t0 USING (series_id, fold) WHERE role = 'train' GROUP BY 1, 2)
-, bt AS (SELECT fr.series_id, fr.fold, fr.day, fr.y AS actual,
+, bt AS (SELECT fr.series_id, fr.fold, 'linear' AS model, fr.day, fr.y AS actual,
                 c.intercept + c.slope * CAST(fr.day - t0.t0 AS DOUBLE) AS prediction
          FROM fr JOIN coef c USING (series_id, fold) JOIN t0 USING (series_id, fold) WHERE role = 'test')
-, naive AS (SELECT series_id, fold, avg(d * d) AS naive_mse FROM (
-              SELECT series_id, fold, y - lag(y) OVER (PARTITION BY series_id, fold ORDER BY day) AS d
-              FROM fr WHERE role = 'train') x GROUP BY 1, 2)
-
-, terms AS (SELECT bt.series_id, prediction - actual AS e, actual, prediction,
-                   2.0 * abs(prediction - actual) / NULLIF(abs(actual) + abs(prediction), 0) AS t_smape,
-                   abs(prediction - actual) / NULLIF(abs(actual), 0) AS t_mape,
-                   (prediction - actual) * (prediction - actual) / NULLIF(naive_mse, 0) AS t_rmsse
-            FROM bt LEFT JOIN naive USING (series_id, fold))
-, agg AS (SELECT series_id, 'linear' AS model, count(*) AS n_points,
-                 avg(t_smape) AS smape, count(t_smape) AS used_smape,
-                 sum(abs(e)) / NULLIF(sum(abs(actual)), 0) AS wmape, count(e) AS used_wmape,
-                 avg(t_mape) AS mape, count(t_mape) AS used_mape,
-                 avg(e * e) AS mse, count(e) AS used_mse,
-                 avg(abs(e)) AS mae, count(e) AS used_mae,
-                 sqrt(avg(t_rmsse)) AS rmsse, count(t_rmsse) AS used_rmsse
-          FROM terms GROUP BY 1)
-""" + "\nUNION ALL\n".join(
-        f"SELECT series_id, model, n_points, '{m}' AS metric, round({m}, 8) AS value, used_{m} AS n_used FROM agg"
-        for m in ["smape", "wmape", "mape", "mse", "mae", "rmsse"]
-    )
+"""
+    + _SCORES_SQL
+    + "SELECT series_id, model, n_points, metric, round(value, 8) AS value, n_used FROM long"
 )
 
 
@@ -206,15 +338,18 @@ def q_backtest_linear_scores(spark, sf_dir):
         _PREPARED_SQL
         + _FUTURE_SQL
         + f""", t0 AS (SELECT series_id, min(day) AS t0 FROM z WHERE part = 'train' GROUP BY 1),
-tr AS (SELECT z.series_id, CAST(z.day - t0.t0 AS DOUBLE) AS t, views_std AS y
+tr AS (SELECT z.series_id, CAST(z.day - t0.t0 AS DOUBLE) AS t, views_std AS y, dau_std AS d
        FROM z JOIN t0 USING (series_id) WHERE part = 'train'),
-coef AS (SELECT series_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept FROM tr GROUP BY 1),
-pred AS (SELECT f.series_id, f.day, c.intercept + c.slope * CAST(f.day - t0.t0 AS DOUBLE) AS prediction
+coef AS (SELECT series_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept,
+                regr_slope(d, t) AS dau_slope, regr_intercept(d, t) AS dau_intercept FROM tr GROUP BY 1),
+pred AS (SELECT f.series_id, f.day, c.intercept + c.slope * CAST(f.day - t0.t0 AS DOUBLE) AS prediction,
+                c.dau_intercept + c.dau_slope * CAST(f.day - t0.t0 AS DOUBLE) AS dau_std
          FROM fut f JOIN coef c USING (series_id) JOIN t0 USING (series_id)),
 cmp AS (SELECT z.series_id, z.day, 'linear' AS model, z.views,
-               p.prediction * z.views_sd + z.views_mean AS views_pred
+               p.prediction * z.views_sd + z.views_mean AS views_pred, z.dau, p.dau_std * z.dau_sd + z.dau_mean AS dau_pred
         FROM z JOIN pred p USING (series_id, day) WHERE z.part = 'test')
-SELECT series_id, day, model, views, round(views_pred, 6) AS views_pred, round(views_pred - views, 6) AS error FROM cmp"""
+SELECT series_id, day, model, views, round(views_pred, 6) AS views_pred, round(views_pred - views, 6) AS error,
+       dau, round(dau_pred, 6) AS dau_pred, round(dau_pred - dau, 6) AS dau_error FROM cmp"""
     ),
 )
 def q_forecast_compare_linear(spark, sf_dir):
@@ -222,8 +357,8 @@ def q_forecast_compare_linear(spark, sf_dir):
     beside the forecast in original units, joined on day."""
     p = _prepared(spark, sf_dir)
     train = p.filter(F.col("part") == "train")
-    fc = FC.linear_trend(train, FC.future_frame(train, HORIZON_DAYS), "views_std").withColumn("lo", F.lit(None).cast("double")).withColumn(
-        "hi", F.lit(None).cast("double")
-    )
-    out = FC.compare(p, fc).select("series_id", "day", "model", "views", "views_pred", "error")
-    return out.withColumn("views_pred", F.round("views_pred", 6)).withColumn("error", F.round("error", 6))
+    future = FC.future_frame(train, HORIZON_DAYS)
+    dau = FC.linear_trend(train, future, "dau_std").select("series_id", "day", F.col("prediction").alias("dau_std"))
+    empty = F.lit(None).cast("double")
+    fc = FC.linear_trend(train, future, "views_std").withColumns({"lo": empty, "hi": empty}).join(dau, ["series_id", "day"])
+    return _rounded(FC.compare(p, fc).drop("views_lo", "views_hi"), _COMPARE_ROUND)
