@@ -67,33 +67,47 @@ def message_user_day(msgs: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def sender_profile(msgs: DataFrame, profile: str = "all", users: DataFrame | None = None) -> DataFrame:
+PROFILE = ["os", "age", "gender"]
+
+
+def profile_tuples(msgs: DataFrame) -> DataFrame:
+    """Profile tuples of senders (user_id, os, age, gender) with the time of their
+    last message: all that a profile needs of the message history."""
+    return msgs.groupBy("user_id", *PROFILE).agg(F.max("time").alias("last_time"))
+
+
+def merge_profiles(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two tables of profile tuples as one."""
+    return a.unionByName(b).groupBy("user_id", *PROFILE).agg(F.max("last_time").alias("last_time"))
+
+
+def sender_profile(
+    msgs: DataFrame, profile: str = "all", users: DataFrame | None = None, tuples: DataFrame | None = None
+) -> DataFrame:
     """Profile tuples (user_id, os, age, gender) of senders over all message history.
 
     ``profile="all"`` keeps every distinct tuple of a user (a user seen with two
     OS values gets two rows: the reference's fan-out); ``"latest"`` keeps the
     tuple of the user's last message (ties broken by the tuple).  ``users``
-    keeps only those users (a semi-join after the reduction).
+    keeps only those users (a semi-join after the reduction).  ``tuples`` is a kept
+    table of ``profile_tuples``, read instead of the history.
     """
-    hist = msgs.select("user_id", "time", "os", "age", "gender")
-    if profile == "all":
-        prof = hist.select("user_id", "os", "age", "gender").distinct()
-    elif profile == "latest":
-        pick = F.max_by(
-            F.struct("os", "age", "gender"),
-            F.struct("time", "os", "age", "gender"),
-        )
-        prof = hist.groupBy("user_id").agg(pick.alias("p")).select("user_id", "p.os", "p.age", "p.gender")
-    else:
-        raise ValueError(f"profile must be 'all' or 'latest', not {profile!r}")
     # Reduce first (partial aggregation collapses a very active sender map-side),
     # then keep the wanted users: no raw history row is shuffled by user.
+    tuples = profile_tuples(msgs) if tuples is None else tuples
     if users is not None:
-        prof = prof.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    return prof
+        tuples = tuples.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    if profile == "all":
+        return tuples.select("user_id", *PROFILE)
+    if profile != "latest":
+        raise ValueError(f"profile must be 'all' or 'latest', not {profile!r}")
+    pick = F.max_by(F.struct(*PROFILE), F.struct("last_time", *PROFILE))
+    return tuples.groupBy("user_id").agg(pick.alias("p")).select("user_id", *[F.col(f"p.{c}").alias(c) for c in PROFILE])
 
 
-def with_profile(mud: DataFrame, msgs: DataFrame, profile: str = "all", start=None, end=None) -> DataFrame:
+def with_profile(
+    mud: DataFrame, msgs: DataFrame, profile: str = "all", start=None, end=None, tuples: DataFrame | None = None
+) -> DataFrame:
     """C4: attach the sender profile to message user-days (left join; receivers
     who never sent keep NULL profile columns).
 
@@ -104,8 +118,7 @@ def with_profile(mud: DataFrame, msgs: DataFrame, profile: str = "all", start=No
     if start is not None or end is not None:
         day = _in_days(msgs.withColumn("event_date", to_day("time")), start, end, day="event_date")
         users = day.select("user_id").unionByName(day.select(F.col("receiver_id").alias("user_id")))
-    prof = sender_profile(msgs, profile, users=users)
-    return mud.join(prof, "user_id", "left")
+    return mud.join(sender_profile(msgs, profile, users, tuples), "user_id", "left")
 
 
 def _null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -199,13 +212,14 @@ def cube_null_keys(cube: DataFrame) -> DataFrame:
 
 
 def build_cube(
-    feed: DataFrame, msgs: DataFrame, start=None, end=None, profile: str = "all"
+    feed: DataFrame, msgs: DataFrame, start=None, end=None, profile: str = "all", tuples: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The whole ETL as one lazy plan: (user-day cube C5, marginals C6)."""
+    """The whole ETL as one lazy plan: (user-day cube C5, marginals C6).  ``tuples``:
+    a kept table of profile tuples, read instead of the message history."""
     from feedlens.operators.engagement import feed_user_day
 
     feed_ud = feed_user_day(feed, start, end)
-    msg_ud = with_profile(message_user_day(msgs, start, end), msgs, profile, start, end)
+    msg_ud = with_profile(message_user_day(msgs, start, end), msgs, profile, start, end, tuples)
     cube = user_day_cube(feed_ud, msg_ud)
     return cube, metrics_cube(cube, start, end)
 

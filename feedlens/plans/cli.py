@@ -1,6 +1,6 @@
 """Command line for the recurring jobs (run with spark-submit or python -m).
 
-    python -m feedlens.plans.cli cube     --feed F --messages M --as-of 2024-01-31 --target T
+    python -m feedlens.plans.cli cube     --feed F --messages M --as-of 2024-01-31 --target T [--profiles P]
     python -m feedlens.plans.cli backfill --feed F --messages M --start D1 --end D2 --target T
     python -m feedlens.plans.cli report   --feed F --messages M --as-of 2024-01-31 --out P
     python -m feedlens.plans.cli ab       --feed F --start D1 --end D2 --out P
@@ -49,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--" + arg.replace("_", "-"), required=True, **({"nargs": 2} if arg == "anomaly" else {}))
         if name in ("cube", "backfill"):
             p.add_argument("--profile", default="all", choices=["all", "latest"])
+        if name == "cube":
+            p.add_argument("--profiles")
         if name == "ab":
             p.add_argument("--seed", type=int, default=42)
         if name == "power":
@@ -71,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd in ("cube", "backfill", "report"):
         msgs = read_messages(spark, args.messages, **layout)
     if args.cmd == "cube":
-        run_daily_cube(feed, msgs, args.as_of, args.target, args.profile)
+        run_daily_cube(feed, msgs, args.as_of, args.target, args.profile, args.profiles)
     elif args.cmd == "backfill":
         backfill_cube(feed, msgs, args.start, args.end, args.target, args.profile)
     elif args.cmd == "report":

@@ -5,9 +5,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
-from feedlens.operators.cube import build_cube, publish_cube
+from feedlens.functions.columns import to_day
+from feedlens.operators.cube import build_cube, merge_profiles, profile_tuples, publish_cube
+from feedlens.operators.engagement import _in_days
 
 
 def _day_before(as_of) -> _dt.date:
@@ -16,10 +19,34 @@ def _day_before(as_of) -> _dt.date:
     return as_of - _dt.timedelta(days=1)
 
 
-def run_daily_cube(feed: DataFrame, msgs: DataFrame, as_of, target: str, profile: str = "all") -> None:
-    """Publish the cube of the day before ``as_of``; re-running replaces that day."""
+def advance_profiles(msgs: DataFrame, day: _dt.date, path: str) -> DataFrame:
+    """Profile tuples of all messages up to ``day``, kept under ``path`` as one
+    snapshot per day: yesterday's snapshot and the day's own messages make today's.
+
+    Without a snapshot of the day before, the history up to ``day`` is reduced anew
+    (a backfill).  Running a day again replaces its snapshot."""
+    spark = msgs.sparkSession
+    dated = msgs.withColumn("day", to_day("time"))
+    try:
+        previous = spark.read.parquet(f"{path}/day={day - _dt.timedelta(days=1)}")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        tuples = profile_tuples(_in_days(dated, None, day))
+    else:
+        tuples = merge_profiles(previous, profile_tuples(_in_days(dated, day, day)))
+    tuples.write.mode("overwrite").parquet(f"{path}/day={day}")
+    return spark.read.parquet(f"{path}/day={day}")
+
+
+def run_daily_cube(feed: DataFrame, msgs: DataFrame, as_of, target: str, profile: str = "all", profiles: str | None = None) -> None:
+    """Publish the cube of the day before ``as_of``; re-running replaces that day.
+
+    ``profiles`` names the folder of kept profile tuples: the job then reads one day
+    of messages and the table instead of the whole message history."""
     day = _day_before(as_of)
-    _, marginals = build_cube(feed, msgs, day, day, profile)
+    tuples = advance_profiles(msgs, day, profiles) if profiles else None
+    _, marginals = build_cube(feed, msgs, day, day, profile, tuples)
     publish_cube(marginals, target)
 
 

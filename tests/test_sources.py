@@ -105,3 +105,22 @@ def test_cli_daily_cube_and_report(spark):
     main(["report", "--feed", f"{base}/feed", "--messages", f"{base}/msgs", "--as-of", "2024-01-31", "--out", f"{base}/report"])
     rep = spark.read.parquet(f"{base}/report")
     assert set(r.section for r in rep.select("section").distinct().collect()) == {"feed", "split", "change_pct", "os", "top_countries", "age"}
+
+
+@pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
+@pytest.mark.parametrize("profile", ["all", "latest"])
+def test_daily_cube_from_kept_profiles(spark, profile):
+    """Three daily runs with the profile table give the cubes of the full history,
+    and only the first one reads more than a day of messages."""
+    from feedlens.operators.cube import build_cube, read_cube
+    from feedlens.plans import daily_cube
+
+    base = shared_path(spark, f"test-profiles-{uuid.uuid4().hex}")
+    feed, msgs = feed_actions(spark, SF001), message_actions(spark, SF001)
+    for as_of in ("2024-01-19", "2024-01-20", "2024-01-21"):
+        daily_cube.run_daily_cube(feed, msgs, as_of, f"{base}/cube", profile, f"{base}/profiles")
+        day = str(daily_cube._day_before(as_of))
+        known = msgs.filter(F.to_date("time") <= F.lit(day).cast("date"))
+        _, expect = build_cube(feed, known, day, day, profile)
+        got = read_cube(spark, f"{base}/cube").filter(F.col("event_date") == F.lit(day).cast("date"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, expect.select(*got.columns).collect()))
