@@ -38,8 +38,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if not before[0]:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _star(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
-        small = _star(large)
+        large = _star(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
+        small = _star(large)  # repeated edges do no harm before the round's end
         small = small.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         edges = materialize(small)
         now = _sum(edges)

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.frames import binary_texts, slices, sorted_groups
@@ -234,11 +234,12 @@ def _open_groups(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool)
     blocks (``block``, ``class``, ``part``: the component so far), by the blocks'
     signature trees alone.
 
-    A block gives a spanning forest of its open pairs between parts.  The
-    components of all forests hold every open pair, and a class is in one of them
-    only, so its set travels once however many blocks it shares.  Large components
-    are dealt into chunks whose pairs are the groups.  ``whole``: every chunk of a
-    block meets every other one; else only the first."""
+    A block gives a spanning forest of its open pairs between parts.  ``whole``:
+    every chunk of a block meets every other one, and the components of all forests
+    are taken: they hold every open pair, and a class is in one of them only, so its
+    set travels once however many blocks it shares; large components are dealt into
+    chunks whose pairs are the groups.  Else classes are in one block each, chunks
+    meet the first one only, and the trees of a block's forest are the groups."""
     chunks = blocks.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"), F.count("*").alias("many"))
     placed = blocks.select("block", "class", "part").join(chunks.where("many > 1").select("block", "chunks"), "block")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("class"), "chunks").cast("int"))
@@ -259,10 +260,17 @@ def _open_groups(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool)
             apart = parts[a] != parts[b]
             root = _forest(len(ids), a[apart], b[apart])
             far = np.flatnonzero(root != np.arange(len(ids)))
+            to = ids[root]
+            if not whole:
+                far = np.union1d(far, root[far])
+                with np.errstate(over="ignore"):  # a tree is named by its group and root
+                    to = mix(mix(to.view(np.uint64)) + np.uint64(group.column("group")[0].as_py() % (1 << 64))).view(np.int64)
             if len(far):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[root[far]])], names=["class", "to"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(to[far])], names=["class", "to"])
 
     forests = groups.repartition("group").sortWithinPartitions("group").mapInArrow(run, "class long, to long")
+    if not whole:
+        return forests.select("class", F.col("to").alias("group"))
     members = components(forests, "class", "to").select(F.col("node").alias("class"), "component")
     counts = members.groupBy("component").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
     members = members.join(counts, "component").withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), F.col("class")), "chunks").cast("int"))
@@ -307,6 +315,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) ->
     return joined.mapInArrow(run, "class long, n long, bits binary, members binary")
 
 
+def _component() -> Column:
+    return F.when(F.col("__doc").isNotNull(), F.when(F.col("n") == 0, F.col("__doc")).otherwise(F.col("component_id")))
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the
     least doc_id reachable by links, its own included.
@@ -340,5 +352,5 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4
     named = named.join(least, "part").select("class", "check", "component_id")
     out = profile.join(named, ["class", "check"], "left")
     return out.select(
-        F.col("__doc").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("__doc")).otherwise(F.col("component_id")).alias("component_id")
+        F.col("__doc").alias(doc_id), F.col("n").alias("n_shingles"), _component().alias("component_id")
     )
