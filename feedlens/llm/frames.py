@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with columns renamed by position, and the new name of each, so
+    that working columns cannot clash; ``toDF(*df.columns)`` names them back."""
+    names = {c: f"__c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z; other letters may be lowered too, but never to ASCII ones.
 

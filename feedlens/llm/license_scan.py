@@ -55,6 +55,8 @@ def _named(label: str, keyword: str, name: str, spdx: str | None = None) -> list
         Rule(label, keyword, rf"{name} (?:software |public |open source |document )?licen[sc]e", 0.75),
         Rule(label, keyword, rf"copyright [a-z0-9 ]{{1,80}}? {name}", 0.5),
     ]
+    if known:
+        rules.append(Rule(label, keyword, name, 0.6))
     if spdx:
         rules.insert(0, Rule(label, "spdx", rf"spdx licen[sc]e identifier {spdx}", 1.0))
     return rules

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.llm.frames import numbered
+
 MIN_SITES = 10
 MIN_CHARS = 20
 MAX_SHARE = 0.5
@@ -78,21 +80,19 @@ def remove_boilerplate(
         .groupBy("__doc")
         .agg(F.collect_set("__key").alias("__drop"))
     )
-    joined = docs.join(hits, docs[doc_id].eqNullSafe(hits["__doc"]), "left")
-    lines = F.split(F.col(text), "\n")
+    base, names = numbered(docs)
+    joined = base.join(hits, base[names[doc_id]].eqNullSafe(hits["__doc"]), "left")
+    lines = F.split(F.col(names[text]), "\n")
     size = lambda part: F.aggregate(part, F.lit(0), lambda n, x: n + F.length(x))
     kept = F.filter(lines, lambda x: ~((F.length(F.trim(x)) >= min_chars) & F.array_contains("__drop", _key(x))))
     joined = joined.withColumn("__kept", F.when(F.col("__drop").isNull(), lines).otherwise(kept))
     whole = F.col("__drop").isNull() | (size(lines) - size(F.col("__kept")) > max_share * size(lines))
     joined = joined.withColumn("__kept", F.when(whole, lines).otherwise(F.col("__kept")))
-    out = joined.withColumns(
-        {
-            counts[0]: F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
-            counts[1]: F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("__kept")).cast("long"),
-        }
-    )
-    out = out.withColumn(text, F.array_join("__kept", "\n"))
-    return out.drop("__doc", "__drop", "__kept")
+    there = F.col(names[text]).isNotNull()
+    n_lines = F.when(there, F.size(lines)).otherwise(0).cast("long").alias(counts[0])
+    n_removed = F.when(there, F.size(lines) - F.size("__kept")).otherwise(0).cast("long").alias(counts[1])
+    out = [F.array_join("__kept", "\n").alias(text) if c == text else F.col(n).alias(c) for c, n in names.items() if c not in counts]
+    return joined.select(*out, n_lines, n_removed)
 
 
 ORACLE = f"""

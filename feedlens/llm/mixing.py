@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.frames import GAP, word_count
+from feedlens.llm.frames import GAP, numbered, word_count
 from feedlens.session import materialize
 
 WEIGHTS = (1, 2, 3)
@@ -159,6 +159,7 @@ def mix(
     plan = blocks.join(goal, blocks["__src"].eqNullSafe(goal["__src"])).drop(goal["__src"])
     plan = plan.withColumn("__before", F.sum("__in").over(permuted) - F.col("__in"))
     plan = plan.withColumn("__partial", F.greatest(F.lit(0), F.least(F.col("__in"), F.col("__part") - F.col("__before"))))
+    plan = materialize(plan)  # a row for each block: read for the units and for the draws
 
     # Whole and cut blocks as units of the mix: one for each pass that draws from a block.
     passes = F.sequence(F.lit(1), F.col("__full") + F.when(F.col("__partial") > 0, 1).otherwise(0))
@@ -181,7 +182,7 @@ def _shards(units: DataFrame, levels: int, seed: str) -> DataFrame:
 
 
 def _draws(sized: DataFrame, plan: DataFrame, shards: DataFrame, seed: str, doc_id: str) -> DataFrame:
-    plan = plan.join(shards, ["__i", "__block"], "left").withColumnsRenamed({"__src": "__from", "__block": "__of"})
+    plan = materialize(plan.join(shards, ["__i", "__block"], "left")).withColumnsRenamed({"__src": "__from", "__block": "__of"})
     rows = sized.join(plan, sized["__src"].eqNullSafe(plan["__from"]) & (sized["__block"] == plan["__of"]))
     # Only the one cut block of a source needs its documents in order.
     cut = (F.col("__partial") > 0) & (F.col("__partial") < F.col("__in"))
@@ -219,13 +220,15 @@ def draw(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     drawn = mix(docs, doc_id, text, source, levels=levels, **options)
     drawn = drawn.where(F.size("draws") > 0).dropDuplicates([doc_id])
     drawn = drawn.select(F.col(doc_id).alias("__doc"), F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
-    rows = docs.join(drawn, docs[doc_id].eqNullSafe(drawn["__doc"]))
-    spaced = F.split(F.trim(F.regexp_replace(F.col(text), GAP, " ")), " ")
+    base, names = numbered(docs)
+    rows = base.join(drawn, base[names[doc_id]].eqNullSafe(drawn["__doc"]))
+    whole = F.col(names[text])
+    spaced = F.split(F.trim(F.regexp_replace(whole, GAP, " ")), " ")
     cut = F.array_join(F.slice(spaced, F.lit(1), F.col("__draw.words").cast("int")), " ")
-    rows = rows.withColumn(text, F.when(F.col("__draw.words") < F.col("__size"), cut).otherwise(F.col(text)))
+    rows = rows.withColumn(names[text], F.when(F.col("__draw.words") < F.col("__size"), cut).otherwise(whole))
     key = F.col("__draw.shuffle_key")
     rows = rows.repartition(F.col("__draw.shard"), F.substring(key, 1, 2)).sortWithinPartitions(F.col("__draw.shard"), key)
-    return rows.select(*docs.columns)
+    return rows.select(*names.values()).toDF(*names)
 
 
 #: The words taken do not depend on the shards, so SQL can tell them: whole
