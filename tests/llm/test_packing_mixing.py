@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import random
 import re
 import zlib
@@ -19,11 +20,15 @@ from tests.conftest import SF001
 TEXTS = ["", "a b", "a  b", "a\n b", "a \nb", " a", "a ", "a\n\nb", "a\tb", "x<|endoftext|>y z", "é ü b c", "\n", "\na\nb", "it's  'll x", "a\x1cb c", "a\x1c b", "a b", "a 　b", "1a b2, c.", "né, été. là", "日本 語"]
 
 
-def reference_ids(text):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = reference_ids.__dict__.setdefault("t", Tokenizer.from_file(tokenizer_path()))
-    return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def reference_ids(text):
+    return np.array(tokenizer().encode(text or "", add_special_tokens=False).ids + [1], "<u4")
 
 
 def test_ids_by_parts_are_the_tokenizers():
@@ -87,7 +92,7 @@ def test_pack_lengths(seed):
     totals = collections.Counter()
     for g, n in zip(groups, filled):
         totals[g] += n
-    assert max(totals.values()) - min(totals.values()) <= 2 * 2048
+    assert max(totals.values()) - min(totals.values()) <= 3 * 2048
 
 
 def mix_documents(spark, rows, extra=False):
@@ -277,7 +282,7 @@ def test_pipeline_stages(spark):
     sets = {}
     for r in kept["line_dedup"].collect():
         w = WORDS.findall(r.text.encode().lower())
-        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)}
     left = sorted(ids["jaccard_join"])
     by_shingle = collections.defaultdict(list)
     for d in sets:
