@@ -105,7 +105,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], doc_id
     share = F.create_map(*[F.lit(x) for k in sorted(counted) for x in (k, min(1.0, max_per_class / counted[k]))])
     sample = known.where(F.shiftrightunsigned("__key", 11) / float(1 << 53) < F.element_at(share, F.col("__class")))
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("string").alias("__text")).where(F.col("__text").isNotNull())
-    rows = rows.join(sample, F.col("__id") == F.col("__doc")).select("__text", "__class", "__key")
+    # The sample's ids are bounded by the parameter (two numbers and a short text each), so the texts stay where they are.
+    rows = rows.join(F.broadcast(sample), F.col("__id") == F.col("__doc")).select("__text", "__class", "__key")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
