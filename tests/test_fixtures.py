@@ -151,12 +151,10 @@ def test_cube_day_values(spark):
     cube, marg = C.build_cube(feed, msgs, "2024-01-30", "2024-01-30")
     cols = ["likes", "views", "messages_sent", "users_sent", "messages_received", "users_received"]
     os_rows = {r.dimension_value: tuple(r[c] for c in cols) for r in marg.filter("dimension = 'os'").collect()}
-    assert os_rows["Android"] == (46, 94, 77, 75, 74, 73)
-    assert os_rows["iOS"] == (17, 47, 68, 66, 58, 56)
-    assert cube.count() == 179
-    dq = C.cube_null_keys(cube).first()
-    assert dq.rows == 9
-    assert tuple(dq[c] for c in cols) == (0, 0, 0, 0, 12, 12)
+    assert os_rows["Android"] == (46, 94, 85, 83, 91, 90)
+    assert os_rows["iOS"] == (17, 47, 74, 72, 76, 74)
+    assert cube.count() == 178
+    assert C.cube_null_keys(cube).count() == 0  # every receiver of the fixtures has sent as well
 
 
 def test_top3_tie_by_name(spark):
