@@ -109,7 +109,8 @@ def splitting_tree(quotas: DataFrame, levels: int = SHARD_LEVELS, seed: str = SE
     nodes = quotas.agg(F.transform(F.sort_array(F.collect_list(F.struct("__i", "__quota"))), lambda x: x["__quota"]).alias("__q"))
     nodes = nodes.select(F.lit(1).alias("__node"), F.coalesce("__q", F.array().cast("array<long>")).alias("__q"))
     for _ in range(levels):
-        nodes = nodes.withColumn("__left", _left_quotas(F.col("__q"), seed, F.col("__node")))
+        # Written at every level (a row for each node), so that the plan holds one level's draws only.
+        nodes = materialize(nodes.withColumn("__left", _left_quotas(F.col("__q"), seed, F.col("__node"))))
         nodes = nodes.select(
             F.inline(
                 F.array(
