@@ -17,6 +17,8 @@ All draws are hashes of the seed, so reruns agree.  DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,21 +74,45 @@ def _log_factorial(n: Column) -> Column:
     return F.when(n < 2, F.lit(0.0)).otherwise(series)
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def hypergeometric(u: Column, good: Column, total: Column, draws: Column) -> Column:
-    """The number of good items among ``draws`` of ``total``, at quantile ``u``."""
+    """The number of good items among ``draws`` of ``total``, at quantile ``u``.
+
+    The distribution function is summed over the counts within nine standard
+    deviations of the mode and twenty more; what lies beyond is nil in doubles."""
+
+    def log_weight(k: Column, s: Column) -> Column:
+        return -(_log_factorial(k) + _log_factorial(s["good"] - k) + _log_factorial(s["draws"] - k) + _log_factorial(s["total"] - s["good"] - s["draws"] + k))
+
     low, high = F.greatest(F.lit(0).cast("long"), draws - total + good), F.least(good, draws)
-    log_weight = lambda k: -(_log_factorial(k) + _log_factorial(good - k) + _log_factorial(draws - k) + _log_factorial(total - good - draws + k))
     mode = F.greatest(low, F.least(high, F.floor((draws + 1) * (good + 1) / (total + 2))))
-    weights = F.transform(F.sequence(low, high), lambda k: F.exp(log_weight(k) - log_weight(mode)))
-    half = F.aggregate(weights, F.lit(0.0), lambda s, w: s + w) * u
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("below"))
-    below = F.aggregate(
-        weights,
-        start,
-        lambda s, w: F.struct((s["sum"] + w).alias("sum"), (s["below"] + F.when(s["sum"] + w <= half, 1).otherwise(0)).alias("below")),
-        lambda s: s["below"],
+    share = good / F.greatest(total, F.lit(1))
+    spread = F.ceil(9 * F.sqrt(draws * share * (1 - share) * (total - draws) / F.greatest(total - 1, F.lit(1)))) + 20
+    setting = F.struct(
+        good.alias("good"),
+        total.alias("total"),
+        draws.alias("draws"),
+        mode.alias("mode"),
+        F.greatest(low, mode - spread).alias("low"),
+        F.least(high, mode + spread).alias("high"),
     )
-    return F.least(high, low + below)
+
+    def quantile(s: Column, weights: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("below"), (F.aggregate(weights, F.lit(0.0), lambda x, w: x + w) * u).alias("to"))
+        step = lambda x, w: F.struct(
+            (x["sum"] + w).alias("sum"), (x["below"] + F.when(x["sum"] + w <= x["to"], 1).otherwise(0)).alias("below"), x["to"].alias("to")
+        )
+        return F.least(s["high"], s["low"] + F.aggregate(weights, start, step, lambda x: x["below"]))
+
+    def drawn(s: Column) -> Column:
+        weights = _bound(log_weight(s["mode"], s), lambda top: F.transform(F.sequence(s["low"], s["high"]), lambda k: F.exp(log_weight(k, s) - top)))
+        return _bound(weights, lambda w: quantile(s, w))
+
+    return _bound(setting, drawn)
 
 
 def _left_quotas(quotas: Column, seed: str, node: Column) -> Column:
@@ -98,7 +124,9 @@ def _left_quotas(quotas: Column, seed: str, node: Column) -> Column:
 
     def step(s: Column, q: Column) -> Column:
         got = hypergeometric(_uniform(_hash(seed, node, F.size(s["out"]))), q, s["left_in"], s["draws"])
-        return F.struct((s["left_in"] - q).alias("left_in"), (s["draws"] - got).alias("draws"), F.concat(s["out"], F.array(got)).alias("out"))
+        return _bound(
+            got, lambda g: F.struct((s["left_in"] - q).alias("left_in"), (s["draws"] - g).alias("draws"), F.concat(s["out"], F.array(g)).alias("out"))
+        )
 
     return F.aggregate(quotas, start, step, lambda s: s["out"])
 
