@@ -4,9 +4,11 @@ A HyperLogLog sketch of the sites is kept for each line hash and merged by
 aggregation, so no task gathers the rows of a frequent line.  Lines whose
 estimate is clear of the threshold are decided by it; lines near the threshold
 get an exact distinct count.  Lines that stand on at least ``min_sites`` sites
-are boilerplate and are removed from every document, unless they make up most of
-the document: that is then a copy (or nothing but boilerplate), which stays whole
-for near-duplicate detection.
+are boilerplate and are removed from every document that has a line of its own; a
+document of nothing but boilerplate stays whole for near-duplicate detection.
+
+The contract of ``op6_line_dedup`` is narrower: its SQL judges only lines of
+``MIN_CHARS`` characters and leaves documents of more than ``MAX_SHARE`` boilerplate.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from feedlens.llm.frames import numbered
 
 MIN_SITES = 10
+#: Of the contract of op6_line_dedup only.
 MIN_CHARS = 20
 MAX_SHARE = 0.5
 #: Relative standard deviation of a sketch (128 registers).
@@ -29,17 +32,25 @@ def _key(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
-def _lines(docs: DataFrame, text: str, min_chars: int, *more: Column) -> DataFrame:
+def _filled(line: Column) -> Column:
+    return F.rlike(line, F.lit(r"[^\s\p{Z}]"))
+
+
+def _judged(line: Column, min_chars: int | None) -> Column:
+    return _filled(line) if min_chars is None else F.length(F.trim(line)) >= min_chars
+
+
+def _lines(docs: DataFrame, text: str, min_chars: int | None, *more: Column) -> DataFrame:
     lines = docs.select(*more, F.explode(F.split(F.col(text), "\n")).alias("__line"))
-    lines = lines.where(F.length(F.trim("__line")) >= min_chars)
+    lines = lines.where(_judged(F.col("__line"), min_chars))
     return lines.select(*[c for c in lines.columns if c != "__line"], _key(F.col("__line")).alias("__key"))
 
 
-def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_chars: int | None = None) -> DataFrame:
     """Hashes (``__key``) of the lines that stand on at least ``min_sites`` sites.
 
-    Only lines of at least ``min_chars`` characters without outer spaces count;
-    a null site is none."""
+    Every line that is not blank counts or, with ``min_chars``, every line of so
+    many characters without outer spaces; a null site is none."""
     lines = _lines(docs, text, min_chars, F.col(site).alias("__site")).where(F.col("__site").isNotNull())
     spread = lines.groupBy("__key").agg(
         F.approx_count_distinct("__site", SKETCH_RSD).alias("__sites"), F.min("__site").alias("__low"), F.max("__site").alias("__high")
@@ -60,16 +71,17 @@ def remove_boilerplate(
     text: str = "text",
     site: str = "source",
     min_sites: int = MIN_SITES,
-    min_chars: int = MIN_CHARS,
-    max_share: float = MAX_SHARE,
+    min_chars: int | None = None,
+    max_share: float | None = None,
     counts: tuple[str, str] = ("n_lines", "n_removed"),
 ) -> DataFrame:
     """The documents with boilerplate lines taken out of ``text``, and the new
     columns ``n_lines`` and ``n_removed``.
 
     Lines end at line feeds and are compared without outer spaces.  A document
-    whose boilerplate lines hold more than ``max_share`` of the characters of its
-    lines is left as it is.  A null text stays null with no lines, an empty one
+    whose lines are all boilerplate or blank is left as it is; with ``max_share``
+    instead one whose boilerplate lines hold more than that share of the
+    characters of its lines.  A null text stays null with no lines, an empty one
     has one empty line.  Rows that repeat a doc_id are judged each by its own
     text; a null doc_id is an id like any other.  Other columns pass unchanged,
     except that columns named like the two new ones are replaced."""
@@ -84,9 +96,10 @@ def remove_boilerplate(
     joined = base.join(hits, base[names[doc_id]].eqNullSafe(hits["__doc"]), "left")
     lines = F.split(F.col(names[text]), "\n")
     size = lambda part: F.aggregate(part, F.lit(0), lambda n, x: n + F.length(x))
-    kept = F.filter(lines, lambda x: ~((F.length(F.trim(x)) >= min_chars) & F.array_contains("__drop", _key(x))))
+    kept = F.filter(lines, lambda x: ~(_judged(x, min_chars) & F.array_contains("__drop", _key(x))))
     joined = joined.withColumn("__kept", F.when(F.col("__drop").isNull(), lines).otherwise(kept))
-    whole = F.col("__drop").isNull() | (size(lines) - size(F.col("__kept")) > max_share * size(lines))
+    most = ~F.exists("__kept", _filled) if max_share is None else size(lines) - size(F.col("__kept")) > max_share * size(lines)
+    whole = F.col("__drop").isNull() | most
     joined = joined.withColumn("__kept", F.when(whole, lines).otherwise(F.col("__kept")))
     there = F.col(names[text]).isNotNull()
     n_lines = F.when(there, F.size(lines)).otherwise(0).cast("long").alias(counts[0])

@@ -177,6 +177,17 @@ def test_lines(spark):
     assert line_dedup.remove_boilerplate(documents(spark, [])).count() == 0
 
 
+def test_lines_of_short_pages(spark):
+    """A long header and a short footer go from pages of one body line; pages of
+    nothing else stay, and so do blank lines."""
+    head, foot = "A long header that stands on every page of every site here", "Back"
+    rows = [(i, f"{head}\nbody {i}\n\r\n\n{foot}", f"s{i}") for i in range(12)]
+    rows += [(50 + i, f"{head}\n\r\n{foot}", f"s{i}") for i in range(3)]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.remove_boilerplate(documents(spark, rows)).collect()}
+    assert all(got[i] == (f"body {i}\n\r\n", 5, 2) for i in range(12))
+    assert all(got[50 + i] == (rows[12 + i][1], 3, 0) for i in range(3))
+
+
 def test_line_sketches_decide_far_from_the_threshold(spark):
     """Spread of 3, 9, 10, 11 and 40 sites; only the last is clear of the band."""
     rows, want = [], set()
