@@ -3,9 +3,11 @@
 A rule is a regular expression over the normalised words of a text, with a
 label, a keyword, a weight and its place in the order.  Texts pass a gate of a
 few fixed words first; of the rules only those whose keyword stands in the text
-are run.  Detections are intervals of words.  One that lies within the interval
-of a detection of an earlier rule (or of the same rule order but longer) is
-suppressed.  Base phrases come first in the order and always keep their labels.
+are run.  Detections are intervals of words.  One is suppressed if the words it
+claims lie within those of a detection of an earlier rule, or of any rule that
+claims more words.  A detection claims the words that its rule names: all of them,
+or the fixed part of a rule with a gap (the name after ``copyright ...``), so that
+a license in the gap keeps its label.  Base phrases come first in the order and always keep their labels.
 
 Everything happens within the row of a document: no join and no shuffle.
 DataFrame functions only.
@@ -38,6 +40,19 @@ class Rule:
     pattern: str
     weight: float
     base: bool = False
+    #: What a match claims, as a pattern at its end; by default what stands before the first gap.
+    claim: str = ""
+
+
+#: Where a pattern passes over words that it does not name.
+_GAP = re.compile(r" ?\[a-z(?:0-9)? \]\{")
+
+
+def _claim(rule: Rule) -> str:
+    """Pattern of the part of a match that the rule claims, empty for all of it."""
+    if rule.claim:
+        return rf"(?<![^ ])(?:{rule.claim})$"
+    return rf"^(?:{_GAP.split(rule.pattern)[0]})" if _GAP.search(rule.pattern) else ""
 
 
 def _named(label: str, keyword: str, name: str, spdx: str | None = None) -> list[Rule]:
@@ -53,7 +68,7 @@ def _named(label: str, keyword: str, name: str, spdx: str | None = None) -> list
         Rule(label, keyword, rf"{grant} {terms}{name} licen[sc]e", 0.9),
         Rule(label, keyword, rf"licen[sc]e (?:is |name |type |identifier |this is )?(?:the )?{name}", 0.8),
         Rule(label, keyword, rf"{name} (?:software |public |open source |document )?licen[sc]e", 0.75),
-        Rule(label, keyword, rf"copyright [a-z0-9 ]{{1,80}}? {name}", 0.5),
+        Rule(label, keyword, rf"copyright [a-z0-9 ]{{1,80}}? {name}", 0.5, claim=name),
     ]
     if known:
         rules.append(Rule(label, keyword, name, 0.6))
@@ -172,15 +187,18 @@ def _spaces(part: Column) -> Column:
     return F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))
 
 
-def _places(words: Column, pattern: Column) -> Column:
-    """First and last word of each match of a pattern, from 0."""
+def _places(words: Column, pattern: Column, claim: Column) -> Column:
+    """First and last word of each match of a pattern, from 0, and of what it claims."""
     found, parts = F.regexp_extract_all(words, pattern, F.lit(0)), F.split(words, pattern)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int,from:int,to:int>>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
         first = s["at"] + _spaces(x["part"])
         last = first + _spaces(x["found"])
-        return F.struct(last.alias("at"), F.concat(s["out"], F.array(F.struct(first.alias("first"), last.alias("last")))).alias("out"))
+        begin = first + F.when(claim == "", 0).otherwise(_spaces(F.split(x["found"], claim, 2)[0]))
+        end = F.when(claim == "", last).otherwise(begin + _spaces(F.regexp_substr(x["found"], claim)))
+        place = F.struct(first.alias("first"), last.alias("last"), begin.alias("from"), end.alias("to"))
+        return F.struct(last.alias("at"), F.concat(s["out"], F.array(place)).alias("out"))
 
     pairs = F.filter(F.arrays_zip(found.alias("found"), parts.alias("part")), lambda x: x["found"].isNotNull())
     return F.aggregate(pairs, start, step, lambda s: s["out"])
@@ -189,10 +207,10 @@ def _places(words: Column, pattern: Column) -> Column:
 def _rules(rules: tuple[Rule, ...]) -> Column:
     """The rules in their order as one constant array."""
     rows = [
-        {"rank": i, "label": r.label, "keyword": r.keyword, "pattern": rf"(?<![^ ])(?:{r.pattern})(?![^ ])", "weight": r.weight, "base": r.base}
+        {"rank": i, "label": r.label, "keyword": r.keyword, "pattern": rf"(?<![^ ])(?:{r.pattern})(?![^ ])", "weight": r.weight, "base": r.base, "claim": _claim(r)}
         for i, r in enumerate(rules)
     ]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<rank:int,label:string,keyword:string,pattern:string,weight:double,base:boolean>>")
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<rank:int,label:string,keyword:string,pattern:string,weight:double,base:boolean,claim:string>>")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -213,14 +231,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tup
         F.transform(
             near,
             lambda r: F.transform(
-                _places(F.col("__words"), r["pattern"]),
+                _places(F.col("__words"), r["pattern"], r["claim"]),
                 lambda p: F.struct(
-                    p["first"].alias("first"), p["last"].alias("last"), r["rank"].alias("rank"), r["label"].alias("label"), r["weight"].alias("weight"), r["base"].alias("base")
+                    *[p[c].alias(c) for c in ("first", "last")], *[r[c].alias(c) for c in ("rank", "label", "weight", "base")], *[p[c].alias(c) for c in ("from", "to")]
                 ),
             ),
         )
     )
-    none = F.array().cast("array<struct<first:int,last:int,rank:int,label:string,weight:double,base:boolean>>")
+    none = F.array().cast("array<struct<first:int,last:int,rank:int,label:string,weight:double,base:boolean,from:int,to:int>>")
     out = out.select(
         F.col("__doc").alias(doc_id),
         F.when(F.col("__words") == "", 0).otherwise(_spaces(F.col("__words")) + 1).cast("long").alias("n_words"),
@@ -228,11 +246,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tup
     )
 
     def beaten(x: Column) -> Column:
-        within = lambda y: (y["first"] <= x["first"]) & (y["last"] >= x["last"])
-        longer = lambda y: y["last"] - y["first"] > x["last"] - x["first"]
+        within = lambda y: (y["from"] <= x["from"]) & (y["to"] >= x["to"])
+        longer = lambda y: y["to"] - y["from"] > x["to"] - x["from"]
         return F.exists("__found", lambda y: within(y) & ((y["rank"] < x["rank"]) | longer(y)))
 
-    return out.withColumn("detections", F.array_sort(F.filter("__found", lambda x: x["base"] | ~beaten(x)))).drop("__found")
+    left = F.transform(F.filter("__found", lambda x: x["base"] | ~beaten(x)), lambda x: x.dropFields("from", "to"))
+    return out.withColumn("detections", F.array_sort(left)).drop("__found")
 
 
 def summary(scanned: DataFrame, doc_id: str = "doc_id") -> DataFrame:

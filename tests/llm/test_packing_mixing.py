@@ -217,6 +217,20 @@ def test_license_rules_and_suppression(spark):
     assert [(d.label, d.first, d.last) for d in row.detections] == [("long", 1, 3), ("over", 3, 4), ("short", 5, 5)]
 
 
+def test_license_dual_after_copyright(spark):
+    """A rule that passes over words does not swallow the licenses named there."""
+    texts = {
+        "Copyright 2021 Acme. Released under GPL 3 or MIT": ("copyright,gpl-3,mit", 0.95),
+        "Copyright 2021 Acme. Released under MIT or GPL 3": ("copyright,gpl-3,mit", 0.5),
+        "Copyright Acme, released under the GNU Lesser General Public License 2.1": ("lgpl-2.1", 0.95),
+        "Confidential and proprietary, parts released under the GPL license": ("gpl,proprietary", 0.95),
+        "Creative Commons Attribution Non-Commercial License": ("cc-by-nc", 0.75),
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = license_scan.summary(license_scan.scan(df)).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in got] == list(texts.values())
+
+
 def shortest_forms(tree) -> list[str]:
     """Every choice of branches of a parsed pattern, repeats taken as often as they must be."""
     out = [""]
