@@ -6,7 +6,9 @@ and n-grams of 1 to 3 characters are hashed to ``DIMS`` features.  A feature's
 value is its share of the text's n-grams times its inverse document frequency,
 which is counted over all training texts.  The weights are fitted by
 follow-the-regularised-leader with elastic net on a bounded sample of labelled
-texts, and calibrated by a temperature on a part of the sample kept out.
+texts, and calibrated by a temperature on a part of the sample kept out.  The
+sample is thinner for common languages; the logarithm of a language's share is
+taken from its bias, so the probabilities are those of all labelled texts.
 
 Only the sums over the corpus (``DIMS`` counts, one count per language) and the
 model reach the driver; the sample is fitted in one task.
@@ -128,7 +130,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     idf = np.log((1 + total) / (1 + frequency)) + 1
     index = {x: i for i, x in enumerate(languages)}
 
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, max_per_language / counted[k]))])
+    shares = [min(1.0, max_per_language / counted[k]) for k in languages]
+    share = F.create_map(*[F.lit(x) for kv in zip(languages, shares) for x in kv])
     uniform = F.shiftrightunsigned("__key", 11) / float(1 << 53)
     sample = rows.where(uniform < F.element_at(share, F.col("__lang")))
 
@@ -152,6 +155,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         weights = ftrl(samples, DIMS + 1, len(languages))
         t = temperature(scores(held, weights), np.array([y for _, _, y in held], np.int64))
         weights[:DIMS] *= SCALE * idf[:, None]
+        weights[DIMS] -= t * np.log(shares)  # predictions divide by t
         yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([t])], names=["weights", "temperature"])
 
     sampled = sample.mapInArrow(features, "key long, lang string, at binary, count binary")

@@ -17,12 +17,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def ftrl(
-    samples: list[Sample], dims: int, classes: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.05, epochs: int = 3, seed: int = 11
+    samples: list[Sample], dims: int, classes: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.05, epochs: int = 3, seed: int = 11,
+    counts: np.ndarray | None = None,
 ) -> np.ndarray:
     """Weights (dims, classes) of a multinomial logistic regression.
 
     Per-coordinate FTRL-proximal: a weight is zero while its accumulated
-    gradient is within ``l1``; ``l2`` shrinks the others."""
+    gradient is within ``l1``; ``l2`` shrinks the others.  ``counts`` weighs the
+    samples' losses (1 each without it)."""
     z, n = np.zeros((dims, classes)), np.zeros((dims, classes))
 
     def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -36,6 +38,8 @@ def ftrl(
             w = weights(zi, ni)
             p = softmax(x @ w)
             p[y] -= 1
+            if counts is not None:
+                p *= counts[i]
             g = x[:, None] * p
             grown = ni + g * g
             z[at] = zi + g - (np.sqrt(grown) - np.sqrt(ni)) / alpha * w

@@ -5,7 +5,9 @@ text, the probabilities that the earlier ones gave.  For training these are
 out-of-fold predictions, so a later model learns from probabilities as good or
 bad as those it will meet.  Each model is a linear one on hashed words and word
 beginnings, fitted by follow-the-regularised-leader with elastic net on a
-bounded sample of labelled documents.
+bounded sample of labelled documents.  Common combinations of categories are
+sampled more thinly; a row's loss counts for the rows it stands for, so the
+probabilities are those of all labelled rows whatever the size of the sample.
 
 The sample is fitted in one task; only the weights reach the driver.
 """
@@ -68,19 +70,21 @@ def _inputs(at: np.ndarray, x: np.ndarray, earlier: list[float]) -> tuple[np.nda
     return np.concatenate([at, more]), np.concatenate([x / size**0.5, earlier, [1.0]])
 
 
-def fit_chain(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
-    """Weights of each category's model; ``labels`` has a 0/1 column for each."""
+def fit_chain(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, folds: np.ndarray, counts: np.ndarray | None = None) -> list[np.ndarray]:
+    """Weights of each category's model; ``labels`` has a 0/1 column for each, and
+    ``counts`` the rows that each sampled one stands for (1 without it)."""
+    counts = np.ones(len(texts)) if counts is None else counts / counts.mean()
     earlier: list[list[float]] = [[] for _ in texts]
     out = []
     for c in range(labels.shape[1]):
         samples = [(*_inputs(at, x, e), int(y)) for (at, x), e, y in zip(texts, earlier, labels[:, c])]
         dims = DIMS + c + 1
-        fit = lambda chosen: ftrl(chosen, dims, 2, alpha=0.3, l1=0.3, l2=0.01, epochs=4)
-        out.append(fit(samples))
+        fit = lambda chosen: ftrl([samples[i] for i in chosen], dims, 2, alpha=0.3, l1=0.3, l2=0.01, epochs=4, counts=counts[chosen])
+        out.append(fit(np.arange(len(samples))))
         if c + 1 < labels.shape[1]:
             for k in range(FOLDS):
                 inside = np.flatnonzero(folds == k)
-                part = fit([samples[i] for i in np.flatnonzero(folds != k)])
+                part = fit(np.flatnonzero(folds != k))
                 for i, p in zip(inside, softmax(scores([samples[i] for i in inside], part))[:, 1] if len(inside) else []):
                     earlier[i].append(float(p))
     return out
@@ -102,7 +106,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], doc_id
     counted = {r["__class"]: r["count"] for r in known.groupBy("__class").count().collect()}
     if not counted:
         return Chain(names, [])
-    share = F.create_map(*[F.lit(x) for k in sorted(counted) for x in (k, min(1.0, max_per_class / counted[k]))])
+    shares = {k: min(1.0, max_per_class / counted[k]) for k in sorted(counted)}
+    share = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv])
     sample = known.where(F.shiftrightunsigned("__key", 11) / float(1 << 53) < F.element_at(share, F.col("__class")))
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("string").alias("__text")).where(F.col("__text").isNotNull())
     # The sample's ids are bounded by the parameter (two numbers and a short text each), so the texts stay where they are.
@@ -120,14 +125,15 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], doc_id
                 )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, labels, folds = [], [], []
+        texts, labels, folds, counts = [], [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 texts.append((np.frombuffer(row["at"], np.int32).astype(np.int64), np.frombuffer(row["x"], np.float32).astype(np.float64)))
                 labels.append([int(y) for y in row["class"].split(",")])
                 folds.append(row["key"] % FOLDS)
+                counts.append(1 / shares[row["class"]])
         if texts:
-            for i, w in enumerate(fit_chain(texts, np.array(labels), np.array(folds))):
+            for i, w in enumerate(fit_chain(texts, np.array(labels), np.array(folds), np.array(counts))):
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([w.astype(np.float32).tobytes()], pa.binary())], names=["category", "weights"])
 
     extracted = rows.mapInArrow(extract, "key long, class string, at binary, x binary")

@@ -127,3 +127,25 @@ def test_toxicity_edges(spark):
     none = toxicity.train(docs, labels.limit(0), TOXICITY)
     assert toxicity.predict(docs, none).where("toxic").count() == 0
     assert toxicity.predict(docs.limit(0), chain).count() == 0
+
+
+def test_toxicity_scores_do_not_follow_the_sample_size(spark):
+    """A cap below the classes' sizes learns the shares of all labelled rows."""
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    bare, odds, mean = spark.createDataFrame([(1, None)], "doc_id long, text string"), [], []
+    for cap in (1000, 100000):
+        chain = toxicity.train(docs, labels, TOXICITY, max_per_class=cap)
+        p = toxicity.predict(bare, chain).first().low_quality_score
+        odds.append(np.log(p / (1 - p)))
+        got = toxicity.predict(docs, chain).join(labels.select("doc_id"), "doc_id").toPandas()
+        mean.append([got.low_quality_score.mean(), got.toxic_score.mean()])
+    assert abs(odds[0] - odds[1]) < 0.8
+    assert np.allclose(mean[0], mean[1], atol=0.02)
+
+
+def test_language_scores_do_not_follow_the_sample_size(spark):
+    """Texts without evidence for a language get the shares of all labelled texts."""
+    rows = [(i, "ab" if i % 3 else "cd ab", "x" if i % 10 else "y") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = [{r.text: r.score for r in language_id.predict(docs, language_id.train(docs, max_per_language=cap)).collect()} for cap in (300, 100000)]
+    assert all(scores[1][t] == pytest.approx(0.9, abs=0.05) and scores[0][t] == pytest.approx(scores[1][t], abs=0.06) for t in scores[1])
