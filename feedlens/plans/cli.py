@@ -9,7 +9,7 @@
 
 ``F`` / ``M`` are parquet paths or table names; ``--partition-col`` names their day
 partition if filters may prune by it, ``--lateness`` how many days late a row may
-lie there.  Results are written as parquet to ``--out``.  The session comes from
+lie there (or, with ``--profiles`` and no partition, may arrive).  Results are written as parquet to ``--out``.  The session comes from
 spark-submit (or a default builder); nothing is read from the clock.
 """
 
@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd in ("cube", "backfill", "report"):
         msgs = read_messages(spark, args.messages, **layout)
     if args.cmd == "cube":
-        run_daily_cube(feed, msgs, args.as_of, args.target, args.profile, args.profiles)
+        run_daily_cube(feed, msgs, args.as_of, args.target, args.profile, args.profiles, args.lateness)
     elif args.cmd == "backfill":
         backfill_cube(feed, msgs, args.start, args.end, args.target, args.profile)
     elif args.cmd == "report":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
@@ -12,7 +13,7 @@ from feedlens.session import shared_path
 from feedlens.sources import read_feed, read_messages
 from feedlens.sources.fixtures import feed_actions, message_actions
 from feedlens.sources.schemas import FEED, MESSAGES
-from tests.conftest import SF001
+from tests.conftest import SF001, msg_df, ts
 
 
 @pytest.mark.skipif(not os.path.exists(SF001), reason="test data missing")
@@ -124,3 +125,22 @@ def test_daily_cube_from_kept_profiles(spark, profile):
         _, expect = build_cube(feed, known, day, day, profile)
         got = read_cube(spark, f"{base}/cube").filter(F.col("event_date") == F.lit(day).cast("date"))
         assert sorted(map(str, got.collect())) == sorted(map(str, expect.select(*got.columns).collect()))
+
+
+@pytest.mark.parametrize("partition_col", ["dt", None])
+def test_kept_profiles_take_late_messages(spark, partition_col):
+    """A message of the 18th that arrives on the 20th is in the 20th's snapshot."""
+    from feedlens.operators.cube import profile_tuples
+    from feedlens.plans import daily_cube
+
+    base = shared_path(spark, f"test-late-{uuid.uuid4().hex}")
+    sent = [(1, "2024-01-18", "2024-01-18"), (2, "2024-01-19", "2024-01-19"), (3, "2024-01-18", "2024-01-20"), (4, "2024-01-20", "2024-01-20")]
+    for day in ("2024-01-18", "2024-01-19", "2024-01-20"):
+        for user, on, arrived in sent:
+            if arrived == day:
+                new = msg_df(spark, [(user, 9, ts(on), 1, 30, "x", "y", "iOS", "ads")])
+                new.withColumn("dt", F.lit(arrived)).write.mode("append").partitionBy("dt").parquet(f"{base}/msgs")
+        msgs = read_messages(spark, f"{base}/msgs", partition_col, 2)
+        got = daily_cube.advance_profiles(msgs, dt.date.fromisoformat(day), f"{base}/profiles", 2)
+        assert sorted(map(str, got.collect())) == sorted(map(str, profile_tuples(msgs).select(*got.columns).collect()))
+    assert got.count() == 4
