@@ -21,6 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from feedlens.llm.frames import GAP, numbered, word_count
 from feedlens.session import materialize
@@ -175,7 +176,15 @@ def mix(
     is an id like any other.  An empty table gives no rows.  Other columns are
     ignored.  A source without words has the target 0 and no draws."""
     sized = docs.select(F.col(doc_id).alias("__doc"), F.col(source).alias("__src"), word_count(F.col(text)).alias("__size"))
+    return _mixed(sized, [], doc_id, weights, max_repeat, levels, seed)
+
+
+def _mixed(sized: DataFrame, key: list[str], doc_id: str, weights: tuple[int, ...], max_repeat: int, levels: int, seed: str) -> DataFrame:
+    """The mix of rows (``__doc``, ``__src``, ``__size``); columns ``key`` tell rows
+    with the same id apart, spread those without an id over the blocks, and are passed on."""
     digest = _hash(seed, F.col("__doc"))
+    if key:
+        digest = F.when(F.col("__doc").isNull(), _hash(seed, F.col("__doc"), *map(F.col, key))).otherwise(digest)
     sized = materialize(sized.withColumns({"__h": digest, "__block": F.substring(digest, 1, BLOCK_DIGITS)}))
 
     blocks = sized.groupBy("__src", "__block").agg(F.sum("__size").alias("__in"))
@@ -196,7 +205,7 @@ def mix(
     units = units.select("__i", "__block", F.explode(passes).alias("__pass"))
     dealt = Window.partitionBy("__i").orderBy(_hash(seed, F.lit("unit"), F.col("__block"), F.col("__pass")), "__block", "__pass")
     units = units.withColumn("__rank", F.row_number().over(dealt))
-    return _draws(sized, plan, _shards(units, levels, seed), seed, doc_id)
+    return _draws(sized, plan, _shards(units, levels, seed), seed, doc_id, key)
 
 
 def _shards(units: DataFrame, levels: int, seed: str) -> DataFrame:
@@ -210,12 +219,12 @@ def _shards(units: DataFrame, levels: int, seed: str) -> DataFrame:
     return placed.groupBy("__i", "__block").agg(F.sort_array(F.collect_list("__at")).alias("__units"))
 
 
-def _draws(sized: DataFrame, plan: DataFrame, shards: DataFrame, seed: str, doc_id: str) -> DataFrame:
+def _draws(sized: DataFrame, plan: DataFrame, shards: DataFrame, seed: str, doc_id: str, key: list[str]) -> DataFrame:
     plan = materialize(plan.join(shards, ["__i", "__block"], "left")).withColumnsRenamed({"__src": "__from", "__block": "__of"})
     rows = sized.join(plan, sized["__src"].eqNullSafe(plan["__from"]) & (sized["__block"] == plan["__of"]))
     # Only the one cut block of a source needs its documents in order.
     cut = (F.col("__partial") > 0) & (F.col("__partial") < F.col("__in"))
-    inner = Window.partitionBy("__i", "__block").orderBy("__h", "__size", "__doc")
+    inner = Window.partitionBy("__i", "__block").orderBy("__h", "__size", "__doc", *key)
     whole = rows.where(~cut).withColumn("__got", F.when(F.col("__partial") > 0, F.col("__size")).otherwise(F.lit(0).cast("long")))
     ranked = rows.where(cut).withColumn("__got", F.sum("__size").over(inner) - F.col("__size"))
     ranked = ranked.withColumn("__got", F.greatest(F.lit(0), F.least(F.col("__size"), F.col("__partial") - F.col("__got"))))
@@ -226,7 +235,7 @@ def _draws(sized: DataFrame, plan: DataFrame, shards: DataFrame, seed: str, doc_
             x["__pass"].alias("pass"),
             F.when(x["__pass"] <= F.col("__full"), F.col("__size")).otherwise(F.col("__got")).alias("words"),
             x["shard"].alias("shard"),
-            _hash(seed, F.lit("shuffle"), F.col("__doc"), x["__pass"]).alias("shuffle_key"),
+            _hash(seed, F.lit("shuffle"), F.col("__doc"), *map(F.col, key), x["__pass"]).alias("shuffle_key"),
         ),
     )
     return rows.select(
@@ -236,21 +245,45 @@ def _draws(sized: DataFrame, plan: DataFrame, shards: DataFrame, seed: str, doc_
         F.col("__target").alias("target"),
         (F.col("__full") * F.col("__size") + F.col("__got")).cast("long").alias("taken"),
         F.filter(drawn, lambda x: x["words"] > 0).alias("draws"),
+        *key,
     )
 
 
-def draw(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", levels: int = SHARD_LEVELS, **options) -> DataFrame:
+def _fingerprint(rows: DataFrame, seed: int) -> Column:
+    """Hash of all columns of a row; nulls count by their places."""
+    values = [F.col(f.name) if isinstance(f.dataType, AtomicType) else F.to_json(F.struct(f.name)) for f in rows.schema.fields]
+    return F.xxhash64(F.lit(seed), *values, *[F.col(c).isNull() for c in rows.columns])
+
+
+def draw(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    max_repeat: int = MAX_REPEAT,
+    levels: int = SHARD_LEVELS,
+    seed: str = SEED,
+) -> DataFrame:
     """The mix itself: a row with the columns of ``docs`` for every draw, in
     shards that are shuffled within.
 
     A document drawn in part is cut after its last word that is taken, its words
     then joined by one space.  Documents that the mix does not take, those without
-    words among them, are left out.  Rows that repeat a doc_id are drawn alike."""
-    drawn = mix(docs, doc_id, text, source, levels=levels, **options)
-    drawn = drawn.where(F.size("draws") > 0).dropDuplicates([doc_id])
-    drawn = drawn.select(F.col(doc_id).alias("__doc"), F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
+    words among them, are left out.  Rows that repeat a doc_id, or have none, are
+    drawn each by its own text and source; rows equal in all columns are copies,
+    drawn each on its own."""
     base, names = numbered(docs)
-    rows = base.join(drawn, base[names[doc_id]].eqNullSafe(drawn["__doc"]))
+    base = base.withColumns({"__k1": _fingerprint(base, 1), "__k2": _fingerprint(base, 2)})
+    sized = base.select(
+        "__k1", "__k2", F.col(names[doc_id]).alias("__doc"), F.col(names[source]).alias("__src"), word_count(F.col(names[text])).alias("__size")
+    )
+    # Equal rows are counted, not numbered, so that many of them are no hot key.
+    copies = sized.groupBy(*sized.columns).agg(F.count("*").alias("__many"))
+    copies = copies.select(*sized.columns, F.explode(F.sequence(F.lit(1).cast("long"), "__many")).alias("__copy"))
+    drawn = _mixed(copies, ["__k1", "__k2", "__copy"], "__doc", weights, max_repeat, levels, seed)
+    drawn = drawn.select("__k1", "__k2", F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
+    rows = base.dropDuplicates(["__k1", "__k2"]).join(drawn, ["__k1", "__k2"])
     whole = F.col(names[text])
     spaced = F.split(F.trim(F.regexp_replace(whole, GAP, " ")), " ")
     cut = F.array_join(F.slice(spaced, F.lit(1), F.col("__draw.words").cast("int")), " ")

@@ -151,6 +151,26 @@ def test_mix_draw(spark):
     assert mixing.draw(df.limit(0)).count() == 0 and mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_draw_of_repeated_and_null_ids(spark):
+    """Rows that share an id, or have none, give the words their own text and source
+    are planned for: every target is met to the word and no text is another's."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, i, 5, 6]), f"{s}{i} " + " ".join(["w"] * rng.randint(0, 40)), s) for i in range(300) for s in "ab"]
+    rows += [(None, "same text", "b")] * 40
+    df = mix_documents(spark, rows, extra=True)
+    words = collections.Counter()
+    for r in mixing.draw(df).collect():
+        words[r.source] += len(r.text.split())
+        assert r.text.split()[0][0] in (r.source, "s")
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    want = brute_targets(sizes)
+    assert all(abs(words[s] - want[s]) <= 1 for s in want)
+    again = mixing.draw(mix_documents(spark, rows[::-1], extra=True).repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixing.draw(df).collect()))
+
+
 def test_hypergeometric_moments(spark):
     from pyspark.sql import functions as F
 
