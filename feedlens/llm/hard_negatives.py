@@ -36,8 +36,10 @@ NEGATIVES = 3
 #: Score window of a negative, in percent of the positive's score.
 LOW, HIGH = 50, 95
 PART_ROWS = 16384
-LEAF = 64
+LEAF = 128
 FANOUT = 8
+#: Anchors whose bounds are held at once.
+ANCHORS = 256
 
 
 def str_order(cells: np.ndarray, leaf: int = LEAF) -> np.ndarray:
@@ -72,54 +74,59 @@ class RTree:
             at = np.arange(0, len(low), fanout)
             self.levels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
 
-    def intervals(self, query: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Least and greatest inner product that a box allows, for all boxes."""
-        up, down = np.maximum(query, 0), np.minimum(query, 0)
-        return [(low @ up + high @ down, high @ up + low @ down) for low, high in self.levels]
+    def intervals(self, queries: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Least and greatest inner product that a box allows: (queries, boxes) for
+        every level."""
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        return [(up @ low.T + down @ high.T, up @ high.T + down @ low.T) for low, high in self.levels]
 
 
-class Anchor:
-    """One anchor's searches over the trees of a part."""
+class Search:
+    """Searches of several anchors over the trees of a part."""
 
-    def __init__(self, anchor_id: int, query: np.ndarray, trees: list[RTree]):
-        self.id, self.query, self.trees = anchor_id, query, trees
-        self.bounds = [t.intervals(query) for t in trees]
-        self.scores: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    def __init__(self, queries: np.ndarray, trees: list[RTree]):
+        self.queries, self.trees = queries, trees
+        self.bounds = [t.intervals(queries) for t in trees]
         self.opened = 0
 
-    def _leaf(self, tree: int, node: int) -> list[tuple[int, int]]:
-        """(-score, id) of a tile's rows, best first."""
-        if (tree, node) not in self.scores:
-            t = self.trees[tree]
-            rows = slice(node * t.leaf, (node + 1) * t.leaf)
-            self.opened += 1
-            scores = (-(t.cells[rows] @ self.query)).tolist()
-            self.scores[tree, node] = sorted((int(s), i) for s, i in zip(scores, t.ids[rows].tolist()) if i != self.id)
-        return self.scores[tree, node]
+    def best(self, at: int, anchor_id: int, k: int, windows: list[tuple]) -> list[list[tuple[int, int]]]:
+        """(-score, id) of the k best rows of each window (low, high) of scores, for
+        the query at a place, in one walk; rows with the anchor's id are left out.
 
-    def best(self, k: int, low: float = float("-inf"), high: float = float("inf")) -> list[tuple[int, int]]:
-        """(-score, id) of the k best rows with a score from low to high."""
+        The windows stay open as long as a box may hold a row for one of them: its
+        interval meets the window and reaches the window's kth score."""
+        query = self.queries[at]
+        high = np.array([h for _, h in windows])
+        least_wanted = np.array([low for low, _ in windows])  # rises to the kth score
+        found: list[list[tuple[int, int]]] = [[] for _ in windows]
         queue: list[tuple] = []
 
-        def enter(tree: int, level: int, nodes: range) -> None:
-            least, most = self.bounds[tree][level]
-            for n in nodes:
-                if most[n] >= low and least[n] <= high:
-                    heapq.heappush(queue, (-most[n], tree, level, n))
+        def enter(tree: int, level: int, first: int, stop: int) -> None:
+            least, most = (x[at, first:stop] for x in self.bounds[tree][level])
+            fits = ((most[:, None] >= least_wanted) & (least[:, None] <= high)).any(1)
+            for n in np.flatnonzero(fits).tolist():
+                heapq.heappush(queue, (-most[n], tree, level, first + n))
 
-        for tree, bounds in enumerate(self.bounds):
-            enter(tree, len(bounds) - 1, range(len(bounds[-1][0])))
-        found: list[tuple[int, int]] = []
+        for tree, t in enumerate(self.trees):
+            enter(tree, len(t.levels) - 1, 0, 1)
         while queue:
             bound, tree, level, n = heapq.heappop(queue)
-            if len(found) == k and bound > found[-1][0]:
+            if -bound < least_wanted.min():
                 break
+            t = self.trees[tree]
             if level:
-                step, below = self.trees[tree].fanout, len(self.bounds[tree][level - 1][0])
-                enter(tree, level - 1, range(n * step, min((n + 1) * step, below)))
-            else:
-                fits = [x for x in self._leaf(tree, n) if low <= -x[0] <= high]
-                found = sorted(found + fits[:k])[:k]
+                enter(tree, level - 1, n * t.fanout, (n + 1) * t.fanout)
+                continue
+            self.opened += 1
+            rows = slice(n * t.leaf, (n + 1) * t.leaf)
+            scores = t.cells[rows] @ query
+            fits = (scores[:, None] >= least_wanted) & (scores[:, None] <= high)
+            for w in np.flatnonzero(fits.any(0)).tolist():
+                some = np.flatnonzero(fits[:, w])
+                new = [(int(-s), i) for s, i in zip(scores[some], t.ids[rows][some].tolist()) if i != anchor_id]
+                found[w] = heapq.nsmallest(k, found[w] + new)
+                if len(found[w]) == k:
+                    least_wanted[w] = max(least_wanted[w], -found[w][-1][0])
         return found
 
 
@@ -170,9 +177,10 @@ class _Part:
         return self.trees[d, kind], _whole(queries, self.scale, kind)
 
 
-def _meet(rows: DataFrame, anchors: DataFrame, parts: int, scale: int, search, names: list[str]) -> DataFrame:
-    """Every anchor in every part, after the part's rows; ``search`` gives the values
-    of ``names`` for an anchor (id, key, label, vector, scores) and the trees by label."""
+def _meet(rows: DataFrame, anchors: DataFrame, parts: int, scale: int, wanted, search, names: list[str]) -> DataFrame:
+    """Every anchor in every part, after the part's rows; ``wanted`` tells whether trees
+    of a label are searched for anchors of another one, ``search`` gives the values of
+    ``names`` for an anchor (its searches, place, id and scores)."""
     nothing = [F.lit(None).cast("long").alias("anchor_key"), F.lit(None).cast("array<long>").alias("scores")]
     here = rows.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("kind"), "id", "label", "d", "v", *nothing)
     there = anchors.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"), "id", "label", "d", "v", "anchor_key", "scores")
@@ -193,9 +201,14 @@ def _meet(rows: DataFrame, anchors: DataFrame, parts: int, scale: int, search, n
                 some = asked.filter(pa.array(lengths == d))
                 trees, queries = part.of(d, _matrix(some.column("v"), d))
                 out: list[tuple] = []
-                for at, anchor in enumerate(zip(*(some.column(c).to_pylist() for c in ("id", "anchor_key", "label", "scores")))):
-                    i, key, label, scores = anchor
-                    out += [(i, key, *x) for x in search(i, label, queries[at], scores, trees)]
+                ids, keys, labels, scores = (some.column(c).to_pylist() for c in ("id", "anchor_key", "label", "scores"))
+                for label in set(labels):
+                    here = [at for at, x in enumerate(labels) if x == label]
+                    for start in range(0, len(here), ANCHORS):
+                        at = here[start : start + ANCHORS]
+                        searches = Search(queries[at], [t for x, t in trees.items() if wanted(x, label)])
+                        for n, j in enumerate(at):
+                            out += [(ids[j], keys[j], *x) for x in search(searches, n, ids[j], scores[j])]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["anchor_id", "anchor_key", *names])
 
@@ -232,16 +245,14 @@ def mine(
         some = df.select(F.col(vec_id).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vector).cast("array<double>").alias("v"))
         return some.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v"))).withColumn("d", F.size("v"))
 
-    def own(i: int, label: int, query: np.ndarray, scores: None, trees: dict[int, RTree]) -> Iterator[tuple]:
-        if label in trees:
-            for s, j in Anchor(i, query, [trees[label]]).best(positives):
-                yield j, _long(-s)
+    def own(searches: Search, at: int, i: int, scores: None) -> Iterator[tuple]:
+        (found,) = searches.best(at, i, positives, [(float("-inf"), float("inf"))])
+        return ((j, _long(-s)) for s, j in found)
 
-    def other(i: int, label: int, query: np.ndarray, scores: list[int], trees: dict[int, RTree]) -> Iterator[tuple]:
-        anchor = Anchor(i, query, [t for x, t in trees.items() if x != label])
-        for p in scores:
-            for s, j in anchor.best(negatives, -(-low * p // 100), high * p // 100):
-                yield p, j, _long(-s)
+    def other(searches: Search, at: int, i: int, scores: list[int]) -> Iterator[tuple]:
+        windows = [(-(-low * p // 100), high * p // 100) for p in scores]
+        for p, found in zip(scores, searches.best(at, i, negatives, windows)):
+            yield from ((p, j, _long(-s)) for s, j in found)
 
     rows = pick(vectors)
     parts = max(vectors.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // part_rows))
@@ -249,12 +260,12 @@ def mine(
     asked = materialize(asked.withColumn("anchor_key", F.xxhash64("label", "v")))
     of_anchor = ["anchor_id", "anchor_key"]
 
-    found = _meet(rows, asked.withColumn("scores", F.lit(None).cast("array<long>")), parts, scale, own, ["positive_id", "positive_score"])
+    found = _meet(rows, asked.withColumn("scores", F.lit(None).cast("array<long>")), parts, scale, int.__eq__, own, ["positive_id", "positive_score"])
     best = F.row_number().over(Window.partitionBy(*of_anchor).orderBy(F.col("positive_score").desc(), "positive_id"))
     found = materialize(found.withColumn("place", best).where(F.col("place") <= positives).drop("place"))
 
     windows = found.groupBy(F.col("anchor_id").alias("id"), "anchor_key").agg(F.collect_set("positive_score").alias("scores"))
-    met = _meet(rows, asked.join(windows, ["id", "anchor_key"]), parts, scale, other, ["positive_score", "negative_id", "negative_score"])
+    met = _meet(rows, asked.join(windows, ["id", "anchor_key"]), parts, scale, int.__ne__, other, ["positive_score", "negative_id", "negative_score"])
     best = F.row_number().over(Window.partitionBy(*of_anchor, "positive_score").orderBy(F.col("negative_score").desc(), "negative_id"))
     met = met.withColumn("rank", best).where(F.col("rank") <= negatives)
     return found.join(met, [*of_anchor, "positive_score"]).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from feedlens.llm import hard_negatives
-from feedlens.llm.hard_negatives import Anchor, RTree
+from feedlens.llm.hard_negatives import RTree, Search
 
 SCHEMA = "vec_id long, embedding array<double>, label int"
 
@@ -82,13 +82,16 @@ def test_boxes_bound_their_rows_and_prune():
     cells = np.floor(rng.normal(0, 1, (3000, 2)) * 256)
     tree = RTree(np.arange(3000), cells, leaf=16)
     query = np.array([300.0, -200.0])
-    low, high = tree.intervals(query)[0]
+    low, high = (x[0] for x in tree.intervals(query[None])[0])
     scores = tree.cells @ query
     for n in range(len(low)):
         own = scores[n * 16 : (n + 1) * 16]
         assert low[n] <= own.min() and own.max() <= high[n]
-    anchor = Anchor(-1, query, [tree])
-    assert [i for _, i in anchor.best(5)] == sorted(range(3000), key=lambda i: (-(cells[i] @ query), i))[:5]
-    assert anchor.opened < len(low) / 4
-    want = sorted((i for i in range(3000) if 1000 <= cells[i] @ query <= 20000), key=lambda i: (-(cells[i] @ query), i))[:3]
-    assert [i for _, i in anchor.best(3, 1000, 20000)] == want
+    search = Search(query[None], [tree])
+    order = sorted(range(3000), key=lambda i: (-(cells[i] @ query), i))
+    (best,) = search.best(0, order[1], 5, [(float("-inf"), float("inf"))])
+    assert [i for _, i in best] == [i for i in order[:6] if i != order[1]]
+    assert search.opened < len(low) / 4
+    windows = [(1000, 20000), (15000, 40000), (3, 2)]
+    for (a, b), found in zip(windows, search.best(0, -1, 3, windows)):
+        assert [i for _, i in found] == [i for i in order if a <= cells[i] @ query <= b][:3]
