@@ -4,8 +4,11 @@ A document is the set of its distinct k-word shingles, as 64-bit hashes.
 Documents with equal sets are one class; all work is on classes.
 
 Candidates (lossless).  Two sets that link differ in few shingles, so among the
-``q`` least hashes of each (a fifth of the set, and at least the usual prefix)
-they share a number that depends on their sizes only.  One self semi-join on
+``q`` least hashes of each (a third more than the part in which linked sets may
+differ, and at least the usual prefix) they share a number that depends on their
+sizes only: of the set whose last searched hash is the lesser, at most
+``100 - percent`` percent are missing in the other one, all others that are searched
+are searched there too, and it has at least ``percent`` percent of the other's size.  One self semi-join on
 the shingle keeps the shingles that another class has as well; classes with too
 few of them can link with nothing.  Of the others, only the rarest shared ones,
 as many as the same bound leaves open, are block keys, so a passage that many
@@ -40,20 +43,23 @@ from feedlens.llm.vector_dedup import _forest
 from feedlens.llm.wordhash import mix, shingle_sets
 from feedlens.session import materialize
 
-#: Part of a set, by least hash, in which candidates are searched (percent).
-SEARCHED = 20
 #: Members in one chunk of a block.
 CHUNK_ROWS = 1024
 FANOUT = 8
 _BATCH_BYTES = 4 << 20
 
 
+def searched(percent: int) -> int:
+    """Part of a set, by least hash, in which candidates are searched (percent)."""
+    return min(100, -(-4 * (100 - percent) // 3))
+
+
 def prefix(n: int, percent: int) -> tuple[int, int]:
     """How many of the least hashes of a set of n are searched, and how many of
     them any set that links with it must share at least."""
     least = -(-percent * n // 100)  # overlap with any partner
-    q = max(n - least + 1, -(-SEARCHED * n // 100))
-    shared = -(-(SEARCHED - 100 + percent) * percent * n // 10_000)
+    q = max(n - least + 1, -(-searched(percent) * n // 100))
+    shared = -(-(searched(percent) - 100 + percent) * percent * n // 10_000)
     return min(q, n), max(1, shared)
 
 
@@ -110,7 +116,7 @@ def _blocks(docs: DataFrame, reps: DataFrame, k: int, percent: int, doc_id: str,
     shared = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.class") != F.col("b.class")), "left_semi")
     shared = materialize(shared.distinct())
     known = shared.join(shared.groupBy("token").count(), "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("list"))
-    need = F.greatest(F.lit(1), F.ceil(F.lit((SEARCHED - 100 + percent) * percent) * F.col("n") / 10_000)).cast("int")
+    need = F.greatest(F.lit(1), F.ceil(F.lit((searched(percent) - 100 + percent) * percent) * F.col("n") / 10_000)).cast("int")
     known = known.join(reps.select("class", "n").dropDuplicates(["class"]), "class")
     keys = known.where(F.size("list") >= need).select("class", F.explode(F.slice("list", F.lit(1), F.size("list") - need + 1)).alias("x"))
     keys = materialize(keys.select("class", F.col("x.token").alias("token")))

@@ -34,8 +34,10 @@ END_ID = 1
 STEP_IDS = 32 * 2048
 #: Bytes of text that are tokenised and packed together.
 PACK_BYTES = 4 << 20
-#: Parts of texts whose ids a Python worker keeps; the memory is emptied beyond it.
-WORD_MEMORY = 1_000_000
+#: Bytes that the ids of parts of texts may take in a Python worker, about.
+PART_BYTES = 32 << 20
+#: What one part takes beside its own bytes and its ids: two objects and their slots.
+_PART_OVERHEAD = 250
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
@@ -64,30 +66,48 @@ class PartIds(dict):
     A part starts at a text's begin, at a space or at a line break.  The
     pre-tokenizer never joins characters across such a place, except where white
     space neighbours white space; those texts, and texts with the special
-    token, are encoded whole.  Both ways give the tokenizer's ids."""
+    token, are encoded whole.  Both ways give the tokenizer's ids.
+
+    Parts are kept in two generations of half of ``PART_BYTES`` each: when the
+    younger one is full it takes the place of the older one, so the parts in use
+    stay.  ``forget`` drops both."""
 
     def __init__(self, path: str):
         super().__init__()
+        self.forget()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
 
+    def forget(self) -> None:
+        self.clear()
+        self.older: dict[bytes, bytes] = {}
+        self.held = 0
+
     def _whole(self, text: str) -> bytes:
         (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(got.ids, "<u4").tobytes()
 
     def __missing__(self, part: bytes) -> bytes:
-        text = part.decode()
-        if text[-1] in ".," and text[1:-1].isalpha():  # letters and a mark are pre-tokens of their own
-            got = self[part[:-1]] + self[part[-1:]]
-        elif text[0] in " " and text[1:].isalpha():  # one pre-token
-            got = np.asarray([t.id for t in self.tokenizer.model.tokenize(part.decode("latin-1").translate(_ALPHABET))], "<u4").tobytes()
-        else:
-            got = self._whole(text)
+        got = self.older.get(part)
+        if got is None:
+            got = self._encoded(part)
         self[part] = got
+        self.held += len(part) + len(got) + _PART_OVERHEAD
+        if self.held > PART_BYTES // 2:
+            self.older, self.held = dict(self), 0
+            self.clear()
         return got
 
+    def _encoded(self, part: bytes) -> bytes:
+        text = part.decode()
+        if text[-1] in ".," and text[1:-1].isalpha():  # letters and a mark are pre-tokens of their own
+            return self[part[:-1]] + self[part[-1:]]
+        if text[0] in " " and text[1:].isalpha():  # one pre-token
+            return np.asarray([t.id for t in self.tokenizer.model.tokenize(part.decode("latin-1").translate(_ALPHABET))], "<u4").tobytes()
+        return self._whole(text)
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [np.zeros(0, "<u4")] * len(texts)
         parted = [i for i, t in enumerate(texts) if t and _SPECIAL not in t and (t.isascii() or not any(c in t for c in _WIDE_SPACES))]
@@ -111,8 +131,6 @@ class PartIds(dict):
         ends = np.append(starts[1:], len(data))
         _, at, part = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         keys = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        if len(self) > WORD_MEMORY:
-            self.clear()
         coded = list(map(self.__getitem__, keys))
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         pool, first = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(sizes) - sizes
@@ -126,6 +144,7 @@ class PartIds(dict):
 
 
 def _memory(path: str) -> PartIds:
+    """The worker's tokenizer; its parts are forgotten at the end of a partition."""
     if path not in _WORKER:
         _WORKER[path] = PartIds(path)
     return _WORKER[path]
@@ -218,5 +237,6 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, s
                 groups += max(group, default=-1) + 1
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+        words.forget()
 
     return docs.selectExpr("cast(doc_id as long) _doc_id", "cast(text as string) _text").mapInArrow(run, PIECES)
