@@ -43,12 +43,20 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of every near-duplicate group: sets of
-    5-word shingles linked at a Jaccard similarity of 0.8.  Documents with a null
-    id stay."""
-    found = jaccard_join.join(docs, k=5, percent=80)
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")
+    """Keeps one document of every near-duplicate group, the one of least id: sets of
+    5-word shingles linked at a Jaccard similarity of 0.8.
+
+    Rows that repeat an id are one document, of which one row stays.  A row without an
+    id is named by its text, after all ids, so it stays only if its group has no id."""
+    by_text = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    named = docs.withColumn("__name", F.coalesce(F.col("doc_id").cast("long"), by_text))
+    found = jaccard_join.join(named.select("__name", "text"), doc_id="__name", k=5, percent=80)
+    copies = found.where("__name <> component_id").select("__name").distinct()
+    repeated = named.groupBy("__name").count().where("count > 1").select("__name")
+    kept = named.join(copies, "__name", "left_anti")
+    once = kept.join(repeated, "__name", "left_anti")
+    again = kept.join(repeated, "__name", "left_semi").dropDuplicates(["__name"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
