@@ -330,3 +330,15 @@ def test_pipeline_stages(spark):
     assert ids["mixing"] <= ids["jaccard_join"]
     total = kept["packing"].agg({"length": "sum"}).first()[0]
     assert total == sum(len(reference_ids(r.text)) for r in kept["mixing"].collect())
+
+
+def test_pipeline_keeps_one_row_of_a_group(spark):
+    """Repeated ids, rows without an id and null texts."""
+    words = lambda k, n=40: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [(1, words(1)), (1, words(1)), (2, words(2)), (3, words(1) + " end"), (None, words(1)), (None, words(4)), (None, words(4)), (5, words(5)), (5, words(5)), (6, None), (7, ""), (8, "one")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.dedup_documents(spark, docs, SF001)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == sorted(
+        [(1, words(1)), (2, words(2)), (0, words(4)), (5, words(5)), (6, ""), (7, ""), (8, "one")]
+    )
