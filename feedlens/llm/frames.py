@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,16 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def text_slices(batch: pa.RecordBatch, column: str, most: int, raw: bool = False) -> Iterator[tuple[int, int, list]]:
+    """Index ranges of a batch whose texts have about ``most`` characters together at
+    the most (``raw``: bytes), and these texts; null becomes the empty text.  Only one
+    range's texts are Python objects at a time."""
+    texts = batch.column(column).cast(pa.binary() if raw else pa.string())
+    sizes = (pc.binary_length if raw else pc.utf8_length)(texts).fill_null(0).to_pylist()
+    for a, b in slices(sizes, most):
+        yield a, b, [t or (b"" if raw else "") for t in texts.slice(a, b - a).to_pylist()]
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The groups of a partition that is sorted by ``key``, one at a time."""
     held: list[pa.Table] = []

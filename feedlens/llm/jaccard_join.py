@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.frames import binary_texts, slices, sorted_groups
+from feedlens.llm.frames import sorted_groups, text_slices
 from feedlens.llm.graph import components
 from feedlens.llm.vector_dedup import _forest
 from feedlens.llm.wordhash import mix, shingle_sets
@@ -46,7 +46,7 @@ from feedlens.session import materialize
 #: Members in one chunk of a block.
 CHUNK_ROWS = 1024
 FANOUT = 8
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 
 
 def searched(percent: int) -> int:
@@ -65,9 +65,9 @@ def prefix(n: int, percent: int) -> tuple[int, int]:
 
 def _per_slice(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     for batch in batches:
-        ids, texts = batch.column("__doc").to_pylist(), binary_texts(batch, "__text")
-        for a, b in slices([len(t) for t in texts], _BATCH_BYTES):
-            yield ids[a:b], shingle_sets(texts[a:b], k)
+        ids = batch.column("__doc").to_pylist()
+        for a, b, texts in text_slices(batch, "__text", _BATCH_BYTES, raw=True):
+            yield ids[a:b], shingle_sets(texts, k)
 
 
 def _class_keys(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -308,9 +308,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            classes, texts = batch.column("class").to_pylist(), binary_texts(batch, "__text")
-            for a, b in slices([len(t) for t in texts], _BATCH_BYTES):
-                sets = shingle_sets(texts[a:b], k)
+            classes = batch.column("class").to_pylist()
+            for a, b, texts in text_slices(batch, "__text", _BATCH_BYTES, raw=True):
+                sets = shingle_sets(texts, k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(classes[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([f(s).tobytes() for s in sets], pa.binary()) for f in (signature, np.asarray))],
                     names=["class", "n", "bits", "members"],

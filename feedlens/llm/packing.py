@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feedlens.llm.frames import slices
+from feedlens.llm.frames import text_slices
 from feedlens.llm.wordhash import SPACE, span_hashes
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 STEP_IDS = 32 * 2048
-#: Bytes of text that are tokenised and packed together.
+#: Characters of text that are tokenised and packed together.
 PACK_BYTES = 4 << 20
 #: Bytes that the ids of parts of texts may take in a Python worker, about.
 PART_BYTES = 32 << 20
@@ -224,9 +224,9 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, s
         first = TaskContext.get().partitionId() << 40
         groups = first
         for batch in batches:
-            ids, texts = batch.column("_doc_id").to_pylist(), [t or "" for t in batch.column("_text").to_pylist()]
-            for a, b in slices([len(t) for t in texts], PACK_BYTES):
-                coded = [np.append(x, end) for x in words.ids(texts[a:b])]
+            ids = batch.column("_doc_id").to_pylist()
+            for a, _, texts in text_slices(batch, "_text", PACK_BYTES):
+                coded = [np.append(x, end) for x in words.ids(texts)]
                 pieces, filled = pack_lengths([len(x) for x in coded], tiers)
                 group = step_groups(filled, tiers, step_ids)
                 rows = [

@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.llm.frames import binary_texts, numbered, slices
+from feedlens.llm.frames import numbered, text_slices
 from feedlens.llm.wordhash import text_windows, words
 
 EXPONENT = 4
 SHORTEST = 6
 #: Bytes of text whose windows are compared together (never across texts).
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 _NEVER = -1
 
 _RUN = T.StructType([T.StructField(c, T.LongType(), False) for c in ("start", "length", "period")])
@@ -280,13 +280,12 @@ def find_runs(docs: DataFrame, text: str = "text", exponent: int = EXPONENT, sho
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = binary_texts(batch, places[text])
-            for a, b in slices([len(t) for t in texts], _BATCH_BYTES):
-                found, n = runs_of_texts(texts[a:b], exponent, shortest)
+            for a, b, texts in text_slices(batch, places[text], _BATCH_BYTES, raw=True):
+                found, n = runs_of_texts(texts, exponent, shortest)
                 flat = list(zip(*(r for rs in found for r in rs))) or [(), (), ()]
                 struct = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in flat], fields=[pa.field(f, pa.int64(), False) for f in ("start", "length", "period")])
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), struct)
-                left = pa.array([collapsed(t, r) for t, r in zip(texts[a:b], found)], pa.binary()).cast(pa.string())
+                left = pa.array([collapsed(t, r) for t, r in zip(texts, found)], pa.binary()).cast(pa.string())
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), lists, left], names=[*part.schema.names, "__n", "__runs", "__left"])
 

@@ -12,20 +12,23 @@ import numpy as np
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = {"n": 0}
+#: Powers that a worker keeps; longer buffers have theirs made for the call.
+_KEPT = 1 << 21
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS["n"] < n:
-        n = max(n, 1 << 16)
-        inverse = pow(_BASE, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            _POWERS["up"] = np.cumprod(np.full(n, _BASE, _U))
-            _POWERS["down"] = np.cumprod(np.full(n, inverse, _U))
-        _POWERS["n"] = n
-    return _POWERS["up"], _POWERS["down"]
+    if n <= _POWERS["n"]:
+        return _POWERS["up"], _POWERS["down"]
+    inverse = pow(_BASE, -1, 1 << 64)
+    size = n if n > _KEPT else min(_KEPT, max(2 * n, 1 << 16))
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.full(size, x, _U)) for x in (_BASE, inverse))
+    if size <= _KEPT:
+        _POWERS.update(n=size, up=up, down=down)
+    return up, down
 
 
 def mix(x: np.ndarray) -> np.ndarray:
