@@ -7,7 +7,9 @@ work streams over sorted partitions, one group at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +77,21 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int, raw: bool = False
         yield a, b, [t or (b"" if raw else "") for t in texts.slice(a, b - a).to_pylist()]
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers, which Spark keeps for later tasks of other
+    stages, give back the memory of a partition when it ends."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return df.mapInArrow(lean, schema)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The groups of a partition that is sorted by ``key``, one at a time."""
     held: list[pa.Table] = []

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.frames import sorted_groups, text_slices
+from feedlens.llm.frames import map_batches, sorted_groups, text_slices
 from feedlens.llm.graph import components
 from feedlens.llm.vector_dedup import _forest
 from feedlens.llm.wordhash import mix, shingle_sets
@@ -88,7 +88,7 @@ def profiles(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
             one, two = zip(*_class_keys(sets))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, [len(s) for s in sets], one, two)], names=["__doc", "n", "class", "check"])
 
-    return _working(docs, doc_id, text).mapInArrow(run, "__doc long, n long, class long, check long")
+    return map_batches(_working(docs, doc_id, text), run, "__doc long, n long, class long, check long")
 
 
 def _working(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -106,7 +106,7 @@ def _postings(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) ->
             classes = np.repeat(keys, [len(x) for x in least])
             yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(classes)], names=["token", "class"])
 
-    return _working(docs, doc_id, text).mapInArrow(run, "token long, class long")
+    return map_batches(_working(docs, doc_id, text), run, "token long, class long")
 
 
 def _blocks(docs: DataFrame, reps: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -274,7 +274,7 @@ def _open_groups(blocks: DataFrame, sets: DataFrame, percent: int, whole: bool)
             if len(far):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(to[far])], names=["class", "to"])
 
-    forests = groups.repartition("group").sortWithinPartitions("group").mapInArrow(run, "class long, to long")
+    forests = map_batches(groups.repartition("group").sortWithinPartitions("group"), run, "class long, to long")
     if not whole:
         return forests.select("class", F.col("to").alias("group"))
     members = components(forests, "class", "to").select(F.col("node").alias("class"), "component")
@@ -299,7 +299,7 @@ def _search(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if len(far):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[root[far]])], names=["class", "to"])
 
-    return groups.repartition("group").sortWithinPartitions("group").mapInArrow(run, "class long, to long")
+    return map_batches(groups.repartition("group").sortWithinPartitions("group"), run, "class long, to long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
@@ -318,7 +318,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, doc_id: str, text: str) ->
 
     # Rows that repeat the wanted id with another text are told apart by their class.
     joined = _working(docs, doc_id, text).join(wanted, "__doc")
-    return joined.mapInArrow(run, "class long, n long, bits binary, members binary")
+    return map_batches(joined, run, "class long, n long, bits binary, members binary")
 
 
 def _component() -> Column:

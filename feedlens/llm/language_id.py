@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.frames import text_slices
+from feedlens.llm.frames import map_batches, text_slices
 from feedlens.llm.letters import codes
 from feedlens.llm.linear import ftrl, scores, softmax, temperature
 from feedlens.llm.wordhash import mix
@@ -109,7 +109,7 @@ def _document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["feature", "n"])
 
-    rows = docs.select("__text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    rows = map_batches(docs.select("__text"), run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(DIMS + 1, np.int64)
     out[rows["feature"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out[:DIMS], int(out[DIMS])
@@ -159,8 +159,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         weights[DIMS] -= t * np.log(shares)  # predictions divide by t
         yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([t])], names=["weights", "temperature"])
 
-    sampled = sample.mapInArrow(features, "key long, lang string, at binary, count binary")
-    fitted = sampled.repartition(1).sortWithinPartitions("key", "lang", "at").mapInArrow(fit, "weights binary, temperature double").collect()
+    sampled = map_batches(sample, features, "key long, lang string, at binary, count binary")
+    fitted = map_batches(sampled.repartition(1).sortWithinPartitions("key", "lang", "at"), fit, "weights binary, temperature double").collect()
     weights = np.frombuffer(fitted[0]["weights"], np.float32).reshape(DIMS + 1, len(languages))
     return LanguageModel(languages, weights, fitted[0]["temperature"])
 
@@ -204,7 +204,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pred
             names, p = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(p, pa.float64())], names=[*kept, lang_pred, score])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return map_batches(docs.select(*kept), run, schema)
 
 
 def held_out(doc_id: Column, fold: int = 2, folds: int = 4) -> Column:

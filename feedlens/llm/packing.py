@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feedlens.llm.frames import text_slices
+from feedlens.llm.frames import map_batches, text_slices
 from feedlens.llm.wordhash import SPACE, span_hashes
 
 TIERS = (2048, 1024, 512, 256)
@@ -49,7 +49,6 @@ _ARROW = pa.schema(
 )
 
 _SPECIAL = "<|endoftext|>"
-_WORKER: dict = {}
 
 
 #: White space beyond ASCII (Unicode's White_Space property).
@@ -70,21 +69,17 @@ class PartIds(dict):
 
     Parts are kept in two generations of half of ``PART_BYTES`` each: when the
     younger one is full it takes the place of the older one, so the parts in use
-    stay.  ``forget`` drops both."""
+    stay.  A partition has its own."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.forget()
+        self.older: dict[bytes, bytes] = {}
+        self.held = 0
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def forget(self) -> None:
-        self.clear()
-        self.older: dict[bytes, bytes] = {}
-        self.held = 0
-
     def _whole(self, text: str) -> bytes:
         (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(got.ids, "<u4").tobytes()
@@ -143,13 +138,6 @@ class PartIds(dict):
         return out
 
 
-def _memory(path: str) -> PartIds:
-    """The worker's tokenizer; its parts are forgotten at the end of a partition."""
-    if path not in _WORKER:
-        _WORKER[path] = PartIds(path)
-    return _WORKER[path]
-
-
 def pack_lengths(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> tuple[list[tuple[int, int, int, int, int]], list[int]]:
     """Pieces (document, start, length, sequence, offset) and the sequences' lengths."""
     longest = tiers[0]
@@ -219,7 +207,7 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, s
     ignored.  ``sequence_id`` and ``step_group`` are unique over the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _memory(tokenizer_path)
+        words = PartIds(tokenizer_path)
         end = np.asarray([end_id], "<u4")
         first = TaskContext.get().partitionId() << 40
         groups = first
@@ -237,6 +225,5 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, s
                 groups += max(group, default=-1) + 1
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-        words.forget()
 
-    return docs.selectExpr("cast(doc_id as long) _doc_id", "cast(text as string) _text").mapInArrow(run, PIECES)
+    return map_batches(docs.selectExpr("cast(doc_id as long) _doc_id", "cast(text as string) _text"), run, PIECES)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.llm.frames import numbered, text_slices
+from feedlens.llm.frames import map_batches, numbered, text_slices
 from feedlens.llm.wordhash import text_windows, words
 
 EXPONENT = 4
@@ -289,6 +289,6 @@ def find_runs(docs: DataFrame, text: str = "text", exponent: int = EXPONENT, sho
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), lists, left], names=[*part.schema.names, "__n", "__runs", "__left"])
 
-    out = body.mapInArrow(run, schema)
+    out = map_batches(body, run, schema)
     back = [F.col(places[c]).alias(c) for c in docs.columns if c not in names]
     return out.select(*back, *[F.col(c).alias(n) for c, n in zip(("__n", "__runs", "__left"), names)])
