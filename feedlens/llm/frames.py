@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlens.session import shared_path
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -77,6 +80,24 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int, raw: bool = False
         yield a, b, [t or (b"" if raw else "") for t in texts.slice(a, b - a).to_pylist()]
 
 
+class Scratch:
+    """Tables in the session's shared folder that cut lineage like a checkpoint, but
+    take less room and are deleted when a step needs them no more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.base = spark, shared_path(spark, f"scratch-{uuid.uuid4().hex}")
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{self.base}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
+
+    def drop(self, *names: str) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names or ("",):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}".rstrip("/"))
+            path.getFileSystem(conf).delete(path, True)
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` whose Python workers, which Spark keeps for later tasks of other
     stages, give back the memory of a partition when it ends."""

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.frames import map_batches, sorted_groups, text_slices
+from feedlens.llm.frames import Scratch, map_batches, sorted_groups, text_slices
 from feedlens.llm.graph import components
 from feedlens.llm.vector_dedup import _forest
 from feedlens.llm.wordhash import mix, shingle_sets
@@ -109,22 +109,25 @@ def _postings(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) ->
     return map_batches(_working(docs, doc_id, text), run, "token long, class long")
 
 
-def _blocks(docs: DataFrame, reps: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
+def _blocks(docs: DataFrame, reps: DataFrame, k: int, percent: int, doc_id: str, text: str, scratch: Scratch) -> DataFrame:
     """Candidate blocks: ``block``, ``class``; every linked pair is in one."""
     postings = _postings(docs, k, percent, doc_id, text)
     a, b = postings.alias("a"), postings.alias("b")
     shared = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.class") != F.col("b.class")), "left_semi")
-    shared = materialize(shared.distinct())
+    shared = scratch.keep("shared", shared.distinct())
     known = shared.join(shared.groupBy("token").count(), "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("list"))
     need = F.greatest(F.lit(1), F.ceil(F.lit((searched(percent) - 100 + percent) * percent) * F.col("n") / 10_000)).cast("int")
     known = known.join(reps.select("class", "n").dropDuplicates(["class"]), "class")
     keys = known.where(F.size("list") >= need).select("class", F.explode(F.slice("list", F.lit(1), F.size("list") - need + 1)).alias("x"))
-    keys = materialize(keys.select("class", F.col("x.token").alias("token")))
+    keys = scratch.keep("keys", keys.select("class", F.col("x.token").alias("token")))
+    scratch.drop("shared")
     members = keys.groupBy("token").agg(
         F.count("*").alias("many"), F.bit_xor(F.xxhash64("class")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), F.col("class"))).alias("x2")
     )
     members = members.where("many > 1").groupBy("many", "x1", "x2").agg(F.min("token").alias("block"))
-    return materialize(keys.withColumnRenamed("token", "block").join(members.select("block", "many"), "block"))
+    blocks = scratch.keep("blocks", keys.withColumnRenamed("token", "block").join(members.select("block", "many"), "block"))
+    scratch.drop("keys")
+    return blocks
 
 
 def signature(members: np.ndarray) -> np.ndarray:
@@ -336,12 +339,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4
     doc_id have no component and are no part of one.  doc_id names one text: rows
     that repeat it with the same text get equal results.  Other columns are
     ignored."""
+    scratch = Scratch(docs.sparkSession)
     profile = materialize(profiles(docs, k, doc_id, text))
     some = profile.where("n > 0 AND __doc IS NOT NULL")
     reps = materialize(some.groupBy("class", "check").agg(F.min("__doc").alias("__doc"), F.min("n").alias("n")))
-    blocks = _blocks(docs.where(F.col(doc_id).isNotNull()), reps, k, percent, doc_id, text)
+    blocks = _blocks(docs.where(F.col(doc_id).isNotNull()), reps, k, percent, doc_id, text, scratch)
     wanted = reps.join(blocks.select("class").distinct(), "class", "left_semi").select("__doc", "class").dropDuplicates(["class"])
-    sets = materialize(_sets(docs, wanted, k, doc_id, text).dropDuplicates(["class"]))
+    sets = scratch.keep("sets", _sets(docs, wanted, k, doc_id, text).dropDuplicates(["class"]))
 
     largest = blocks.groupBy("class").agg(F.max(F.struct("many", "block")).alias("x")).select("class", F.col("x.block").alias("block"))
     groups = _open_groups(largest.withColumn("part", F.col("class")), sets, percent, whole=False)
@@ -351,6 +355,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4
     mixed = parted.groupBy("block").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("block")
     groups = _open_groups(parted.join(mixed, "block", "left_semi").select("block", "class", "part"), sets, percent, whole=True)
     second = materialize(_search(groups, sets, percent))
+    scratch.drop()
     parts = components(first.unionByName(second), "class", "to").withColumnRenamed("node", "class")
 
     named = reps.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class"))
