@@ -22,14 +22,14 @@ STEPS = 8000
 FALL = 40.0
 
 
-def _integral(f: Callable[[Column], Column], low: Column, width: Column) -> Column:
-    h = width / float(STEPS)
+def _integral(f: Callable[[Column], Column], low: Column, width: Column, steps: int = STEPS) -> Column:
+    h = width / float(steps)
 
     def add(total: Column, i: Column) -> Column:
-        weight = F.when((i == 0) | (i == STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        weight = F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
         return total + weight * f(low + h * i.cast("double"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), add) * h / 3.0
+    return F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0), add) * h / 3.0
 
 
 def _usable(*values: Column) -> Column:
@@ -65,6 +65,44 @@ def t_sf(t: Column, dof: Column) -> Column:
     return F.when(_usable(t, dof) & (dof > 0), F.when(t >= 0, tail).otherwise(1.0 - tail))
 
 
+#: Halvings of the bracket of a quantile, and the steps of the integral over it.
+HALVINGS, BRACKET_STEPS = 48, 400
+
+
+def t_quantile(p: float, dof: Column) -> Column:
+    """The value that Student's t with ``dof`` degrees of freedom stays below with
+    probability ``p``, by bisection; NULL where dof is NULL, NaN or not positive.
+
+    The whole half curve is integrated once; the part from 0 to the middle of the
+    bracket, at the variable w of this module, is compared with its share."""
+    if not 0.0 < p < 1.0:
+        raise ValueError("a probability between 0 and 1")
+    share = abs(2.0 * p - 1.0)
+    usable = _usable(dof.cast("double")) & (dof > 0)
+    # Other degrees are not integrated: their roots would be NaN.
+    dof = F.when(usable, dof.cast("double")).otherwise(1.0)
+    root = F.sqrt(dof)
+
+    def curve(w: Column) -> Column:
+        half = F.sinh(w / (root * 2.0))
+        return F.exp(-dof * F.log1p(half * half * 2.0))
+
+    width = FALL / (root * F.tanh(F.lit(1.0) / root))
+    whole = F.transform(F.array(_integral(curve, F.lit(0.0), width)), lambda x: x * share)
+
+    def solved(goal: Column) -> Column:
+        def halve(bracket: Column, _: Column) -> Column:
+            middle = (bracket["low"] + bracket["high"]) / 2.0
+            small = _integral(curve, F.lit(0.0), middle, BRACKET_STEPS) < goal
+            return F.struct(F.when(small, middle).otherwise(bracket["low"]).alias("low"), F.when(small, bracket["high"]).otherwise(middle).alias("high"))
+
+        bracket = F.struct(F.lit(0.0).alias("low"), width.alias("high"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), bracket, halve, lambda b: (b["low"] + b["high"]) / 2.0)
+
+    w = F.transform(whole, solved)[0]
+    return F.when(usable, root * F.sinh(w / root) * (1.0 if p >= 0.5 else -1.0))
+
+
 def two_sided(tail: Column) -> Column:
     """The two-sided p-value from an upper tail; NULL stays NULL (``least`` alone
     would turn it into 1)."""
@@ -91,6 +129,24 @@ def sql_t_two_sided(t: str, dof: str, steps: int = 20000) -> str:
     return f"CASE WHEN {t} IS NOT NULL AND {dof} > 0 THEN least(1.0, 2 * {_sql_simpson(density, steps)}) END"
 
 
+def sql_t_quantiles(dofs: str, p: float) -> str:
+    """Independent DuckDB form of ``t_quantile`` for whole degrees of freedom: CTEs
+    that end in ``tq`` (dof, q) for the distinct positive ``dof`` of the table named by
+    ``dofs``, by bisection on the angle of the finite trigonometric series."""
+    even = "exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1)) * pow(cos(m), 2 * j)"
+    odd = "exp(lgamma(j + 1) + lgamma(1.5) - lgamma(j + 1.5)) * pow(cos(m), 2 * j + 1)"
+    total = lambda term, n: f"coalesce(list_sum(list_transform(range(0, ({n})::BIGINT), lambda j: {term})), 0)"
+    inside = f"CASE WHEN dof % 2 = 0 THEN sin(m) * {total(even, 'dof // 2')} ELSE 2 / pi() * (m + sin(m) * {total(odd, '(dof - 1) // 2')}) END"
+    return f"""
+, tb AS (
+  SELECT dof, 0.0::DOUBLE AS low, pi() / 2 AS high, 0 AS i FROM (SELECT DISTINCT dof FROM {dofs} WHERE dof > 0) d
+  UNION ALL
+  SELECT dof, CASE WHEN inside < {2 * p - 1} THEN m ELSE low END, CASE WHEN inside < {2 * p - 1} THEN high ELSE m END, i + 1
+  FROM (SELECT *, {inside} AS inside FROM (SELECT *, (low + high) / 2 AS m FROM tb WHERE i < 60) h) g)
+, tq AS (SELECT dof, sqrt(dof) * tan((low + high) / 2) AS q FROM tb WHERE i = 60)
+"""
+
+
 def sql_norm_sf(z: str, steps: int = 20000) -> str:
     """Independent DuckDB form of ``norm_sf``, integrated over x = |z| + y / (1 - y)."""
     x = f"(abs({z}) + simpson_y / (1 - simpson_y))"

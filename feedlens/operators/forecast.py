@@ -10,8 +10,11 @@ one sorted array (a series' days are a calendar-sized list).
 * ``damped``      damped local trend (Holt), smoothing and damping grid-fitted
 * ``damped_reg``  non-negative regressors, damped local trend on the rest
 
-Intervals: empirical 5 % / 95 % quantiles of in-sample one-step errors; those of
-the local trends grow with the square root of the steps ahead.
+Intervals: Student-t limits around the prediction, with the variance of a new day in
+closed form.  Of the least-squares fits it is the residual variance times one plus
+the leverage of the day; of the local trends the one-step variance times one plus
+the squared weights that the errors of the steps before have in it.  So intervals
+widen with the horizon, and with regressors far from those of the training days.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import as_date, safe_ratio, to_day
+from feedlens.functions.tails import t_quantile
 from feedlens.operators.engagement import is_view
 from feedlens.session import materialize
 
@@ -139,55 +143,71 @@ def _nonnegative(fit: DataFrame) -> DataFrame:
     return fit.withColumns({"b1": F.col("best.b1"), "b2": F.col("best.b2")})
 
 
-def _damped(values: Column) -> Column:
-    """Damped local trend of an array: (sse, k, level, trend, phi, errors) of the
-    grid's best parameters by squared one-step errors."""
-    first = F.get(values, 0)
-    trend = F.coalesce(F.get(values, 1) - first, F.lit(0.0))
-
-    def walk(g: Column, with_errors: bool) -> Column:
-        start = {"level": first, "trend": trend, "sse": F.lit(0.0)}
-        if with_errors:
-            start["errors"] = F.array().cast("array<double>")
-
-        def step(s: Column, y: Column) -> Column:
-            ahead = s["level"] + g["phi"] * s["trend"]
-            level = g["a"] * y + (1.0 - g["a"]) * ahead
-            out = {
-                "level": level,
-                "trend": g["b"] * (level - s["level"]) + (1.0 - g["b"]) * g["phi"] * s["trend"],
-                "sse": s["sse"] + (y - ahead) * (y - ahead),
-            }
-            if with_errors:
-                out["errors"] = F.concat(s["errors"], F.array(y - ahead))
-            return F.struct(*[v.alias(k) for k, v in out.items()])
-
-        rest = F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0)))
-        return F.aggregate(rest, F.struct(*[v.alias(k) for k, v in start.items()]), step)
+#: Points of the grid that one row walks; the rows are dealt over tasks.
+GRID_BLOCK = 30
+#: Probability inside an interval.
+INSIDE = 0.9
+
 
+def _walk(values: Column, g: Column) -> Column:
+    """Damped local trend of an array with the parameters ``g``: level and trend after
+    its last value, and the squared one-step errors."""
+    first = F.get(values, 0)
+    start = {"level": first, "trend": F.coalesce(F.get(values, 1) - first, F.lit(0.0)), "sse": F.lit(0.0)}
+
+    def step(s: Column, y: Column) -> Column:
+        ahead = s["level"] + g["phi"] * s["trend"]
+        level = g["a"] * y + (1.0 - g["a"]) * ahead
+        out = {
+            "level": level,
+            "trend": g["b"] * (level - s["level"]) + (1.0 - g["b"]) * g["phi"] * s["trend"],
+            "sse": s["sse"] + (y - ahead) * (y - ahead),
+        }
+        return F.struct(*[v.alias(k) for k, v in out.items()])
+
+    rest = F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0)))
+    return F.aggregate(rest, F.struct(*[v.alias(k) for k, v in start.items()]), step)
+
+
+def _damped_fits(series: DataFrame, keys: list[str]) -> DataFrame:
+    """The grid point of least squared errors for each row of ``series`` (keys and
+    ``values``): ``fit`` (sse, k, level, trend, a, b, phi).  Blocks of the grid are
+    walked in different tasks, so one long series keeps more than one core busy."""
     grid = F.from_json(
         F.lit(json.dumps([{"k": k, "a": a, "b": b, "phi": phi} for k, (a, b, phi) in enumerate(GRID)])),
         "array<struct<k:int,a:double,b:double,phi:double>>",
     )
-    tried = F.transform(grid, lambda g: F.struct(walk(g, False)["sse"].alias("sse"), g.alias("g")))
-    chosen = F.array_min(tried)["g"]
-    return F.transform(F.array(chosen), lambda g: F.struct(walk(g, True).alias("end"), g["phi"].alias("phi")))[0]
-
-
-def _quantile(sorted_values: Column, q: float) -> Column:
-    """Linearly interpolated quantile of a sorted array; NULL below two values."""
-    at = (F.size(sorted_values) - 1) * F.lit(q)
-    low = F.floor(at).cast("int")
-    here, above = F.get(sorted_values, low), F.get(sorted_values, low + 1)
-    return F.when(F.size(sorted_values) >= 2, here + F.coalesce((above - here) * (at - low), F.lit(0.0)))
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = series.select(*keys, "values", F.explode(F.sequence(F.lit(0), F.lit((len(GRID) - 1) // GRID_BLOCK))).alias("block"))
+    points = blocks.repartition(tasks, *keys, "block").select(*keys, "values", F.explode(F.slice(grid, F.col("block") * GRID_BLOCK + 1, GRID_BLOCK)).alias("g"))
+    walked = points.select(*keys, "g", _walk(F.col("values"), F.col("g")).alias("end"))
+    fit = F.struct("end.sse", "g.k", "end.level", "end.trend", "g.a", "g.b", "g.phi")
+    return walked.groupBy(*keys).agg(F.min(fit).alias("fit"))
+
+
+def _carried(h: Column, a: Column, b: Column, phi: Column) -> Column:
+    """What errors of the h - 1 steps before add to the variance h steps ahead, in
+    units of the one-step variance: the j-th step before weighs
+    a + a * b * (phi + ... + phi^j), and the squares are summed in closed form."""
+    slope = a * b * phi / (1.0 - phi)
+    all_ = a + slope
+    n = h - 1.0
+    return (
+        n * all_ * all_
+        - 2.0 * all_ * slope * phi * (1.0 - F.pow(phi, n)) / (1.0 - phi)
+        + slope * slope * phi * phi * (1.0 - F.pow(phi, 2.0 * n)) / (1.0 - phi * phi)
+    )
 
 
-def fit_models(rows: DataFrame, models=MODELS) -> DataFrame:
+def fit_models(rows: DataFrame, models=MODELS, inside: float = INSIDE) -> DataFrame:
     """Fit each model on the 'train' rows of every (series_id, fold) group and
     predict its other rows.  ``rows``: series_id, fold, role, day, y, dau_std, anomaly.
+    ``lo`` and ``hi`` hold a new value with the probability ``inside``.
 
     Training rows without ``y`` are left out; a missing regressor counts as 0.  A
-    trend needs two training days, else its predictions are NULL."""
+    trend needs two training days, else its predictions are NULL.  Intervals are
+    NULL without a degree of freedom: training days less two (level and slope, or the
+    local trend's begin) and less the regressors in use."""
     keys = ["series_id", "fold"]
     x1, x2 = (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in REGRESSORS)
     rows = rows.select(*keys, "role", "day", F.col("y").cast("double").alias("y"), x1.alias("x1"), x2.alias("x2"), _t().alias("t"))
@@ -195,48 +215,54 @@ def fit_models(rows: DataFrame, models=MODELS) -> DataFrame:
     train = rows.filter((F.col("role") == "train") & F.col("y").isNotNull())
     fit = train.groupBy(*keys).agg(
         F.max("day").alias("last"),
+        F.count("*").alias("n"),
         *[F.avg(c).alias(f"m{k}") for k, c in named.items()],
         *[F.covar_samp(named[p[0]], named[p[1]]).alias(f"c{p}") for p in ("tt", "t1", "t2", "ty", "11", "22", "12", "1y", "2y", "yy")],
-        F.sort_array(F.collect_list(F.struct("day", "t", "y", "x1", "x2"))).alias("points"),
+        F.sort_array(F.collect_list(F.struct("day", "y", "x1", "x2"))).alias("points"),
     )
     fit = _nonnegative(fit)
-    used = {m: (F.col("b1"), F.col("b2")) if m.endswith("_reg") else (F.lit(0.0), F.lit(0.0)) for m in models}
-
-    def line(m: str, t: Column, x1: Column, x2: Column) -> Column:
-        b1, b2 = used[m]
-        return F.col("my") + F.col(f"{m}_slope") * (t - F.col("mt")) + b1 * (x1 - F.col("m1")) + b2 * (x2 - F.col("m2"))
-
-    def line_errors(m: str) -> Column:
-        errors = F.transform("points", lambda p: p["y"] - line(m, p["t"], p["x1"], p["x2"]))
-        return F.filter(errors, lambda e: e.isNotNull())
-
-    def beside_regressors(m: str) -> Column:
-        b1, b2 = used[m]
-        return F.transform("points", lambda p: p["y"] - b1 * p["x1"] - b2 * p["x2"])
-
-    for m, (b1, b2) in used.items():
-        if m.startswith("linear"):
-            fit = fit.withColumn(f"{m}_slope", F.try_divide(F.col("cty") - b1 * F.col("ct1") - b2 * F.col("ct2"), F.col("ctt")))
-            errors = line_errors(m)
-        else:
-            fit = fit.withColumn(f"{m}_fit", _damped(beside_regressors(m)))
-            errors = F.col(f"{m}_fit.end.errors")
-        fit = fit.withColumn(f"{m}_errors", F.sort_array(errors))
-    ahead = rows.filter(F.col("role") != "train").join(fit, keys, "left")
-    steps = F.greatest(F.datediff("day", "last"), F.lit(1)).cast("double")
-    out = []
-    for m, (b1, b2) in used.items():
-        if m.startswith("linear"):
-            value, growth = line(m, F.col("t"), F.col("x1"), F.col("x2")), F.lit(1.0)
-        else:
-            phi, end = F.col(f"{m}_fit.phi"), F.col(f"{m}_fit.end")
-            value = end["level"] + end["trend"] * phi * (1.0 - F.pow(phi, steps)) / (1.0 - phi) + b1 * F.col("x1") + b2 * F.col("x2")
-            growth = F.sqrt(steps)
-        low, high = (value + _quantile(F.col(f"{m}_errors"), q) * growth for q in (0.05, 0.95))
-        out.append(F.struct(F.lit(m).alias("model"), value.alias("prediction"), low.alias("lo"), high.alias("hi")))
-    return ahead.select(*keys, "day", F.col("y").alias("actual"), F.inline(F.array(*out))).select(
-        "series_id", "fold", "model", "day", "actual", "prediction", "lo", "hi"
+    none = (F.lit(0.0), F.lit(0.0), F.lit(0), F.col("ryy"))
+    best = (F.col("b1"), F.col("b2"), F.col("best.k"), F.col("best.sse"))
+    used = [
+        F.struct(F.lit(m).alias("model"), *[c.alias(n) for n, c in zip(("w1", "w2", "active", "unexplained"), best if m.endswith("_reg") else none)])
+        for m in models
+    ]
+    fitted = fit.select("*", F.inline(F.array(*used))).withColumn("dof", F.col("n") - 2 - F.size(F.filter(F.array(F.col("active") % 2, F.col("active").bitwiseAND(2)), lambda x: x > 0)))
+    local = fitted.filter(F.startswith("model", F.lit("damped")))
+    local = local.select(*keys, "model", F.transform("points", lambda p: p["y"] - F.col("w1") * p["x1"] - F.col("w2") * p["x2"]).alias("values"))
+    fitted = fitted.drop("points").join(_damped_fits(local, [*keys, "model"]), [*keys, "model"], "left")
+    # A few distinct numbers of days, so few quantiles.
+    limits = fitted.select("dof").distinct().withColumn("limit", t_quantile((1.0 + inside) / 2.0, F.col("dof")))
+    fitted = fitted.join(limits, "dof", "left")
+
+    ahead = rows.filter(F.col("role") != "train").select("*", F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
+    ahead = ahead.join(fitted, [*keys, "model"], "left")
+    h = F.greatest(F.datediff("day", "last"), F.lit(1)).cast("double")
+    dt, d1, d2 = F.col("t") - F.col("mt"), F.col("x1") - F.col("m1"), F.col("x2") - F.col("m2")
+    # What the trend leaves of the day's regressors.
+    e1, e2 = d1 - F.try_divide(F.col("ct1"), F.col("ctt")) * dt, d2 - F.try_divide(F.col("ct2"), F.col("ctt")) * dt
+    r11, r22, r12 = F.col("r11"), F.col("r22"), F.col("r12")
+    far = (
+        F.when(F.col("active") == 1, F.try_divide(e1 * e1, r11))
+        .when(F.col("active") == 2, F.try_divide(e2 * e2, r22))
+        .when(F.col("active") == 3, F.try_divide(r22 * e1 * e1 - 2.0 * r12 * e1 * e2 + r11 * e2 * e2, r11 * r22 - r12 * r12))
+        .otherwise(0.0)
+    )
+    others = F.col("n") - 1.0
+    slope = F.try_divide(F.col("cty") - F.col("w1") * F.col("ct1") - F.col("w2") * F.col("ct2"), F.col("ctt"))
+    line = F.col("my") + slope * dt + F.col("w1") * d1 + F.col("w2") * d2
+    line_spread = F.try_divide(F.greatest(F.col("unexplained"), F.lit(0.0)) * others, F.col("dof")) * (
+        1.0 + 1.0 / F.col("n") + F.try_divide(dt * dt / F.col("ctt") + far, others)
     )
+    level, trend, phi = (F.col(f"fit.{c}") for c in ("level", "trend", "phi"))
+    curve = level + trend * phi * (1.0 - F.pow(phi, h)) / (1.0 - phi) + F.col("w1") * F.col("x1") + F.col("w2") * F.col("x2")
+    curve_spread = F.try_divide(F.col("fit.sse"), F.col("dof")) * (1.0 + _carried(h, F.col("fit.a"), F.col("fit.b"), phi) + F.coalesce(F.try_divide(far, others), F.lit(0.0)))
+    local = F.startswith("model", F.lit("damped"))
+    out = ahead.select(*keys, "model", "day", F.col("y").alias("actual"), "limit", F.when(local, curve).otherwise(line).alias("prediction"), F.sqrt(F.when(local, curve_spread).otherwise(line_spread)).alias("spread"))
+    return out.select(
+        "series_id", "fold", "model", "day", "actual", "prediction",
+        (F.col("prediction") - F.col("limit") * F.col("spread")).alias("lo"), (F.col("prediction") + F.col("limit") * F.col("spread")).alias("hi"),
+    )
 
 
 # --------------------------------------------------------------- forecasts

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from feedlens.functions.tails import sql_t_quantiles
 from feedlens.operators import forecast as FC
 from feedlens.plans.params import ANOMALY_END, ANOMALY_START, AS_OF, HOLDOUT_DAYS, HORIZON_DAYS
 from feedlens.plans.registry import register
@@ -149,18 +150,31 @@ _MODELS_SQL = f"""
          w.sse + (s.y - (w.level + w.phi * w.trend)) * (s.y - (w.level + w.phi * w.trend)), s.y - (w.level + w.phi * w.trend)
   FROM walk w JOIN ys s ON s.model = w.model AND s.series_id = w.series_id AND s.fold = w.fold AND s.i = w.i + 1)
 , df AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, series_id, fold ORDER BY i DESC, sse, k) AS rn FROM walk) q WHERE rn = 1)
-, de AS (SELECT w.model, w.series_id, w.fold, w.e FROM walk w JOIN df USING (model, series_id, fold, k) WHERE w.e IS NOT NULL)
-, qt AS (SELECT model, series_id, fold, CASE WHEN count(e) >= 2 THEN quantile_cont(e, 0.05) END AS q1, CASE WHEN count(e) >= 2 THEN quantile_cont(e, 0.95) END AS q2
-         FROM (SELECT * FROM le WHERE e IS NOT NULL UNION ALL SELECT * FROM de) x GROUP BY 1, 2, 3)
 , ends AS (SELECT series_id, fold, max(day) AS last FROM tr GROUP BY 1, 2)
 , ah AS (SELECT a.*, greatest(a.day - b.last, 1) AS h FROM pt a JOIN ends b ON {_SAME} WHERE a.role <> 'train')
+, dg AS (SELECT a.series_id, a.fold, c.model, count(*) - 2 - CASE WHEN c.model NOT LIKE '%reg' THEN 0 ELSE any_value(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) END AS dof, count(*) AS n,
+              avg(t) AS mt, avg(x1) AS m1, avg(x2) AS m2, CASE WHEN c.model LIKE '%reg' THEN any_value(k) ELSE 0 END AS used
+       FROM tr a JOIN reg b ON {_SAME} JOIN coefs c ON c.series_id = a.series_id AND c.fold = a.fold GROUP BY 1, 2, 3)
+{sql_t_quantiles("dg", 0.95)}
+, days AS (SELECT series_id, fold, sum(dt * dt) AS stt FROM tc GROUP BY 1, 2)
+, lv AS (  -- leverage of a day: of the trend, and of what the trend leaves of the regressors in use
+  SELECT a.*, g.model, g.dof, g.n, q.q, 1.0 / g.n + (a.t - g.mt) * (a.t - g.mt) / s.stt AS trend_part,
+         a.x1 - g.m1 - p.b1_ * (a.t - g.mt) AS u1, a.x2 - g.m2 - p.b2_ * (a.t - g.mt) AS u2, g.used, m.r11, m.r22, m.r12
+  FROM ah a JOIN dg g ON g.series_id = a.series_id AND g.fold = a.fold JOIN days s ON s.series_id = a.series_id AND s.fold = a.fold
+  JOIN tp p ON p.series_id = a.series_id AND p.fold = a.fold JOIN sm m ON m.series_id = a.series_id AND m.fold = a.fold LEFT JOIN tq q ON q.dof = g.dof)
+, lw AS (SELECT *, CASE used WHEN 0 THEN 0 WHEN 1 THEN u1 * u1 / r11 WHEN 2 THEN u2 * u2 / r22
+                   ELSE (u1 * (r22 * u1 - r12 * u2) + u2 * (r11 * u2 - r12 * u1)) / (r11 * r22 - r12 * r12) END AS reg_part FROM lv)
+, ss AS (SELECT model, series_id, fold, sum(e * e) AS sse FROM le GROUP BY 1, 2, 3)
 , pred AS (
-  SELECT b.model, a.series_id, a.fold, a.day, a.y AS actual, 1.0::DOUBLE AS growth, intercept + slope * t + b1 * x1 + b2 * x2 AS prediction FROM ah a JOIN lf b ON {_SAME}
+  SELECT b.model, a.series_id, a.fold, a.day, a.y AS actual, intercept + slope * t + b1 * x1 + b2 * x2 AS prediction,
+         a.q * sqrt(s.sse / nullif(a.dof, 0) * (1 + trend_part + reg_part)) AS reach
+  FROM lw a JOIN lf b ON {_SAME} AND a.model = b.model JOIN ss s ON s.model = b.model AND s.series_id = b.series_id AND s.fold = b.fold
   UNION ALL
-  SELECT b.model, a.series_id, a.fold, a.day, a.y, sqrt(a.h::DOUBLE), b.level + b.trend * b.phi * (1 - pow(b.phi, a.h)) / (1 - b.phi) + c.b1 * a.x1 + c.b2 * a.x2
-  FROM ah a JOIN df b ON {_SAME} JOIN coefs c ON c.model = b.model AND c.series_id = a.series_id AND c.fold = a.fold)
-, bt AS (SELECT p.series_id, p.fold, p.model, p.day, p.actual, p.prediction, p.prediction + q1 * growth AS lo, p.prediction + q2 * growth AS hi
-         FROM pred p LEFT JOIN qt USING (model, series_id, fold))
+  SELECT b.model, a.series_id, a.fold, a.day, a.y, b.level + b.trend * b.phi * (1 - pow(b.phi, a.h)) / (1 - b.phi) + c.b1 * a.x1 + c.b2 * a.x2,
+         a.q * sqrt(b.sse / nullif(a.dof, 0) * (1 + reg_part + coalesce(list_sum(list_transform(range(1, a.h::BIGINT),
+           lambda j: pow(b.a + b.a * b.b * list_sum(list_transform(range(1, j + 1), lambda i: pow(b.phi, i))), 2))), 0)))
+  FROM lw a JOIN df b ON {_SAME} AND a.model = b.model JOIN coefs c ON c.model = b.model AND c.series_id = a.series_id AND c.fold = a.fold)
+, bt AS (SELECT series_id, fold, model, day, actual, prediction, prediction - reach AS lo, prediction + reach AS hi FROM pred)
 """
 
 
