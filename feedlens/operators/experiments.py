@@ -204,6 +204,10 @@ def bucket_ctr(users: DataFrame, n: int = 50, method: str = "md5", group: str =
     )
 
 
+#: Replicates that one row is expanded to within a task.
+REPLICATE_BLOCK = 50
+
+
 def poisson_bootstrap(users: DataFrame, n: int = 2000, seed: int = 42, group: str = "exp_group") -> DataFrame:
     """Poisson(1) bootstrap of the CTR of sums per group.
 
@@ -223,10 +227,17 @@ def poisson_bootstrap(users: DataFrame, n: int = 2000, seed: int = 42, group: st
     by_tuple = Window.partitionBy(group, "likes", "views").orderBy("k")
     steps = steps.withColumn("cdf", F.sum("p").over(by_tuple.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     tuples = steps.groupBy(group, "likes", "views", "low").agg(F.sort_array(F.collect_list("cdf")).alias("cdf"))
-    rows = tuples.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("boot_id"))
+    # Blocks of replicates are dealt over the tasks before they are expanded.
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = tuples.select("*", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // REPLICATE_BLOCK))).alias("block"))
+    first = F.col("block") * REPLICATE_BLOCK
+    ids = F.sequence(first, F.least(first + REPLICATE_BLOCK, F.lit(n)) - 1)
+    rows = blocks.repartition(tasks, group, "likes", "views", "block").select("*", F.explode(ids).alias("boot_id"))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     u = hashed_uniform(F.col("boot_id"), text(group), text("likes"), text("views"), seed=seed, method="md5")
-    rows = rows.withColumn("u", u).withColumn("w", F.col("low") + F.size(F.filter("cdf", lambda x: x <= F.col("u"))))
+    # The uniform is bound to q once for a row; as a column it would be hashed again at every step.
+    w = F.transform(F.array(u), lambda q: F.col("low") + F.size(F.filter("cdf", lambda x: x <= q)))[0]
+    rows = rows.withColumn("w", w)
     return (
         rows.groupBy("boot_id", group)
         .agg(F.sum(F.col("w") * F.col("likes")).alias("likes"), F.sum(F.col("w") * F.col("views")).alias("views"))

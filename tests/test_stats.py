@@ -191,3 +191,20 @@ def test_mann_whitney_exact_small(spark):
     assert X.mann_whitney(df, "v", "g", 1, 2, "less", method="exact").first().p_value == pytest.approx(1 / 35)
     assert X.mann_whitney(df, "v", "g", 1, 2, "greater", method="exact").first().p_value == pytest.approx(1.0)
     assert X.mann_whitney(df, "v", "g", 1, 2).first().method == "asymptotic"
+
+
+def test_bootstrap_hashes_once_a_row(spark):
+    """No md5 inside the search of the distribution, and replicates dealt by block."""
+    users = spark.createDataFrame([(1, 2, 5), (2, 1, 4), (1, 0, 3)], "exp_group int, likes long, views long")
+    plan = X.poisson_bootstrap(users, n=120)._jdf.queryExecution().optimizedPlan().toString()
+    start = plan.index("filter(cdf")
+    depth, end = 0, start + len("filter")
+    while True:
+        depth += {"(": 1, ")": -1}.get(plan[end], 0)
+        end += 1
+        if not depth:
+            break
+    assert "md5" in plan and "md5" not in plan[start:end]
+    assert "RepartitionByExpression" in plan and "block" in plan
+    got = X.poisson_bootstrap(users, n=120).collect()
+    assert sorted((r.boot_id, r.exp_group) for r in got) == [(b, g) for b in range(120) for g in (1, 2)]
