@@ -185,10 +185,7 @@ def q_weekly_user_flow(spark, sf_dir):
     return R.weekly_user_flow(feed_actions(spark, sf_dir))
 
 
-@register(
-    "cohort_retention",
-    with_fixtures(
-        f"""
+COHORT_RETENTION_SQL = f"""
 WITH uw AS ({UW_SQL}),
 first AS (SELECT user_id, min(week) AS cohort_week FROM uw GROUP BY 1),
 act AS (SELECT f.cohort_week, CAST((u.week - f.cohort_week) / 7 AS INTEGER) AS week_offset, count(*) AS active_users
@@ -197,8 +194,9 @@ SELECT a.*, s.active_users AS cohort_users,
        CAST(a.active_users AS DOUBLE) / NULLIF(s.active_users, 0) AS retention
 FROM act a LEFT JOIN act s ON s.cohort_week = a.cohort_week AND s.week_offset = 0
 """
-    ),
-)
+
+
+@register("cohort_retention", with_fixtures(COHORT_RETENTION_SQL))
 def q_cohort_retention(spark, sf_dir):
     return R.cohort_retention(feed_actions(spark, sf_dir))
 
