@@ -53,7 +53,7 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without cross-site boilerplate lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = line_dedup.remove_boilerplate(docs, min_chars=line_dedup.MIN_CHARS, max_share=line_dedup.MAX_SHARE)
+    found = line_dedup.remove_boilerplate(docs)
     return found.select("doc_id", "text", "n_lines", "n_removed")
 
 

@@ -6,9 +6,6 @@ estimate is clear of the threshold are decided by it; lines near the threshold
 get an exact distinct count.  Lines that stand on at least ``min_sites`` sites
 are boilerplate and are removed from every document that has a line of its own; a
 document of nothing but boilerplate stays whole for near-duplicate detection.
-
-The contract of ``op6_line_dedup`` is narrower: its SQL judges only lines of
-``MIN_CHARS`` characters and leaves documents of more than ``MAX_SHARE`` boilerplate.
 """
 
 from __future__ import annotations
@@ -87,13 +84,14 @@ def remove_boilerplate(
     except that columns named like the two new ones are replaced."""
     found = boilerplate(docs, text, site, min_sites, min_chars)
     hits = (
-        _lines(docs, text, min_chars, F.col(doc_id).alias("__doc"))
+        _lines(docs, text, min_chars, F.col(doc_id).alias("__doc"), F.xxhash64(text).alias("__text"))
         .join(found, "__key", "left_semi")
-        .groupBy("__doc")
+        .groupBy("__doc", "__text")
         .agg(F.collect_set("__key").alias("__drop"))
     )
     base, names = numbered(docs)
-    joined = base.join(hits, base[names[doc_id]].eqNullSafe(hits["__doc"]), "left")
+    # The text is part of the key: rows without an id, or that share one, are no single group.
+    joined = base.join(hits, base[names[doc_id]].eqNullSafe(hits["__doc"]) & (F.xxhash64(base[names[text]]) == hits["__text"]), "left")
     lines = F.split(F.col(names[text]), "\n")
     size = lambda part: F.aggregate(part, F.lit(0), lambda n, x: n + F.length(x))
     kept = F.filter(lines, lambda x: ~(_judged(x, min_chars) & F.array_contains("__drop", _key(x))))
@@ -115,14 +113,15 @@ WITH lines AS (
            unnest(range(len(string_split(text, chr(10))))) AS pos
     FROM documents WHERE text IS NOT NULL)
 ), spread AS (
-  SELECT trim(line, ' ') AS line FROM lines WHERE length(trim(line, ' ')) >= {MIN_CHARS}
+  SELECT trim(line, ' ') AS line FROM lines WHERE regexp_matches(line, '[^\\x09-\\x0D\\x20\\p{{Z}}]')
   GROUP BY 1 HAVING count(DISTINCT source) >= {MIN_SITES}
 ), judged AS (
-  SELECT l.doc_id, l.pos, l.line, s.line IS NOT NULL AS hit
+  SELECT l.doc_id, l.pos, l.line, s.line IS NOT NULL AS hit,
+    s.line IS NULL AND regexp_matches(l.line, '[^\\x09-\\x0D\\x20\\p{{Z}}]') AS own
   FROM lines l LEFT JOIN spread s ON trim(l.line, ' ') = s.line
 ), counted AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE hit) AS n_hits,
-         coalesce(sum(length(line)) FILTER (WHERE hit), 0) > {MAX_SHARE} * sum(length(line)) AS whole
+         NOT bool_or(own) AS whole
   FROM judged GROUP BY doc_id
 ), kept AS (
   SELECT j.doc_id, string_agg(j.line, chr(10) ORDER BY j.pos) FILTER (WHERE c.whole OR NOT j.hit) AS text
