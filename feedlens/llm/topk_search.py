@@ -1,17 +1,18 @@
 """Exact top-k inner products by the threshold algorithm over sorted lists.
 
-The candidates are packed into blocks where they are read; a block keeps, for
-each dimension, its rows in the order of that component.  A query walks the
+The candidates are dealt evenly over parts and packed into blocks there; a block
+keeps, for each dimension, its rows in the order of that component.  A query walks the
 lists of a block in parallel, from the end that its sign favours, to twice the
 depth each round.  Rows met for the first time are scored exactly.  The walk
 stops when the score that an unmet row could reach at best, the query's inner
 product with the components at the present depth, lies below the kth score so
-far.  Queries are packed into blocks as well; block meets block, and the k best
-of each query and block are merged by a window with its own limit.
+far.  Every part gets a copy of the queries, which it meets one Arrow batch after
+another; the k best of each query and part are merged by a window with its own limit.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,44 +20,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.session import materialize
-
 SCALE = 1024
 K = 10
 BLOCK_ROWS = 4096
-QUERY_ROWS = 512
+#: Candidates that one task holds.
+PART_ROWS = 4 * BLOCK_ROWS
 FIRST_DEPTH = 64
 
-_BLOCK = "ids binary, cells binary, dim int"
-
 
 def usable(vector: Column) -> Column:
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(vector.isNotNull() & fine, F.lit(False))
 
 
-def _packer(scale: int, rows: int):
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-
-        def block(d: int) -> pa.RecordBatch:
-            ids, cells = zip(*held.pop(d))
-            cells = np.floor(np.asarray(cells, np.float64).reshape(len(ids), d) * scale)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([np.asarray(ids, np.int64).tobytes()], pa.binary()), pa.array([cells.tobytes()], pa.binary()), pa.array([d], pa.int32())], names=["ids", "cells", "dim"]
-            )
-
-        for batch in batches:
-            for i, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist()):
-                held.setdefault(len(v), []).append((i, v))
-                if len(held[len(v)]) >= rows:
-                    yield block(len(v))
-        for d in list(held):
-            yield block(d)
-
-    return packed
-
-
 class SortedLists:
     """A block of candidates with its rows sorted by each component."""
 
@@ -105,7 +81,18 @@ class SortedLists:
         return self.ids[rows], [max(low, min(high, int(s))) for s in scores], int(met.sum())
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = K, scale: int = SCALE) -> DataFrame:
+def _by_length(batches: list[pa.RecordBatch], scale: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, ids, cells) of the rows of some batches."""
+    for d in sorted({d for batch in batches for d in batch.column("d").to_pylist()}):
+        some = [batch.filter(pa.array(batch.column("d").to_numpy() == d)) for batch in batches]
+        ids = np.concatenate([x.column("id").to_numpy() for x in some])
+        cells = np.concatenate([x.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64) for x in some])
+        yield d, ids, np.floor(cells.reshape(len(ids), d) * scale)
+
+
+def top_k(
+    vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = K, scale: int = SCALE, part_rows: int = PART_ROWS
+) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the k highest inner
     products of every query with the vectors of other ids, ties to the smaller id.
 
@@ -115,29 +102,35 @@ def top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector
     query's are no candidates of it.  A query row that repeats is asked once;
     candidate rows that repeat are ranked each.  Other columns are ignored."""
     wanted = F.col("id").isNotNull() & usable(F.col("v"))
-    pick = lambda df: df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(wanted)
-    blocks = pick(vectors).mapInArrow(_packer(scale, BLOCK_ROWS), _BLOCK)
-    asked = pick(queries).dropDuplicates(["id", "v"]).mapInArrow(_packer(scale, QUERY_ROWS), _BLOCK)
-    asked = materialize(asked).toDF("query_ids", "query_cells", "query_dim")
+    pick = lambda df: df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(wanted).withColumn("d", F.size("v"))
+    rows, asked = pick(vectors), pick(queries).dropDuplicates(["id", "v"])
+    parts = max(vectors.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // part_rows))
+    here = rows.withColumns({"part": F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), "kind": F.lit(0)})
+    there = asked.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "kind": F.lit(1)})
+    dealt = here.unionByName(there).repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, lists = None, None
+        held: list[pa.RecordBatch] = []
+        blocks: dict[int, list[SortedLists]] | None = None
         for batch in batches:
-            for row in batch.to_pylist():
-                d = row["dim"]
-                if row["ids"] != seen or lists.cells.shape[1] != d:
-                    seen = row["ids"]
-                    lists = SortedLists(np.frombuffer(seen, np.int64), np.frombuffer(row["cells"], np.float64).reshape(-1, d))
-                out: list[tuple] = []
-                cells = np.frombuffer(row["query_cells"], np.float64).reshape(-1, d)
-                for q, query in zip(np.frombuffer(row["query_ids"], np.int64).tolist(), cells):
-                    ids, scores, _ = lists.top(q, query, k)
-                    out += [(q, i, s) for i, s in zip(ids.tolist(), scores)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
-
-    # Block by block: a stated query set against all rows.
-    met = blocks.crossJoin(asked).where("dim = query_dim").mapInArrow(searched, "query_id long, vec_id long, score long")
+            split = int(np.searchsorted(batch.column("kind").to_numpy(), 1))
+            if split:
+                held.append(batch.slice(0, split))
+            if split == batch.num_rows:
+                continue
+            if blocks is None:
+                blocks = {d: [SortedLists(ids[a : a + BLOCK_ROWS], cells[a : a + BLOCK_ROWS]) for a in range(0, len(ids), BLOCK_ROWS)] for d, ids, cells in _by_length(held, scale)}
+                held = []
+            out: list[tuple] = []
+            for d, ids, cells in _by_length([batch.slice(split)], scale):
+                for q, query in zip(ids.tolist(), cells):
+                    found = [(-s, i) for b in blocks.get(d, []) for i, s in zip(*(x.tolist() if isinstance(x, np.ndarray) else x for x in b.top(q, query, k)[:2]))]
+                    out += [(q, i, -s) for s, i in heapq.nsmallest(k, found)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
+
+    # A stated query set against all rows, in blocks.
+    met = dealt.mapInArrow(searched, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -99,7 +99,17 @@ def test_top_k(spark, scale):
     rows += [(i, v, c) for i, v, c in ODD if i != 901]
     df = vectors(spark, rows, extra=True)
     got = topk_search.top_k(df, df.where("vec_id % 20 = 0")).collect()
-    assert sorted(tuple(r) for r in got) == brute_top(rows, [i for i, *_ in rows if i % 20 == 0], 10)
+    want = brute_top(rows, [i for i, *_ in rows if i % 20 == 0], 10)
+    assert sorted(tuple(r) for r in got) == want
+    parted = topk_search.top_k(df, df.where("vec_id % 20 = 0"), part_rows=30)
+    assert sorted(tuple(r) for r in parted.collect()) == want
+
+
+def test_top_k_is_dealt_over_parts(spark):
+    """No join and no hash on the length, which all rows share."""
+    df = vectors(spark, made(9, n=200))
+    plan = topk_search.top_k(df, df.where("vec_id % 20 = 0"), part_rows=20)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan and "hashpartitioning(d" not in plan
 
 
 def test_ties_fall_to_the_smaller_id(spark):
