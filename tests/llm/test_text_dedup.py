@@ -192,9 +192,9 @@ def test_lines_without_an_id(spark):
     """Rows without an id, or with one id for all, are judged each by their own text."""
     head = "A header that stands on every page"
     for doc_id in (None, 7):
-        rows = [(doc_id, f"{head}\nbody {i}" if i % 2 else f"body {i}\nmore", f"s{i}") for i in range(24)] + [(doc_id, f"{head}\nbody 1", "s1")]
+        rows = [(doc_id, f"{head}\nbody {i}" if i % 2 else f"body {i}\nmore {i}", f"s{i}") for i in range(24)] + [(doc_id, f"{head}\nbody 1", "s1")]
         got = sorted(r.text for r in line_dedup.remove_boilerplate(documents(spark, rows)).collect())
-        assert got == sorted([f"body {i}" if i % 2 else f"body {i}\nmore" for i in range(24)] + ["body 1"])
+        assert got == sorted([f"body {i}" if i % 2 else f"body {i}\nmore {i}" for i in range(24)] + ["body 1"])
 
 
 def test_line_sketches_decide_far_from_the_threshold(spark):
