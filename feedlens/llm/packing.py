@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feedlens.llm.frames import map_batches, text_slices
+from feedlens.llm.frames import map_batches, slices, text_slices
 from feedlens.llm.wordhash import SPACE, span_hashes
 
 TIERS = (2048, 1024, 512, 256)
@@ -36,6 +36,8 @@ STEP_IDS = 32 * 2048
 PACK_BYTES = 4 << 20
 #: Bytes that the ids of parts of texts may take in a Python worker, about.
 PART_BYTES = 32 << 20
+#: Bytes of text whose parts are looked up together.
+PART_SLICE = 1 << 19
 #: What one part takes beside its own bytes and its ids: two objects and their slots.
 _PART_OVERHEAD = 250
 
@@ -107,8 +109,10 @@ class PartIds(dict):
         out: list = [np.zeros(0, "<u4")] * len(texts)
         parted = [i for i, t in enumerate(texts) if t and _SPECIAL not in t and (t.isascii() or not any(c in t for c in _WIDE_SPACES))]
         if parted:
-            for i, got in zip(parted, self._by_parts([texts[i].encode() for i in parted])):
-                out[i] = got
+            raw = [texts[i].encode() for i in parted]
+            for a, b in slices([len(t) for t in raw], PART_SLICE):  # the arrays of parts take many times their bytes
+                for i, got in zip(parted[a:b], self._by_parts(raw[a:b])):
+                    out[i] = got
         for i in {i for i, t in enumerate(texts) if t and out[i] is not None and not len(out[i])} | {i for i in parted if out[i] is None}:
             out[i] = np.frombuffer(self._whole(texts[i]), "<u4")
         return out
