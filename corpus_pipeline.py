@@ -20,6 +20,18 @@ from feedlens.session import shared_path
 MIN_LANGUAGE_SCORE = 0.5
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held by Spark and by the Python worker.
+BATCH_ROWS = 2000
+
+
+def _lean_batches(spark: SparkSession) -> None:
+    """Sets the session's batches of rows for Python to ``BATCH_ROWS`` where they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def _recounted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
@@ -30,6 +42,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The model learns from the labelled documents that are not held out; without
     any it knows no language, and then nothing is rejected but texts that are null
     or have no letter."""
+    _lean_batches(spark)
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -48,6 +61,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat an id are one document, of which one row stays.  A row without an
     id is named by its text, after all ids, so it stays only if its group has no id."""
+    _lean_batches(spark)
     by_text = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
     named = docs.withColumn("__name", F.coalesce(F.col("doc_id").cast("long"), by_text))
     found = jaccard_join.join(named.select("__name", "text"), doc_id="__name", k=5, percent=80)
@@ -66,6 +80,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs every document that is left; the result is one row per piece."""
+    _lean_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 
