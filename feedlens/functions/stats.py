@@ -1,8 +1,10 @@
 """Exact null distribution of the Mann-Whitney U.
 
-The counts of U are the coefficients of a Gaussian binomial, a product and a
-quotient of short polynomials.  They are kept as probabilities in doubles, scaled
-at every step, so no integer width limits the sample sizes.
+Without ties the counts of U are the coefficients of a Gaussian binomial, a product
+and a quotient of short polynomials.  With ties the distribution is the one given the
+sizes of the tied groups, by the shift algorithm: the groups are dealt out from the
+least value up, and choosing members for the smaller sample shifts its U.  Both are
+kept as probabilities in doubles, so no integer width limits the sample sizes.
 """
 
 from __future__ import annotations
@@ -40,12 +42,42 @@ def mw_exact_sf_np(u: float, m: int, n: int) -> float:
     return float(p.sum())
 
 
+def mw_exact_ties_sf_np(u: float, m: int, n: int, tied: list[int]) -> float:
+    """P(U >= u) for the first of two samples of sizes m and n, given the sizes of the
+    groups of equal values in ascending order.  U counts a tie as a half.
+
+    Time grows with groups * min(m, n) ** 2 * max(m, n), memory with
+    min(m, n) ** 2 * max(m, n)."""
+    if m > n:  # U of the first sample from that of the second: P(m n - U2 >= u)
+        return 1.0 - mw_exact_ties_sf_np(m * n - u + 0.5, n, m, tied)
+    size = 2 * m * n + 1  # doubled U
+    state = np.zeros((m + 1, size))
+    state[0, 0] = 1.0
+    below, total = 0, m + n
+    for t in tied:
+        after = np.zeros_like(state)
+        for k in range(max(0, m - (total - below)), min(m, below) + 1):
+            ways = math.comb(total - below, m - k)
+            for i in range(max(0, m - k - (total - below - t)), min(t, m - k) + 1):
+                shift = 2 * i * (below - k) + i * (t - i)
+                p = math.comb(t, i) * math.comb(total - below - t, m - k - i) / ways
+                after[k + i, shift:] += p * state[k, : size - shift]
+        state, below = after, below + t
+    return float(min(1.0, state[m, max(0, math.ceil(2 * u - 1e-9)) :].sum()))
+
+
 @F.pandas_udf(DoubleType())
-def _mw_exact_udf(u: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([mw_exact_sf_np(a, b, c) if pd.notna(a) else np.nan for a, b, c in zip(u, m, n)], dtype="float64")
+def _mw_exact_udf(u: pd.Series, m: pd.Series, n: pd.Series, tied: pd.Series) -> pd.Series:
+    def tail(u: float, m: int, n: int, tied: list[int]) -> float:
+        if pd.isna(u) or not m or not n:
+            return np.nan
+        return mw_exact_sf_np(u, m, n) if max(tied) == 1 else mw_exact_ties_sf_np(u, int(m), int(n), [int(t) for t in tied])
+
+    return pd.Series([tail(*row) for row in zip(u, m, n, tied)], dtype="float64")
 
 
-def mw_exact_sf(u: Column, m: Column, n: Column) -> Column:
-    """Column form of ``mw_exact_sf_np`` for the one row of a test (NULL in, NULL out)."""
-    p = _mw_exact_udf(u.cast("double"), m.cast("long"), n.cast("long"))
+def mw_exact_sf(u: Column, m: Column, n: Column, tied: Column) -> Column:
+    """P(U >= u) for the one row of a test; ``tied`` holds the sizes of the groups of
+    equal values in ascending order.  NULL without values in a sample."""
+    p = _mw_exact_udf(u.cast("double"), m.cast("long"), n.cast("long"), tied.cast("array<long>"))
     return F.when(~F.isnan(p), p)

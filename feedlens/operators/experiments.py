@@ -92,8 +92,9 @@ def welch_ttest(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, a
     return s.withColumn("significant", _decide(F.col("p_value"), alpha))
 
 
-def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, ranges: int | None = None) -> DataFrame:
-    """X5 (statistic part): U of ``a``, U of ``b``, tie term, sigma.
+def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1, b=2, ranges: int | None = None, tied: bool = False) -> DataFrame:
+    """X5 (statistic part): U of ``a``, U of ``b``, tie term, sigma; with ``tied`` the
+    sizes of the groups of equal values in ascending order, as an array.
 
     Ranks are never materialised per row: rows are grouped to distinct values
     with per-side counts, and the count of ``b`` values below each value is a
@@ -113,6 +114,7 @@ def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1,
         F.sum("cnt_b").alias("n_b"),
         F.sum(F.col("cnt_a") * (F.col("cnt_b_below") + F.col("cnt_b") / 2.0)).alias("u_a"),
         F.sum(t.cast("double") * t * t - t).alias("tie_term"),
+        *([F.transform(F.sort_array(F.collect_list(F.struct("v", t.alias("t")))), lambda x: x["t"]).alias("tied")] if tied else []),
     )
     n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n_a + n_b
@@ -124,6 +126,7 @@ def mann_whitney_stats(df: DataFrame, value: str, group: str = "exp_group", a=1,
         (n_a * n_b - F.col("u_a")).alias("u_b"),
         "tie_term",
         sigma.alias("sigma"),
+        *(["tied"] if tied else []),
     )
 
 
@@ -142,10 +145,12 @@ def mann_whitney(
     'two-sided', 'less' (a tends to be smaller) or 'greater'.
 
     ``method="asymptotic"`` is the normal approximation with tie and continuity
-    correction; ``"exact"`` takes the exact null distribution of U, which holds
-    without ties only.  p-value and decision are NULL where the test is undefined:
-    an empty group, no spread, or ties under ``"exact"``."""
-    s = mann_whitney_stats(df, value, group, a, b, ranges)
+    correction; ``"exact"`` takes the exact null distribution of U given the ties
+    (for small groups: the sizes of all groups of equal values meet in one row, and
+    time grows with their number and the cube of the sample sizes).  p-value and
+    decision are NULL where the test is undefined: an empty group, or no spread under
+    ``"asymptotic"``; without spread the exact p-value is 1."""
+    s = mann_whitney_stats(df, value, group, a, b, ranges, tied=method == "exact")
     mu = F.col("n_a").cast("double") * F.col("n_b") / 2.0
     if alternative == "two-sided":
         u = F.greatest("u_a", "u_b")
@@ -159,11 +164,15 @@ def mann_whitney(
     if method == "asymptotic":
         tail = norm_sf(F.col("z"))
     elif method == "exact":
-        tail = F.when((F.col("tie_term") == 0) & (F.least("n_a", "n_b") > 0), mw_exact_sf(u, F.col("n_a"), F.col("n_b")))
+        # Given the ties the law of U is not symmetric: the group whose U it is comes first.
+        of_a = {"two-sided": F.col("u_a") >= F.col("u_b"), "less": F.lit(False), "greater": F.lit(True)}[alternative]
+        first, second = (F.when(of_a, F.col(x)).otherwise(F.col(y)) for x, y in (("n_a", "n_b"), ("n_b", "n_a")))
+        tail = F.when(F.least("n_a", "n_b") > 0, mw_exact_sf(u, first, second, F.col("tied")))
     else:
         raise ValueError(f"unknown method {method!r}")
     return (
         out.withColumn("p_value", two_sided(tail) if alternative == "two-sided" else tail)
+        .drop("tied")
         .withColumn("method", F.lit(method))
         .withColumn("alternative", F.lit(alternative))
         .withColumn("significant", _decide(F.col("p_value"), alpha))

@@ -217,6 +217,38 @@ def _buckets(spark, sf_dir) -> DataFrame:
     return X.bucket_ctr(_users(spark, sf_dir), N_BUCKETS, "md5")
 
 
+EXACT_BUCKETS = 12
+# The groups of equal values are dealt out from the least up: of the c members of group
+# j, i go to the treatment, whose doubled U grows by 2 i (others below) + i (c - i).
+_EXACT_SQL = f"""
+, bk AS ({BUCKET_BODY.replace(f"% {N_BUCKETS}", f"% {EXACT_BUCKETS}")})
+, g AS (SELECT row_number() OVER (ORDER BY bucket_ctr) AS j, count(*) AS c, count(*) FILTER (WHERE exp_group = 2) AS own,
+               coalesce(sum(count(*)) OVER (ORDER BY bucket_ctr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+               coalesce(sum(count(*) FILTER (WHERE exp_group = 1)) OVER (ORDER BY bucket_ctr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS others
+        FROM bk WHERE bucket_ctr IS NOT NULL AND exp_group IN (1, 2) GROUP BY bucket_ctr)
+, s AS (SELECT sum(own) AS n_a, sum(c - own) AS n_b, sum(own * others + own * (c - own) / 2.0) AS u_a, max(j) AS last FROM g)
+, dp AS (
+  SELECT 0::BIGINT AS j, 0::BIGINT AS k, 0::BIGINT AS u2, 1.0::DOUBLE AS ways
+  UNION ALL
+  SELECT j, k, u2, sum(ways) FROM (
+    SELECT g.j AS j, dp.k + r.i AS k, (dp.u2 + 2 * r.i * (g.below - dp.k) + r.i * (g.c - r.i))::BIGINT AS u2,
+           dp.ways * factorial(g.c::INTEGER)::DOUBLE / (factorial(r.i::INTEGER)::DOUBLE * factorial((g.c - r.i)::INTEGER)::DOUBLE) AS ways
+    FROM dp JOIN g ON g.j = dp.j + 1, s, range(0, {2 * EXACT_BUCKETS + 1}) r(i) WHERE r.i <= g.c AND dp.k + r.i <= s.n_a) x
+  GROUP BY j, k, u2)
+SELECT s.n_a::BIGINT AS n_a, s.n_b::BIGINT AS n_b, s.u_a::DOUBLE AS u_a,
+       round(sum(ways) FILTER (WHERE u2 >= 2 * s.u_a) / sum(ways), 10) AS p_value
+FROM dp, s WHERE dp.j = s.last AND dp.k = s.n_a GROUP BY ALL"""
+
+
+@register("mann_whitney_exact_buckets", _users_sql(_EXACT_SQL).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_mann_whitney_exact_buckets(spark, sf_dir):
+    """Exact one-sided test of the bucket CTRs, treatment against control; few
+    buckets a group, so the normal approximation would be poor."""
+    buckets = X.bucket_ctr(_users(spark, sf_dir), EXACT_BUCKETS, "md5")
+    out = X.mann_whitney(buckets, "bucket_ctr", "exp_group", 2, 1, "greater", SIGNIFICANCE, method="exact")
+    return out.select("n_a", "n_b", "u_a", F.round("p_value", 10).alias("p_value"))
+
+
 @register("bucket_ctr", _users_sql(BUCKET_BODY))
 def q_bucket_ctr(spark, sf_dir):
     return _buckets(spark, sf_dir)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlens.functions import tails
-from feedlens.functions.stats import mw_exact_sf_np
+from feedlens.functions.stats import mw_exact_sf_np, mw_exact_ties_sf_np
 from feedlens.operators import experiments as X
 
 
@@ -208,3 +208,38 @@ def test_bootstrap_hashes_once_a_row(spark):
     assert "RepartitionByExpression" in plan and "block" in plan
     got = X.poisson_bootstrap(users, n=120).collect()
     assert sorted((r.boot_id, r.exp_group) for r in got) == [(b, g) for b in range(120) for g in (1, 2)]
+
+
+def _permutation_tail(a, b):
+    """P(U >= u) over all ways to deal the values, ties counting a half."""
+    from itertools import combinations
+
+    def u_of(x, y):
+        return sum((p > q) + (p == q) / 2 for p in x for q in y)
+
+    every, u = [*a, *b], u_of(a, b)
+    us = []
+    for pick in combinations(range(len(every)), len(a)):
+        us.append(u_of([every[i] for i in pick], [every[i] for i in range(len(every)) if i not in pick]))
+    return sum(x >= u for x in us) / len(us)
+
+
+def test_mw_exact_with_ties(spark):
+    rng = np.random.default_rng(6)
+    for m, n, top in ((3, 4, 3), (5, 4, 4), (2, 7, 2), (4, 4, 9), (6, 3, 2), (3, 3, 1)):
+        a, b = rng.integers(0, top, m).tolist(), rng.integers(0, top, n).tolist()
+        p = _permutation_tail(a, b)
+        df = _two_groups(spark, a, b)
+        r = X.mann_whitney(df, "v", "g", 1, 2, "greater", method="exact").first()
+        assert r.p_value == pytest.approx(p)
+        assert X.mann_whitney(df, "v", "g", 2, 1, "less", method="exact").first().p_value == pytest.approx(p)
+        two = X.mann_whitney(df, "v", "g", 1, 2, method="exact").first()
+        larger = p if two.u_a >= two.u_b else _permutation_tail(b, a)
+        assert two.p_value == pytest.approx(min(1.0, 2 * larger))
+
+
+def test_mw_exact_ties_agree_without_ties():
+    for m, n, u in ((3, 4, 9), (7, 5, 20.0), (8, 30, 200)):
+        assert mw_exact_ties_sf_np(u, m, n, [1] * (m + n)) == pytest.approx(mw_exact_sf_np(u, m, n))
+    tied = [3, 1, 2, 500, 2]  # one large group of equal values
+    assert mw_exact_ties_sf_np(0, 8, 500, tied) == pytest.approx(1.0)
