@@ -26,7 +26,7 @@ from feedlens.llm import (
     toxicity,
     vector_dedup,
 )
-from feedlens.llm.frames import GAP, table
+from feedlens.llm.frames import GAP, lean_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,7 +147,8 @@ def periodic_tail(doc_id: Column, text: Column) -> Column:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document, a tenth of them with a periodic tail."""
     docs = table(spark, sf_dir, "documents").select("doc_id", periodic_tail(F.col("doc_id"), F.col("text")).alias("text"))
-    found = periodic_runs.find_runs(docs)
+    lean_batches(spark)
+    found = periodic_runs.find_runs(docs, keep=["doc_id"])
     # The greatest length; ties: the least start, then the least period.
     best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
     lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))

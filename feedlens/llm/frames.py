@@ -80,6 +80,18 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int, raw: bool = False
         yield a, b, [t or (b"" if raw else "") for t in texts.slice(a, b - a).to_pylist()]
 
 
+#: Rows of an Arrow batch where texts are long: Spark and the Python worker both hold it.
+BATCH_ROWS = 2000
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Sets the session's batches of rows for Python to ``BATCH_ROWS`` where they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Scratch:
     """Tables in the session's shared folder that cut lineage like a checkpoint, but
     take less room and are deleted when a step needs them no more."""

@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +36,9 @@ STEP_IDS = 32 * 2048
 #: Characters of text that are tokenised and packed together.
 PACK_BYTES = 4 << 20
 #: Bytes that the ids of parts of texts may take in a Python worker, about.
-PART_BYTES = 32 << 20
+PART_BYTES = 128 << 20
 #: Bytes of text whose parts are looked up together.
-PART_SLICE = 1 << 19
+PART_SLICE = 1 << 20
 #: What one part takes beside its own bytes and its ids: two objects and their slots.
 _PART_OVERHEAD = 250
 
@@ -71,7 +72,7 @@ class PartIds(dict):
 
     Parts are kept in two generations of half of ``PART_BYTES`` each: when the
     younger one is full it takes the place of the older one, so the parts in use
-    stay.  A partition has its own."""
+    stay.  A Python worker keeps its parts for the next partition, never more than that."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -102,7 +103,7 @@ class PartIds(dict):
         if text[-1] in ".," and text[1:-1].isalpha():  # letters and a mark are pre-tokens of their own
             return self[part[:-1]] + self[part[-1:]]
         if text[0] in " " and text[1:].isalpha():  # one pre-token
-            return np.asarray([t.id for t in self.tokenizer.model.tokenize(part.decode("latin-1").translate(_ALPHABET))], "<u4").tobytes()
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(part.decode("latin-1").translate(_ALPHABET))]).tobytes()
         return self._whole(text)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -142,6 +143,15 @@ class PartIds(dict):
         return out
 
 
+_WORKER: dict[str, PartIds] = {}
+
+
+def _worker_parts(path: str) -> PartIds:
+    if path not in _WORKER:
+        _WORKER[path] = PartIds(path)
+    return _WORKER[path]
+
+
 def pack_lengths(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> tuple[list[tuple[int, int, int, int, int]], list[int]]:
     """Pieces (document, start, length, sequence, offset) and the sequences' lengths."""
     longest = tiers[0]
@@ -211,7 +221,7 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, s
     ignored.  ``sequence_id`` and ``step_group`` are unique over the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = PartIds(tokenizer_path)
+        words = _worker_parts(tokenizer_path)
         end = np.asarray([end_id], "<u4")
         first = TaskContext.get().partitionId() << 40
         groups = first

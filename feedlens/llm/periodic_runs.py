@@ -260,8 +260,8 @@ def collapsed(text: bytes, runs: list[tuple[int, int, int]]) -> bytes:
     return b" ".join(compress(found, keep.tolist()))
 
 
-def find_runs(docs: DataFrame, text: str = "text", exponent: int = EXPONENT, shortest: int = SHORTEST, names: tuple[str, str, str] = ("n_words", "runs", "collapsed")) -> DataFrame:
-    """All rows and columns of ``docs`` and three more: the number of words, the
+def find_runs(docs: DataFrame, text: str = "text", exponent: int = EXPONENT, shortest: int = SHORTEST, names: tuple[str, str, str] = ("n_words", "runs", "collapsed"), keep: list[str] | None = None) -> DataFrame:
+    """All rows and columns of ``docs`` (or the columns of ``keep``) and three more: the number of words, the
     runs (array of start, length, period; by start, then period) and the text with
     every run collapsed to its first period.
 
@@ -274,9 +274,11 @@ def find_runs(docs: DataFrame, text: str = "text", exponent: int = EXPONENT, sho
     its words, and 100 more where windows recur close by."""
     if exponent < 2:
         raise ValueError("a run has two periods at least")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names or c == text])
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c in kept or c == text])
     body, places = numbered(docs)
-    schema = T.StructType([*body.schema.fields, T.StructField("__n", T.LongType()), T.StructField("__runs", _RUNS), T.StructField("__left", T.StringType())])
+    back = [places[c] for c in docs.columns if c in kept]
+    schema = T.StructType([*(body.schema[c] for c in back), T.StructField("__n", T.LongType()), T.StructField("__runs", _RUNS), T.StructField("__left", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,8 +289,7 @@ def find_runs(docs: DataFrame, text: str = "text", exponent: int = EXPONENT, sho
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), struct)
                 left = pa.array([collapsed(t, r) for t, r in zip(texts, found)], pa.binary()).cast(pa.string())
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), lists, left], names=[*part.schema.names, "__n", "__runs", "__left"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in back), pa.array(n, pa.int64()), lists, left], names=[*back, "__n", "__runs", "__left"])
 
     out = map_batches(body, run, schema)
-    back = [F.col(places[c]).alias(c) for c in docs.columns if c not in names]
-    return out.select(*back, *[F.col(c).alias(n) for c, n in zip(("__n", "__runs", "__left"), names)])
+    return out.select(*[F.col(places[c]).alias(c) for c in docs.columns if c in kept], *[F.col(c).alias(n) for c, n in zip(("__n", "__runs", "__left"), names)])
