@@ -36,9 +36,9 @@ STEP_IDS = 32 * 2048
 #: Characters of text that are tokenised and packed together.
 PACK_BYTES = 4 << 20
 #: Bytes that the ids of parts of texts may take in a Python worker, about.
-PART_BYTES = 128 << 20
+PART_BYTES = 192 << 20
 #: Bytes of text whose parts are looked up together.
-PART_SLICE = 1 << 20
+PART_SLICE = 1 << 21
 #: What one part takes beside its own bytes and its ids: two objects and their slots.
 _PART_OVERHEAD = 250
 
