@@ -213,12 +213,14 @@ def step_groups(filled: list[int], tiers: tuple[int, ...] = TIERS, step_ids: int
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, step_ids: int = STEP_IDS, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, step_ids: int = STEP_IDS, end_id: int = END_ID, keep_parts: bool = True) -> DataFrame:
     """Pieces of all documents (``doc_id``, ``text``), one row each.
 
     A null or empty text is the end id alone.  Rows that repeat a doc_id are
     packed each on its own.  An empty table gives no rows.  Other columns are
-    ignored.  ``sequence_id`` and ``step_group`` are unique over the table."""
+    ignored.  ``sequence_id`` and ``step_group`` are unique over the table.  With
+    ``keep_parts`` a Python worker keeps encoded parts for its next partition, which is
+    faster; without, their memory is free for other stages when a partition ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _worker_parts(tokenizer_path)
@@ -239,5 +241,7 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, s
                 groups += max(group, default=-1) + 1
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+        if not keep_parts:
+            _WORKER.pop(tokenizer_path, None)
 
     return map_batches(docs.selectExpr("cast(doc_id as long) _doc_id", "cast(text as string) _text"), run, PIECES)
