@@ -81,7 +81,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs every document that is left; the result is one row per piece."""
     _lean_batches(spark)
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), keep_parts=False)
 
 
 STAGES = [
